@@ -111,8 +111,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     lo = src.agg(F.min("v")).scalar()
     hi = src.agg(F.max("v")).scalar()
     withb = src.withColumns({"lo": lo, "hi": hi})
+    # bin = floor((v - lo) / (hi - lo) * n) + 1, the max clipped into the last bin.
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
-        F.least(F.width_bucket(F.col("v"), F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(bins))
+        F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins))
     )
     counted = withb.groupBy(b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).cast("long").alias("count"))
     width = (F.col("hi") - F.col("lo")) / bins
@@ -124,7 +125,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     )
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
+def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False, quantiles: bool = True) -> DataFrame:
     """AGG-14: per-column profile in ONE aggregation, unpivoted to (column, metric, value).
 
     count, nulls, distinct, min, max, mean, std, zeros, p25/p50/p75 for
@@ -153,8 +154,11 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
             add(c, "mean", F.avg(x))
             add(c, "std", F.stddev_samp(x))
             add(c, "zeros", F.count_if(x == 0))
-            for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
-                add(c, name, F.percentile(x, q) if exact else F.percentile_approx(x, q, 10000))
+            if quantiles:
+                # Approximate quantiles: bounded sketches merge map-side. (An exact
+                # global percentile would hold every value in one task.)
+                for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+                    add(c, name, F.percentile_approx(x, q, 10000))
     one = df.agg(*aggs)
     entries = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(a).alias("value")) for c, m, a in metrics]
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")

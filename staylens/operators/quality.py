@@ -43,7 +43,6 @@ def listing_rules(bounds: dict, as_of: str | None = None, id_col: str = "id") ->
     lo_a, hi_a = AVAILABILITY_RANGE
     lo_r, hi_r = RATING_RANGE
     la0, la1, lo0, lo1 = bounds["lat_min"], bounds["lat_max"], bounds["lon_min"], bounds["lon_max"]
-    today = as_of_date(as_of)
     return [
         Rule("valid_price", "price", "price > 0", lambda c: c > 0, False, "flag_valid_price"),
         Rule("valid_latitude", "latitude", f"lat ∈ [{la0}, {la1}]", lambda c: c.between(la0, la1), False, "flag_valid_lat"),
@@ -64,7 +63,7 @@ def listing_rules(bounds: dict, as_of: str | None = None, id_col: str = "id") ->
         Rule("unique_listing_id", id_col, "listing id is unique", lambda c: F.lit(True), True, None, kind="unique"),
         Rule(
             "valid_host_since", "host_since", "host_since <= today",
-            lambda c: c <= today, True, "flag_valid_host_since",
+            lambda c: c <= as_of_date(as_of), True, "flag_valid_host_since",
         ),
     ]
 

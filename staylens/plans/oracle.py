@@ -3,7 +3,8 @@ independently in SQL (only the stand-in attribute formulas are shared text).
 
 Conventions (SURVEY 7.3): row-level two-decimal values use
 ``round_even(x * 100, 0) / 100`` (pandas rounding); aggregate doubles are
-rounded to 4 decimals on both sides with ``round_even(x * 10000, 0) / 10000``;
+rounded on both sides to 9 decimals and then to 4 (``r4``), which absorbs
+last-bit differences from summation order;
 counts are BIGINT; date parts INTEGER.
 """
 
@@ -21,7 +22,7 @@ def r2(x: str) -> str:
 
 
 def r4(x: str) -> str:
-    return f"(round_even(({x}) * 10000, 0) / 10000)"
+    return f"(round_even(round_even(({x}) * 1000000000.0, 0) / 1000000000.0 * 10000.0, 0) / 10000.0)"
 
 
 def _select(attrs: dict[str, str]) -> str:

@@ -12,3 +12,221 @@ FROM dim_geography g JOIN dim_listings l ON g.listing_id = l.listing_id
 WHERE l.price < 5000
 GROUP BY g.neighbourhood
 """)
+
+SQL["kpis"] = L(f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_listings,
+  {r4('AVG(CASE WHEN price < 5000 THEN price END)')} AS avg_price,
+  {r4('AVG(CASE WHEN price < 5000 THEN number_of_reviews END)')} AS avg_reviews
+FROM dim_listings
+""")
+
+SQL["room_type_mix"] = L(f"""
+SELECT room_type, CAST(COUNT(*) AS BIGINT) AS count, {r4('AVG(price)')} AS avg_price,
+  {r4('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () * 100')} AS pct
+FROM dim_listings GROUP BY room_type
+""")
+
+SQL["room_type_insight"] = L(f"""
+SELECT MAX(CASE WHEN r_desc = 1 THEN room_type END) AS top_label,
+  {r4('MAX(CASE WHEN r_desc = 1 THEN pct END)')} AS top_pct,
+  {r4('COALESCE(MAX(CASE WHEN r_asc = 1 THEN pct END), 0) + COALESCE(MAX(CASE WHEN r_asc = 2 AND n > 2 THEN pct END), 0)')}
+    AS smallest_two_pct
+FROM (
+  SELECT room_type, c, CAST(c AS DOUBLE) / SUM(c) OVER () * 100 AS pct,
+    row_number() OVER (ORDER BY c DESC, room_type ASC NULLS LAST) AS r_desc,
+    row_number() OVER (ORDER BY c ASC, room_type DESC NULLS FIRST) AS r_asc,
+    COUNT(*) OVER () AS n
+  FROM (SELECT room_type, COUNT(*) AS c FROM dim_listings GROUP BY room_type) m
+) s
+""")
+
+SQL["superhost_share"] = L(f"""
+SELECT h.host_is_superhost,
+  CASE WHEN h.host_is_superhost THEN 'Superhost' WHEN NOT h.host_is_superhost THEN 'Regular Host' ELSE 'Unknown' END AS label,
+  CAST(COUNT(*) AS BIGINT) AS count,
+  {r4('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () * 100')} AS pct
+FROM dim_listings l JOIN dim_hosts h ON l.host_id = h.host_id
+GROUP BY h.host_is_superhost
+""")
+
+_AREA = """(SELECT g.neighbourhood, AVG(l.price) AS avg_price, COUNT(*) AS listing_count
+  FROM dim_geography g JOIN dim_listings l ON g.listing_id = l.listing_id
+  WHERE l.price < 5000 GROUP BY g.neighbourhood)"""
+
+SQL["top_areas"] = L(f"""
+SELECT neighbourhood, {r4('avg_price')} AS avg_price, CAST(listing_count AS BIGINT) AS listing_count
+FROM {_AREA} a ORDER BY a.avg_price DESC, neighbourhood LIMIT 15
+""")
+
+SQL["area_spread"] = L(f"""
+SELECT
+  (SELECT neighbourhood FROM {_AREA} a ORDER BY avg_price DESC, neighbourhood LIMIT 1) AS highest_label,
+  (SELECT {r4('MAX(avg_price)')} FROM {_AREA} a) AS highest_value,
+  (SELECT neighbourhood FROM {_AREA} a ORDER BY avg_price ASC, neighbourhood LIMIT 1) AS lowest_label,
+  (SELECT {r4('MIN(avg_price)')} FROM {_AREA} a) AS lowest_value,
+  (SELECT {r4('MAX(avg_price) - MIN(avg_price)')} FROM {_AREA} a) AS spread
+""")
+
+SQL["sample_points"] = L("""
+SELECT listing_id, latitude, longitude, price, property_type FROM (
+  SELECT g.listing_id, g.latitude, g.longitude, l.price, l.property_type
+  FROM dim_geography g JOIN dim_listings l ON g.listing_id = l.listing_id
+  ORDER BY md5(CAST(g.listing_id AS VARCHAR) || ':42'), g.listing_id
+  LIMIT 2000
+) s WHERE price < 1000
+""")
+
+SQL["amenity_premium"] = L(f"""
+SELECT {r4('w_ac')} AS with_ac, {r4('wo_ac')} AS without_ac, {r4('w_pool')} AS with_pool, {r4('wo_pool')} AS without_pool,
+  {r4('w_gym')} AS with_gym, {r4('wo_gym')} AS without_gym,
+  {r4('w_ac - wo_ac')} AS ac_premium, {r4('w_pool - wo_pool')} AS pool_premium, {r4('w_gym - wo_gym')} AS gym_premium
+FROM (
+  SELECT AVG(CASE WHEN has_ac THEN price END) AS w_ac, AVG(CASE WHEN NOT has_ac THEN price END) AS wo_ac,
+    AVG(CASE WHEN has_pool THEN price END) AS w_pool, AVG(CASE WHEN NOT has_pool THEN price END) AS wo_pool,
+    AVG(CASE WHEN has_gym THEN price END) AS w_gym, AVG(CASE WHEN NOT has_gym THEN price END) AS wo_gym
+  FROM dim_listings WHERE price < 2000
+) a
+""")
+
+SQL["tenure_cohorts"] = L(f"""
+SELECT host_tenure_years, {r4('avg_price')} AS avg_price, {r4('avg_rating')} AS avg_rating FROM (
+  SELECT h.host_tenure_years, AVG(l.price) AS avg_price, AVG(l.review_scores_rating) AS avg_rating
+  FROM dim_hosts h JOIN dim_listings l ON h.host_id = l.host_id
+  WHERE h.host_tenure_years IS NOT NULL AND l.price < 2000
+  GROUP BY h.host_tenure_years
+) c WHERE avg_price IS NOT NULL AND avg_rating IS NOT NULL
+""")
+
+SQL["occupancy"] = LC(f"""
+SELECT g.neighbourhood AS borough,
+  {r4('CAST(COUNT(CASE WHEN NOT fc.available THEN 1 END) AS DOUBLE) / COUNT(*)')} AS occupancy_rate,
+  CAST(COUNT(DISTINCT fc.listing_id) AS BIGINT) AS listing_count
+FROM fact_calendar fc JOIN dim_geography g ON fc.listing_id = g.listing_id
+GROUP BY g.neighbourhood
+""")
+
+SQL["area_room_prices"] = L(f"""
+SELECT g.neighbourhood AS borough, l.room_type, {r4('AVG(l.price)')} AS avg_price, CAST(COUNT(*) AS BIGINT) AS listing_count
+FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+WHERE l.price BETWEEN 10 AND 2000
+GROUP BY g.neighbourhood, l.room_type
+""")
+
+SQL["price_histogram"] = L(f"""
+SELECT bin, {r4('lo + (bin - 1) * ((hi - lo) / 50)')} AS bin_start,
+  {r4('CASE WHEN bin = 50 THEN hi ELSE lo + bin * ((hi - lo) / 50) END')} AS bin_end, count
+FROM (
+  SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE LEAST(floor((v - lo) / (hi - lo) * 50) + 1, 50) END AS INTEGER) AS bin,
+    lo, hi, CAST(COUNT(*) AS BIGINT) AS count
+  FROM (
+    SELECT v, MIN(v) OVER () AS lo, MAX(v) OVER () AS hi FROM (
+      SELECT l.price AS v FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+      WHERE l.price IS NOT NULL AND l.price < 1000
+    ) p
+  ) b GROUP BY 1, 2, 3
+) h
+""")
+
+SQL["category_lists"] = L("""
+SELECT DISTINCT 'borough' AS category, g.neighbourhood AS value
+FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+WHERE l.price BETWEEN 10 AND 2000 AND l.room_type IS NOT NULL AND g.neighbourhood IS NOT NULL
+UNION ALL
+SELECT DISTINCT 'room_type' AS category, l.room_type AS value
+FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+WHERE l.price BETWEEN 10 AND 2000 AND l.room_type IS NOT NULL
+""")
+
+SQL["record_counts"] = LCR("""
+SELECT table_name, row_count FROM (
+  SELECT 'dim_listings' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM dim_listings
+  UNION ALL SELECT 'fact_reviews', CAST(COUNT(*) AS BIGINT) FROM fact_reviews
+  UNION ALL SELECT 'fact_calendar', CAST(COUNT(*) AS BIGINT) FROM fact_calendar
+) t
+UNION ALL
+SELECT 'total', CAST((SELECT COUNT(*) FROM dim_listings) + (SELECT COUNT(*) FROM fact_reviews)
+  + (SELECT COUNT(*) FROM fact_calendar) AS BIGINT)
+""")
+
+
+def _profile_sql() -> str:
+    from staylens.plans.queries import PROFILE_COLUMNS
+
+    numeric = {"price", "bedrooms", "accommodates", "number_of_reviews", "review_scores_rating"}
+    parts = []
+    for c in PROFILE_COLUMNS:
+        metrics = [("count", f"COUNT({c})"), ("nulls", f"COUNT(*) FILTER (WHERE {c} IS NULL)"),
+                   ("distinct", f"COUNT(DISTINCT {c})")]
+        if c in numeric:
+            metrics += [("min", f"MIN({c})"), ("max", f"MAX({c})"), ("mean", f"AVG({c})"),
+                        ("std", f"STDDEV_SAMP({c})"), ("zeros", f"COUNT(*) FILTER (WHERE {c} = 0)")]
+        for m, e in metrics:
+            parts.append(f"SELECT '{c}' AS column_name, '{m}' AS metric, {r4(f'CAST({e} AS DOUBLE)')} AS value FROM dim_listings")
+    return L("\nUNION ALL\n".join(parts))
+
+
+SQL["profile"] = _profile_sql()
+
+SQL["dim_listings"] = L("SELECT * FROM dim_listings")
+SQL["dim_hosts"] = L("SELECT * FROM dim_hosts")
+SQL["dim_geography"] = L("SELECT * FROM dim_geography")
+SQL["fact_calendar"] = C("SELECT * FROM fact_calendar")
+SQL["fact_reviews"] = R("SELECT * FROM fact_reviews")
+
+SQL["dq_listing_flags"] = L("""
+SELECT id, flag_valid_price, flag_valid_lat, flag_valid_lon, flag_valid_min_nights, flag_valid_availability,
+  flag_valid_rating, flag_valid_id, flag_valid_host_since, is_valid
+FROM v_flagged
+""")
+
+
+def _report_sql(source: str, rules: list[tuple[str, str, str]], with_valid: bool) -> str:
+    rows = []
+    for name, desc, failed in rules + ([("is_valid", "all flag rules pass", "COUNT(*) FILTER (WHERE NOT is_valid)")] if with_valid else []):
+        d = desc.replace("'", "''")
+        rows.append(
+            f"SELECT '{name}' AS rule, '{d}' AS description, CAST(COALESCE({failed}, 0) AS BIGINT) AS failed, "
+            f"{r2(f'CAST({failed} AS DOUBLE) / NULLIF(COUNT(*), 0) * 100')} AS pct_failed, "
+            f"CAST(COUNT(*) AS BIGINT) AS total_records FROM {source}"
+        )
+    return "\nUNION ALL\n".join(rows)
+
+
+def _listing_report() -> str:
+    from staylens.operators.quality import listing_rules
+    from staylens.plans import domain
+
+    desc = {r.name: r.description for r in listing_rules(domain.CITY_BOUNDS, domain.AS_OF)}
+    failed = {
+        "valid_price": "COUNT(*) FILTER (WHERE NOT flag_valid_price)",
+        "valid_latitude": "COUNT(*) FILTER (WHERE NOT flag_valid_lat)",
+        "valid_longitude": "COUNT(*) FILTER (WHERE NOT flag_valid_lon)",
+        "valid_minimum_nights": "COUNT(*) FILTER (WHERE NOT flag_valid_min_nights)",
+        "valid_availability": "COUNT(*) FILTER (WHERE NOT flag_valid_availability)",
+        "valid_review_rating": "COUNT(*) FILTER (WHERE NOT flag_valid_rating)",
+        "valid_listing_id": "COUNT(*) FILTER (WHERE NOT flag_valid_id)",
+        "unique_listing_id": "(COUNT(*) - COUNT(DISTINCT id) - MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END))",
+        "valid_host_since": "COUNT(*) FILTER (WHERE NOT flag_valid_host_since)",
+    }
+    return L(_report_sql("v_flagged", [(n, desc[n], failed[n]) for n in failed], True))
+
+
+SQL["dq_listing_report"] = _listing_report()
+
+SQL["dq_listing_summary"] = L(f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_records, CAST(COUNT(*) FILTER (WHERE is_valid) AS BIGINT) AS total_valid,
+  CAST(COUNT(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS total_invalid,
+  {r2('CAST(COUNT(*) FILTER (WHERE is_valid) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100')} AS pct_valid
+FROM v_flagged
+""")
+
+SQL["dq_calendar_report"] = C(_report_sql("v_calendar", [
+    ("valid_price", "price > 0 (when not null)", "COUNT(*) FILTER (WHERE NOT flag_valid_price)"),
+    ("valid_available", "available is boolean", "COUNT(*) FILTER (WHERE NOT flag_valid_available)"),
+], True))
+
+SQL["valid_subset"] = L("SELECT id, price, latitude, longitude, is_valid FROM v_valid")
+
+SQL["dedup_reviews"] = R("SELECT * FROM v_reviews")
+
+SQL["dedup_removed"] = R("SELECT CAST((SELECT COUNT(*) FROM v_reviews_raw) - (SELECT COUNT(*) FROM v_reviews) AS BIGINT) AS removed")

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.functions.derive import round_to
+from staylens.functions import labels
 from staylens.operators import aggregates as agg
-from staylens.operators import quality
-from staylens.plans import domain, gold
+from staylens.operators import features, quality, sampling, windows
+from staylens.plans import domain, gold, silver
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -31,7 +32,9 @@ def query(name: str):
 
 
 def r4(c: str) -> F.Column:
-    return round_to(F.col(c), 4).alias(c)
+    """Report rounding of aggregate doubles: to 9 decimals first (absorbs last-bit
+    differences from summation order), then to 4."""
+    return round_to(round_to(F.col(c), 9), 4).alias(c)
 
 
 # ---------------------------------------------------------------- shared frames
@@ -71,3 +74,193 @@ def area_prices(spark, sf):
     j = dim_geography(spark, sf).join(l, "listing_id")
     out = agg.group_stats(j, ["neighbourhood"], "price")
     return out.select("neighbourhood", r4("avg_price"), "listing_count").orderBy(F.col("avg_price").desc_nulls_last(), "neighbourhood")
+
+
+def _area_price_frame(spark, sf, cutoff=5000):
+    l = dim_listings(spark, sf).where(F.col("price") < cutoff)
+    return agg.group_stats(dim_geography(spark, sf).join(l, "listing_id"), ["neighbourhood"], "price")
+
+
+@query("kpis")
+def kpis(spark, sf):
+    """AGG-2 + JOIN-5: one scan for the unfiltered total and the filtered averages."""
+    out = agg.kpis(dim_listings(spark, sf))
+    return out.select("total_listings", r4("avg_price"), r4("avg_reviews"))
+
+
+@query("room_type_mix")
+def room_type_mix(spark, sf):
+    """AGG-3 + WIN-1 + SRT-1."""
+    g = agg.group_stats(dim_listings(spark, sf), ["room_type"], "price", count_name="count")
+    out = windows.share_of_total(g, "count", "pct")
+    return out.select("room_type", "count", r4("avg_price"), r4("pct")).orderBy(F.col("count").desc(), "room_type")
+
+
+@query("room_type_insight")
+def room_type_insight(spark, sf):
+    """WIN-1 summary: dominant type, its share, combined share of the two smallest."""
+    g = agg.count_by(dim_listings(spark, sf), "room_type", "count")
+    out = windows.mix_insight(windows.share_of_total(g, "count", "pct"), "room_type")
+    return out.select("top_label", r4("top_pct"), r4("smallest_two_pct"))
+
+
+@query("superhost_share")
+def superhost_share(spark, sf):
+    """AGG-4 + JOIN-2 + WIN-2 + PRJ-7: listings per superhost status (null is a group)."""
+    j = dim_listings(spark, sf).select("host_id").join(dim_hosts(spark, sf).select("host_id", "host_is_superhost"), "host_id")
+    g = agg.count_by(j, "host_is_superhost", "count")
+    out = windows.share_of_total(g, "count", "pct").withColumn("label", labels.superhost_label("host_is_superhost"))
+    return out.select("host_is_superhost", "label", "count", r4("pct"))
+
+
+@query("top_areas")
+def top_areas(spark, sf):
+    """SRT-3: the 15 most expensive areas (top-k is the feature)."""
+    top = _area_price_frame(spark, sf).orderBy(F.col("avg_price").desc_nulls_last(), "neighbourhood").limit(15)
+    return top.select("neighbourhood", r4("avg_price"), "listing_count")
+
+
+@query("area_spread")
+def area_spread(spark, sf):
+    """AGG-12: most / least expensive area and the spread."""
+    out = agg.extremes(_area_price_frame(spark, sf), "neighbourhood", "avg_price")
+    return out.select("highest_label", r4("highest_value"), "lowest_label", r4("lowest_value"), r4("spread"))
+
+
+@query("sample_points")
+def sample_points(spark, sf):
+    """SRT-5 + T10: a fixed-size hash sample of the joined rows, taken before the price filter."""
+    j = dim_geography(spark, sf).join(dim_listings(spark, sf), "listing_id")
+    s = sampling.hash_sample(j, "listing_id", 2000, seed=42)
+    return s.where(F.col("price") < 1000).select("listing_id", "latitude", "longitude", "price", "property_type")
+
+
+@query("amenity_premium")
+def amenity_premium(spark, sf):
+    """AGG-6: with / without AC, pool, gym in one scan (price < 2000)."""
+    l = dim_listings(spark, sf).where(F.col("price") < 2000)
+    out = agg.conditional_means(l, {"ac": "has_ac", "pool": "has_pool", "gym": "has_gym"})
+    return out.select(*[r4(c) for c in out.columns])
+
+
+def _tenure_join(spark, sf):
+    h = dim_hosts(spark, sf).select("host_id", "host_tenure_years")
+    l = dim_listings(spark, sf).select("host_id", "price", "review_scores_rating")
+    return h.join(l, "host_id").where(F.col("host_tenure_years").isNotNull() & (F.col("price") < 2000))
+
+
+@query("tenure_cohorts")
+def tenure_cohorts(spark, sf):
+    """AGG-7 + JOIN-2 + SRT-2: mean price and rating per tenure cohort, incomplete cohorts dropped."""
+    out = agg.cohort_means(_tenure_join(spark, sf), "host_tenure_years", {"avg_price": "price", "avg_rating": "review_scores_rating"})
+    return out.select("host_tenure_years", r4("avg_price"), r4("avg_rating")).orderBy(F.col("host_tenure_years").asc_nulls_last())
+
+
+@query("occupancy")
+def occupancy(spark, sf):
+    """AGG-8 + JOIN-3: calendar occupancy and listings per area."""
+    out = agg.occupancy_by_area(fact_calendar(spark, sf), dim_geography(spark, sf))
+    return out.select(F.col("neighbourhood").alias("borough"), r4("occupancy_rate"), "listing_count").orderBy(
+        F.col("occupancy_rate").desc_nulls_last(), "borough")
+
+
+@query("area_room_prices")
+def area_room_prices(spark, sf):
+    """AGG-9 + FLT-2: price per (area, room type) for 10 <= price <= 2000."""
+    l = dim_listings(spark, sf).where(F.col("price").between(10, 2000))
+    j = l.join(dim_geography(spark, sf), "listing_id")
+    out = agg.group_stats(j, ["neighbourhood", "room_type"], "price")
+    return out.select(F.col("neighbourhood").alias("borough"), "room_type", r4("avg_price"), "listing_count")
+
+
+@query("price_histogram")
+def price_histogram(spark, sf):
+    """AGG-13: 50 equal-width bins of price < 1000 over listings x geography."""
+    j = dim_listings(spark, sf).join(dim_geography(spark, sf), "listing_id")
+    h = agg.histogram(j, "price", 50, upper_cut=1000)
+    return h.select("bin", r4("bin_start"), r4("bin_end"), "count")
+
+
+@query("category_lists")
+def category_lists(spark, sf):
+    """AGG-11: sorted distinct boroughs and room types of the training population."""
+    f = features.feature_table(dim_listings(spark, sf), dim_geography(spark, sf))
+    b = agg.category_list(f, "neighbourhood").select(F.lit("borough").alias("category"), F.col("neighbourhood").alias("value"))
+    r = agg.category_list(f, "room_type").select(F.lit("room_type").alias("category"), F.col("room_type").alias("value"))
+    return b.unionByName(r)
+
+
+@query("record_counts")
+def record_counts(spark, sf):
+    """AGG-1: rows per mart and the grand total."""
+    return agg.record_counts({
+        "dim_listings": dim_listings(spark, sf),
+        "fact_reviews": fact_reviews(spark, sf),
+        "fact_calendar": fact_calendar(spark, sf),
+    })
+
+
+PROFILE_COLUMNS = ["price", "bedrooms", "accommodates", "number_of_reviews", "review_scores_rating", "room_type"]
+
+
+@query("profile")
+def profile(spark, sf):
+    """AGG-14: column profile of dim_listings (exact distinct; quantiles are approximate, left out here)."""
+    out = agg.profile(dim_listings(spark, sf), PROFILE_COLUMNS, exact=True, quantiles=False)
+    return out.select("column_name", "metric", r4("value"))
+
+
+# ---------------------------------------------------------------- marts (PRJ-1, AGG-10, FLT-5)
+def silver_reviews(spark, sf):
+    return silver.clean_reviews(domain.raw_reviews(spark, sf))
+
+
+def fact_reviews(spark, sf):
+    return gold.fact_reviews(silver_reviews(spark, sf))
+
+
+REGISTRY["dim_listings"] = dim_listings
+REGISTRY["dim_hosts"] = dim_hosts
+REGISTRY["dim_geography"] = dim_geography
+REGISTRY["fact_calendar"] = fact_calendar
+REGISTRY["fact_reviews"] = fact_reviews
+
+
+# ---------------------------------------------------------------- data quality (DQ-1..13, FLT-3, WIN-3)
+@query("dq_listing_flags")
+def dq_listing_flags(spark, sf):
+    f = flagged_listings(spark, sf)
+    return f.select("id", *[c for c in f.columns if c.startswith("flag_valid")], "is_valid")
+
+
+@query("dq_listing_report")
+def dq_listing_report(spark, sf):
+    rules = quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF)
+    return quality.rule_report(flagged_listings(spark, sf), rules)
+
+
+@query("dq_listing_summary")
+def dq_listing_summary(spark, sf):
+    return quality.validity_summary(flagged_listings(spark, sf))
+
+
+@query("dq_calendar_report")
+def dq_calendar_report(spark, sf):
+    return quality.rule_report(silver_calendar(spark, sf), quality.calendar_rules())
+
+
+@query("valid_subset")
+def valid_subset(spark, sf):
+    return valid_listings(spark, sf).select("id", "price", "latitude", "longitude", "is_valid")
+
+
+@query("dedup_reviews")
+def dedup_reviews(spark, sf):
+    """WIN-3 + SCL-9/10: keep-first reviews per (listing, reviewer, date)."""
+    return silver_reviews(spark, sf)
+
+
+@query("dedup_removed")
+def dedup_removed(spark, sf):
+    raw = domain.raw_reviews(spark, sf)
+    return windows.duplicates_removed(raw, silver_reviews(spark, sf))
