@@ -32,7 +32,7 @@ def parse_price(c: Column | str) -> Column:
 def parse_date(c: Column | str) -> Column:
     """SCL-2: ``yyyy-MM-dd`` text -> date; other shapes and impossible dates -> null."""
     t = strip_ws(col(c).cast("string"))
-    return F.when(t.rlike(ISO_DATE_RE), F.try_to_date(t, F.lit("yyyy-MM-dd")))
+    return F.when(t.rlike(ISO_DATE_RE), F.try_to_date(t, "yyyy-MM-dd"))
 
 
 def decode_bool(c: Column | str, true_codes=None, false_codes=None) -> Column:

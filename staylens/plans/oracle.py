@@ -40,7 +40,7 @@ def property_std_sql(c: str) -> str:
 
 def title_sql(c: str) -> str:
     parts = f"regexp_extract_all(lower({c}), '(\\pL+|[^\\pL]+)', 1)"
-    return f"(CASE WHEN {c} IS NULL THEN NULL ELSE array_to_string(list_transform({parts}, x -> upper(x[1]) || x[2:]), '') END)"
+    return f"(CASE WHEN {c} IS NULL THEN NULL ELSE array_to_string(list_transform({parts}, lambda x: upper(x[1]) || x[2:]), '') END)"
 
 
 def room_type_sql(c: str) -> str:

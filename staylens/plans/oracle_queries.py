@@ -230,3 +230,105 @@ SQL["valid_subset"] = L("SELECT id, price, latitude, longitude, is_valid FROM v_
 SQL["dedup_reviews"] = R("SELECT * FROM v_reviews")
 
 SQL["dedup_removed"] = R("SELECT CAST((SELECT COUNT(*) FROM v_reviews_raw) - (SELECT COUNT(*) FROM v_reviews) AS BIGINT) AS removed")
+
+# ---------------------------------------------------------------- scalar functions
+from staylens.functions.values import AMENITY_FLAGS, NA_TOKENS  # noqa: E402
+from staylens.plans import domain  # noqa: E402
+from staylens.plans.oracle import _select, property_std_sql, room_type_sql  # noqa: E402
+
+_RAW = f"WITH raw AS (SELECT {_select(domain.ATTR_RAW_LISTINGS)} FROM orders)\n"
+_AMEN = f"WITH raw AS (SELECT {_select(domain.ATTR_RAW_AMENITIES)} FROM part)\n"
+_DEC = r"'^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
+
+
+def _ws(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+SQL["parse_price"] = _RAW + f"""
+SELECT id, price_text,
+  CASE WHEN regexp_full_match(regexp_replace(price_text, '[$,\\s]', '', 'g'), {_DEC})
+       THEN TRY_CAST(regexp_replace(price_text, '[$,\\s]', '', 'g') AS DOUBLE) END AS price
+FROM raw
+"""
+
+SQL["parse_date"] = _RAW + f"""
+SELECT id, date_text,
+  CASE WHEN regexp_full_match({_ws('date_text')}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
+       THEN TRY_CAST(try_strptime({_ws('date_text')}, '%Y-%m-%d') AS DATE) END AS parsed_date
+FROM raw
+"""
+
+SQL["normalize_room_type"] = _RAW + f"SELECT id, room_type_text, {room_type_sql('room_type_text')} AS room_type FROM raw"
+
+SQL["unknown_labels"] = _RAW + f"""
+SELECT DISTINCT room_type_text FROM raw
+WHERE room_type_text IS NOT NULL AND ({room_type_sql('room_type_text')}) IS NOT NULL
+  AND lower(trim(room_type_text)) NOT IN ('entire home/apt', 'entire home', 'private room', 'shared room', 'hotel room')
+ORDER BY room_type_text LIMIT 5
+"""
+
+SQL["normalize_property_type"] = f"""
+SELECT property_type, {property_std_sql('property_type')} AS property_type_std, CAST(COUNT(*) AS BIGINT) AS listings
+FROM (SELECT {domain.ATTR_LISTINGS['property_type']} AS property_type
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) p
+GROUP BY 1, 2
+"""
+
+_ITEMS = f"""(CASE WHEN amenities_text IS NULL OR {_ws('amenities_text')} = '' THEN []::VARCHAR[]
+  WHEN starts_with({_ws('amenities_text')}, '[') THEN
+    CASE WHEN json_valid({_ws('amenities_text')}) THEN from_json({_ws('amenities_text')}, '["VARCHAR"]') ELSE []::VARCHAR[] END
+  ELSE list_transform(
+    list_filter(string_split(regexp_replace({_ws('amenities_text')}, '^[{{}}]+|[{{}}]+$', '', 'g'), ','), lambda x: {_ws('x')} <> ''),
+    lambda x: regexp_replace({_ws('x')}, '^"+|"+$', '', 'g'))
+  END)"""
+
+SQL["parse_amenities"] = _AMEN + f"""
+SELECT id, CAST(len(items) AS INTEGER) AS amenity_count, array_to_string(items, '|') AS items
+FROM (SELECT id, {_ITEMS} AS items FROM raw) t
+"""
+
+
+def _flags_sql() -> str:
+    cols = []
+    for name, names in AMENITY_FLAGS.items():
+        lits = ", ".join("'" + n.lower().replace("'", "''") + "'" for n in names)
+        cols.append(f"COALESCE(list_has_any(list_filter(list_transform(items, lambda x: lower(x)), lambda x: x IS NOT NULL), [{lits}]), false) AS {name}")
+    return _AMEN + f"SELECT id, {', '.join(cols)} FROM (SELECT id, {_ITEMS} AS items FROM raw) t"
+
+
+SQL["amenity_flags"] = _flags_sql()
+
+SQL["bool_decode"] = _RAW + """
+SELECT id, bool_text,
+  CASE WHEN bool_text IN ('t', 'True') THEN true WHEN bool_text IN ('f', 'False') THEN false END AS listing_bool,
+  CASE WHEN bool_text = 't' THEN true WHEN bool_text = 'f' THEN false END AS calendar_bool
+FROM raw
+"""
+
+SQL["safe_numeric"] = _RAW + f"""
+SELECT id, number_text,
+  CASE WHEN regexp_full_match({_ws('number_text')}, {_DEC}) THEN TRY_CAST({_ws('number_text')} AS DOUBLE) END AS value
+FROM raw
+"""
+
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+SQL["na_tokens"] = _RAW + f"SELECT id, CASE WHEN na_text IN ({_TOKENS}) THEN NULL ELSE na_text END AS value FROM raw"
+
+SQL["comment_length"] = f"""
+SELECT doc_id, c IS NULL AS is_missing, COALESCE(length(c), 0) AS comment_length FROM (
+  SELECT doc_id, CASE WHEN text IS NULL OR {_ws('text')} IN ('nan', 'None') THEN NULL ELSE {_ws('text')} END AS c
+  FROM documents
+) d
+"""
+
+SQL["calendar_parts"] = C("SELECT listing_id, date, is_weekend, day_of_week, month, year FROM v_calendar")
+SQL["host_tenure"] = L("SELECT id, host_since, host_tenure_years, days_since_last_review FROM v_listings")
+SQL["price_per_bedroom"] = L("SELECT id, price, bedrooms, price_per_bedroom FROM v_listings")
+SQL["commercial_host"] = L("SELECT id, calculated_host_listings_count, is_commercial_host FROM v_listings")
+SQL["default_fill"] = L("""
+SELECT id, COALESCE(bedrooms, 1.0) AS bedrooms, COALESCE(beds, 1.0) AS beds, COALESCE(bathrooms, 1.0) AS bathrooms,
+  price_per_bedroom, COALESCE(accommodates, 2.0) AS accommodates, COALESCE(amenity_count, 0) AS amenity_count,
+  COALESCE(has_ac, false) AS has_ac
+FROM v_listings
+""")

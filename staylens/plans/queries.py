@@ -18,6 +18,7 @@ from staylens.functions import labels
 from staylens.operators import aggregates as agg
 from staylens.operators import features, quality, sampling, windows
 from staylens.plans import domain, gold, silver
+from staylens.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -264,3 +265,109 @@ def dedup_reviews(spark, sf):
 def dedup_removed(spark, sf):
     raw = domain.raw_reviews(spark, sf)
     return windows.duplicates_removed(raw, silver_reviews(spark, sf))
+
+
+# ---------------------------------------------------------------- scalar functions (SCL-*, PRJ-3..6, SRC-1 tokens)
+from staylens.functions import amenities as amen  # noqa: E402
+from staylens.functions import derive, parse, text  # noqa: E402
+
+
+@query("parse_price")
+def parse_price_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", "price_text", parse.parse_price("price_text").alias("price"))
+
+
+@query("parse_date")
+def parse_date_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", "date_text", parse.parse_date("date_text").alias("parsed_date"))
+
+
+@query("normalize_room_type")
+def normalize_room_type_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", "room_type_text", labels.normalize_room_type("room_type_text").alias("room_type"))
+
+
+@query("unknown_labels")
+def unknown_labels_q(spark, sf):
+    """SCL-4: up to 5 distinct unknown room types (a log sample: the limit is the feature)."""
+    r = domain.raw_listings(spark, sf)
+    return labels.unknown_room_types(r.orderBy("room_type_text"), "room_type_text").orderBy("room_type_text")
+
+
+@query("normalize_property_type")
+def normalize_property_type_q(spark, sf):
+    l = domain.listing_base(spark, sf).select(F.expr(domain.ATTR_LISTINGS["property_type"]).alias("property_type"))
+    out = l.withColumn("property_type_std", labels.normalize_property_type("property_type"))
+    return out.groupBy("property_type", "property_type_std").agg(F.count(F.lit(1)).cast("long").alias("listings"))
+
+
+@query("parse_amenities")
+def parse_amenities_q(spark, sf):
+    r = domain.raw_amenities(spark, sf).withColumn("items", parse.parse_amenities("amenities_text"))
+    return r.select("id", amen.amenity_count("items").alias("amenity_count"), F.array_join("items", "|").alias("items"))
+
+
+@query("amenity_flags")
+def amenity_flags_q(spark, sf):
+    r = domain.raw_amenities(spark, sf).withColumn("amenities_list", parse.parse_amenities("amenities_text"))
+    out = amen.with_amenity_flags(r, "amenities_list")
+    return out.drop("amenities_list", "amenities_text")
+
+
+@query("bool_decode")
+def bool_decode_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", "bool_text", parse.decode_bool("bool_text").alias("listing_bool"),
+                    parse.decode_calendar_bool("bool_text").alias("calendar_bool"))
+
+
+@query("safe_numeric")
+def safe_numeric_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", "number_text", parse.safe_double("number_text").alias("value"))
+
+
+@query("na_tokens")
+def na_tokens_q(spark, sf):
+    r = domain.raw_listings(spark, sf)
+    return r.select("id", text.na_to_null("na_text").alias("value"))
+
+
+@query("comment_length")
+def comment_length_q(spark, sf):
+    """SCL-9/10 over whole documents: cleaned text length (missing -> 0)."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    cleaned = text.clean_comment("text")
+    return d.select("doc_id", cleaned.isNull().alias("is_missing"), text.text_length(cleaned).alias("comment_length"))
+
+
+@query("calendar_parts")
+def calendar_parts_q(spark, sf):
+    return domain.calendar(spark, sf).select("listing_id", "date", "is_weekend", "day_of_week", "month", "year")
+
+
+@query("host_tenure")
+def host_tenure_q(spark, sf):
+    return domain.listings(spark, sf).select("id", "host_since", "host_tenure_years", "days_since_last_review")
+
+
+@query("price_per_bedroom")
+def price_per_bedroom_q(spark, sf):
+    return domain.listings(spark, sf).select("id", "price", "bedrooms", "price_per_bedroom")
+
+
+@query("commercial_host")
+def commercial_host_q(spark, sf):
+    return domain.listings(spark, sf).select("id", "calculated_host_listings_count", "is_commercial_host")
+
+
+@query("default_fill")
+def default_fill_q(spark, sf):
+    """PRJ-5 (after the ratio, T4) and PRJ-6 query-time defaults."""
+    l = domain.listings(spark, sf)
+    filled = derive.fill_defaults(l, {"bedrooms": 1.0, "beds": 1.0, "bathrooms": 1.0})
+    q = derive.coalesce_defaults({"accommodates": 2.0, "amenity_count": 0, "has_ac": False})
+    return filled.select("id", "bedrooms", "beds", "bathrooms", "price_per_bedroom", *[v.alias(k) for k, v in q.items()])
