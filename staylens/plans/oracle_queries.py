@@ -332,3 +332,67 @@ SELECT id, COALESCE(bedrooms, 1.0) AS bedrooms, COALESCE(beds, 1.0) AS beds, COA
   COALESCE(has_ac, false) AS has_ac
 FROM v_listings
 """)
+
+# ---------------------------------------------------------------- comparables
+_REQ = f"SELECT {_select(domain.ATTR_REQUESTS)} FROM customer JOIN nation ON c_nationkey = n_nationkey"
+_COMPS = f"""(
+  SELECT * FROM (
+    SELECT r.request_id, l.listing_id, l.listing_name, g.neighbourhood AS borough, l.room_type,
+      COALESCE(l.bedrooms, 1) AS bedrooms, COALESCE(l.bathrooms, 1) AS bathrooms, l.accommodates, l.price,
+      l.number_of_reviews, l.review_scores_rating, ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) AS bedroom_distance,
+      row_number() OVER (PARTITION BY r.request_id ORDER BY ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) ASC,
+                         l.number_of_reviews DESC NULLS LAST, l.listing_id ASC) AS comp_rank
+    FROM ({_REQ}) r
+    JOIN dim_geography g ON g.neighbourhood = r.borough
+    JOIN dim_listings l ON l.listing_id = g.listing_id AND l.room_type = r.room_type
+    WHERE ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) <= 1 AND l.price BETWEEN 10 AND 2000
+  ) t WHERE comp_rank <= 5
+)"""
+
+SQL["comparables"] = L(f"SELECT * FROM {_COMPS} c")
+SQL["comparable_avg"] = L(f"""
+SELECT request_id, CAST(COUNT(*) AS BIGINT) AS n_comparables, {r4('AVG(price)')} AS comparable_avg_price
+FROM {_COMPS} c GROUP BY request_id
+""")
+
+# ---------------------------------------------------------------- statistics
+_TEN = """(SELECT h.host_tenure_years AS x, l.price, l.review_scores_rating AS rating
+  FROM dim_hosts h JOIN dim_listings l ON h.host_id = l.host_id
+  WHERE h.host_tenure_years IS NOT NULL AND l.price < 2000 AND l.review_scores_rating IS NOT NULL)"""
+
+
+def _ols_sql(y: str, x: str, src: str, label: str | None) -> str:
+    tgt = f"'{label}' AS target, " if label else ""
+    return f"""SELECT {tgt}CAST(regr_count({y}, {x}) AS BIGINT) AS n, {r4(f'regr_slope({y}, {x})')} AS slope,
+  {r4(f'regr_intercept({y}, {x})')} AS intercept,
+  {r4(f'CASE WHEN regr_sxx({y}, {x}) * regr_syy({y}, {x}) > 0 THEN regr_sxy({y}, {x}) / sqrt(regr_sxx({y}, {x}) * regr_syy({y}, {x})) END')} AS r,
+  {r4(f'regr_r2({y}, {x})')} AS r2,
+  {r4(f'sqrt(GREATEST(regr_syy({y}, {x}) - regr_slope({y}, {x}) * regr_sxy({y}, {x}), 0) / NULLIF(regr_count({y}, {x}) - 2, 0) / NULLIF(regr_sxx({y}, {x}), 0))')} AS stderr
+FROM {src} t"""
+
+
+SQL["ols_tenure"] = L(_ols_sql("price", "x", _TEN, "price") + "\nUNION ALL\n" + _ols_sql("rating", "x", _TEN, "rating"))
+
+SQL["ols_cohort"] = L(f"""
+SELECT CAST(regr_count(avg_price, x) AS BIGINT) AS n, {r4('regr_slope(avg_price, x)')} AS slope,
+  {r4('regr_intercept(avg_price, x)')} AS intercept, {r4('regr_r2(avg_price, x)')} AS r2
+FROM (
+  SELECT h.host_tenure_years AS x, AVG(l.price) AS avg_price, AVG(l.review_scores_rating) AS avg_rating
+  FROM dim_hosts h JOIN dim_listings l ON h.host_id = l.host_id
+  WHERE h.host_tenure_years IS NOT NULL AND l.price < 2000
+  GROUP BY h.host_tenure_years
+) c WHERE avg_price IS NOT NULL AND avg_rating IS NOT NULL
+""")
+
+SQL["welch_ttest"] = L(f"""
+SELECT n1, n2, {r4('mean1')} AS mean1, {r4('mean2')} AS mean2, {r4('var1')} AS var1, {r4('var2')} AS var2,
+  {r4('(mean1 - mean2) / sqrt(var1 / n1 + var2 / n2)')} AS t_stat,
+  {r4('(var1 / n1 + var2 / n2) * (var1 / n1 + var2 / n2) / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var2 / n2) * (var2 / n2) / (n2 - 1))')} AS dof
+FROM (
+  SELECT CAST(COUNT(*) FILTER (WHERE s) AS BIGINT) AS n1, CAST(COUNT(*) FILTER (WHERE NOT s) AS BIGINT) AS n2,
+    AVG(price) FILTER (WHERE s) AS mean1, AVG(price) FILTER (WHERE NOT s) AS mean2,
+    VAR_SAMP(price) FILTER (WHERE s) AS var1, VAR_SAMP(price) FILTER (WHERE NOT s) AS var2
+  FROM (SELECT l.price, h.host_is_superhost AS s FROM dim_listings l JOIN dim_hosts h ON l.host_id = h.host_id
+        WHERE l.price < 2000 AND h.host_is_superhost IS NOT NULL) d
+) a
+""")

@@ -371,3 +371,73 @@ def default_fill_q(spark, sf):
     filled = derive.fill_defaults(l, {"bedrooms": 1.0, "beds": 1.0, "bathrooms": 1.0})
     q = derive.coalesce_defaults({"accommodates": 2.0, "amenity_count": 0, "has_ac": False})
     return filled.select("id", "bedrooms", "beds", "bathrooms", "price_per_bedroom", *[v.alias(k) for k, v in q.items()])
+
+
+# ---------------------------------------------------------------- comparables (JOIN-4, WIN-5, SRT-4, AGG-16, FLT-6)
+from staylens.operators import joins  # noqa: E402
+
+
+@query("comparables")
+def comparables_q(spark, sf):
+    return joins.comparables(domain.requests(spark, sf), dim_listings(spark, sf), dim_geography(spark, sf), 5)
+
+
+@query("comparable_avg")
+def comparable_avg_q(spark, sf):
+    s = joins.comparable_summary(comparables_q(spark, sf))
+    return s.select("request_id", "n_comparables", r4("comparable_avg_price"))
+
+
+# ---------------------------------------------------------------- statistics (ST-1..4)
+from staylens.operators import stats  # noqa: E402
+
+OLS_COLS = ["n", "slope", "intercept", "r", "r2", "stderr"]
+
+
+def _ols_tenure_fits(spark, sf):
+    rows = _tenure_join(spark, sf).where(F.col("review_scores_rating").isNotNull())
+    p = stats.ols(rows, "price", "host_tenure_years").withColumn("target", F.lit("price"))
+    r = stats.ols(rows, "review_scores_rating", "host_tenure_years").withColumn("target", F.lit("rating"))
+    return p.unionByName(r)
+
+
+@query("ols_tenure")
+def ols_tenure_q(spark, sf):
+    """ST-1: listing-level OLS of price and of rating on host tenure."""
+    f = _ols_tenure_fits(spark, sf)
+    return f.select("target", "n", *[r4(c) for c in OLS_COLS if c != "n"])
+
+
+@query("ols_significance")
+def ols_significance_q(spark, sf):
+    """ST-1 p-values + ST-2 verdict (t CDF in a pandas UDF on the two fit rows)."""
+    f = stats.ols_pvalue(_ols_tenure_fits(spark, sf))
+    return f.select("target", "n", r4("slope"), r4("t_stat"), r4("p_value"), "significant")
+
+
+@query("ols_cohort")
+def ols_cohort_q(spark, sf):
+    """ST-3: trend line over the cohort means."""
+    cohorts = agg.cohort_means(_tenure_join(spark, sf), "host_tenure_years",
+                               {"avg_price": "price", "avg_rating": "review_scores_rating"})
+    f = stats.ols(cohorts, "avg_price", "host_tenure_years")
+    return f.select("n", r4("slope"), r4("intercept"), r4("r2"))
+
+
+def _welch(spark, sf):
+    j = dim_listings(spark, sf).select("host_id", "price").where(F.col("price") < 2000)
+    j = j.join(dim_hosts(spark, sf).select("host_id", "host_is_superhost"), "host_id")
+    return stats.welch_ttest(j, "price", "host_is_superhost", True)
+
+
+@query("welch_ttest")
+def welch_ttest_q(spark, sf):
+    """ST-4: Welch statistic and degrees of freedom, superhosts vs regular hosts."""
+    w = _welch(spark, sf)
+    return w.select("n1", "n2", *[r4(c) for c in ["mean1", "mean2", "var1", "var2", "t_stat", "dof"]])
+
+
+@query("welch_pvalue")
+def welch_pvalue_q(spark, sf):
+    w = stats.with_significance(_welch(spark, sf), "t_stat", "dof")
+    return w.select("n1", "n2", r4("t_stat"), r4("dof"), r4("p_value"), "significant")
