@@ -396,3 +396,49 @@ FROM (
         WHERE l.price < 2000 AND h.host_is_superhost IS NOT NULL) d
 ) a
 """)
+
+# ---------------------------------------------------------------- model inputs
+_FEAT = """(SELECT l.listing_id, l.price, l.room_type, g.neighbourhood,
+    COALESCE(l.bedrooms, 1.0) AS bedrooms, COALESCE(l.bathrooms, 1.0) AS bathrooms,
+    COALESCE(l.accommodates, 2.0) AS accommodates, COALESCE(l.beds, 1.0) AS beds,
+    COALESCE(l.amenity_count, 0) AS amenity_count,
+    """ + ",\n    ".join(f"CAST(COALESCE(l.{b}, false) AS INTEGER) AS {b}" for b in [
+    "has_wifi", "has_kitchen", "has_parking", "has_ac", "has_washer", "has_tv", "has_elevator",
+    "has_pool", "has_gym", "has_hot_tub", "has_breakfast", "is_pet_friendly", "has_self_checkin"]) + """
+  FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+  WHERE l.price BETWEEN 10 AND 2000 AND l.room_type IS NOT NULL)"""
+
+SQL["feature_table"] = L(f"SELECT * FROM {_FEAT} f")
+
+SQL["label_encoding"] = L(f"""
+SELECT 'room_type' AS category, value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT room_type AS value FROM {_FEAT} f) a
+UNION ALL
+SELECT 'borough' AS category, value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT neighbourhood AS value FROM {_FEAT} f) b
+""")
+
+SQL["train_test_split"] = L(f"""
+SELECT listing_id,
+  CASE WHEN CAST(('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 THEN 'test' ELSE 'train' END AS split
+FROM {_FEAT} f
+""")
+
+SQL["revenue_grid"] = LC(f"""
+SELECT borough, room_type, {r4('price')} AS price, {r4('occ')} AS occupancy_rate, default_pct,
+  CAST(pct AS INTEGER) AS occupancy_pct, pct = default_pct AS is_default,
+  {r4('30.0 * (pct / 100)')} AS booked_nights,
+  {r4('price * (30.0 * (pct / 100))')} AS monthly_revenue,
+  {r4('price * (30.0 * (pct / 100)) * 12')} AS annual_revenue
+FROM (
+  SELECT p.borough, p.room_type, p.price, COALESCE(o.occ, 0.45) AS occ,
+    CAST(LEAST(GREATEST(CAST(round_even(COALESCE(o.occ, 0.45) * 100, 0) AS INTEGER), 30), 95) AS INTEGER) AS default_pct
+  FROM (SELECT g.neighbourhood AS borough, l.room_type, AVG(l.price) AS price
+        FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id
+        WHERE l.price BETWEEN 10 AND 2000 GROUP BY 1, 2) p
+  LEFT JOIN (SELECT g.neighbourhood AS borough,
+               CAST(COUNT(CASE WHEN NOT fc.available THEN 1 END) AS DOUBLE) / COUNT(*) AS occ
+             FROM fact_calendar fc JOIN dim_geography g ON fc.listing_id = g.listing_id GROUP BY 1) o
+    ON p.borough = o.borough
+) b, range(30, 96) AS t(pct)
+""")

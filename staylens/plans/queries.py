@@ -441,3 +441,96 @@ def welch_ttest_q(spark, sf):
 def welch_pvalue_q(spark, sf):
     w = stats.with_significance(_welch(spark, sf), "t_stat", "dof")
     return w.select("n1", "n2", r4("t_stat"), r4("dof"), r4("p_value"), "significant")
+
+
+# ---------------------------------------------------------------- model (ML-1..12)
+from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE  # noqa: E402
+from staylens.operators import model as ml  # noqa: E402
+from staylens.operators.sampling import split_bucket  # noqa: E402
+
+_MODELS: dict[tuple, ml.TrainedModel] = {}
+
+
+def feature_table(spark, sf):
+    return features.feature_table(dim_listings(spark, sf), dim_geography(spark, sf))
+
+
+def trained_model(spark, sf, max_iter: int = 20) -> ml.TrainedModel:
+    key = (sf, max_iter)
+    if key not in _MODELS:
+        _MODELS[key] = ml.train_price_model(feature_table(spark, sf), ml.GBTParams(max_iter=max_iter))
+    return _MODELS[key]
+
+
+@query("feature_table")
+def feature_table_q(spark, sf):
+    """ML-1: 20 features + label from listings x geography."""
+    return feature_table(spark, sf)
+
+
+@query("label_encoding")
+def label_encoding_q(spark, sf):
+    """ML-2: alphabetical codes of room types and boroughs (fitted StringIndexer)."""
+    f = feature_table(spark, sf)
+    enc = ml.Pipeline(stages=ml.encoders()).fit(f).transform(f)
+    rt = enc.select(F.lit("room_type").alias("category"), F.col("room_type").alias("value"),
+                    F.col("room_type_enc").cast("int").alias("code"))
+    nb = enc.select(F.lit("borough").alias("category"), F.col("neighbourhood").alias("value"),
+                    F.col("neighbourhood_enc").cast("int").alias("code"))
+    return rt.unionByName(nb).distinct()
+
+
+@query("train_test_split")
+def train_test_split_q(spark, sf):
+    """ML-3: deterministic 80/20 split by id hash."""
+    f = feature_table(spark, sf).select("listing_id")
+    return f.select("listing_id", F.when(split_bucket("listing_id") < 20, "test").otherwise("train").alias("split"))
+
+
+@query("price_model_metrics")
+def price_model_metrics_q(spark, sf):
+    """ML-4..7: hold-out RMSE / MAE / R2 of the boosted-tree model (rows only)."""
+    tm = trained_model(spark, sf)
+    pred = tm.model.transform(ml.train_test_split(feature_table(spark, sf), "listing_id")[1])
+    return ml.regression_metrics(pred)
+
+
+@query("price_estimate")
+def price_estimate_q(spark, sf):
+    """ML-8: estimate and band for every request (rows only)."""
+    return ml.estimate(trained_model(spark, sf), domain.requests(spark, sf))
+
+
+@query("attribution")
+def attribution_q(spark, sf):
+    """ML-9 + WIN-6: top-12 feature impacts per request (rows only)."""
+    tm = trained_model(spark, sf)
+    train = ml.train_test_split(feature_table(spark, sf), "listing_id")[0]
+    return ml.attribution(tm, domain.requests(spark, sf), train, n_perm=8)
+
+
+@query("borough_comparison")
+def borough_comparison_q(spark, sf):
+    """ML-12 + WIN-4 + JOIN-6/7: each request priced in every borough (rows only)."""
+    occ = agg.occupancy_by_area(fact_calendar(spark, sf), dim_geography(spark, sf)).withColumnRenamed("neighbourhood", "borough")
+    return ml.borough_comparison(trained_model(spark, sf), domain.requests(spark, sf), occ, DEFAULT_OCCUPANCY)
+
+
+@query("revenue_grid")
+def revenue_grid_q(spark, sf):
+    """ML-10 + ML-11 + JOIN-7: revenue per (borough, room type) at every occupancy step 30..95 %,
+    using the observed average price in place of a prediction."""
+    l = dim_listings(spark, sf).where(F.col("price").between(10, 2000))
+    g = agg.group_stats(l.join(dim_geography(spark, sf), "listing_id"), ["neighbourhood", "room_type"], "price")
+    prices = g.select(F.col("neighbourhood").alias("borough"), "room_type", F.col("avg_price").alias("price"))
+    occ = agg.occupancy_by_area(fact_calendar(spark, sf), dim_geography(spark, sf)).select(
+        F.col("neighbourhood").alias("borough"), "occupancy_rate")
+    j = prices.join(occ, "borough", "left").withColumn(
+        "occupancy_rate", F.coalesce(F.col("occupancy_rate"), F.lit(DEFAULT_OCCUPANCY)))
+    lo, hi = OCCUPANCY_PCT_RANGE
+    grid = j.withColumn("default_pct", derive.occupancy_default_pct("occupancy_rate")).withColumn(
+        "occupancy_pct", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
+    grid = grid.withColumns(derive.revenue_columns("price", F.col("occupancy_pct") / 100))
+    return grid.select("borough", "room_type", r4("price"), r4("occupancy_rate"), "default_pct", "occupancy_pct",
+                       (F.col("occupancy_pct") == F.col("default_pct")).alias("is_default"),
+                       r4("booked_nights"), r4("monthly_revenue"), r4("annual_revenue"))
