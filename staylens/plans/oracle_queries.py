@@ -442,3 +442,33 @@ FROM (
     ON p.borough = o.borough
 ) b, range(30, 96) AS t(pct)
 """)
+
+# ---------------------------------------------------------------- landed files and ingestion
+_BASE = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
+
+SQL["file_counts"] = f"""
+SELECT 'listings' AS dataset, CAST(1 AS BIGINT) AS files, true AS non_empty, CAST(COUNT(*) AS BIGINT) AS row_count FROM {_BASE}
+UNION ALL SELECT 'calendar', 1, true, CAST(COUNT(*) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'reviews', 1, true, CAST(COUNT(*) AS BIGINT) FROM events
+UNION ALL SELECT 'neighbourhoods', 1, true, CAST(COUNT(DISTINCT n_name) AS BIGINT) FROM {_BASE}
+"""
+
+SQL["ingest_summary"] = f"""
+SELECT 'london' AS city, 'bronze' AS layer, 'success' AS status, CAST(4 AS BIGINT) AS events,
+  CAST((SELECT COUNT(*) FROM {_BASE}) + (SELECT COUNT(*) FROM lineitem) + (SELECT COUNT(*) FROM events)
+       + (SELECT COUNT(DISTINCT n_name) FROM {_BASE}) AS BIGINT) AS rows
+UNION ALL
+SELECT 'london', 'bronze', 'skipped', CAST(4 AS BIGINT), CAST(NULL AS BIGINT)
+"""
+
+SQL["silver_listings_csv"] = L("""
+SELECT id, price, room_type, property_type_std, host_since, host_tenure_years, COALESCE(bedrooms, 1.0) AS bedrooms,
+  COALESCE(beds, 1.0) AS beds, COALESCE(bathrooms, 1.0) AS bathrooms, price_per_bedroom, latitude, longitude,
+  host_is_superhost, is_commercial_host, COALESCE(has_wifi, false) AS has_wifi, COALESCE(has_ac, false) AS has_ac,
+  COALESCE(has_pool, false) AS has_pool, COALESCE(has_self_checkin, false) AS has_self_checkin, is_valid
+FROM v_flagged
+""")
+
+SQL["silver_calendar_csv"] = C("SELECT listing_id, date, available, price, is_weekend, month, year, is_valid FROM v_calendar")
+
+SQL["neighbourhoods_clean"] = f"SELECT DISTINCT 'Region ' || CAST(n_regionkey AS VARCHAR) AS neighbourhood_group, n_name AS neighbourhood FROM {_BASE}"

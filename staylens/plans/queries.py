@@ -534,3 +534,103 @@ def revenue_grid_q(spark, sf):
     return grid.select("borough", "room_type", r4("price"), r4("occupancy_rate"), "default_pct", "occupancy_pct",
                        (F.col("occupancy_pct") == F.col("default_pct")).alias("is_default"),
                        r4("booked_nights"), r4("monthly_revenue"), r4("annual_revenue"))
+
+
+# ---------------------------------------------------------------- sources, sinks, ingestion (SRC-*, SNK-*, JOB-*)
+from staylens.plans import bronze, landed  # noqa: E402
+from staylens.session import shared_path  # noqa: E402
+from staylens.sources import csv as csv_source  # noqa: E402
+from staylens.sources import landing, metadata  # noqa: E402
+
+_LANDED: dict[str, dict] = {}
+
+
+def landing_area(spark, sf) -> dict:
+    """Landed raw files for ``sf`` in the shared store (written once per process)."""
+    if sf not in _LANDED:
+        folder = shared_path(spark, "landing")
+        _LANDED[sf] = {"folder": folder, "paths": landed.land(spark, sf, folder)}
+    return _LANDED[sf]
+
+
+def _dataset(c="file_name"):
+    return F.element_at(F.split(F.col(c), "/"), 1)
+
+
+@query("file_counts")
+def file_counts_q(spark, sf):
+    """SRC-7 + SRC-8: landed files are non-empty; records per dataset."""
+    files = landing.landed_files(spark, landing_area(spark, sf)["folder"], "*.csv*")
+    counts = landing.file_record_counts(spark, [r.path for r in files.select("path").collect()])
+    j = files.join(counts, "path", "left").withColumn("dataset", _dataset())
+    return j.groupBy("dataset").agg(
+        F.count(F.lit(1)).cast("long").alias("files"), F.min(F.col("size_bytes") > 0).alias("non_empty"),
+        F.sum("row_count").cast("long").alias("row_count"))
+
+
+def _bronze_twice(spark, sf):
+    area = landing_area(spark, sf)
+    log, runs = shared_path(spark, "ingestion_log"), shared_path(spark, "pipeline_runs")
+    bronze.ingest_bronze(spark, area["folder"], log, runs, "london")
+    bronze.ingest_bronze(spark, area["folder"], log, runs, "london")  # second run: everything skipped
+    return log, runs
+
+
+@query("ingest_summary")
+def ingest_summary_q(spark, sf):
+    """JOB-1 twice + AGG-15: first run ingests every file, the second skips them all (SRC-6)."""
+    log, _ = _bronze_twice(spark, sf)
+    s = metadata.ingestion_summary(metadata.read_log(spark, log), "london")
+    return s.select("city", "layer", "status", "events", "rows")
+
+
+@query("run_state")
+def run_state_q(spark, sf):
+    """SNK-5 + WIN-7: current state of each run from its start/finish events (rows only)."""
+    _, runs = _bronze_twice(spark, sf)
+    return metadata.run_state(metadata.read_runs(spark, runs)).select("city", "phases", "status", "finished_at")
+
+
+@query("ingest_manifest")
+def ingest_manifest_q(spark, sf):
+    """SRC-6: files still to ingest after a first run, when one dataset is landed again (rows only)."""
+    area = landing_area(spark, sf)
+    log, runs = shared_path(spark, "ingestion_log"), shared_path(spark, "pipeline_runs")
+    bronze.ingest_bronze(spark, area["folder"], log, runs, "london")
+    extra = f"{area['folder']}-update"
+    domain.raw_reviews(spark, sf).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{extra}/reviews_update")
+    files = landing.landed_files(spark, area["folder"], "*.csv*").unionByName(landing.landed_files(spark, extra, "*.csv*"))
+    pending = metadata.pending_files(files, metadata.read_log(spark, log), "london", "bronze")
+    return pending.select(_dataset().alias("dataset"), (F.col("size_bytes") > 0).alias("non_empty"))
+
+
+def _silver_listings_from_csv(spark, sf):
+    path = landing_area(spark, sf)["paths"]["listings"]
+    raw = csv_source.read_landed_csv(spark, path, partitions=8)
+    return silver.clean_listings(raw, silver.CityConfig(bounds=domain.CITY_BOUNDS), domain.AS_OF)
+
+
+SILVER_CHECK = ["id", "price", "room_type", "property_type_std", "host_since", "host_tenure_years", "bedrooms",
+                "beds", "bathrooms", "price_per_bedroom", "latitude", "longitude", "host_is_superhost",
+                "is_commercial_host", "has_wifi", "has_ac", "has_pool", "has_self_checkin", "is_valid"]
+
+
+@query("silver_listings_csv")
+def silver_listings_csv_q(spark, sf):
+    """SRC-1 + JOB-2 end to end: landed gzip CSV text -> typed, normalized, flagged listings."""
+    return _silver_listings_from_csv(spark, sf).select(*SILVER_CHECK)
+
+
+@query("silver_calendar_csv")
+def silver_calendar_csv_q(spark, sf):
+    """SRC-2 + JOB-3: landed calendar text -> typed calendar with parts and flags."""
+    raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["calendar"], partitions=8)
+    c = silver.clean_calendar(raw)
+    return c.select("listing_id", "date", "available", "price", "is_weekend", "month", "year", "is_valid")
+
+
+@query("neighbourhoods_clean")
+def neighbourhoods_clean_q(spark, sf):
+    """SRC-3 + PRJ-2 + JOB-5: plain CSV, standardized column names."""
+    raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["neighbourhoods"], multiline=False)
+    return silver.clean_neighbourhoods(raw)
