@@ -18,7 +18,7 @@ from staylens.functions import labels
 from staylens.operators import aggregates as agg
 from staylens.operators import features, quality, sampling, windows
 from staylens.plans import domain, gold, silver
-from staylens.sources.tables import read_table
+from staylens.sources.tables import memo_plan, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -40,31 +40,33 @@ def r4(c: str) -> F.Column:
 
 # ---------------------------------------------------------------- shared frames
 def flagged_listings(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.apply_flags(domain.listings(spark, sf), quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF))
+    return memo_plan(spark, (sf, "flagged_listings"), lambda: quality.apply_flags(
+        domain.listings(spark, sf), quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF)))
 
 
 def valid_listings(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.valid_subset(flagged_listings(spark, sf))
+    return memo_plan(spark, (sf, "valid_listings"), lambda: quality.valid_subset(flagged_listings(spark, sf)))
 
 
 def dim_listings(spark, sf):
-    return gold.dim_listings(valid_listings(spark, sf))
+    return memo_plan(spark, (sf, "dim_listings"), lambda: gold.dim_listings(valid_listings(spark, sf)))
 
 
 def dim_hosts(spark, sf):
-    return gold.dim_hosts(valid_listings(spark, sf))
+    return memo_plan(spark, (sf, "dim_hosts"), lambda: gold.dim_hosts(valid_listings(spark, sf)))
 
 
 def dim_geography(spark, sf):
-    return gold.dim_geography(valid_listings(spark, sf))
+    return memo_plan(spark, (sf, "dim_geography"), lambda: gold.dim_geography(valid_listings(spark, sf)))
 
 
 def silver_calendar(spark, sf):
-    return quality.apply_flags(domain.calendar(spark, sf), quality.calendar_rules())
+    return memo_plan(spark, (sf, "silver_calendar"), lambda: quality.apply_flags(
+        domain.calendar(spark, sf), quality.calendar_rules()))
 
 
 def fact_calendar(spark, sf):
-    return gold.fact_calendar(silver_calendar(spark, sf))
+    return memo_plan(spark, (sf, "fact_calendar"), lambda: gold.fact_calendar(silver_calendar(spark, sf)))
 
 
 # ---------------------------------------------------------------- analytics (AGG / WIN / SRT / JOIN)

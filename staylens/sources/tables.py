@@ -9,9 +9,31 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Vectorized Parquet scan; callers select columns so the scan is pruned."""
-    return spark.read.parquet(table_path(base, name))
+    """Vectorized Parquet scan; callers select columns so the scan is pruned.
+
+    The lazy scan plan is memoized per session and path so the file listing and
+    footer schema are resolved once, not on every query (no data is cached).
+    """
+    key = (id(spark), table_path(base, name))
+    df = _PLANS.get(key)
+    if df is None:
+        df = spark.read.parquet(table_path(base, name))
+        _PLANS[key] = df
+    return df
+
+
+def memo_plan(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Memoize a lazily built DataFrame (a plan, not data) per session."""
+    k = (id(spark), *key)
+    df = _PLANS.get(k)
+    if df is None:
+        df = build()
+        _PLANS[k] = df
+    return df
 
 
 def register_views(spark: SparkSession, base: str, names: list[str]) -> dict[str, DataFrame]:
