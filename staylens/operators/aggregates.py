@@ -107,10 +107,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     src = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
     if upper_cut is not None:
         src = src.where(F.col("v") < upper_cut)
-    # Bounds are scalar subqueries: computed once, used as literals, no join.
-    lo = src.agg(F.min("v")).scalar()
-    hi = src.agg(F.max("v")).scalar()
-    withb = src.withColumns({"lo": lo, "hi": hi})
+    # (min, max) is ONE scalar subquery: computed once, used as a literal, no join.
+    bounds = src.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    withb = src.withColumns({"lo": bounds.getField("lo"), "hi": bounds.getField("hi")})
     # bin = floor((v - lo) / (hi - lo) * n) + 1, the max clipped into the last bin.
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins))

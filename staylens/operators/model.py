@@ -44,6 +44,7 @@ class GBTParams:
     min_instances_per_node: int = 5
     max_bins: int = 128
     seed: int = 42
+    checkpoint_interval: int = 10  # cuts lineage in spark.checkpoint.dir during boosting
 
 
 def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
@@ -61,7 +62,7 @@ def price_pipeline(params: GBTParams, feature_cols: list[str] = FEATURE_COLS) ->
         featuresCol="features", labelCol="price", predictionCol="prediction", maxIter=params.max_iter,
         maxDepth=params.max_depth, stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
         featureSubsetStrategy=params.feature_subset, minInstancesPerNode=params.min_instances_per_node,
-        maxBins=params.max_bins, seed=params.seed,
+        maxBins=params.max_bins, seed=params.seed, checkpointInterval=params.checkpoint_interval,
     )
     return Pipeline(stages=[*encoders(), assembler, gbt])
 

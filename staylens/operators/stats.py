@@ -113,6 +113,31 @@ def ols(df: DataFrame, y: str, x: str, group: list[str] | None = None) -> DataFr
     return out.withColumns({"r": r, "stderr": stderr}).drop("__sxx", "__syy", "__sxy")
 
 
+def ols_many(df: DataFrame, fits: dict[str, tuple[str, str]]) -> DataFrame:
+    """Several simple regressions in ONE aggregation pass; one output row per fit
+    (``target``, n, slope, intercept, r2, r, stderr). Each fit drops its own null pairs."""
+    aggs = []
+    for i, (y, x) in enumerate(fits.values()):
+        yc, xc = F.col(y), F.col(x)
+        aggs += [
+            F.regr_count(yc, xc).cast("long").alias(f"n{i}"), F.regr_slope(yc, xc).alias(f"b{i}"),
+            F.regr_intercept(yc, xc).alias(f"a{i}"), F.regr_r2(yc, xc).alias(f"q{i}"),
+            F.regr_sxx(yc, xc).alias(f"sxx{i}"), F.regr_syy(yc, xc).alias(f"syy{i}"), F.regr_sxy(yc, xc).alias(f"sxy{i}"),
+        ]
+    one = df.agg(*aggs)
+    rows = [
+        F.struct(F.lit(label).alias("target"), F.col(f"n{i}").alias("n"), F.col(f"b{i}").alias("slope"),
+                 F.col(f"a{i}").alias("intercept"), F.col(f"q{i}").alias("r2"), F.col(f"sxx{i}").alias("__sxx"),
+                 F.col(f"syy{i}").alias("__syy"), F.col(f"sxy{i}").alias("__sxy"))
+        for i, label in enumerate(fits)
+    ]
+    out = one.select(F.explode(F.array(*rows)).alias("f")).select("f.*")
+    r = F.when(F.col("__sxx") * F.col("__syy") > 0, F.col("__sxy") / F.sqrt(F.col("__sxx") * F.col("__syy")))
+    resid = F.greatest(F.col("__syy") - F.col("slope") * F.col("__sxy"), F.lit(0.0))
+    stderr = F.sqrt(F.try_divide(F.try_divide(resid, (F.col("n") - 2).cast("double")), F.col("__sxx")))
+    return out.withColumns({"r": r, "stderr": stderr}).drop("__sxx", "__syy", "__sxy")
+
+
 def with_significance(tests: DataFrame, stat: str, df_col: str, alpha: float = ALPHA) -> DataFrame:
     """ST-2: p-value and the verdict ``p < alpha``."""
     p = t_pvalue(F.col(stat), F.col(df_col))

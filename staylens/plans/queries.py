@@ -18,7 +18,7 @@ from staylens.functions import labels
 from staylens.operators import aggregates as agg
 from staylens.operators import features, quality, sampling, windows
 from staylens.plans import domain, gold, silver
-from staylens.sources.tables import memo_plan, read_table
+from staylens.sources.tables import memo_plan, read_table, session_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -398,9 +398,8 @@ OLS_COLS = ["n", "slope", "intercept", "r", "r2", "stderr"]
 
 def _ols_tenure_fits(spark, sf):
     rows = _tenure_join(spark, sf).where(F.col("review_scores_rating").isNotNull())
-    p = stats.ols(rows, "price", "host_tenure_years").withColumn("target", F.lit("price"))
-    r = stats.ols(rows, "review_scores_rating", "host_tenure_years").withColumn("target", F.lit("rating"))
-    return p.unionByName(r)
+    return stats.ols_many(rows, {"price": ("price", "host_tenure_years"),
+                                 "rating": ("review_scores_rating", "host_tenure_years")})
 
 
 @query("ols_tenure")
@@ -458,7 +457,7 @@ def feature_table(spark, sf):
 
 
 def trained_model(spark, sf, max_iter: int = 20) -> ml.TrainedModel:
-    key = (sf, max_iter)
+    key = (*session_key(spark), sf, max_iter)
     if key not in _MODELS:
         _MODELS[key] = ml.train_price_model(feature_table(spark, sf), ml.GBTParams(max_iter=max_iter))
     return _MODELS[key]

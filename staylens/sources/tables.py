@@ -12,13 +12,19 @@ def table_path(base: str, name: str) -> str:
 _PLANS: dict[tuple, DataFrame] = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: object id plus application id (a new context
+    that happens to reuse an object id never sees another session's plans)."""
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Vectorized Parquet scan; callers select columns so the scan is pruned.
 
     The lazy scan plan is memoized per session and path so the file listing and
     footer schema are resolved once, not on every query (no data is cached).
     """
-    key = (id(spark), table_path(base, name))
+    key = (*session_key(spark), table_path(base, name))
     df = _PLANS.get(key)
     if df is None:
         df = spark.read.parquet(table_path(base, name))
@@ -28,7 +34,7 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def memo_plan(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Memoize a lazily built DataFrame (a plan, not data) per session."""
-    k = (id(spark), *key)
+    k = (*session_key(spark), *key)
     df = _PLANS.get(k)
     if df is None:
         df = build()
