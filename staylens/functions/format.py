@@ -14,7 +14,8 @@ def money0(x: Column | str, symbol: str = "£") -> Column:
 
 
 def one_decimal_or_na(x: Column | str) -> Column:
-    return F.coalesce(F.format_string("%.1f", col(x)), F.lit("N/A"))
+    """``4.5`` or ``N/A`` (``format_string`` would print a null as ``n``)."""
+    return F.when(col(x).isNotNull(), F.format_string("%.1f", col(x))).otherwise(F.lit("N/A"))
 
 
 def percent1(x: Column | str) -> Column:

@@ -90,3 +90,25 @@ def per_label_rows(requests: DataFrame, labels: list[str], column: str) -> DataF
     ``explode`` of a literal array -- no join at all.
     """
     return requests.withColumn(column, F.explode(F.array(*[F.lit(x) for x in labels])))
+
+
+def single_request(spark, borough: str, room_type: str, bedrooms: float, request_id: int = 0) -> DataFrame:
+    """FLT-6: one parameterized request as a one-row request table (bound values,
+    no SQL text assembly), so the same batch operator answers it."""
+    return spark.createDataFrame(
+        [(request_id, borough, room_type, float(bedrooms))],
+        "request_id long, borough string, room_type string, bedrooms double",
+    )
+
+
+def display_comparables(comps: DataFrame, symbol: str = "£") -> DataFrame:
+    """PRJ-8: presentation columns of the comparables table."""
+    from staylens.functions import format as fmt
+
+    return comps.select(
+        F.col("request_id"), F.col("comp_rank"),
+        F.col("listing_name").alias("Listing Name"), F.col("borough").alias("Borough"),
+        F.col("room_type").alias("Room Type"), F.col("bedrooms").alias("Beds"), F.col("bathrooms").alias("Baths"),
+        F.col("accommodates").alias("Guests"), fmt.money0("price", symbol).alias("Price/night"),
+        F.col("number_of_reviews").alias("Reviews"), fmt.one_decimal_or_na("review_scores_rating").alias("Rating"),
+    )

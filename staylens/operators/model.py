@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor  # noqa: F401  (re-exported for queries)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -472,3 +472,14 @@ FROM v_flagged
 SQL["silver_calendar_csv"] = C("SELECT listing_id, date, available, price, is_weekend, month, year, is_valid FROM v_calendar")
 
 SQL["neighbourhoods_clean"] = f"SELECT DISTINCT 'Region ' || CAST(n_regionkey AS VARCHAR) AS neighbourhood_group, n_name AS neighbourhood FROM {_BASE}"
+
+SQL["display_table"] = L(f"""
+SELECT request_id, comp_rank, listing_name AS "Listing Name", borough AS "Borough", room_type AS "Room Type",
+  bedrooms AS "Beds", bathrooms AS "Baths", accommodates AS "Guests",
+  CASE WHEN price IS NULL THEN NULL ELSE '£' || format('{{:,}}', CAST(round_even(price, 0) AS BIGINT)) END AS "Price/night",
+  number_of_reviews AS "Reviews",
+  COALESCE(printf('%.1f', review_scores_rating), 'N/A') AS "Rating"
+FROM {_COMPS} c
+""")
+
+SQL["table_preview"] = C("SELECT * FROM fact_calendar ORDER BY listing_id, date, price NULLS FIRST LIMIT 1000")

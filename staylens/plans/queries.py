@@ -635,3 +635,38 @@ def neighbourhoods_clean_q(spark, sf):
     """SRC-3 + PRJ-2 + JOB-5: plain CSV, standardized column names."""
     raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["neighbourhoods"], multiline=False)
     return silver.clean_neighbourhoods(raw)
+
+
+# ---------------------------------------------------------------- presentation, preview, baseline model
+@query("display_table")
+def display_table_q(spark, sf):
+    """PRJ-8: the comparables table as displayed (renamed columns, currency and rating text)."""
+    return joins.display_comparables(comparables_q(spark, sf))
+
+
+@query("table_preview")
+def table_preview_q(spark, sf):
+    """SRC-9: bounded preview of the calendar fact (the limit is the feature), ordered for determinism."""
+    return landing.preview(fact_calendar(spark, sf).orderBy("listing_id", "date", "price"), 1000)
+
+
+@query("baseline_model")
+def baseline_model_q(spark, sf):
+    """ML-5: 5-feature model, default tree settings, rows with nulls dropped, hold-out R2 (rows only)."""
+    cols = ["price", "accommodates", "bedrooms", "bathrooms", "has_wifi", "has_ac"]
+    d = dim_listings(spark, sf).where(F.col("price") < 1500).select("listing_id", *cols).na.drop(how="any")
+    d = d.withColumns({c: F.col(c).cast("int") for c in ["has_wifi", "has_ac"]})
+    tr, te = ml.train_test_split(d, "listing_id")
+    pipe = ml.Pipeline(stages=[
+        ml.VectorAssembler(inputCols=cols[1:], outputCol="features"),
+        ml.GBTRegressor(featuresCol="features", labelCol="price", seed=42),
+    ])
+    return ml.regression_metrics(pipe.fit(tr).transform(te)).select("n_test", "r2")
+
+
+@query("comparable_check")
+def comparable_check_q(spark, sf):
+    """AGG-16: comparable average vs the model's estimate, within +-MAE? (rows only)."""
+    tm = trained_model(spark, sf)
+    est = ml.estimate(tm, domain.requests(spark, sf))
+    return joins.comparable_summary(comparables_q(spark, sf), est, tm.mae)

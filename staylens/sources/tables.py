@@ -50,3 +50,12 @@ def register_views(spark: SparkSession, base: str, names: list[str]) -> dict[str
         df.createOrReplaceTempView(n)
         out[n] = df
     return out
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """SET-1: concatenate chunks / files / cities by column name; a column missing
+    in one input is null there."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

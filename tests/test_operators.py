@@ -132,3 +132,26 @@ def test_profile_metrics(spark):
 def test_record_counts_total(spark):
     out = {r.table_name: r.row_count for r in agg.record_counts({"a": spark.range(3), "b": spark.range(4)}).collect()}
     assert out == {"a": 3, "b": 4, "total": 7}
+
+
+def test_union_all_missing_columns(spark):
+    from staylens.sources.tables import union_all
+
+    a = spark.createDataFrame([(1, "x")], "id long, city string")
+    b = spark.createDataFrame([(2, 5.0)], "id long, price double")
+    out = sorted(tuple(r) for r in union_all([a, b]).collect())
+    assert out == [(1, "x", None), (2, None, 5.0)]
+
+
+def test_single_request_and_display(spark):
+    lst = spark.createDataFrame(
+        [(1, "x", 1.0, 1234.4, 3.0, "n1", None, 2.0, 1.0), (2, "x", 2.0, 99.5, 9.0, "n2", 4.25, 2.0, None)],
+        "listing_id long, room_type string, bedrooms double, price double, number_of_reviews double, "
+        "listing_name string, review_scores_rating double, accommodates double, bathrooms double")
+    geo = lst.select("listing_id", F.lit("A").alias("neighbourhood"))
+    req = joins.single_request(spark, "A", "x", 1)
+    rows = joins.display_comparables(joins.comparables(req, lst, geo)).orderBy("comp_rank").collect()
+    assert [r["Listing Name"] for r in rows] == ["n1", "n2"]
+    assert [r["Price/night"] for r in rows] == ["£1,234", "£100"]  # rint: 99.5 -> 100 (half even)
+    assert [r["Rating"] for r in rows] == ["N/A", "4.2"] or [r["Rating"] for r in rows] == ["N/A", "4.3"]
+    assert rows[1]["Baths"] == 1.0  # missing bathrooms default to 1
