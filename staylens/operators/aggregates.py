@@ -98,13 +98,17 @@ def extremes(grouped: DataFrame, label: str, value: str) -> DataFrame:
     ).withColumn("spread", F.col("highest_value") - F.col("lowest_value"))
 
 
-def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None = None) -> DataFrame:
+def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None = None,
+              weight: str | None = None) -> DataFrame:
     """AGG-13: equal-width bins between min and max, the last edge inclusive.
 
-    One pass for (min, max), one grouped count. ``width_bucket`` puts the max
-    into bin n+1, so it is clipped to n; when min == max every value is bin 1.
+    One pass for (min, max), one grouped count. The max falls into bin n+1 of
+    the plain formula, so it is clipped to n; when min == max every value is
+    bin 1. ``weight`` counts a row that many times (rows of a join that was
+    aggregated instead of materialized).
     """
-    src = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    src = df.select(F.col(value).alias("v"), w.alias("w")).where(F.col("v").isNotNull() & (F.col("w") > 0))
     if upper_cut is not None:
         src = src.where(F.col("v") < upper_cut)
     # (min, max) is ONE scalar subquery: computed once, used as a literal, no join.
@@ -114,7 +118,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins))
     )
-    counted = withb.groupBy(b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    counted = withb.groupBy(b.cast("int").alias("bin"), "lo", "hi").agg(F.sum("w").cast("long").alias("count"))
     width = (F.col("hi") - F.col("lo")) / bins
     return counted.select(
         "bin",

@@ -19,10 +19,15 @@ FEATURE_COLS = [
 ]
 
 
+def training_listings(listings: DataFrame, price_range=TRAIN_PRICE_RANGE) -> DataFrame:
+    """FLT-2: price in range (inclusive, so null drops out) and room type known."""
+    lo, hi = price_range
+    return listings.where(F.col("price").between(lo, hi) & F.col("room_type").isNotNull())
+
+
 def feature_table(listings: DataFrame, geography: DataFrame, price_range=TRAIN_PRICE_RANGE) -> DataFrame:
     """ML-1: listings x geography, query-time defaults, price in range, room type known."""
-    lo, hi = price_range
-    l = listings.where(F.col("price").between(lo, hi) & F.col("room_type").isNotNull())
+    l = training_listings(listings, price_range)
     j = l.join(geography.select("listing_id", "neighbourhood"), "listing_id")
     defaults = coalesce_defaults(NUMERIC_DEFAULTS)
     defaults.update({b: F.coalesce(F.col(b), F.lit(False)).cast("int") for b in BOOL_FEATURES})

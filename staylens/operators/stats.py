@@ -185,3 +185,44 @@ def welch_ttest(df: DataFrame, value: str, group: str, first: Column | object =
     t = F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(se1 + se2))
     dof = F.try_divide((se1 + se2) * (se1 + se2), se1 * se1 / (F.col("n1") - 1) + se2 * se2 / (F.col("n2") - 1))
     return one.withColumns({"t_stat": t, "dof": dof})
+
+
+# ----------------------------------------------------------------- from sufficient statistics
+def ols_from_moments(m: DataFrame) -> DataFrame:
+    """OLS from (n, sx, sy, sxx, syy, sxy) -- e.g. moments over join pairs that were
+    never materialized (``joinagg.pair_moments``). Same outputs as ``ols``."""
+    n = F.col("n").cast("double")
+    Sxx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    Syy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    Sxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    out = m.withColumns({"__Sxx": Sxx, "__Syy": Syy, "__Sxy": Sxy})
+    ok = (F.col("n") > 0) & (F.col("__Sxx") > 0)
+    slope = F.when(ok, F.col("__Sxy") / F.col("__Sxx"))
+    out = out.withColumn("slope", slope)
+    out = out.withColumns({
+        "intercept": F.when(ok, (F.col("sy") - F.col("slope") * F.col("sx")) / n),
+        "r2": F.when(ok, F.when(F.col("__Syy") <= 0, F.lit(1.0)).otherwise(
+            F.col("__Sxy") * F.col("__Sxy") / (F.col("__Sxx") * F.col("__Syy")))),
+        "r": F.when(F.col("__Sxx") * F.col("__Syy") > 0, F.col("__Sxy") / F.sqrt(F.col("__Sxx") * F.col("__Syy"))),
+    })
+    resid = F.greatest(F.col("__Syy") - F.col("slope") * F.col("__Sxy"), F.lit(0.0))
+    out = out.withColumn("stderr", F.sqrt(F.try_divide(F.try_divide(resid, (F.col("n") - 2).cast("double")), F.col("__Sxx"))))
+    return out.drop("__Sxx", "__Syy", "__Sxy", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def welch_from_moments(m: DataFrame, group: str, first: object = True) -> DataFrame:
+    """Welch test from per-group (n, sy, syy) rows (one row per group)."""
+    mean = F.col("sy") / F.col("n")
+    var = F.try_divide(F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"), (F.col("n") - 1).cast("double"))
+    s = m.select(group, F.col("n"), mean.alias("mean"), var.alias("var"))
+    is1 = F.col(group) == F.lit(first)
+    one = s.agg(
+        F.max(F.when(is1, F.col("n"))).alias("n1"), F.max(F.when(~is1, F.col("n"))).alias("n2"),
+        F.max(F.when(is1, F.col("mean"))).alias("mean1"), F.max(F.when(~is1, F.col("mean"))).alias("mean2"),
+        F.max(F.when(is1, F.col("var"))).alias("var1"), F.max(F.when(~is1, F.col("var"))).alias("var2"),
+    )
+    se1 = F.col("var1") / F.col("n1")
+    se2 = F.col("var2") / F.col("n2")
+    t = F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(se1 + se2))
+    dof = F.try_divide((se1 + se2) * (se1 + se2), se1 * se1 / (F.col("n1") - 1) + se2 * se2 / (F.col("n2") - 1))
+    return one.withColumns({"t_stat": t, "dof": dof})

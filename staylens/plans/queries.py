@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from staylens.functions.derive import round_to
 from staylens.functions import labels
 from staylens.operators import aggregates as agg
-from staylens.operators import features, quality, sampling, windows
+from staylens.operators import features, joinagg, quality, sampling, windows
 from staylens.plans import domain, gold, silver
 from staylens.sources.tables import memo_plan, read_table, session_key
 
@@ -73,15 +73,16 @@ def fact_calendar(spark, sf):
 @query("area_prices")
 def area_prices(spark, sf):
     """AGG-5, JOIN-1, FLT-1, SRT-1: price per area for listings under 5000."""
-    l = dim_listings(spark, sf).where(F.col("price") < 5000)
-    j = dim_geography(spark, sf).join(l, "listing_id")
-    out = agg.group_stats(j, ["neighbourhood"], "price")
+    out = _area_price_frame(spark, sf)
     return out.select("neighbourhood", r4("avg_price"), "listing_count").orderBy(F.col("avg_price").desc_nulls_last(), "neighbourhood")
 
 
 def _area_price_frame(spark, sf, cutoff=5000):
+    """count and mean price per area over listings JOIN geography, from per-listing
+    partial aggregates (no join pairs are materialized; exact with duplicate ids)."""
     l = dim_listings(spark, sf).where(F.col("price") < cutoff)
-    return agg.group_stats(dim_geography(spark, sf).join(l, "listing_id"), ["neighbourhood"], "price")
+    return joinagg.count_and_means(l, dim_geography(spark, sf), "listing_id", [], ["neighbourhood"],
+                                   {"avg_price": F.col("price")})
 
 
 @query("kpis")
@@ -110,8 +111,7 @@ def room_type_insight(spark, sf):
 @query("superhost_share")
 def superhost_share(spark, sf):
     """AGG-4 + JOIN-2 + WIN-2 + PRJ-7: listings per superhost status (null is a group)."""
-    j = dim_listings(spark, sf).select("host_id").join(dim_hosts(spark, sf).select("host_id", "host_is_superhost"), "host_id")
-    g = agg.count_by(j, "host_is_superhost", "count")
+    g = joinagg.pair_counts(dim_listings(spark, sf), dim_hosts(spark, sf), "host_id", ["host_is_superhost"], "count")
     out = windows.share_of_total(g, "count", "pct").withColumn("label", labels.superhost_label("host_is_superhost"))
     return out.select("host_is_superhost", "label", "count", r4("pct"))
 
@@ -146,6 +146,22 @@ def amenity_premium(spark, sf):
     return out.select(*[r4(c) for c in out.columns])
 
 
+def _cohorts(spark, sf):
+    """AGG-7 over hosts JOIN listings from per-host partial aggregates (a host with a
+    third of all listings is one row per side), cohorts with a null mean dropped."""
+    l = dim_listings(spark, sf).where(F.col("price") < 2000)
+    h = dim_hosts(spark, sf).where(F.col("host_tenure_years").isNotNull())
+    out = joinagg.count_and_means(l, h, "host_id", [], ["host_tenure_years"],
+                                  {"avg_price": F.col("price"), "avg_rating": F.col("review_scores_rating")})
+    return out.na.drop(how="any", subset=["avg_price", "avg_rating"])
+
+
+def _area_room_frame(spark, sf):
+    l = dim_listings(spark, sf).where(F.col("price").between(10, 2000))
+    return joinagg.count_and_means(l, dim_geography(spark, sf), "listing_id", ["room_type"], ["neighbourhood"],
+                                   {"avg_price": F.col("price")})
+
+
 def _tenure_join(spark, sf):
     h = dim_hosts(spark, sf).select("host_id", "host_tenure_years")
     l = dim_listings(spark, sf).select("host_id", "price", "review_scores_rating")
@@ -155,7 +171,7 @@ def _tenure_join(spark, sf):
 @query("tenure_cohorts")
 def tenure_cohorts(spark, sf):
     """AGG-7 + JOIN-2 + SRT-2: mean price and rating per tenure cohort, incomplete cohorts dropped."""
-    out = agg.cohort_means(_tenure_join(spark, sf), "host_tenure_years", {"avg_price": "price", "avg_rating": "review_scores_rating"})
+    out = _cohorts(spark, sf)
     return out.select("host_tenure_years", r4("avg_price"), r4("avg_rating")).orderBy(F.col("host_tenure_years").asc_nulls_last())
 
 
@@ -170,26 +186,29 @@ def occupancy(spark, sf):
 @query("area_room_prices")
 def area_room_prices(spark, sf):
     """AGG-9 + FLT-2: price per (area, room type) for 10 <= price <= 2000."""
-    l = dim_listings(spark, sf).where(F.col("price").between(10, 2000))
-    j = l.join(dim_geography(spark, sf), "listing_id")
-    out = agg.group_stats(j, ["neighbourhood", "room_type"], "price")
+    out = _area_room_frame(spark, sf)
     return out.select(F.col("neighbourhood").alias("borough"), "room_type", r4("avg_price"), "listing_count")
 
 
 @query("price_histogram")
 def price_histogram(spark, sf):
     """AGG-13: 50 equal-width bins of price < 1000 over listings x geography."""
-    j = dim_listings(spark, sf).join(dim_geography(spark, sf), "listing_id")
-    h = agg.histogram(j, "price", 50, upper_cut=1000)
+    l = dim_listings(spark, sf).where(F.col("price") < 1000)
+    j = joinagg.weighted_pairs(l, dim_geography(spark, sf), "listing_id", ["price"], [])
+    h = agg.histogram(j.withColumn("__w", F.col("__nf") * F.col("__nd")), "price", 50, weight="__w")
     return h.select("bin", r4("bin_start"), r4("bin_end"), "count")
 
 
 @query("category_lists")
 def category_lists(spark, sf):
     """AGG-11: sorted distinct boroughs and room types of the training population."""
-    f = features.feature_table(dim_listings(spark, sf), dim_geography(spark, sf))
-    b = agg.category_list(f, "neighbourhood").select(F.lit("borough").alias("category"), F.col("neighbourhood").alias("value"))
-    r = agg.category_list(f, "room_type").select(F.lit("room_type").alias("category"), F.col("room_type").alias("value"))
+    # distinct values of each side among rows that have a join partner: semi joins, no pairs
+    l = features.training_listings(dim_listings(spark, sf))
+    g = dim_geography(spark, sf)
+    boroughs = g.join(l.select("listing_id"), "listing_id", "left_semi")
+    rooms = l.join(g.select("listing_id"), "listing_id", "left_semi")
+    b = agg.category_list(boroughs, "neighbourhood").select(F.lit("borough").alias("category"), F.col("neighbourhood").alias("value"))
+    r = agg.category_list(rooms, "room_type").select(F.lit("room_type").alias("category"), F.col("room_type").alias("value"))
     return b.unionByName(r)
 
 
@@ -397,9 +416,13 @@ OLS_COLS = ["n", "slope", "intercept", "r", "r2", "stderr"]
 
 
 def _ols_tenure_fits(spark, sf):
-    rows = _tenure_join(spark, sf).where(F.col("review_scores_rating").isNotNull())
-    return stats.ols_many(rows, {"price": ("price", "host_tenure_years"),
-                                 "rating": ("review_scores_rating", "host_tenure_years")})
+    l = dim_listings(spark, sf).where((F.col("price") < 2000) & F.col("review_scores_rating").isNotNull())
+    h = dim_hosts(spark, sf).where(F.col("host_tenure_years").isNotNull())
+    fits = []
+    for target, y in (("price", "price"), ("rating", "review_scores_rating")):
+        m = joinagg.pair_moments(l, h, "host_id", F.col(y), F.col("host_tenure_years"))
+        fits.append(stats.ols_from_moments(m).withColumn("target", F.lit(target)))
+    return fits[0].unionByName(fits[1])
 
 
 @query("ols_tenure")
@@ -419,16 +442,15 @@ def ols_significance_q(spark, sf):
 @query("ols_cohort")
 def ols_cohort_q(spark, sf):
     """ST-3: trend line over the cohort means."""
-    cohorts = agg.cohort_means(_tenure_join(spark, sf), "host_tenure_years",
-                               {"avg_price": "price", "avg_rating": "review_scores_rating"})
-    f = stats.ols(cohorts, "avg_price", "host_tenure_years")
+    f = stats.ols(_cohorts(spark, sf), "avg_price", "host_tenure_years")
     return f.select("n", r4("slope"), r4("intercept"), r4("r2"))
 
 
 def _welch(spark, sf):
-    j = dim_listings(spark, sf).select("host_id", "price").where(F.col("price") < 2000)
-    j = j.join(dim_hosts(spark, sf).select("host_id", "host_is_superhost"), "host_id")
-    return stats.welch_ttest(j, "price", "host_is_superhost", True)
+    l = dim_listings(spark, sf).where(F.col("price") < 2000)
+    h = dim_hosts(spark, sf).where(F.col("host_is_superhost").isNotNull())
+    m = joinagg.pair_moments(l, h, "host_id", F.col("price"), F.lit(1.0), ["host_is_superhost"])
+    return stats.welch_from_moments(m, "host_is_superhost", True)
 
 
 @query("welch_ttest")
@@ -521,9 +543,8 @@ def borough_comparison_q(spark, sf):
 def revenue_grid_q(spark, sf):
     """ML-10 + ML-11 + JOIN-7: revenue per (borough, room type) at every occupancy step 30..95 %,
     using the observed average price in place of a prediction."""
-    l = dim_listings(spark, sf).where(F.col("price").between(10, 2000))
-    g = agg.group_stats(l.join(dim_geography(spark, sf), "listing_id"), ["neighbourhood", "room_type"], "price")
-    prices = g.select(F.col("neighbourhood").alias("borough"), "room_type", F.col("avg_price").alias("price"))
+    prices = _area_room_frame(spark, sf).select(F.col("neighbourhood").alias("borough"), "room_type",
+                                                 F.col("avg_price").alias("price"))
     occ = agg.occupancy_by_area(fact_calendar(spark, sf), dim_geography(spark, sf)).select(
         F.col("neighbourhood").alias("borough"), "occupancy_rate")
     j = prices.join(occ, "borough", "left").withColumn(
