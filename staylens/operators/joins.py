@@ -33,8 +33,14 @@ def comparable_candidates(listings: DataFrame, geography: DataFrame, k: int = 5,
         F.coalesce(F.col("bedrooms"), F.lit(1.0)).alias("bedrooms"),
         F.coalesce(F.col("bathrooms"), F.lit(1.0)).alias("bathrooms"),
     )
-    j = l.join(geography.select("listing_id", F.col("neighbourhood").alias("borough")), "listing_id")
     order = [F.col("number_of_reviews").desc_nulls_last(), F.col("listing_id").asc()]
+    # A listing id copied many times could multiply the join; only the best k
+    # copies per (id, room type, bedrooms) and k area rows per (id, area) can
+    # reach any top k, so both sides are bounded per id before the join.
+    l = top_n(l, ["listing_id", "room_type", "bedrooms"], order, k, "__r").drop("__r")
+    g = geography.select("listing_id", F.col("neighbourhood").alias("borough"))
+    g = top_n(g, ["listing_id", "borough"], [F.col("borough")], k, "__r").drop("__r")
+    j = l.join(g, "listing_id")
     return top_n(j, ["borough", "room_type", "bedrooms"], order, k, "cand_rank").drop("cand_rank")
 
 

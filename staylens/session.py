@@ -58,3 +58,35 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1,
+               partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Runtime SQL settings sized for a cluster run.
+
+    * scan splits of ``partition_bytes`` (column pruning makes the bytes read
+      smaller than the files, so splits stay well inside executor memory);
+    * initial shuffle partitions from the expected shuffle volume (input x
+      ``shuffle_fraction``: projection and map-side partial aggregation shrink
+      it) at ``partition_bytes`` each, at least two waves of tasks; AQE then
+      coalesces small partitions and splits skewed ones;
+    * broadcast only what AQE measured below the threshold at runtime.
+    """
+    shuffle_parts = max(2 * total_cores, int(input_bytes * shuffle_fraction // partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)

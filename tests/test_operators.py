@@ -155,3 +155,34 @@ def test_single_request_and_display(spark):
     assert [r["Price/night"] for r in rows] == ["£1,234", "£100"]  # rint: 99.5 -> 100 (half even)
     assert [r["Rating"] for r in rows] == ["N/A", "4.2"] or [r["Rating"] for r in rows] == ["N/A", "4.3"]
     assert rows[1]["Baths"] == 1.0  # missing bathrooms default to 1
+
+
+def test_comparables_with_copied_ids_match_brute_force(spark):
+    rnd = random.Random(4)
+    base = []
+    for i in range(60):
+        base.append(dict(listing_id=i, borough=rnd.choice("AB"), room_type="x", bedrooms=rnd.choice([1.0, 2.0]),
+                         price=50.0, number_of_reviews=float(rnd.randint(0, 3)), listing_name=f"n{i}",
+                         review_scores_rating=4.0, accommodates=2.0, bathrooms=1.0))
+    hot = dict(base[0], number_of_reviews=99.0)
+    lst = base[1:] + [hot] * 7  # one id copied 7 times
+    geo_rows = [(l["listing_id"], l["borough"]) for l in base[1:]] + [(0, hot["borough"])] * 6
+    ldf = spark.createDataFrame(lst)
+    geo = spark.createDataFrame(geo_rows, "listing_id long, neighbourhood string")
+    reqs = [(j, b, "x", float(bd)) for j, (b, bd) in enumerate([("A", 1), ("B", 2), ("A", 2), ("B", 1)])]
+    rdf = spark.createDataFrame(reqs, "request_id long, borough string, room_type string, bedrooms double")
+    got = {}
+    for r in joins.comparables(rdf, ldf.drop("borough"), geo).orderBy("request_id", "comp_rank").collect():
+        got.setdefault(r.request_id, []).append(r.listing_id)
+    # brute force over the materialized join pairs
+    pairs = [dict(l, borough=b) for l in lst for (gid, b) in geo_rows if gid == l["listing_id"]]
+    want = {k: v for k, v in _brute_comparables(reqs, pairs).items() if v}
+    assert got == want
+
+
+def test_scale_conf(spark):
+    from staylens.session import scale_conf
+
+    c = scale_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == int(100 * 10**12 * 0.1 // (128 << 20)) + 1
+    assert scale_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
