@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.functions import derive, labels
-from staylens.sources.tables import read_table
+from staylens.sources.tables import read_table, spread
 
 AS_OF = "2024-06-01"
 CITY_BOUNDS = {"lat_min": 51.2, "lat_max": 51.8, "lon_min": -0.6, "lon_max": 0.4}
@@ -174,7 +174,7 @@ ATTR_RAW_AMENITIES = {
 
 
 def _project(df: DataFrame, attrs: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(e).alias(n) for n, e in attrs.items()])
+    return spread(df).select(*[F.expr(e).alias(n) for n, e in attrs.items()])
 
 
 def listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,9 +110,12 @@ def write_marts(marts: dict[str, DataFrame], base: str, mode: str = "overwrite")
     paths = {}
     for name, df in marts.items():
         path = f"{base.rstrip('/')}/{name}"
-        w = df.write.mode(mode)
         if name == "fact_calendar":
-            w = w.partitionBy("year", "month")
+            # AQE rebalances rows by (year, month): few files per folder, and a hot
+            # month is split over several tasks instead of landing in one.
+            w = df.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month")
+        else:
+            w = df.write.mode(mode)
         w.parquet(path)
         paths[name] = path
     return paths

@@ -27,6 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Wide projections (70+ listing columns) fuse into one generated method;
+        # above HotSpot's 8000-byte JIT limit it would run interpreted, so such a
+        # stage falls back to per-operator codegen instead (Spark's documented setting).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("STAYLENS_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -84,6 +88,7 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
 
 

@@ -59,3 +59,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame over all cores when it has fewer partitions than the cluster's
+    parallelism (e.g. an unsplittable single-row-group file); otherwise unchanged,
+    so at scale (many splits) it adds no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
