@@ -60,8 +60,12 @@ def raw_listing_text(spark: SparkSession, sf: str) -> DataFrame:
     return typed.select(*out)
 
 
-def land(spark: SparkSession, sf: str, folder: str, partitions: int = 1) -> dict[str, str]:
-    """Write listings / calendar / reviews (gzip CSV) and neighbourhoods (CSV)."""
+def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = None) -> dict[str, str]:
+    """Write listings / calendar / reviews (gzip CSV) and neighbourhoods (CSV).
+
+    Each dataset keeps its natural partitioning (one file per task); pass
+    ``partitions`` only to shape small test fixtures.
+    """
     opts = {"header": True, "quote": '"', "escape": '"'}
     paths = {}
     cal = domain.calendar(spark, sf).select(
@@ -86,7 +90,8 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int = 1) -> dict
         ("neighbourhoods", nb, None),
     ):
         path = f"{folder.rstrip('/')}/{name}"
-        w = df.coalesce(partitions).write.mode("overwrite").options(**opts)
+        out = df.coalesce(partitions) if partitions else df
+        w = out.write.mode("overwrite").options(**opts)
         if comp:
             w = w.option("compression", comp)
         w.csv(path)

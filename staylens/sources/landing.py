@@ -29,7 +29,9 @@ def file_record_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """SRC-8: records per file (quoted newlines count once) in one job for all files."""
     if not paths:
         return spark.createDataFrame([], "path string, row_count long")
-    df = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(paths)
+    # counting records needs no columns: a one-column schema skips header inference
+    df = (spark.read.schema("c0 string").option("header", True).option("multiLine", True)
+          .option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(paths))
     return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
 
 
