@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from staylens.plans.oracle import C, L, LC, LCR, R, r2, r4
+from staylens.functions.values import AMENITY_FLAGS, NA_TOKENS
+from staylens.plans import domain
+from staylens.plans.oracle import C, L, LC, LCR, R, _select, property_std_sql, r2, r4, room_type_sql
 
 SQL: dict[str, str] = {}
 
@@ -232,9 +234,6 @@ SQL["dedup_reviews"] = R("SELECT * FROM v_reviews")
 SQL["dedup_removed"] = R("SELECT CAST((SELECT COUNT(*) FROM v_reviews_raw) - (SELECT COUNT(*) FROM v_reviews) AS BIGINT) AS removed")
 
 # ---------------------------------------------------------------- scalar functions
-from staylens.functions.values import AMENITY_FLAGS, NA_TOKENS  # noqa: E402
-from staylens.plans import domain  # noqa: E402
-from staylens.plans.oracle import _select, property_std_sql, room_type_sql  # noqa: E402
 
 _RAW = f"WITH raw AS (SELECT {_select(domain.ATTR_RAW_LISTINGS)} FROM orders)\n"
 _AMEN = f"WITH raw AS (SELECT {_select(domain.ATTR_RAW_AMENITIES)} FROM part)\n"

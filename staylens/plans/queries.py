@@ -2,8 +2,10 @@
 
 Every query reads the driver tables under ``sf_dir`` (whole tables) through
 the domain views, runs library operators, and returns a lazy DataFrame whose
-column names match the oracle SQL in ``plans.oracle_queries``. Aggregate
-doubles are rounded to 4 decimals at this reporting edge only.
+column names match the oracle SQL in ``plans.oracle_queries``. The silver
+and gold tables are built once per session and data folder and written to
+the shared folder (``gold_tables``); analytic queries read those marts.
+Aggregate doubles are rounded (9 then 4 decimals) at this reporting edge only.
 """
 
 from __future__ import annotations
@@ -14,12 +16,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.functions import amenities as amen
+from staylens.functions import derive, labels, parse, text
 from staylens.functions.derive import round_to
-from staylens.functions import labels
+from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE
 from staylens.operators import aggregates as agg
-from staylens.operators import features, joinagg, quality, sampling, windows
-from staylens.plans import domain, gold, silver
+from staylens.operators import features, joinagg, joins, quality, sampling, stats, windows
+from staylens.operators import model as ml
+from staylens.operators.sampling import split_bucket
+from staylens.plans import bronze, domain, gold, landed, silver
 from staylens.session import shared_path
+from staylens.sources import csv as csv_source
+from staylens.sources import landing, metadata
 from staylens.sources.tables import memo_plan, read_table, session_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -329,8 +337,6 @@ def dedup_removed(spark, sf):
 
 
 # ---------------------------------------------------------------- scalar functions (SCL-*, PRJ-3..6, SRC-1 tokens)
-from staylens.functions import amenities as amen  # noqa: E402
-from staylens.functions import derive, parse, text  # noqa: E402
 
 
 @query("parse_price")
@@ -435,7 +441,6 @@ def default_fill_q(spark, sf):
 
 
 # ---------------------------------------------------------------- comparables (JOIN-4, WIN-5, SRT-4, AGG-16, FLT-6)
-from staylens.operators import joins  # noqa: E402
 
 
 @query("comparables")
@@ -450,7 +455,6 @@ def comparable_avg_q(spark, sf):
 
 
 # ---------------------------------------------------------------- statistics (ST-1..4)
-from staylens.operators import stats  # noqa: E402
 
 OLS_COLS = ["n", "slope", "intercept", "r", "r2", "stderr"]
 
@@ -507,9 +511,6 @@ def welch_pvalue_q(spark, sf):
 
 
 # ---------------------------------------------------------------- model (ML-1..12)
-from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE  # noqa: E402
-from staylens.operators import model as ml  # noqa: E402
-from staylens.operators.sampling import split_bucket  # noqa: E402
 
 _MODELS: dict[tuple, ml.TrainedModel] = {}
 
@@ -599,9 +600,6 @@ def revenue_grid_q(spark, sf):
 
 
 # ---------------------------------------------------------------- sources, sinks, ingestion (SRC-*, SNK-*, JOB-*)
-from staylens.plans import bronze, landed  # noqa: E402
-from staylens.sources import csv as csv_source  # noqa: E402
-from staylens.sources import landing, metadata  # noqa: E402
 
 _LANDED: dict[str, dict] = {}
 
