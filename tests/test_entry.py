@@ -10,8 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from tests.oracle_compare import compare, duck  # noqa: E402
 
-ROWS_ONLY = {"attribution", "baseline_model", "borough_comparison", "comparable_check", "ingest_manifest",
-             "ols_significance", "price_estimate", "price_model_metrics", "run_state", "welch_pvalue"}
+ROWS_ONLY = {"attribution", "baseline_model", "borough_comparison", "comparable_check", "ols_significance",
+             "price_estimate", "price_model_metrics", "welch_pvalue"}
 
 
 def test_entry_smoke(spark):
