@@ -45,6 +45,7 @@ class GBTParams:
     max_bins: int = 128
     seed: int = 42
     checkpoint_interval: int = 10  # cuts lineage in spark.checkpoint.dir during boosting
+    cache_node_ids: bool = True  # node ids cached per row instead of re-walking trees each iteration
 
 
 def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
@@ -63,6 +64,7 @@ def price_pipeline(params: GBTParams, feature_cols: list[str] = FEATURE_COLS) ->
         maxDepth=params.max_depth, stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
         featureSubsetStrategy=params.feature_subset, minInstancesPerNode=params.min_instances_per_node,
         maxBins=params.max_bins, seed=params.seed, checkpointInterval=params.checkpoint_interval,
+        cacheNodeIds=params.cache_node_ids,
     )
     return Pipeline(stages=[*encoders(), assembler, gbt])
 

@@ -174,14 +174,14 @@ ATTR_RAW_AMENITIES = {
 
 
 def _project(df: DataFrame, attrs: dict[str, str]) -> DataFrame:
-    return spread(df).select(*[F.expr(e).alias(n) for n, e in attrs.items()])
+    return df.select(*[F.expr(e).alias(n) for n, e in attrs.items()])
 
 
 def listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders x customer x nation with only the columns the attributes need."""
-    o = read_table(spark, sf_dir, "orders").select(
+    o = spread(read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+    ))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     return o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -202,25 +202,25 @@ def listings(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_linestatus", "l_extendedprice", "l_quantity"
-    )
+    ))
     df = _project(li, ATTR_CALENDAR)
     return df.withColumns(derive.calendar_parts("date"))
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     return _project(ev, ATTR_REVIEWS)
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
     return _project(o, ATTR_RAW_LISTINGS)
 
 
 def raw_amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     return _project(p, ATTR_RAW_AMENITIES)
 
 

@@ -62,8 +62,12 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame over all cores when it has fewer partitions than the cluster's
+    """Spread a scan over all cores when it has fewer splits than the cluster's
     parallelism (e.g. an unsplittable single-row-group file); otherwise unchanged,
-    so at scale (many splits) it adds no shuffle."""
+    so at scale (many splits) it adds no shuffle.
+
+    Apply it to a plain scan (+ projection): its split count comes from the file
+    listing without running a job. (On a plan with exchanges, asking for the
+    partition count would make adaptive execution run those stages.)"""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
