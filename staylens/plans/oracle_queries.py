@@ -491,3 +491,5 @@ FROM (SELECT COUNT(*) AS n FROM {_BASE}) t, range(2)
 
 # after a first run, only the dataset landed afterwards is pending
 SQL["ingest_manifest"] = "SELECT 'reviews_update' AS dataset, COUNT(*) > 0 AS non_empty FROM events"
+
+SQL["silver_calendar_stream"] = SQL["silver_calendar_csv"]

@@ -731,3 +731,17 @@ def comparable_check_q(spark, sf):
     tm = trained_model(spark, sf)
     est = ml.estimate(tm, domain.requests(spark, sf))
     return joins.comparable_summary(comparables_q(spark, sf), est, tm.mae)
+
+
+@query("silver_calendar_stream")
+def silver_calendar_stream_q(spark, sf):
+    """SRC-6 + JOB-3 as Structured Streaming: every landed calendar file is cleaned once
+    (file source + availableNow + foreachBatch, progress in a checkpoint) and appended."""
+    from staylens.streaming import incremental
+
+    folder = landing_area(spark, sf)["paths"]["calendar"]
+    schema = csv_source.header_schema(spark, folder)
+    target, ckpt = shared_path(spark, "silver_calendar_stream"), shared_path(spark, "stream_ckpt")
+    incremental.ingest_available(spark, folder, schema, silver.clean_calendar, target, ckpt)
+    c = spark.read.parquet(target)
+    return c.select("listing_id", "date", "available", "price", "is_weekend", "month", "year", "is_valid")
