@@ -165,3 +165,22 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
     one = df.agg(*aggs)
     entries = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(a).alias("value")) for c, m, a in metrics]
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
+    """AGG-14 top values: the ``k`` most frequent non-null values of each column
+    (ties by value), as (column_name, value, count, rank).
+
+    Columns are stacked into (column, value) pairs and counted with map-side
+    partial aggregation, so a value held by a third of all rows is one partial
+    row per task; the top ``k`` per column then uses a partial WindowGroupLimit.
+    """
+    from pyspark.sql import Window
+
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+    ]))
+    stacked = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+    counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc())
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

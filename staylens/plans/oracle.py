@@ -137,7 +137,7 @@ v_reviews_typed AS (
   FROM v_reviews_raw
 ),
 v_reviews AS (
-  SELECT listing_id, id, date, reviewer_id, reviewer_name, comments, COALESCE(length(comments), 0) AS comment_length
+  SELECT listing_id, id, date, reviewer_id, reviewer_name, comments, CAST(COALESCE(length(comments), 0) AS INTEGER) AS comment_length
   FROM (
     SELECT *, row_number() OVER (PARTITION BY listing_id, reviewer_id, date ORDER BY id NULLS LAST) AS rn
     FROM v_reviews_typed

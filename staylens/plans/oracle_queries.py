@@ -315,7 +315,7 @@ _TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
 SQL["na_tokens"] = _RAW + f"SELECT id, CASE WHEN na_text IN ({_TOKENS}) THEN NULL ELSE na_text END AS value FROM raw"
 
 SQL["comment_length"] = f"""
-SELECT doc_id, c IS NULL AS is_missing, COALESCE(length(c), 0) AS comment_length FROM (
+SELECT doc_id, c IS NULL AS is_missing, CAST(COALESCE(length(c), 0) AS INTEGER) AS comment_length FROM (
   SELECT doc_id, CASE WHEN text IS NULL OR {_ws('text')} IN ('nan', 'None') THEN NULL ELSE {_ws('text')} END AS c
   FROM documents
 ) d
@@ -339,8 +339,8 @@ _COMPS = f"""(
     SELECT r.request_id, l.listing_id, l.listing_name, g.neighbourhood AS borough, l.room_type,
       COALESCE(l.bedrooms, 1) AS bedrooms, COALESCE(l.bathrooms, 1) AS bathrooms, l.accommodates, l.price,
       l.number_of_reviews, l.review_scores_rating, ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) AS bedroom_distance,
-      row_number() OVER (PARTITION BY r.request_id ORDER BY ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) ASC,
-                         l.number_of_reviews DESC NULLS LAST, l.listing_id ASC) AS comp_rank
+      CAST(row_number() OVER (PARTITION BY r.request_id ORDER BY ABS(COALESCE(l.bedrooms, 1) - r.bedrooms) ASC,
+                         l.number_of_reviews DESC NULLS LAST, l.listing_id ASC) AS INTEGER) AS comp_rank
     FROM ({_REQ}) r
     JOIN dim_geography g ON g.neighbourhood = r.borough
     JOIN dim_listings l ON l.listing_id = g.listing_id AND l.room_type = r.room_type
@@ -493,3 +493,21 @@ FROM (SELECT COUNT(*) AS n FROM {_BASE}) t, range(2)
 SQL["ingest_manifest"] = "SELECT 'reviews_update' AS dataset, COUNT(*) > 0 AS non_empty FROM events"
 
 SQL["silver_calendar_stream"] = SQL["silver_calendar_csv"]
+
+
+def _top_values_sql() -> str:
+    from staylens.plans.queries import TOP_VALUE_COLUMNS
+
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM dim_listings WHERE {c} IS NOT NULL"
+             for c in TOP_VALUE_COLUMNS]
+    return L(f"""
+SELECT column_name, value, count, rank FROM (
+  SELECT column_name, value, CAST(COUNT(*) AS BIGINT) AS count,
+    CAST(row_number() OVER (PARTITION BY column_name ORDER BY COUNT(*) DESC, value ASC) AS INTEGER) AS rank
+  FROM ({' UNION ALL '.join(parts)}) s
+  GROUP BY column_name, value
+) t WHERE rank <= 5
+""")
+
+
+SQL["profile_top_values"] = _top_values_sql()

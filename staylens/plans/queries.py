@@ -288,6 +288,15 @@ def profile(spark, sf):
     return out.select("column_name", "metric", r4("value"))
 
 
+TOP_VALUE_COLUMNS = ["room_type", "property_type_std", "bedrooms", "accommodates"]
+
+
+@query("profile_top_values")
+def profile_top_values(spark, sf):
+    """AGG-14 top values: the 5 most frequent values of categorical dim_listings columns."""
+    return agg.top_values(dim_listings(spark, sf), TOP_VALUE_COLUMNS, 5)
+
+
 # ---------------------------------------------------------------- marts (PRJ-1, AGG-10, FLT-5)
 REGISTRY["dim_listings"] = dim_listings
 REGISTRY["dim_hosts"] = dim_hosts

@@ -38,6 +38,23 @@ def _norm(v):
     return v
 
 
+_SPARK = {"IntegerType": "int32", "LongType": "int64", "DoubleType": "float64", "FloatType": "float32",
+          "StringType": "string", "BooleanType": "bool", "DateType": "date", "ShortType": "int16",
+          "TimestampNTZType": "timestamp", "TimestampType": "timestamp"}
+_DUCK = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "string",
+         "BOOLEAN": "bool", "DATE": "date", "SMALLINT": "int16", "TIMESTAMP": "timestamp"}
+
+
+def _spark_type(t) -> str:
+    n = type(t).__name__
+    return _SPARK.get(n, t.simpleString())
+
+
+def _duck_type(t) -> str:
+    n = str(t)
+    return _DUCK.get(n, n)
+
+
 def _key(row):
     return tuple((0, "") if x is None else (1, str(x)) for x in row)
 
@@ -56,6 +73,11 @@ def compare(spark, con, key, fn, sql, sf_dir):
     if sorted(scols) != sorted(dcols):
         msg.append(f"columns differ: spark={sorted(scols)} duck={sorted(dcols)}")
         return False, "; ".join(msg), t1 - t0, t2 - t1
+    stypes = {f.name: _spark_type(f.dataType) for f in sdf.schema.fields}
+    dtypes_ = {c: _duck_type(t) for c, t in zip(dcols, rel.types)}
+    bad_types = {c: (stypes[c], dtypes_[c]) for c in scols if stypes[c] != dtypes_[c]}
+    if bad_types:
+        msg.append(f"types differ: {bad_types}")
     order = sorted(scols)
     si = [scols.index(c) for c in order]
     di = [dcols.index(c) for c in order]
