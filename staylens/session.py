@@ -31,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # above HotSpot's 8000-byte JIT limit it would run interpreted, so such a
         # stage falls back to per-operator codegen instead (Spark's documented setting).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", os.environ.get("STAYLENS_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("STAYLENS_DRIVER_MEMORY", _driver_memory()))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,6 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _driver_memory() -> str:
+    """Local-mode heap: 60 % of physical memory, between 1 and 8 GiB."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(ln for ln in f if ln.startswith("MemTotal")).split()[1])
+        mb = int(kb / 1024 * 0.6)
+    except (OSError, StopIteration, ValueError):
+        mb = 4096
+    return f"{max(1024, min(8192, mb))}m"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset."""
     sc = spark.sparkContext

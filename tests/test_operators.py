@@ -186,3 +186,10 @@ def test_scale_conf(spark):
     c = scale_conf(100 * 10**12, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == int(100 * 10**12 * 0.1 // (128 << 20)) + 1
     assert scale_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_top_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 2.0), ("c", None), ("b", 2.0), ("a", None)],
+                               "room string, beds double")
+    got = {(r.column_name, r.rank): (r.value, r["count"]) for r in agg.top_values(df, ["room", "beds"], 2).collect()}
+    assert got == {("room", 1): ("a", 3), ("room", 2): ("b", 2), ("beds", 1): ("2.0", 3), ("beds", 2): ("1.0", 1)}
