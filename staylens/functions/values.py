@@ -106,3 +106,20 @@ NIGHTS_PER_MONTH = 30
 PRICE_FLOOR = 10
 TRAIN_PRICE_RANGE = (10, 2000)
 DAYS_PER_YEAR = 365.25
+
+# --- Fixed values: data-quality rule names and report descriptions ---
+LISTING_RULE_TEXT = {
+    "valid_price": "price > 0",
+    "valid_latitude": "lat ∈ [{lat_min}, {lat_max}]",
+    "valid_longitude": "lon ∈ [{lon_min}, {lon_max}]",
+    "valid_minimum_nights": "minimum_nights ∈ [1, 1125]",
+    "valid_availability": "availability_365 ∈ [0, 365]",
+    "valid_review_rating": "review_scores_rating ∈ [0, 5] (when not null)",
+    "valid_listing_id": "listing id is not null",
+    "unique_listing_id": "listing id is unique",
+    "valid_host_since": "host_since <= today",
+}
+CALENDAR_RULE_TEXT = {
+    "valid_price": "price > 0 (when not null)",
+    "valid_available": "available is boolean",
+}

@@ -18,7 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.derive import as_of_date, round2
-from staylens.functions.values import AVAILABILITY_RANGE, MIN_NIGHTS_RANGE, RATING_RANGE
+from staylens.functions.values import (
+    AVAILABILITY_RANGE,
+    CALENDAR_RULE_TEXT,
+    LISTING_RULE_TEXT,
+    MIN_NIGHTS_RANGE,
+    RATING_RANGE,
+)
 
 FLAG_PREFIX = "flag_valid"
 
@@ -43,35 +49,30 @@ def listing_rules(bounds: dict, as_of: str | None = None, id_col: str = "id") ->
     lo_a, hi_a = AVAILABILITY_RANGE
     lo_r, hi_r = RATING_RANGE
     la0, la1, lo0, lo1 = bounds["lat_min"], bounds["lat_max"], bounds["lon_min"], bounds["lon_max"]
+    text = {k: v.format(**bounds) for k, v in LISTING_RULE_TEXT.items()}
     return [
-        Rule("valid_price", "price", "price > 0", lambda c: c > 0, False, "flag_valid_price"),
-        Rule("valid_latitude", "latitude", f"lat ∈ [{la0}, {la1}]", lambda c: c.between(la0, la1), False, "flag_valid_lat"),
-        Rule("valid_longitude", "longitude", f"lon ∈ [{lo0}, {lo1}]", lambda c: c.between(lo0, lo1), False, "flag_valid_lon"),
-        Rule(
-            "valid_minimum_nights", "minimum_nights", f"minimum_nights ∈ [{lo_n}, {hi_n}]",
-            lambda c: c.between(lo_n, hi_n), False, "flag_valid_min_nights",
-        ),
-        Rule(
-            "valid_availability", "availability_365", f"availability_365 ∈ [{lo_a}, {hi_a}]",
-            lambda c: c.between(lo_a, hi_a), False, "flag_valid_availability",
-        ),
-        Rule(
-            "valid_review_rating", "review_scores_rating", f"review_scores_rating ∈ [{lo_r}, {hi_r}] (when not null)",
-            lambda c: c.between(lo_r, hi_r), True, "flag_valid_rating",
-        ),
-        Rule("valid_listing_id", id_col, "listing id is not null", lambda c: c.isNotNull(), False, "flag_valid_id"),
-        Rule("unique_listing_id", id_col, "listing id is unique", lambda c: F.lit(True), True, None, kind="unique"),
-        Rule(
-            "valid_host_since", "host_since", "host_since <= today",
-            lambda c: c <= as_of_date(as_of), True, "flag_valid_host_since",
-        ),
+        Rule("valid_price", "price", text["valid_price"], lambda c: c > 0, False, "flag_valid_price"),
+        Rule("valid_latitude", "latitude", text["valid_latitude"], lambda c: c.between(la0, la1), False, "flag_valid_lat"),
+        Rule("valid_longitude", "longitude", text["valid_longitude"], lambda c: c.between(lo0, lo1), False,
+             "flag_valid_lon"),
+        Rule("valid_minimum_nights", "minimum_nights", text["valid_minimum_nights"],
+             lambda c: c.between(lo_n, hi_n), False, "flag_valid_min_nights"),
+        Rule("valid_availability", "availability_365", text["valid_availability"],
+             lambda c: c.between(lo_a, hi_a), False, "flag_valid_availability"),
+        Rule("valid_review_rating", "review_scores_rating", text["valid_review_rating"],
+             lambda c: c.between(lo_r, hi_r), True, "flag_valid_rating"),
+        Rule("valid_listing_id", id_col, text["valid_listing_id"], lambda c: c.isNotNull(), False, "flag_valid_id"),
+        Rule("unique_listing_id", id_col, text["unique_listing_id"], lambda c: F.lit(True), True, None, kind="unique"),
+        Rule("valid_host_since", "host_since", text["valid_host_since"],
+             lambda c: c <= as_of_date(as_of), True, "flag_valid_host_since"),
     ]
 
 
 def calendar_rules() -> list[Rule]:
+    t = CALENDAR_RULE_TEXT
     return [
-        Rule("valid_price", "price", "price > 0 (when not null)", lambda c: c > 0, True, "flag_valid_price"),
-        Rule("valid_available", "available", "available is boolean", lambda c: c.isNotNull(), False, "flag_valid_available"),
+        Rule("valid_price", "price", t["valid_price"], lambda c: c > 0, True, "flag_valid_price"),
+        Rule("valid_available", "available", t["valid_available"], lambda c: c.isNotNull(), False, "flag_valid_available"),
     ]
 
 

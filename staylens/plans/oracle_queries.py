@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from staylens.functions.values import AMENITY_FLAGS, NA_TOKENS
+from staylens.functions.values import AMENITY_FLAGS, CALENDAR_RULE_TEXT, NA_TOKENS
 from staylens.plans import domain
 from staylens.plans.oracle import C, L, LC, LCR, R, _select, property_std_sql, r2, r4, room_type_sql
 
@@ -223,8 +223,8 @@ FROM v_flagged
 """)
 
 SQL["dq_calendar_report"] = C(_report_sql("v_calendar", [
-    ("valid_price", "price > 0 (when not null)", "COUNT(*) FILTER (WHERE NOT flag_valid_price)"),
-    ("valid_available", "available is boolean", "COUNT(*) FILTER (WHERE NOT flag_valid_available)"),
+    ("valid_price", CALENDAR_RULE_TEXT["valid_price"], "COUNT(*) FILTER (WHERE NOT flag_valid_price)"),
+    ("valid_available", CALENDAR_RULE_TEXT["valid_available"], "COUNT(*) FILTER (WHERE NOT flag_valid_available)"),
 ], True))
 
 SQL["valid_subset"] = L("SELECT id, price, latitude, longitude, is_valid FROM v_valid")
