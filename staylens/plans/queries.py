@@ -69,21 +69,40 @@ def gold_tables(spark: SparkSession, sf: str) -> dict[str, str]:
 
 
 def build_gold(spark: SparkSession, sf: str) -> dict[str, str]:
-    """JOB-2..4 + JOB-7 over the domain views: write silver, then the marts."""
+    """JOB-2..4 + JOB-7 over the domain views: write silver, then the marts.
+
+    The three silver writes are independent jobs, and so are the five mart
+    writes; each group is submitted concurrently from driver threads so small
+    jobs overlap (Spark schedules concurrent jobs of one application).
+    """
     base = shared_path(spark, "gold")
-    full = f"{base}/silver/listings_full"
-    quality.apply_flags(domain.listings(spark, sf), quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF)) \
-        .write.mode("overwrite").parquet(full)
-    cal = f"{base}/silver/calendar"
-    quality.apply_flags(domain.calendar(spark, sf), quality.calendar_rules()).write.mode("overwrite").parquet(cal)
-    rev = f"{base}/silver/reviews"
-    silver.clean_reviews(domain.raw_reviews(spark, sf)).write.mode("overwrite").parquet(rev)
+    full, cal, rev = f"{base}/silver/listings_full", f"{base}/silver/calendar", f"{base}/silver/reviews"
+    silver_jobs = [
+        lambda: quality.apply_flags(domain.listings(spark, sf), quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF))
+        .write.mode("overwrite").parquet(full),
+        lambda: quality.apply_flags(domain.calendar(spark, sf), quality.calendar_rules()).write.mode("overwrite").parquet(cal),
+        lambda: silver.clean_reviews(domain.raw_reviews(spark, sf)).write.mode("overwrite").parquet(rev),
+    ]
+    _run_concurrently(silver_jobs)
     valid = quality.valid_subset(spark.read.parquet(full))
     marts = gold.build_marts(valid, spark.read.parquet(cal), spark.read.parquet(rev))
-    paths = gold.write_marts(marts, f"{base}/gold")
+    paths = {}
+
+    def mart_job(name, df):
+        return lambda: paths.update(gold.write_marts({name: df}, f"{base}/gold"))
+
+    _run_concurrently([mart_job(n, d) for n, d in marts.items()])
     return {"listings_full": full, "calendar": cal, "reviews": rev, **paths}
 
 
+def _run_concurrently(jobs) -> None:
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()  # re-raise the first failure
+
+
 def _read(spark, sf, name):
     path = gold_tables(spark, sf)[name]
     return memo_plan(spark, (sf, "gold", name), lambda: spark.read.parquet(path))
