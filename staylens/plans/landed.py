@@ -8,6 +8,8 @@ booleans, JSON amenity lists, ISO dates, quoted multi-line comments).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,12 +85,7 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = Non
         F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("Neighbourhood Group"),
         F.col("n_name").alias("Neighbourhood"),
     ).distinct()
-    for name, df, comp in (
-        ("listings", raw_listing_text(spark, sf), "gzip"),
-        ("calendar", cal, "gzip"),
-        ("reviews", rev, "gzip"),
-        ("neighbourhoods", nb, None),
-    ):
+    def write(name, df, comp):
         path = f"{folder.rstrip('/')}/{name}"
         out = df.coalesce(partitions) if partitions else df
         w = out.write.mode("overwrite").options(**opts)
@@ -96,4 +93,15 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = Non
             w = w.option("compression", comp)
         w.csv(path)
         paths[name] = path
+
+    datasets = (
+        ("listings", raw_listing_text(spark, sf), "gzip"),
+        ("calendar", cal, "gzip"),
+        ("reviews", rev, "gzip"),
+        ("neighbourhoods", nb, None),
+    )
+    # independent jobs: submitted concurrently from driver threads
+    with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
+        for f in [pool.submit(write, *d) for d in datasets]:
+            f.result()
     return paths

@@ -9,6 +9,7 @@ isolated (one failure does not stop the others) and logged as an event.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -161,12 +162,13 @@ def run_silver(
         "reviews": lambda r: _write(clean_reviews(r), silver_dir, "reviews"),
         "neighbourhoods": lambda r: _write(clean_neighbourhoods(r), silver_dir, "neighbourhoods"),
     }
-    for name, step in steps.items():
+
+    def run_one(name, step):
         if name not in raw or raw[name] is None:
             if name == "listings":
                 summary[name] = {"status": "failed", "error": "no listings file"}
                 events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message="no listings file"))
-            continue
+            return
         t0 = time.time()
         try:
             path = step(raw[name])
@@ -178,6 +180,11 @@ def run_silver(
         except Exception as e:  # isolate datasets from each other
             summary[name] = {"status": "failed", "error": str(e)[:500]}
             events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message=str(e)[:500]))
+
+    # the datasets are independent jobs: submitted concurrently, each isolated
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for f in [pool.submit(run_one, n, st) for n, st in steps.items()]:
+            f.result()
     if log is not None:
         metadata.append_events(spark, log, events)
     return summary
