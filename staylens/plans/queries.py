@@ -50,7 +50,7 @@ def r4(c: str) -> F.Column:
 
 # ---------------------------------------------------------------- shared frames
 _GOLD: dict[tuple, dict[str, str]] = {}
-_GOLD_LOCK = threading.Lock()
+_GOLD_LOCK = threading.RLock()
 
 
 def gold_tables(spark: SparkSession, sf: str) -> dict[str, str]:
@@ -634,10 +634,11 @@ _LANDED: dict[str, dict] = {}
 
 def landing_area(spark, sf) -> dict:
     """Landed raw files for ``sf`` in the shared store (written once per process)."""
-    if sf not in _LANDED:
-        folder = shared_path(spark, "landing")
-        _LANDED[sf] = {"folder": folder, "paths": landed.land(spark, sf, folder)}
-    return _LANDED[sf]
+    with _GOLD_LOCK:
+        if sf not in _LANDED:
+            folder = shared_path(spark, "landing")
+            _LANDED[sf] = {"folder": folder, "paths": landed.land(spark, sf, folder)}
+        return _LANDED[sf]
 
 
 def _dataset(c="file_name"):
