@@ -123,3 +123,12 @@ CALENDAR_RULE_TEXT = {
     "valid_price": "price > 0 (when not null)",
     "valid_available": "available is boolean",
 }
+
+# --- Fixed values: landed file names per dataset (preferred names in order, then a
+# name fragment and suffix that any fallback file must have) ---
+LANDED_FILES = {
+    "listings": (["listings_detailed_listings.csv.gz", "listings_listings.csv.gz"], "listings", ".gz"),
+    "calendar": (["calendar_calendar.csv.gz"], "calendar", ".gz"),
+    "reviews": (["reviews_reviews.csv.gz"], "reviews", ".gz"),
+    "neighbourhoods": (["neighbourhoods_csv_neighbourhoods.csv"], "neighbourhood", ".csv"),
+}

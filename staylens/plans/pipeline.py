@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from staylens.functions.values import LANDED_FILES
 from staylens.plans import bronze, gold, silver
 from staylens.sources import csv, metadata
 
@@ -26,19 +27,21 @@ class Layout:
 
 
 def _raw_inputs(spark: SparkSession, landing_dir: str, partitions: int | None) -> dict:
-    found = {
-        "listings": csv.resolve_dataset(spark, f"{landing_dir}/listings", [], "", ".csv.gz"),
-        "calendar": csv.resolve_dataset(spark, f"{landing_dir}/calendar", [], "", ".csv.gz"),
-        "reviews": csv.resolve_dataset(spark, f"{landing_dir}/reviews", [], "", ".csv.gz"),
-        "neighbourhoods": csv.resolve_dataset(spark, f"{landing_dir}/neighbourhoods", [], "", ".csv"),
-    }
+    """SRC-4 per dataset: a flat landing folder resolved by preferred file names,
+    then any file with the dataset's name fragment and suffix; else a per-dataset
+    subfolder of part files (the layout Spark writes). Missing -> None."""
     out = {}
-    for name, path in found.items():
+    for name, (preferred, fragment, suffix) in LANDED_FILES.items():
+        path = csv.resolve_dataset(spark, landing_dir, preferred, fragment, suffix)
+        source = path
+        if path is None:
+            path = csv.resolve_dataset(spark, f"{landing_dir}/{name}", [], "", suffix)
+            source = path.rsplit("/", 1)[0] if path else None
         if path is None:
             out[name] = None
             continue
-        folder = path.rsplit("/", 1)[0]
-        out[name] = csv.read_landed_csv(spark, folder, csv.header_schema(spark, path), partitions)
+        multiline = name != "neighbourhoods"
+        out[name] = csv.read_landed_csv(spark, source, csv.header_schema(spark, path), partitions, multiline=multiline)
     return out
 
 

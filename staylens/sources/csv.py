@@ -50,7 +50,9 @@ def resolve_dataset(spark: SparkSession, folder: str, preferred: list[str], cont
     the single chosen file name comes back to the driver.
     """
     try:
-        files = spark.read.format("binaryFile").load(folder).select("path")
+        # file names only (no content); files of subfolders are not candidates
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder).select("path")
+        files = files.where(~F.col("path").rlike(r"/_[^/]*$"))  # skip marker files such as _SUCCESS
     except Exception:  # missing folder
         return None
     name = F.element_at(F.split(F.col("path"), "/"), -1)

@@ -101,3 +101,30 @@ def test_streaming_incremental_ingest(spark, tmp_dir):
     incremental.ingest_available(spark, src, st, silver.clean_calendar, target, ckpt)
     out = spark.read.parquet(target)
     assert out.count() == 3 and out.where("is_valid").count() == 1
+
+
+def test_flat_landing_layout(spark, tmp_dir):
+    """Files landed flat under the source system's names are found by SRC-4 order."""
+    import gzip
+
+    land_dir = os.path.join(tmp_dir, "flat")
+    os.makedirs(land_dir)
+    with gzip.open(os.path.join(land_dir, "listings_detailed_listings.csv.gz"), "wt") as f:
+        f.write('id,price,room_type,latitude,longitude,minimum_nights,availability_365\n'
+                '1,"$1,200.00",entire home/apt,51.5,0.0,2,10\n2,N/A,Private room,51.5,0.0,2,10\n')
+    with gzip.open(os.path.join(land_dir, "calendar_calendar.csv.gz"), "wt") as f:
+        f.write("listing_id,date,available,price\n1,2024-06-01,t,$10.00\n")
+    with gzip.open(os.path.join(land_dir, "reviews_reviews.csv.gz"), "wt") as f:
+        f.write('listing_id,id,date,reviewer_id,comments\n1,5,2024-01-01,9,"nice\nplace"\n1,4,2024-01-01,9,dup\n')
+    with open(os.path.join(land_dir, "neighbourhoods_csv_neighbourhoods.csv"), "w") as f:
+        f.write("Neighbourhood Group,Neighbourhood\n,Camden\n")
+    lay = pipeline.Layout(land_dir, os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "g"),
+                          os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "runs"))
+    res = pipeline.run(spark, silver.CityConfig(), ["silver"], lay, as_of="2024-06-01")
+    assert res["silver"]["status"] == "success", res
+    lst = spark.read.parquet(f"{lay.silver_dir}/listings.parquet").collect()
+    assert [(r.id, r.price, r.room_type) for r in lst] == [(1, 1200.0, "Entire home/apt")]
+    rev = spark.read.parquet(f"{lay.silver_dir}/reviews.parquet").collect()
+    assert [(r.id, r.comments) for r in rev] == [(4, "dup")]
+    nb = spark.read.parquet(f"{lay.silver_dir}/neighbourhoods.parquet")
+    assert nb.columns == ["neighbourhood_group", "neighbourhood"]
