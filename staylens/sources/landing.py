@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 def landed_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """(file_name, path, size_bytes, modified) for every file; content is never read."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
-    parts = F.split("path", "/")
+    # name relative to the landing folder: "listings_listings.csv.gz" for a flat
+    # folder, "listings/part-00000.csv.gz" for a dataset subfolder
+    base = folder.rstrip("/").rsplit("/", 1)[-1]
     return df.select(
-        F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1)).alias("file_name"),
+        F.substring_index(F.col("path"), f"/{base}/", -1).alias("file_name"),
         F.col("path"),
         F.col("length").cast("long").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
