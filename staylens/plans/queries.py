@@ -237,12 +237,6 @@ def _area_room_frame(spark, sf):
                                    {"avg_price": F.col("price")})
 
 
-def _tenure_join(spark, sf):
-    h = dim_hosts(spark, sf).select("host_id", "host_tenure_years")
-    l = dim_listings(spark, sf).select("host_id", "price", "review_scores_rating")
-    return h.join(l, "host_id").where(F.col("host_tenure_years").isNotNull() & (F.col("price") < 2000))
-
-
 @query("tenure_cohorts")
 def tenure_cohorts(spark, sf):
     """AGG-7 + JOIN-2 + SRT-2: mean price and rating per tenure cohort, incomplete cohorts dropped."""

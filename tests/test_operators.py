@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from staylens.operators import aggregates as agg
@@ -193,3 +194,43 @@ def test_top_values(spark):
                                "room string, beds double")
     got = {(r.column_name, r.rank): (r.value, r["count"]) for r in agg.top_values(df, ["room", "beds"], 2).collect()}
     assert got == {("room", 1): ("a", 3), ("room", 2): ("b", 2), ("beds", 1): ("2.0", 3), ("beds", 2): ("1.0", 1)}
+
+
+def test_ols_many_equals_single_fits(spark):
+    from staylens.operators import stats
+
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(float(i), 2.0 * i + rnd.random(), None if i % 5 == 0 else -1.0 * i + rnd.random())
+                                for i in range(50)], "x double, y1 double, y2 double")
+    many = {r.target: r for r in stats.ols_many(df, {"a": ("y1", "x"), "b": ("y2", "x")}).collect()}
+    for t, y in (("a", "y1"), ("b", "y2")):
+        one = stats.ols(df, y, "x").first()
+        for c in ["n", "slope", "intercept", "r2", "r", "stderr"]:
+            assert getattr(many[t], c) == pytest.approx(getattr(one, c), rel=1e-12)
+
+
+def test_cohort_means_drops_incomplete(spark):
+    df = spark.createDataFrame([(1.0, 10.0, 4.0), (1.0, 20.0, None), (2.0, 5.0, None)], "k double, p double, r double")
+    out = {r.k: (r.ap, r.ar) for r in agg.cohort_means(df, "k", {"ap": "p", "ar": "r"}).collect()}
+    assert out == {1.0: (15.0, 4.0)}
+
+
+def test_check_files_and_catalog(spark, tmp_path):
+    from staylens.sources import landing
+
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "b.csv").write_text("")
+    landed = landing.landed_files(spark, str(tmp_path), "*.csv")
+    manifest = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.csv",)], "file_name string")
+    got = {r.file_name: r.is_ok for r in landing.check_files(manifest, landed).collect()}
+    assert got == {"a.csv": True, "b.csv": False, "c.csv": False}
+    spark.range(1).createOrReplaceTempView("t_check")
+    assert "t_check" in [r.name for r in landing.list_tables(spark).collect()]
+
+
+def test_cut_lineage_is_reliable_checkpoint(spark):
+    from staylens.session import cut_lineage
+
+    df = cut_lineage(spark.range(10).withColumn("y", F.col("id") * 2))
+    assert df.count() == 10
+    assert "LocalCheckpoint" not in df._jdf.queryExecution().analyzed().toString()
