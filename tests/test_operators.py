@@ -234,3 +234,15 @@ def test_cut_lineage_is_reliable_checkpoint(spark):
     df = cut_lineage(spark.range(10).withColumn("y", F.col("id") * 2))
     assert df.count() == 10
     assert "LocalCheckpoint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_broadcast_if_small(spark):
+    from staylens.sources.tables import broadcast_if_small
+
+    small = broadcast_if_small(spark.range(10), max_rows=100)
+    big = broadcast_if_small(spark.range(1000), max_rows=100)
+    big_side = spark.range(10**6).join(big, "id")
+    small_side = spark.range(10**6).join(small, "id")
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
+    assert small_side.count() == 10 and big_side.count() == 1000
