@@ -20,21 +20,20 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 JOIN = 64
 
 
-class ChunkEncoder:
-    """Ids of texts through a table of distinct chunks; subclasses encode new chunks."""
+class ChunkTable:
+    """A table of distinct chunks; subclasses keep something for each of them."""
 
     def __init__(self, most: int = 250_000) -> None:
         self.most = most
         self.place: dict[str, int] = {}
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Start anew (subclasses forget what they keep)."""
         self.place.clear()
-        self.flat = np.zeros(0, np.uint16)
-        self.begin = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
 
-    def new_ids(self, chunks: list[str]) -> list[list[int]]:
+    def add(self, chunks: list[str]) -> None:
+        """Keep something for these new chunks, in this order."""
         raise NotImplementedError
 
     @staticmethod
@@ -44,21 +43,37 @@ class ChunkEncoder:
     def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The table place of every chunk, end to end, and how many each text has."""
         if len(self.place) > self.most:
-            self._clear()
+            self.clear()
         parts = [self.chunks(t) for t in texts]
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         every = [c for p in parts for c in p]
         if new := list(set(every).difference(self.place)):
-            ids = self.new_ids(new)
-            n = len(self.begin)
+            self.add(new)
+            n = len(self.place)
             self.place.update(zip(new, range(n, n + len(new))))
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            fresh = np.fromiter((i for x in ids for i in x), np.uint16, int(lens.sum()))
-            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lens) - lens])
-            self.count = np.concatenate([self.count, lens])
-            self.flat = np.concatenate([self.flat, fresh])
         return np.fromiter(map(self.place.__getitem__, every), np.int64, len(every)), counts
 
+
+class ChunkEncoder(ChunkTable):
+    """Ids of texts through a table of distinct chunks; subclasses encode new chunks."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.flat = np.zeros(0, np.uint16)
+        self.begin = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def new_ids(self, chunks: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def add(self, chunks: list[str]) -> None:
+        ids = self.new_ids(chunks)
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        fresh = np.fromiter((i for x in ids for i in x), np.uint16, int(lens.sum()))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lens) - lens])
+        self.count = np.concatenate([self.count, lens])
+        self.flat = np.concatenate([self.flat, fresh])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (uint16), and the borders of each text's ids."""
         place, counts = self.places(texts)

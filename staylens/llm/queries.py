@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import licenses, packing, quality, topk
+from staylens.llm import jaccard, langid, licenses, lines, lm, packing, quality, substrings, topk, viterbi
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("detections")
 
@@ -27,14 +32,45 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(_table(spark, sf_dir, "documents"), langid.held_out(5, 1))
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = viterbi.encode_texts(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_ids", F.crc32("ids").alias("ids_crc32"), "round_trip")
+
+
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(_table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+    return out.select("doc.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), langid.held_out(4, 2)
+    model = langid.learn(docs.where(~held_out))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_lines": op2_lines,
     "op3_licenses": op3_licenses,
     "op4_topk": op4_topk,
+    "op5_lm": op5_lm,
+    "op6_pieces": op6_pieces,
+    "op7_jaccard": op7_jaccard,
+    "op8_substrings": op8_substrings,
+    "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
 
