@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from staylens.llm import encode, packing
+from staylens.llm import encode, packing, words
 from tests.llm.fixtures import documents, frame
 
 
@@ -95,6 +95,6 @@ def test_chunked_encoding_equals_whole_text():
     whole = Tokenizer.from_file(encode.tokenizer_path("word_bpe_49k.json"))
     for _ in range(2):
         for i in range(0, len(texts), 7):
-            ids, borders = model.encode(texts[i : i + 7])
+            ids, borders = model.encode(words.of(texts[i : i + 7]))
             for j, t in enumerate(texts[i : i + 7]):
                 assert ids[borders[j] : borders[j + 1]].tolist() == whole.encode(t, add_special_tokens=False).ids, t
