@@ -9,14 +9,15 @@ memory is bounded; that only costs time, never ids.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 
-#: A Latin-1 word and what ASCII marks but the apostrophe follow it: both are
-#: pre-tokens of their own, and lower-casing maps single letters to single letters.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+from staylens.llm import words
+
+#: ASCII marks but the apostrophe, which can be part of a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 JOIN = 64
 
 
@@ -83,10 +84,74 @@ class ChunkEncoder(ChunkTable):
         return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
-class WordBpe(ChunkEncoder):
-    """A vocabulary file of the ``tokenizers`` library (word ends marked, lower case)."""
+class WordEncoder:
+    """Ids of texts through a table of distinct words, found by their 64-bit hashes.
+
+    Words are maximal runs of the bytes in ``table``. No Python object is made
+    for a word that is known; two words share a hash once in 2^64 pairs.
+    """
+
+    table = words.NOT_BLANK
+
+    def __init__(self, most: int = 500_000) -> None:
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[int, int] = {}
+        self.flat = np.zeros(0, np.uint16)
+        self.begin = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def new_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words end to end, and how many each has."""
+        raise NotImplementedError
+
+    def encode(self, texts: words.Texts, found: words.Words | None = None, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (uint16), and the borders of each text's ids."""
+        if len(self.place) > self.most:
+            self.clear()
+        found = found or words.scan(texts, self.table)
+        h = words.hashes(texts.data, found.starts, found.ends) if h is None else h
+        order = np.argsort(h)
+        s = h[order]
+        first = np.concatenate([[True], s[1:] != s[:-1]])[: len(s)]
+        distinct = s[first].tolist()
+        rows = np.array(list(map(self.place.get, distinct, repeat(-1))), np.int64)
+        if len(new := np.flatnonzero(rows < 0)):
+            at, raw = order[np.flatnonzero(first)[new]], texts.data.tobytes()
+            ids, lens = self.new_ids([raw[a:b].decode() for a, b in zip(found.starts[at].tolist(), found.ends[at].tolist())])
+            n = len(self.begin)
+            rows[new] = np.arange(n, n + len(new))
+            self.place.update(zip([distinct[i] for i in new.tolist()], range(n, n + len(new))))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lens) - lens])
+            self.count = np.concatenate([self.count, lens])
+            self.flat = np.concatenate([self.flat, ids])
+        place = np.empty(len(h), np.int64)
+        place[order] = rows[np.cumsum(first) - 1] if len(h) else rows
+        lens = self.count[place]
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        ids = self.flat[np.repeat(self.begin[place] - ends[:-1], lens) + np.arange(ends[-1])]
+        return ids, ends[found.first]
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lens = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint16, int(lens.sum())), lens
+
+
+class WordBpe(WordEncoder):
+    """A vocabulary file of the ``tokenizers`` library (word ends marked, lower case).
+
+    Texts are cut at spaces and line ends only, so whatever else there is comes
+    to the library as it stands. Latin-1 words, with or without ASCII marks
+    behind them, go many to a call and are told apart by their word-end ids.
+    """
+
+    table = np.ones(256, bool)
+    table[[0x20, 0x0A]] = False
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__(most)
@@ -97,34 +162,50 @@ class WordBpe(ChunkEncoder):
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
 
-    def _plain(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of lower-case words, many in one call, told apart by their last ids."""
-        out: dict[str, list[int]] = {}
-        groups = [words[i : i + JOIN] for i in range(0, len(words), JOIN)]
-        for group, got in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = got.ids
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-            if len(ends) == len(group):
-                out.update((w, ids[a:b]) for w, a, b in zip(group, [0, *ends[:-1]], ends))
-            else:
-                out.update((w, self.tokenizer.encode(w, add_special_tokens=False).ids) for w in group)
-        return out
-
-    def new_ids(self, chunks: list[str]) -> list[list[int]]:
-        split = [_PLAIN.fullmatch(c) for c in chunks]
-        words = {m[1].lower() for m in split if m}
-        marks = {m[2] for m in split if m}
-        known = self._plain(list(words))
-        tail = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in marks}
-        other = [c for c, m in zip(chunks, split) if not m]
-        rest = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else [])
-        return [known[m[1].lower()] + tail[m[2]] if m else next(rest).ids for m in split]
-
+    def encode(self, texts: words.Texts, found: words.Words | None = None, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if b"<|" not in texts.data.tobytes():  # else lowering could make a special token of a text's own
+            texts = words.Texts(words.LOWER[texts.data], texts.offsets, texts.rows)
+        return super().encode(texts)
 
-class Pieces(ChunkEncoder):
-    """A SentencePiece model file; every chunk is encoded as a word of its own."""
-
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    @staticmethod
+    def _parts(word: str) -> int:
+        """Pre-tokens of a Latin-1 word (1) or such a word and ASCII marks (2); 0 if it is neither."""
+        if not (word.isascii() or max(word) <= "ÿ"):
+            return 0
+        if word.isalpha():
+            return 1
+        core = word.rstrip(MARKS)
+        return 2 if len(core) < len(word) and core.isalpha() else 0
+
+    def new_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = np.fromiter(map(self._parts, new), np.int64, len(new))
+        plain = np.flatnonzero(parts)
+        lists: list = [None] * len(new)
+        groups = [plain[i : i + JOIN] for i in range(0, len(plain), JOIN)]
+        joined = self.tokenizer.encode_batch_fast([" ".join([new[i] for i in g]) for g in groups], add_special_tokens=False) if groups else []
+        for g, got in zip(groups, joined):
+            ids = got.ids
+            ends = np.flatnonzero(self.last[ids]) + 1
+            due = np.cumsum(parts[g]) - 1
+            if len(ends) != due[-1] + 1:  # not told apart after all
+                for i in g.tolist():
+                    lists[i] = self.tokenizer.encode(new[i], add_special_tokens=False).ids
+                continue
+            a = 0
+            for i, b in zip(g.tolist(), ends[due].tolist()):
+                lists[i] = ids[a:b]
+                a = b
+        other = np.flatnonzero(parts == 0).tolist()
+        if other:
+            for i, got in zip(other, self.tokenizer.encode_batch_fast([new[i] for i in other], add_special_tokens=False)):
+                lists[i] = got.ids
+        return _flat(lists)
+
+
+class Pieces(WordEncoder):
+    """A SentencePiece model file; every blank-separated word is encoded on its own."""
+
+    def __init__(self, path: str, most: int = 500_000) -> None:
         import sentencepiece
 
         super().__init__(most)
@@ -133,8 +214,8 @@ class Pieces(ChunkEncoder):
         assert self.size <= 1 << 16
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
 
-    def new_ids(self, chunks: list[str]) -> list[list[int]]:
-        return self.model.encode(chunks, num_threads=1)
+    def new_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(self.model.encode(new, num_threads=1))
 
 
 @lru_cache(maxsize=2)

@@ -36,6 +36,7 @@ from staylens.session import shared_path
 WINDOW = 2048
 UNIT = 16
 END_ID = 1
+SLICE = 4 << 20
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, task int, slot long"
 
 
@@ -45,8 +46,8 @@ def _cut(path: str, window: int, end_id: int):
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for texts in words.slices(batch.column(1)):
-                ids, borders = model.encode([texts.bytes_of(i).decode() for i in range(len(texts))])
+            for texts in words.slices(batch.column(1), most=SLICE):
+                ids, borders = model.encode(texts)
                 out = [[] for _ in range(7)]
                 for i in range(len(texts)):
                     own = np.append(ids[borders[i] : borders[i + 1]].astype("<u4"), np.uint32(end_id)).astype("<u4")

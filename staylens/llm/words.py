@@ -93,6 +93,12 @@ def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> It
         at = end
 
 
+def of(texts: list[str]) -> Texts:
+    """These texts as one slice."""
+    raw = [t.encode() for t in texts]
+    return Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), slice(0, len(raw)))
+
+
 def scan(texts: Texts, table: np.ndarray = NOT_BLANK) -> Words:
     """Maximal runs of word bytes; a word never spans two texts."""
     word, n = table[texts.data], len(texts.data)
