@@ -41,7 +41,8 @@ def normalize_room_type(c: Column | str) -> Column:
 def unknown_room_types(df: DataFrame, column: str = "room_type", limit: int = 5) -> DataFrame:
     """SCL-4: a few distinct raw values that are not known room types (for the log)."""
     raw = F.col(column)
-    return df.where(raw.isNotNull() & room_type_lookup(raw).isNull()).select(raw.alias(column)).distinct().limit(limit)
+    unknown = df.where(raw.isNotNull() & room_type_lookup(raw).isNull()).select(raw.alias(column)).distinct()
+    return unknown.orderBy(column).limit(limit)
 
 
 def normalize_property_type(c: Column | str) -> Column:

@@ -14,19 +14,35 @@ from staylens.functions.text import col, strip_ws
 from staylens.functions.values import CALENDAR_FALSE, CALENDAR_TRUE, LISTING_FALSE, LISTING_TRUE
 
 DECIMAL_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+INTEGER_RE = r"^([+-]?[0-9]+)(?:\.0*)?$"
 ISO_DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
+def _finite(t: Column) -> Column:
+    """Decimal text -> double; text beyond the range of doubles (``1e400``) -> null."""
+    x = t.try_cast("double")
+    return F.when(t.rlike(DECIMAL_RE) & (F.abs(x) < F.lit(float("inf"))), x)
+
+
 def safe_double(c: Column | str) -> Column:
     """PRJ-3: numeric text -> double, anything else -> null (never NaN/inf)."""
+    return _finite(strip_ws(col(c).cast("string")))
+
+
+def safe_long(c: Column | str) -> Column:
+    """PRJ-3 for ids: integer text (``12`` or ``12.0``) -> bigint, exact to the last digit.
+
+    Ids never pass through double, which has 53 bits; text that is no integer or
+    lies beyond 64 bits becomes null.
+    """
     t = strip_ws(col(c).cast("string"))
-    return F.when(t.rlike(DECIMAL_RE), t.try_cast("double"))
+    return F.when(t.rlike(INTEGER_RE), F.regexp_extract(t, INTEGER_RE, 1).try_cast("bigint"))
 
 
 def parse_price(c: Column | str) -> Column:
     """SCL-1: strip ``$``, ``,`` and whitespace; decimal text -> double; negatives kept."""
     t = F.regexp_replace(col(c).cast("string"), r"[$,\s]", "")
-    return F.when(t.rlike(DECIMAL_RE), t.try_cast("double"))
+    return _finite(t)
 
 
 def parse_date(c: Column | str) -> Column:

@@ -57,12 +57,6 @@ def conditional_means(df: DataFrame, flags: dict[str, str], value: str = "price"
     return out.withColumns({f"{label}_premium": F.col(f"with_{label}") - F.col(f"without_{label}") for label in flags})
 
 
-def cohort_means(df: DataFrame, key: str, values: dict[str, str]) -> DataFrame:
-    """AGG-7: mean per cohort; cohorts with a null mean are dropped."""
-    out = df.groupBy(key).agg(*[F.avg(c).alias(n) for n, c in values.items()])
-    return out.na.drop(how="any", subset=list(values))
-
-
 def occupancy_by_area(calendar: DataFrame, geography: DataFrame, area: str = "neighbourhood",
                       key: str = "listing_id", available: str = "available") -> DataFrame:
     """AGG-8: occupancy = not-available days / all days, and listings, per area.
@@ -111,7 +105,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     src = df.select(F.col(value).alias("v"), w.alias("w")).where(F.col("v").isNotNull() & (F.col("w") > 0))
     if upper_cut is not None:
         src = src.where(F.col("v") < upper_cut)
-    # (min, max) is ONE scalar subquery: computed once, used as a literal, no join.
+    # the rows are first counted per value, with map-side combine: bounds and bins both come
+    # from that, so whatever stands below (a join) is planned and run once
+    src = src.groupBy("v").agg(F.sum("w").alias("w"))
     bounds = src.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     withb = src.withColumns({"lo": bounds.getField("lo"), "hi": bounds.getField("hi")})
     # bin = floor((v - lo) / (hi - lo) * n) + 1, the max clipped into the last bin.
@@ -128,18 +124,23 @@ def histogram(df: DataFrame, value: str, bins: int = 50, upper_cut: float | None
     )
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False, quantiles: bool = True) -> DataFrame:
-    """AGG-14: per-column profile in ONE aggregation, unpivoted to (column, metric, value).
+def profile(df: DataFrame, columns: list[str] | None = None, quantiles: bool = True) -> DataFrame:
+    """AGG-14: per-column profile, unpivoted to (column_name, metric, value).
 
-    count, nulls, distinct, min, max, mean, std, zeros, p25/p50/p75 for
-    numeric columns; count, nulls, distinct for others. ``exact`` switches
-    ``approx_count_distinct`` / ``percentile_approx`` to exact forms.
+    count, nulls, distinct, min, max, mean, std, zeros and quantiles p05, p25, p50,
+    p75, p95 for numeric columns; count, nulls, distinct for others. Everything but
+    the distinct counts is one scan with map-side aggregates; quantiles come from
+    mergeable sketches (``percentile_approx``, relative rank error 1 / 100,000, about
+    a megabyte a column).
+    Exact distinct counts of all columns come from one stacked (column, value)
+    count, so no row is copied once per column by a multi-distinct plan.
     """
     cols = columns or df.columns
     types = dict(df.dtypes)
     numeric = {"double", "float", "int", "bigint", "smallint", "tinyint"}
     aggs: list[Column] = []
     metrics: list[tuple[str, str, str]] = []
+    sketches: dict[str, Column] = {}
 
     def add(colname: str, metric: str, expr: Column):
         alias = f"__m{len(aggs)}"
@@ -150,7 +151,6 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
         x = F.col(c)
         add(c, "count", F.count(x))
         add(c, "nulls", F.count_if(x.isNull()))
-        add(c, "distinct", F.count_distinct(x) if exact else F.approx_count_distinct(x))
         if types.get(c) in numeric:
             add(c, "min", F.min(x))
             add(c, "max", F.max(x))
@@ -158,13 +158,34 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
             add(c, "std", F.stddev_samp(x))
             add(c, "zeros", F.count_if(x == 0))
             if quantiles:
-                # Approximate quantiles: bounded sketches merge map-side. (An exact
-                # global percentile would hold every value in one task.)
-                for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
-                    add(c, name, F.percentile_approx(x, q, 10000))
-    one = df.agg(*aggs)
-    entries = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(a).alias("value")) for c, m, a in metrics]
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+                sketches[c] = F.percentile_approx(x, [q / 100 for q in QUANTILES], 100_000).alias(f"__q{len(sketches)}")
+    one = df.agg(*aggs, *sketches.values())
+    values = [(c, m, F.col(a)) for c, m, a in metrics]
+    values += [(c, f"p{q:02d}", F.get(f"__q{i}", F.lit(j)).cast("double")) for i, c in enumerate(sketches) for j, q in enumerate(QUANTILES)]
+    entries = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), v.alias("value")) for c, m, v in values]
+    rows = one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    names = spark_names(df, cols)
+    distinct = _stacked(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("column_name").agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    distinct = names.join(distinct, "column_name", "left").select("column_name", F.lit("distinct").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    return rows.unionByName(distinct)
+
+
+#: Per cent.
+QUANTILES = (5, 25, 50, 75, 95)
+
+
+def spark_names(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per column name (a plan literal of schema size)."""
+    return df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+
+
+def _stacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value) pairs of all non-null values, as text."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+    ]))
+    return df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
@@ -177,10 +198,7 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
-    ]))
-    stacked = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+    stacked = _stacked(df, columns)
     counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
     w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc())
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -55,21 +55,40 @@ def pair_counts(fact: DataFrame, dim: DataFrame, key: str, groups_dim: list[str]
     return j.groupBy(*groups_dim).agg(F.sum(F.col("__nf") * F.col("__nd")).cast("long").alias(count_name))
 
 
-def pair_moments(fact: DataFrame, dim: DataFrame, key: str, y: Column, x: Column, groups_dim: list[str] | None = None) -> DataFrame:
-    """Sufficient statistics of (x from dim, y from fact) over the join pairs with
-    both values present: n, sum x, sum y, sum x^2, sum y^2, sum xy (per dim group)."""
+def pair_moments(fact: DataFrame, dim: DataFrame, key: str, ys: dict[str, Column], x: Column,
+                 groups_dim: list[str] | None = None) -> DataFrame:
+    """Centred moments of (x from dim, each y from fact) over the join pairs with both
+    values present, one row per target (and dim group): target, n, mean_x, mean_y,
+    sxx, syy, sxy, where the last three are sums of products of deviations.
+
+    Sums of squares cancel when values are large against their spread, so nothing
+    here is ever squared before it is centred: each key brings its count, mean and
+    sum of squared deviations, and these are merged around the group's own means
+    (the merge of Chan, Golub and LeVeque). The group means are a small table.
+    """
     groups_dim = groups_dim or []
-    f = fact.where(y.isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("__c"), F.sum(y.cast("double")).alias("__sy"),
-        F.sum(y.cast("double") * y.cast("double")).alias("__syy"))
-    d = dim.where(x.isNotNull()).groupBy(key, *groups_dim, x.alias("__x")).agg(F.count(F.lit(1)).alias("__k"))
-    j = f.join(d, key)
-    w = F.col("__k") * F.col("__c")
-    return j.groupBy(*groups_dim).agg(
-        F.sum(w).cast("long").alias("n"),
-        F.sum(w * F.col("__x")).alias("sx"),
-        F.sum(F.col("__k") * F.col("__sy")).alias("sy"),
-        F.sum(w * F.col("__x") * F.col("__x")).alias("sxx"),
-        F.sum(F.col("__k") * F.col("__syy")).alias("syy"),
-        F.sum(F.col("__k") * F.col("__x") * F.col("__sy")).alias("sxy"),
+    aggs = []
+    for t, y in ys.items():
+        v = y.cast("double")
+        aggs += [F.count(v).alias(f"__c_{t}"), F.avg(v).alias(f"__m_{t}"), (F.var_pop(v) * F.count(v)).alias(f"__q_{t}")]
+    f = fact.groupBy(key).agg(*aggs)
+    d = dim.where(x.isNotNull()).groupBy(key, *groups_dim, x.cast("double").alias("__x")).agg(F.count(F.lit(1)).alias("__k"))
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(f"__c_{t}").alias("c"), F.col(f"__m_{t}").alias("m"), F.col(f"__q_{t}").alias("q")) for t in ys
+    ]))
+    j = f.join(d, key).select(*groups_dim, "__x", "__k", entries.alias("e")).select(*groups_dim, "__x", "__k", "e.*").where(F.col("c") > 0)
+    w = (F.col("__k") * F.col("c")).cast("double")
+    by = ["target", *groups_dim]
+    means = j.groupBy(*by).agg((F.sum(w * F.col("__x")) / F.sum(w)).alias("mean_x"), (F.sum(w * F.col("m")) / F.sum(w)).alias("mean_y"))
+    # one map value for all groups (few: targets times dim groups): no second join of the keys
+    label = F.to_json(F.struct(*by))
+    lookup = means.agg(F.map_from_entries(F.collect_list(F.struct(label.alias("k"), F.struct("mean_x", "mean_y").alias("v"))))).scalar()
+    j = j.withColumn("__g", F.element_at(lookup, label))
+    j = j.withColumns({"mean_x": F.col("__g.mean_x"), "mean_y": F.col("__g.mean_y")})
+    dx, dy = F.col("__x") - F.col("mean_x"), F.col("m") - F.col("mean_y")
+    return j.groupBy(*by, "mean_x", "mean_y").agg(
+        F.sum(F.col("__k") * F.col("c")).cast("long").alias("n"),
+        F.sum(w * dx * dx).alias("sxx"),
+        F.sum(F.col("__k") * F.col("q") + w * dy * dy).alias("syy"),
+        F.sum(w * dx * dy).alias("sxy"),
     )

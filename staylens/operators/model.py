@@ -1,12 +1,12 @@
 """Price model (ML-2 .. ML-12) on Spark ML.
 
 * ML-2 label encoding: ``StringIndexer(stringOrderType="alphabetAsc")`` -- codes
-  are alphabetical like the source's encoder; unseen labels raise on scoring
-  (``handleInvalid="error"``) unless a caller asks to skip them.
+  are alphabetical like the source's encoder. A request with a label the model
+  has not seen is returned unscored, it does not fail the other requests.
 * ML-3 split: hash of the listing id (partition independent, stable on retry).
 * ML-4 boosted trees: ``GBTRegressor`` with the source's depth, rate, row and
-  feature subsampling and minimum child size; ``max_iter`` is a parameter
-  (the source uses 500 trees; the registered queries use 20 to stay quick).
+  feature subsampling, minimum child size and number of trees (500); bins are
+  derived from the fitted vocabularies, so any number of areas can be learned.
 * ML-9 attribution: sampled Shapley values, computed as ONE batch
   ``transform`` over (request x permutation x prefix) rows; each permutation
   is paired with one background row drawn by hash from the training set, so
@@ -26,23 +26,28 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor  # noqa: F401  (re-exported for queries)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.values import NIGHTS_PER_MONTH, PRICE_FLOOR
 from staylens.operators.features import BOOL_FEATURES, FEATURE_COLS
+from staylens.operators.joins import lookup_with_default, per_label_rows
 from staylens.operators.sampling import hash_key, train_test_split
+from staylens.operators.windows import rank_within, top_n
+
+#: PRJ-6: what a request that leaves a feature open is priced with.
+REQUEST_DEFAULTS = {"accommodates": 2.0, "bedrooms": 1.0, "bathrooms": 1.0, "beds": 1.0, "amenity_count": 0.0}
 
 
 @dataclass
 class GBTParams:
-    max_iter: int = 20
+    max_iter: int = 500
     max_depth: int = 6
     step_size: float = 0.05
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     min_instances_per_node: int = 5
-    max_bins: int = 128
+    max_bins: int = 128  # at least; a categorical feature with more labels raises it
     seed: int = 42
     checkpoint_interval: int = 10  # cuts lineage in spark.checkpoint.dir during boosting
     cache_node_ids: bool = True  # node ids cached per row instead of re-walking trees each iteration
@@ -57,16 +62,19 @@ def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
     ]
 
 
-def price_pipeline(params: GBTParams, feature_cols: list[str] = FEATURE_COLS) -> Pipeline:
+def fit_price_pipeline(train: DataFrame, params: GBTParams, feature_cols: list[str] = FEATURE_COLS) -> PipelineModel:
+    """Encoders and assembler first; the trees' bins then cover the largest fitted vocabulary."""
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
+    prep = Pipeline(stages=[*encoders(), assembler]).fit(train)
+    labels = max(len(s.labelsArray[0]) for s in prep.stages[:2])
     gbt = GBTRegressor(
         featuresCol="features", labelCol="price", predictionCol="prediction", maxIter=params.max_iter,
         maxDepth=params.max_depth, stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
         featureSubsetStrategy=params.feature_subset, minInstancesPerNode=params.min_instances_per_node,
-        maxBins=params.max_bins, seed=params.seed, checkpointInterval=params.checkpoint_interval,
+        maxBins=max(params.max_bins, labels), seed=params.seed, checkpointInterval=params.checkpoint_interval,
         cacheNodeIds=params.cache_node_ids,
     )
-    return Pipeline(stages=[*encoders(), assembler, gbt])
+    return PipelineModel(stages=[*prep.stages, gbt.fit(prep.transform(train))])
 
 
 def regression_metrics(pred: DataFrame, label: str = "price", prediction: str = "prediction") -> DataFrame:
@@ -98,7 +106,7 @@ def train_price_model(features: DataFrame, params: GBTParams | None = None, test
     """ML-3 + ML-4 + ML-6: hash split, fit, evaluate on the hold-out."""
     params = params or GBTParams()
     train, test = train_test_split(features, "listing_id", test_pct)
-    model = price_pipeline(params).fit(train)
+    model = fit_price_pipeline(train, params)
     metrics = regression_metrics(model.transform(test)).first().asDict()
     room_types = list(model.stages[0].labelsArray[0])
     boroughs = list(model.stages[1].labelsArray[0])
@@ -128,13 +136,19 @@ def _spark():
 def request_features(requests: DataFrame, borough_col: str = "borough") -> DataFrame:
     """Model input columns from a request table (PRJ-6 defaults, booleans as 0/1)."""
     out = requests.withColumn("neighbourhood", F.col(borough_col))
+    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in REQUEST_DEFAULTS.items()})
     return out.withColumns({b: F.coalesce(F.col(b).cast("int"), F.lit(0)) for b in BOOL_FEATURES})
 
 
-def estimate(tm: TrainedModel, requests: DataFrame) -> DataFrame:
-    """ML-8: prediction with a +-MAE band, the lower end floored at 10."""
-    pred = tm.model.transform(request_features(requests))
-    mae = F.lit(tm.mae)
+def known_labels(tm: TrainedModel, requests: DataFrame, borough: bool = True) -> Column:
+    """Whether the model has seen a request's room type (and borough)."""
+    seen = F.col("room_type").isin(tm.room_types)
+    return F.coalesce(seen & F.col("borough").isin(tm.boroughs) if borough else seen, F.lit(False))
+
+
+def price_band(pred: DataFrame, mae: Column | float) -> DataFrame:
+    """ML-8 arithmetic: a +-MAE band around ``prediction``, the lower end floored at 10."""
+    mae = mae if isinstance(mae, Column) else F.lit(mae)
     return pred.select(
         "request_id", "borough", "room_type", F.col("prediction").alias("predicted_price"),
         F.greatest(F.lit(float(PRICE_FLOOR)), F.col("prediction") - mae).alias("price_low"),
@@ -142,23 +156,37 @@ def estimate(tm: TrainedModel, requests: DataFrame) -> DataFrame:
     )
 
 
+def estimate(tm: TrainedModel, requests: DataFrame) -> DataFrame:
+    """ML-8: prediction with its band; requests with an unseen label come back unscored (nulls)."""
+    known = known_labels(tm, requests)
+    scored = price_band(tm.model.transform(request_features(requests.where(known))), tm.mae)
+    null = F.lit(None).cast("double")
+    rest = requests.where(~known).select("request_id", "borough", "room_type", null.alias("predicted_price"), null.alias("price_low"), null.alias("price_high"))
+    return scored.unionByName(rest)
+
+
 def borough_comparison(tm: TrainedModel, requests: DataFrame, occupancy: DataFrame, default_occ: float = 0.45) -> DataFrame:
     """ML-12 (JOIN-6 -> ML-8 -> JOIN-7 -> WIN-4): the configuration scored in every
-    borough the model knows, x that borough's occupancy x 30, ranked per request."""
-    occ = occupancy.select(F.col("borough").alias("__b"), F.col("occupancy_rate").alias("__occ"))
-    req = requests.withColumnRenamed("borough", "selected_borough")
-    req = req.join(occ, req.selected_borough == occ.__b, "left").withColumnRenamed("__occ", "__occ_selected").drop("__b")
-    expanded = req.withColumn("borough", F.explode(F.array(*[F.lit(b) for b in tm.boroughs])))
-    scored = tm.model.transform(request_features(expanded))
-    scored = scored.join(occ, scored.borough == occ.__b, "left")
-    occ_b = F.coalesce(F.col("__occ"), F.col("__occ_selected"), F.lit(default_occ))
+    borough the model knows, x that borough's occupancy x 30, ranked per request.
+    Requests with a room type the model has not seen can't be scored and are left out."""
+    expanded = per_label_rows(requests.where(known_labels(tm, requests, borough=False)).withColumnRenamed("borough", "selected_borough"), tm.boroughs, "borough")
+    return rank_boroughs(tm.model.transform(request_features(expanded)), occupancy, default_occ)
+
+
+def rank_boroughs(scored: DataFrame, occupancy: DataFrame, default_occ: float = 0.45) -> DataFrame:
+    """ML-12 arithmetic on (request_id, selected_borough, borough, prediction): the
+    borough's occupancy, else the selected borough's, else the default (JOIN-7);
+    revenue of a month; rank per request (WIN-4)."""
+    selected = occupancy.select(F.col("borough").alias("selected_borough"), F.col("occupancy_rate").alias("__selected"))
+    scored = scored.join(selected, "selected_borough", "left")
+    scored = lookup_with_default(scored, occupancy, "borough", "occupancy_rate", F.col("__selected"), default_occ)
+    occ_b = F.col("occupancy_rate")
     out = scored.select(
         "request_id", "borough", F.col("prediction").alias("predicted_price"), occ_b.alias("occupancy"),
         (F.col("prediction") * NIGHTS_PER_MONTH * occ_b).alias("monthly_revenue"),
         (F.col("borough") == F.col("selected_borough")).alias("selected"),
     )
-    w = Window.partitionBy("request_id").orderBy(F.col("monthly_revenue").desc(), F.col("borough"))
-    return out.withColumn("rank", F.row_number().over(w))
+    return rank_within(out, ["request_id"], [F.col("monthly_revenue").desc(), F.col("borough")])
 
 
 def background_rows(features_vec: DataFrame, n: int, seed: int = 7) -> list[list[float]]:
@@ -180,9 +208,14 @@ def permutations(n_features: int, n: int, seed: int = 11) -> list[list[int]]:
     return out
 
 
-def attribution(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 16,
+def attribution(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 32,
                 top_k: int = 12, seed: int = 11) -> DataFrame:
-    """ML-9 + WIN-6: per-request feature impacts (sampled Shapley), top ``k`` by |impact|."""
+    """ML-9 + WIN-6: per-request feature impacts (sampled Shapley), top ``k`` by |impact|.
+
+    ``std_error`` is the estimate's standard error over the ``n_perm`` sampled
+    permutations. Requests are dealt by id once, before they are expanded; the
+    windows and sums that follow all keep that partitioning.
+    """
     prep = PipelineModel(stages=tm.model.stages[:-1])
     gbt = tm.model.stages[-1]
     names = FEATURE_COLS
@@ -193,6 +226,7 @@ def attribution(tm: TrainedModel, requests: DataFrame, train_features: DataFrame
     bg = [bg[i % len(bg)] for i in range(n_perm)]
     perms = permutations(nf, n_perm, seed)
 
+    requests = requests.where(known_labels(tm, requests)).repartition("request_id")
     x = prep.transform(request_features(requests)).select("request_id", vector_to_array("features").alias("x"))
     perm_lit = F.array(*[F.array(*[F.lit(i) for i in p]) for p in perms])
     bg_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in bg])
@@ -211,13 +245,18 @@ def attribution(tm: TrainedModel, requests: DataFrame, train_features: DataFrame
     steps = pred.withColumn("delta", F.col("prediction") - F.lag("prediction").over(w)).where(F.col("k") > 0)
     names_lit = F.array(*[F.lit(n) for n in names])
     steps = steps.withColumn("feature", F.element_at(names_lit, F.element_at(F.col("perm"), F.col("k")) + 1))
-    impacts = steps.groupBy("request_id", "feature").agg((F.sum("delta") / n_perm).alias("impact"))
-    wk = Window.partitionBy("request_id").orderBy(F.abs(F.col("impact")).desc(), F.col("feature"))
-    top = impacts.withColumn("rank", F.row_number().over(wk)).where(F.col("rank") <= top_k)
+    impacts = steps.groupBy("request_id", "feature").agg(
+        (F.sum("delta") / n_perm).alias("impact"), (F.stddev_samp("delta") / n_perm**0.5).alias("std_error"))
+    return top_impacts(impacts, top_k)
+
+
+def top_impacts(impacts: DataFrame, k: int = 12) -> DataFrame:
+    """WIN-6: the ``k`` largest impacts by size per request (ties by feature), with their direction."""
+    top = top_n(impacts, ["request_id"], [F.abs(F.col("impact")).desc(), F.col("feature")], k)
     return top.withColumn("direction", F.when(F.col("impact") >= 0, F.lit("up")).otherwise(F.lit("down")))
 
 
-def attribution_totals(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 16,
+def attribution_totals(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 32,
                        seed: int = 11) -> DataFrame:
     """Additivity check: sum of all impacts vs prediction - mean background prediction."""
     full = attribution(tm, requests, train_features, n_perm, top_k=len(FEATURE_COLS), seed=seed)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.functions import derive, labels
-from staylens.sources.tables import broadcast_if_small, read_table, spread
+from staylens.sources.tables import read_table, spread
 
 AS_OF = "2024-06-01"
 CITY_BOUNDS = {"lat_min": 51.2, "lat_max": 51.8, "lon_min": -0.6, "lon_max": 0.4}
@@ -184,7 +184,7 @@ def listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    return o.join(c, o.o_custkey == c.c_custkey).join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def listings(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
@@ -228,7 +228,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hypothetical property per customer (the whole table)."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         *[F.expr(e).alias(k) for k, e in ATTR_REQUESTS.items()])
 
 

@@ -71,14 +71,14 @@ def dim_listings(listings: DataFrame) -> DataFrame:
 def dim_hosts(listings: DataFrame, one_row_per_host: bool = False) -> DataFrame:
     """DISTINCT host attribute rows with a host id (T7: a host may have several rows).
 
-    ``one_row_per_host`` keeps the row of the latest ``host_since`` per host via a
-    partially aggregated ``max_by`` (skew-safe) instead of a distinct.
+    ``one_row_per_host`` keeps the row of the latest ``host_since`` per host (ties: the
+    largest by the other columns in order) by a partially aggregated ``max``.
     """
     hosts = listings.select(*DIM_HOSTS).where(F.col("host_id").isNotNull())
     if not one_row_per_host:
         return hosts.distinct()
     others = [c for c in DIM_HOSTS if c != "host_id"]
-    picked = hosts.groupBy("host_id").agg(F.max_by(F.struct(*others), F.col("host_since")).alias("h"))
+    picked = hosts.groupBy("host_id").agg(F.max(F.struct(F.col("host_since").alias("__latest"), *others)).alias("h"))
     return picked.select("host_id", *[F.col(f"h.{c}").alias(c) for c in others])
 
 

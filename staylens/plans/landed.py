@@ -29,6 +29,15 @@ TEXT_LISTING_COLS = [
 ]
 
 
+#: Real exports have 18-digit ids; the landed text has them too, one apart, so that
+#: an id that passed through double would meet its neighbour.
+ID_BASE = 549_880_000_000_000_000
+
+
+def _long_id(name: str) -> F.Column:
+    return (F.col(name).cast("long") + F.lit(ID_BASE)).alias(name)
+
+
 def _money(c) -> F.Column:
     return F.when(c.isNotNull(), F.concat(F.lit("$"), F.format_number(c, 2)))
 
@@ -50,7 +59,9 @@ def raw_listing_text(spark: SparkSession, sf: str) -> DataFrame:
     types = dict(typed.dtypes)
     for c in TEXT_LISTING_COLS:
         col = F.col(c)
-        if c == "price":
+        if c == "id":
+            e = _long_id("id").cast("string")
+        elif c == "price":
             e = _money(col)
         elif c == "amenities":
             e = amen
@@ -71,13 +82,13 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = Non
     opts = {"header": True, "quote": '"', "escape": '"'}
     paths = {}
     cal = domain.calendar(spark, sf).select(
-        "listing_id", F.col("date").cast("string").alias("date"), _tf(F.col("available")).alias("available"),
+        _long_id("listing_id"), F.col("date").cast("string").alias("date"), _tf(F.col("available")).alias("available"),
         _plain_money(F.col("price")).alias("price"), _plain_money(F.col("adjusted_price")).alias("adjusted_price"),
         F.col("minimum_nights").cast("string").alias("minimum_nights"),
         F.col("maximum_nights").cast("string").alias("maximum_nights"),
     )
     rev = domain.raw_reviews(spark, sf).select(
-        "listing_id", "id", F.col("date").cast("string").alias("date"), "reviewer_id", "reviewer_name",
+        _long_id("listing_id"), _long_id("id"), F.col("date").cast("string").alias("date"), "reviewer_id", "reviewer_name",
         F.when(F.col("id") % 29 == 0, F.concat(F.col("comments"), F.lit("\nsecond line, with \"quotes\"")))
         .otherwise(F.col("comments")).alias("comments"),
     )

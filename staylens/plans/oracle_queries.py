@@ -151,17 +151,28 @@ SELECT 'total', CAST((SELECT COUNT(*) FROM dim_listings) + (SELECT COUNT(*) FROM
 """)
 
 
-def _profile_sql() -> str:
-    from staylens.plans.queries import PROFILE_COLUMNS
+# dim_listings, written out: name and whether it is numeric
+_DIM_LISTINGS = [
+    ("listing_id", 1), ("listing_name", 0), ("description", 0), ("neighborhood_overview", 0), ("picture_url", 0), ("property_type", 0),
+    ("property_type_std", 0), ("room_type", 0), ("accommodates", 1), ("bathrooms_text", 0), ("bathrooms", 1), ("bedrooms", 1), ("beds", 1),
+    ("amenities", 0), ("amenity_count", 1), ("has_wifi", 0), ("has_kitchen", 0), ("has_parking", 0), ("has_ac", 0), ("has_washer", 0),
+    ("has_tv", 0), ("has_elevator", 0), ("has_pool", 0), ("has_gym", 0), ("has_hot_tub", 0), ("has_breakfast", 0), ("is_pet_friendly", 0),
+    ("has_long_term_stays", 0), ("has_self_checkin", 0), ("price", 1), ("minimum_nights", 1), ("maximum_nights", 1),
+    ("number_of_reviews", 1), ("review_scores_rating", 1), ("review_scores_accuracy", 1), ("review_scores_cleanliness", 1),
+    ("review_scores_checkin", 1), ("review_scores_communication", 1), ("review_scores_location", 1), ("review_scores_value", 1),
+    ("instant_bookable", 0), ("host_id", 1),
+]
+
 
-    numeric = {"price", "bedrooms", "accommodates", "number_of_reviews", "review_scores_rating"}
+def _profile_sql() -> str:
     parts = []
-    for c in PROFILE_COLUMNS:
+    for c, numeric in _DIM_LISTINGS:
         metrics = [("count", f"COUNT({c})"), ("nulls", f"COUNT(*) FILTER (WHERE {c} IS NULL)"),
                    ("distinct", f"COUNT(DISTINCT {c})")]
-        if c in numeric:
+        if numeric:
             metrics += [("min", f"MIN({c})"), ("max", f"MAX({c})"), ("mean", f"AVG({c})"),
                         ("std", f"STDDEV_SAMP({c})"), ("zeros", f"COUNT(*) FILTER (WHERE {c} = 0)")]
+            metrics += [(f"p{q:02d}", f"quantile_disc({c}, {q / 100})") for q in (5, 25, 50, 75, 95)]
         for m, e in metrics:
             parts.append(f"SELECT '{c}' AS column_name, '{m}' AS metric, {r4(f'CAST({e} AS DOUBLE)')} AS value FROM dim_listings")
     return L("\nUNION ALL\n".join(parts))
@@ -453,22 +464,23 @@ UNION ALL SELECT 'neighbourhoods', true, CAST(COUNT(DISTINCT n_name) AS BIGINT)
 """
 
 SQL["ingest_summary"] = f"""
-SELECT 'london' AS city, 'bronze' AS layer, 'success' AS status,
+SELECT 'london' AS city, 'bronze' AS layer, 'success' AS status, CAST(4 AS BIGINT) AS datasets, true AS one_event_per_file,
   CAST((SELECT COUNT(*) FROM {_BASE}) + (SELECT COUNT(*) FROM lineitem) + (SELECT COUNT(*) FROM events)
        + (SELECT COUNT(DISTINCT n_name) FROM {_BASE}) AS BIGINT) AS rows
 UNION ALL
-SELECT 'london', 'bronze', 'skipped', CAST(NULL AS BIGINT)
+SELECT 'london', 'bronze', 'skipped', 4, true, CAST(NULL AS BIGINT)
 """
 
+# landed ids are 18 digits long
 SQL["silver_listings_csv"] = L("""
-SELECT id, price, room_type, property_type_std, host_since, host_tenure_years, COALESCE(bedrooms, 1.0) AS bedrooms,
+SELECT id + 549880000000000000 AS id, price, room_type, property_type_std, host_since, host_tenure_years, COALESCE(bedrooms, 1.0) AS bedrooms,
   COALESCE(beds, 1.0) AS beds, COALESCE(bathrooms, 1.0) AS bathrooms, price_per_bedroom, latitude, longitude,
   host_is_superhost, is_commercial_host, COALESCE(has_wifi, false) AS has_wifi, COALESCE(has_ac, false) AS has_ac,
   COALESCE(has_pool, false) AS has_pool, COALESCE(has_self_checkin, false) AS has_self_checkin, is_valid
 FROM v_flagged
 """)
 
-SQL["silver_calendar_csv"] = C("SELECT listing_id, date, available, price, is_weekend, month, year, is_valid FROM v_calendar")
+SQL["silver_calendar_csv"] = C("SELECT listing_id + 549880000000000000 AS listing_id, date, available, price, is_weekend, month, year, is_valid FROM v_calendar")
 
 SQL["neighbourhoods_clean"] = f"SELECT DISTINCT 'Region ' || CAST(n_regionkey AS VARCHAR) AS neighbourhood_group, n_name AS neighbourhood FROM {_BASE}"
 
@@ -496,10 +508,8 @@ SQL["silver_calendar_stream"] = SQL["silver_calendar_csv"]
 
 
 def _top_values_sql() -> str:
-    from staylens.plans.queries import TOP_VALUE_COLUMNS
-
     parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM dim_listings WHERE {c} IS NOT NULL"
-             for c in TOP_VALUE_COLUMNS]
+             for c, _ in _DIM_LISTINGS]
     return L(f"""
 SELECT column_name, value, count, rank FROM (
   SELECT column_name, value, CAST(COUNT(*) AS BIGINT) AS count,
@@ -511,3 +521,114 @@ SELECT column_name, value, count, rank FROM (
 
 
 SQL["profile_top_values"] = _top_values_sql()
+
+SQL["silver_reviews_csv"] = R(f"""
+SELECT listing_id, id, date, reviewer_id, comments, CAST(COALESCE(length(comments), 0) AS INTEGER) AS comment_length FROM (
+  SELECT listing_id + 549880000000000000 AS listing_id, id + 549880000000000000 AS id, date, reviewer_id,
+    CASE WHEN c IS NULL OR {_ws('c')} IN ('nan', 'None') THEN NULL ELSE {_ws('c')} END AS comments,
+    row_number() OVER (PARTITION BY listing_id, reviewer_id, date ORDER BY id NULLS LAST) AS rn
+  FROM (SELECT *, CASE WHEN id % 29 = 0 THEN comments || chr(10) || 'second line, with "quotes"' ELSE comments END AS c FROM v_reviews_raw) r
+) t WHERE rn = 1
+""")
+
+SQL["reordered_csv"] = C("SELECT listing_id, date, price FROM v_calendar")
+
+SQL["union_by_name"] = C("SELECT listing_id, date, price, CASE WHEN listing_id % 3 = 2 THEN NULL ELSE available END AS available FROM v_calendar")
+
+SQL["silver_listings_write"] = L("""
+SELECT 'full' AS written, room_type, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(id) AS BIGINT) AS id_sum FROM v_flagged GROUP BY room_type
+UNION ALL
+SELECT 'clean', room_type, CAST(COUNT(*) AS BIGINT), CAST(SUM(id) AS BIGINT) FROM v_valid GROUP BY room_type
+""")
+
+SQL["resolved_source"] = C("""
+SELECT 'preferred' AS rule, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(listing_id) AS BIGINT) AS id_sum FROM v_calendar WHERE listing_id % 5 = 2
+UNION ALL
+SELECT 'first', CAST(COUNT(*) AS BIGINT), CAST(SUM(listing_id) AS BIGINT) FROM v_calendar WHERE listing_id % 5 = 0
+""")
+
+SQL["latest_event"] = """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+) t WHERE rn = 1
+"""
+
+# ---------------------------------------------------------------- p-values by Simpson's rule
+
+
+def _p_sql(t: str, v: str) -> str:
+    """Two-sided tail of the t density: with t = sqrt(v) tan(a) it is proportional to cos(a)^(v - 1)."""
+    start, end = f"atan(abs({t}) / sqrt({v}))", f"LEAST(pi() / 2, atan(abs({t}) / sqrt({v})) + 14 / sqrt({v}))"
+    f = f"(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(({v} - 1) * ln(GREATEST(cos({start} + i * ({end} - {start}) / 4000), 1e-300)))"
+    return (f"(SELECT 2 * exp(lgamma(({v} + 1) / 2) - lgamma({v} / 2)) / sqrt(pi()) * ({end} - {start}) / 12000 * SUM({f}) "
+            "FROM range(4001) AS s(i))")
+
+
+def _significance_sql(t: str, v: str, columns: str, src: str) -> str:
+    return f"SELECT {columns}, {r4('p')} AS p_value, p < 0.05 AS significant FROM (SELECT *, {_p_sql(t, v)} AS p FROM {src}) q"
+
+
+_FITS = "\nUNION ALL\n".join(f"""SELECT '{label}' AS target, CAST(regr_count({y}, x) AS BIGINT) AS n, regr_slope({y}, x) AS slope,
+  regr_slope({y}, x) / sqrt(GREATEST(regr_syy({y}, x) - regr_slope({y}, x) * regr_sxy({y}, x), 0) / (regr_count({y}, x) - 2) / regr_sxx({y}, x)) AS t_stat,
+  CAST(regr_count({y}, x) - 2 AS DOUBLE) AS dof
+FROM {_TEN} t""" for label, y in (("price", "price"), ("rating", "rating")))
+SQL["ols_significance"] = L(_significance_sql("t_stat", "dof", f"target, n, {r4('slope')} AS slope, {r4('t_stat')} AS t_stat", f"({_FITS}) f"))
+
+SQL["welch_pvalue"] = L(_significance_sql("t_stat", "dof", f"n1, n2, {r4('t_stat')} AS t_stat, {r4('dof')} AS dof", """(
+  SELECT n1, n2, (mean1 - mean2) / sqrt(var1 / n1 + var2 / n2) AS t_stat,
+    (var1 / n1 + var2 / n2) * (var1 / n1 + var2 / n2) / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var2 / n2) * (var2 / n2) / (n2 - 1)) AS dof
+  FROM (
+    SELECT CAST(COUNT(*) FILTER (WHERE s) AS BIGINT) AS n1, CAST(COUNT(*) FILTER (WHERE NOT s) AS BIGINT) AS n2,
+      AVG(price) FILTER (WHERE s) AS mean1, AVG(price) FILTER (WHERE NOT s) AS mean2,
+      VAR_SAMP(price) FILTER (WHERE s) AS var1, VAR_SAMP(price) FILTER (WHERE NOT s) AS var2
+    FROM (SELECT l.price, h.host_is_superhost AS s FROM dim_listings l JOIN dim_hosts h ON l.host_id = h.host_id
+          WHERE l.price < 2000 AND h.host_is_superhost IS NOT NULL) d
+  ) a
+) w"""))
+
+# ---------------------------------------------------------------- model arithmetic on group means
+_SPLIT = f"""(SELECT *, CAST(('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS held FROM {_FEAT} f0)"""
+_MEANS = f"(SELECT neighbourhood, room_type, AVG(price) AS m FROM {_SPLIT} s WHERE NOT held GROUP BY 1, 2)"
+_OVERALL = f"(SELECT AVG(price) FROM {_SPLIT} s WHERE NOT held)"
+_METRICS = f"""(SELECT CAST(COUNT(*) AS BIGINT) AS n_test, sqrt(AVG((p - price) * (p - price))) AS rmse, AVG(abs(p - price)) AS mae,
+    1 - SUM((p - price) * (p - price)) / (VAR_POP(price) * COUNT(*)) AS r2
+  FROM (SELECT t.price, COALESCE(m.m, {_OVERALL}) AS p FROM {_SPLIT} t
+        LEFT JOIN {_MEANS} m ON t.neighbourhood = m.neighbourhood AND t.room_type = m.room_type WHERE t.held) e)"""
+SQL["mean_predictor_metrics"] = L(f"SELECT n_test, {r4('rmse')} AS rmse, {r4('mae')} AS mae, {r4('r2')} AS r2 FROM {_METRICS} q")
+
+SQL["mean_predictor_band"] = L(f"""
+SELECT request_id, borough, room_type, {r4('p')} AS predicted_price, {r4('GREATEST(10.0, p - mae)')} AS price_low, {r4('p + mae')} AS price_high,
+  abs(p - avg_price) < mae AS within_mae
+FROM (
+  SELECT r.request_id, r.borough, r.room_type, COALESCE(m.m, {_OVERALL}) AS p, (SELECT mae FROM {_METRICS} q) AS mae, c.avg_price
+  FROM ({_REQ}) r
+  LEFT JOIN {_MEANS} m ON r.borough = m.neighbourhood AND r.room_type = m.room_type
+  LEFT JOIN (SELECT request_id, AVG(price) AS avg_price FROM {_COMPS} c0 GROUP BY request_id) c ON r.request_id = c.request_id
+) b
+""")
+
+SQL["mean_predictor_boroughs"] = LC(f"""
+SELECT request_id, borough, {r4('p')} AS predicted_price, {r4('occ')} AS occupancy, {r4('p * 30 * occ')} AS monthly_revenue, selected,
+  CAST(row_number() OVER (PARTITION BY request_id ORDER BY p * 30 * occ DESC, borough) AS INTEGER) AS rank
+FROM (
+  SELECT r.request_id, b.borough, COALESCE(m.m, {_OVERALL}) AS p, COALESCE(o.occ, s.occ, 0.45) AS occ, b.borough = r.borough AS selected
+  FROM ({_REQ}) r CROSS JOIN (SELECT DISTINCT neighbourhood AS borough FROM {_MEANS} x) b
+  LEFT JOIN {_MEANS} m ON b.borough = m.neighbourhood AND r.room_type = m.room_type
+  LEFT JOIN (SELECT g.neighbourhood AS borough, CAST(COUNT(CASE WHEN NOT fc.available THEN 1 END) AS DOUBLE) / COUNT(*) AS occ
+             FROM fact_calendar fc JOIN dim_geography g ON fc.listing_id = g.listing_id WHERE length(g.neighbourhood) % 3 <> 0 GROUP BY 1) o ON b.borough = o.borough
+  LEFT JOIN (SELECT g.neighbourhood AS borough, CAST(COUNT(CASE WHEN NOT fc.available THEN 1 END) AS DOUBLE) / COUNT(*) AS occ
+             FROM fact_calendar fc JOIN dim_geography g ON fc.listing_id = g.listing_id WHERE length(g.neighbourhood) % 3 <> 0 GROUP BY 1) s ON r.borough = s.borough
+) t
+""")
+
+# the request's features, weighted 1, 2, 3 ... in this order
+_REQUEST_FEATURES = ["bedrooms", "bathrooms", "accommodates", "beds", "amenity_count", "has_wifi", "has_kitchen", "has_parking", "has_ac", "has_washer",
+                     "has_tv", "has_elevator", "has_pool", "has_gym", "has_hot_tub", "has_breakfast", "is_pet_friendly", "has_self_checkin"]
+_IMPACTS = "\nUNION ALL\n".join(
+    f"SELECT request_id, '{c}' AS feature, {r4(f'(CAST({c} AS DOUBLE) - (SELECT AVG(CAST({c} AS DOUBLE)) FROM ({_REQ}) a)) * {i + 1}')} AS impact FROM ({_REQ}) r"
+    for i, c in enumerate(_REQUEST_FEATURES))
+SQL["top_impacts"] = f"""
+SELECT request_id, feature, impact, rank, CASE WHEN impact >= 0 THEN 'up' ELSE 'down' END AS direction FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY abs(impact) DESC, feature) AS INTEGER) AS rank FROM ({_IMPACTS}) i
+) t WHERE rank <= 12
+"""

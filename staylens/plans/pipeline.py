@@ -17,6 +17,9 @@ from staylens.plans import bronze, gold, silver
 from staylens.sources import csv, metadata
 
 
+ALL_PHASES = ["bronze", "silver", "gold"]
+
+
 @dataclass
 class Layout:
     landing_dir: str
@@ -41,12 +44,13 @@ def _raw_inputs(spark: SparkSession, landing_dir: str, partitions: int | None) -
             out[name] = None
             continue
         multiline = name != "neighbourhoods"
-        out[name] = csv.read_landed_csv(spark, source, csv.header_schema(spark, path), partitions, multiline=multiline)
+        out[name] = csv.read_landed_csv(spark, source, None, partitions, multiline=multiline)
     return out
 
 
 def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout: Layout, force: bool = False,
         as_of: str | None = None, partitions: int | None = None) -> dict[str, dict]:
+    phases = [p for phase in phases for p in (ALL_PHASES if phase == "all" else [phase])]
     run_id = metadata.new_run_id()
     metadata.run_event(spark, layout.runs_path, run_id, city.name, phases, "running")
     results: dict[str, dict] = {}
@@ -55,7 +59,7 @@ def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout:
         try:
             if phase == "bronze":
                 detail = bronze.ingest_bronze(spark, layout.landing_dir, layout.log_path, layout.runs_path, city.name, force)
-                status = "success"
+                status = detail["status"]
             elif phase == "silver":
                 raw = _raw_inputs(spark, layout.landing_dir, partitions)
                 detail = silver.run_silver(spark, raw, layout.silver_dir, city, as_of, log=layout.log_path)
@@ -72,7 +76,8 @@ def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout:
                 raise ValueError(f"unknown phase {phase}")
             results[phase] = {"status": status, "duration_sec": round(time.time() - t0, 1), "detail": detail}
         except Exception as e:  # recorded; the next phase still runs
-            results[phase] = {"status": "failed", "error": str(e)[:500]}
-    final = "success" if all(r["status"] == "success" for r in results.values()) else "partial"
+            results[phase] = {"status": "failed", "error": str(e)}
+    states = {r["status"] for r in results.values()}
+    final = "success" if states <= {"success"} else "failed" if states == {"failed"} else "partial"
     metadata.run_event(spark, layout.runs_path, run_id, city.name, phases, final)
     return results

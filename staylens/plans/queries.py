@@ -28,7 +28,7 @@ from staylens.plans import bronze, domain, gold, landed, silver
 from staylens.session import shared_path
 from staylens.sources import csv as csv_source
 from staylens.sources import landing, metadata
-from staylens.sources.tables import memo_plan, read_table, session_key
+from staylens.sources.tables import memo_plan, read_table, session_key, union_all
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -291,23 +291,17 @@ def record_counts(spark, sf):
     })
 
 
-PROFILE_COLUMNS = ["price", "bedrooms", "accommodates", "number_of_reviews", "review_scores_rating", "room_type"]
-
-
 @query("profile")
 def profile(spark, sf):
-    """AGG-14: column profile of dim_listings (exact distinct; quantiles are approximate, left out here)."""
-    out = agg.profile(dim_listings(spark, sf), PROFILE_COLUMNS, exact=True, quantiles=False)
-    return out.select("column_name", "metric", r4("value"))
-
-
-TOP_VALUE_COLUMNS = ["room_type", "property_type_std", "bedrooms", "accommodates"]
+    """AGG-14: profile of all columns of dim_listings: exact distinct counts, sketched quantiles."""
+    return agg.profile(dim_listings(spark, sf)).select("column_name", "metric", r4("value"))
 
 
 @query("profile_top_values")
 def profile_top_values(spark, sf):
-    """AGG-14 top values: the 5 most frequent values of categorical dim_listings columns."""
-    return agg.top_values(dim_listings(spark, sf), TOP_VALUE_COLUMNS, 5)
+    """AGG-14 top values: the 5 most frequent values of every dim_listings column."""
+    d = dim_listings(spark, sf)
+    return agg.top_values(d, d.columns, 5)
 
 
 # ---------------------------------------------------------------- marts (PRJ-1, AGG-10, FLT-5)
@@ -383,7 +377,7 @@ def normalize_room_type_q(spark, sf):
 def unknown_labels_q(spark, sf):
     """SCL-4: up to 5 distinct unknown room types (a log sample: the limit is the feature)."""
     r = domain.raw_listings(spark, sf)
-    return labels.unknown_room_types(r.orderBy("room_type_text"), "room_type_text").orderBy("room_type_text")
+    return labels.unknown_room_types(r, "room_type_text")
 
 
 @query("normalize_property_type")
@@ -484,11 +478,8 @@ OLS_COLS = ["n", "slope", "intercept", "r", "r2", "stderr"]
 def _ols_tenure_fits(spark, sf):
     l = dim_listings(spark, sf).where((F.col("price") < 2000) & F.col("review_scores_rating").isNotNull())
     h = dim_hosts(spark, sf).where(F.col("host_tenure_years").isNotNull())
-    fits = []
-    for target, y in (("price", "price"), ("rating", "review_scores_rating")):
-        m = joinagg.pair_moments(l, h, "host_id", F.col(y), F.col("host_tenure_years"))
-        fits.append(stats.ols_from_moments(m).withColumn("target", F.lit(target)))
-    return fits[0].unionByName(fits[1])
+    ys = {"price": F.col("price"), "rating": F.col("review_scores_rating")}
+    return stats.ols_from_moments(joinagg.pair_moments(l, h, "host_id", ys, F.col("host_tenure_years")))
 
 
 @query("ols_tenure")
@@ -515,7 +506,7 @@ def ols_cohort_q(spark, sf):
 def _welch(spark, sf):
     l = dim_listings(spark, sf).where(F.col("price") < 2000)
     h = dim_hosts(spark, sf).where(F.col("host_is_superhost").isNotNull())
-    m = joinagg.pair_moments(l, h, "host_id", F.col("price"), F.lit(1.0), ["host_is_superhost"])
+    m = joinagg.pair_moments(l, h, "host_id", {"price": F.col("price")}, F.lit(1.0), ["host_is_superhost"])
     return stats.welch_from_moments(m, "host_is_superhost", True)
 
 
@@ -541,7 +532,7 @@ def feature_table(spark, sf):
     return features.feature_table(dim_listings(spark, sf), dim_geography(spark, sf))
 
 
-def trained_model(spark, sf, max_iter: int = 20) -> ml.TrainedModel:
+def trained_model(spark, sf, max_iter: int = 500) -> ml.TrainedModel:
     key = (*session_key(spark), sf, max_iter)
     if key not in _MODELS:
         _MODELS[key] = ml.train_price_model(feature_table(spark, sf), ml.GBTParams(max_iter=max_iter))
@@ -592,7 +583,7 @@ def attribution_q(spark, sf):
     """ML-9 + WIN-6: top-12 feature impacts per request (rows only)."""
     tm = trained_model(spark, sf)
     train = ml.train_test_split(feature_table(spark, sf), "listing_id")[0]
-    return ml.attribution(tm, domain.requests(spark, sf), train, n_perm=8)
+    return ml.attribution(tm, domain.requests(spark, sf), train)
 
 
 @query("borough_comparison")
@@ -621,18 +612,90 @@ def revenue_grid_q(spark, sf):
                        r4("booked_nights"), r4("monthly_revenue"), r4("annual_revenue"))
 
 
+# ---------------------------------------------------------------- model arithmetic on a deterministic predictor
+
+
+def _mean_prices(spark, sf):
+    """Mean price per (borough, room type) of the training split, for every row and request (JOIN-7: else the overall mean)."""
+    train, test = ml.train_test_split(feature_table(spark, sf), "listing_id")
+    means = train.groupBy("neighbourhood", "room_type").agg(F.avg("price").alias("__mean"))
+    overall = train.agg(F.avg("price").alias("m")).scalar()
+    return test, means, overall
+
+
+def _mean_prediction(spark, sf):
+    test, means, overall = _mean_prices(spark, sf)
+    return test.join(means, ["neighbourhood", "room_type"], "left").withColumn("prediction", F.coalesce(F.col("__mean"), overall))
+
+
+@query("mean_predictor_metrics")
+def mean_predictor_metrics_q(spark, sf):
+    """ML-6: RMSE, MAE and R2 of the group-mean predictor on the hold-out."""
+    m = ml.regression_metrics(_mean_prediction(spark, sf))
+    return m.select("n_test", r4("rmse"), r4("mae"), r4("r2"))
+
+
+def _requests_priced(spark, sf):
+    _, means, overall = _mean_prices(spark, sf)
+    req = domain.requests(spark, sf).select("request_id", "borough", "room_type")
+    means = means.withColumnRenamed("neighbourhood", "borough")
+    return req, means, overall
+
+
+@query("mean_predictor_band")
+def mean_predictor_band_q(spark, sf):
+    """ML-8 + AGG-16: the band around each request's group mean, and whether its comparables lie within the MAE."""
+    req, means, overall = _requests_priced(spark, sf)
+    pred = req.join(means, ["borough", "room_type"], "left").withColumn("prediction", F.coalesce(F.col("__mean"), overall))
+    mae = ml.regression_metrics(_mean_prediction(spark, sf)).select("mae").scalar()
+    band = ml.price_band(pred, mae)
+    within = joins.comparable_summary(comparables_q(spark, sf), band, mae).select("request_id", "within_mae")
+    out = band.join(within, "request_id", "left")
+    return out.select("request_id", "borough", "room_type", r4("predicted_price"), r4("price_low"), r4("price_high"), "within_mae")
+
+
+@query("mean_predictor_boroughs")
+def mean_predictor_boroughs_q(spark, sf):
+    """ML-12 + JOIN-6 + JOIN-7 + WIN-4: every request priced in every borough by its room type's group means, ranked by revenue.
+
+    Every third borough has no occupancy of its own, so all three fallbacks are used."""
+    req, means, overall = _requests_priced(spark, sf)
+    boroughs = means.select("borough").distinct()
+    labels_ = [r["borough"] for r in boroughs.orderBy("borough").collect()]  # an encoder's vocabulary
+    expanded = joins.per_label_rows(req.withColumnRenamed("borough", "selected_borough"), labels_, "borough")
+    scored = expanded.join(means, ["borough", "room_type"], "left").withColumn("prediction", F.coalesce(F.col("__mean"), overall))
+    occ = agg.occupancy_by_area(fact_calendar(spark, sf), dim_geography(spark, sf)).withColumnRenamed("neighbourhood", "borough")
+    occ = occ.where(F.length("borough") % 3 != 0)
+    out = ml.rank_boroughs(scored, occ, DEFAULT_OCCUPANCY)
+    return out.select("request_id", "borough", r4("predicted_price"), r4("occupancy"), r4("monthly_revenue"), "selected", "rank")
+
+
+@query("top_impacts")
+def top_impacts_q(spark, sf):
+    """WIN-6: of given impacts (each request's features against their mean, in price units) the 12 largest."""
+    names = [c for c in features.FEATURE_COLS if c not in ("room_type_enc", "neighbourhood_enc")]
+    req = ml.request_features(domain.requests(spark, sf))
+    means = req.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in names])).scalar()
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), ((F.col(c).cast("double") - means.getField(c)) * (i + 1)).alias("impact")) for i, c in enumerate(names)])
+    impacts = req.select("request_id", F.explode(entries).alias("e")).select("request_id", "e.*")
+    # rounded first: equal impacts must tie on both sides
+    out = ml.top_impacts(impacts.withColumn("impact", round_to(round_to(F.col("impact"), 9), 4)), 12)
+    return out.select("request_id", "feature", "impact", "rank", "direction")
+
+
 # ---------------------------------------------------------------- sources, sinks, ingestion (SRC-*, SNK-*, JOB-*)
 
-_LANDED: dict[str, dict] = {}
+_LANDED: dict[tuple, dict] = {}
 
 
 def landing_area(spark, sf) -> dict:
-    """Landed raw files for ``sf`` in the shared store (written once per process)."""
+    """Landed raw files for ``sf`` in the shared store (written once per session)."""
+    key = (*session_key(spark), sf)
     with _GOLD_LOCK:
-        if sf not in _LANDED:
+        if key not in _LANDED:
             folder = shared_path(spark, "landing")
-            _LANDED[sf] = {"folder": folder, "paths": landed.land(spark, sf, folder)}
-        return _LANDED[sf]
+            _LANDED[key] = {"folder": folder, "paths": landed.land(spark, sf, folder)}
+        return _LANDED[key]
 
 
 def _dataset(c="file_name"):
@@ -642,8 +705,12 @@ def _dataset(c="file_name"):
 @query("file_counts")
 def file_counts_q(spark, sf):
     """SRC-7 + SRC-8: landed files are non-empty; records per dataset."""
-    files = landing.landed_files(spark, landing_area(spark, sf)["folder"], "*.csv*")
-    counts = landing.file_record_counts(spark, [r.path for r in files.select("path").collect()])
+    folder = landing_area(spark, sf)["folder"]
+    files = landing.landed_files(spark, folder, "*.csv*")
+    counts, errors = landing.count_each(spark, [path for _, path, size, _ in landing.list_files(spark, folder, "*.csv*") if size])
+    if errors:
+        raise ValueError(f"unreadable files: {errors}")
+    counts = spark.createDataFrame(list(counts.items()), "path string, row_count long")
     j = files.join(counts, "path", "left").withColumn("dataset", _dataset())
     # per dataset (the number of part files depends on the cluster's partitioning)
     return j.groupBy("dataset").agg(
@@ -662,9 +729,13 @@ def _bronze_twice(spark, sf):
 def ingest_summary_q(spark, sf):
     """JOB-1 twice + AGG-15: first run ingests every file, the second skips them all (SRC-6)."""
     log, _ = _bronze_twice(spark, sf)
-    s = metadata.ingestion_summary(metadata.read_log(spark, log), "london")
-    # events per status equal the number of landed part files; rows are partition-independent
-    return s.select("city", "layer", "status", "rows")
+    history = metadata.read_log(spark, log)
+    s = metadata.ingestion_summary(history, "london")
+    # how many part files there are depends on the partitioning: events are held against the files, and counted by dataset
+    per = history.groupBy("city", "layer", "status").agg(
+        F.count_distinct("file_name").alias("files"), F.count_distinct(_dataset()).cast("long").alias("datasets"))
+    return s.join(per, ["city", "layer", "status"]).select(
+        "city", "layer", "status", "rows", "datasets", (F.col("events") == F.col("files")).alias("one_event_per_file"))
 
 
 @query("run_state")
@@ -691,7 +762,7 @@ def ingest_manifest_q(spark, sf):
 
 def _silver_listings_from_csv(spark, sf):
     path = landing_area(spark, sf)["paths"]["listings"]
-    raw = csv_source.read_landed_csv(spark, path, partitions=8)
+    raw = csv_source.read_landed_csv(spark, path)
     return silver.clean_listings(raw, silver.CityConfig(bounds=domain.CITY_BOUNDS), domain.AS_OF)
 
 
@@ -709,11 +780,71 @@ def silver_listings_csv_q(spark, sf):
 @query("silver_calendar_csv")
 def silver_calendar_csv_q(spark, sf):
     """SRC-2 + JOB-3: landed calendar text -> typed calendar with parts and flags."""
-    raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["calendar"], partitions=8)
+    raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["calendar"])
     c = silver.clean_calendar(raw)
     return c.select("listing_id", "date", "available", "price", "is_weekend", "month", "year", "is_valid")
 
 
+@query("silver_reviews_csv")
+def silver_reviews_csv_q(spark, sf):
+    """SRC-1 + JOB-4 end to end: landed review text (18-digit ids, quoted line ends) -> clean, deduplicated reviews."""
+    raw = csv_source.read_landed_csv(spark, landing_area(spark, sf)["paths"]["reviews"])
+    r = silver.clean_reviews(raw)
+    return r.select("listing_id", "id", "date", "reviewer_id", "comments", F.col("comment_length").cast("int").alias("comment_length"))
+
+
+@query("reordered_csv")
+def reordered_csv_q(spark, sf):
+    """SRC-2 by name: part files of one dataset with different column orders."""
+    c = domain.calendar(spark, sf).select("listing_id", F.col("date").cast("string").alias("date"), F.col("price").cast("string").alias("price"))
+    folder = shared_path(spark, "reordered")
+    even = F.col("listing_id") % 2 == 0
+    c.where(even).write.option("header", True).csv(f"{folder}/a")
+    c.where(~even).select("price", "listing_id", "date").write.option("header", True).csv(f"{folder}/b")
+    return silver.clean_calendar(csv_source.read_landed_csv(spark, f"{folder}/*")).select("listing_id", "date", "price")
+
+
+@query("union_by_name")
+def union_by_name_q(spark, sf):
+    """SET-1: the calendar in three chunks of different columns, put together by name."""
+    c = fact_calendar(spark, sf).select("listing_id", "date", "price", "available")
+    third = lambda i: F.pmod(F.col("listing_id"), F.lit(3)) == i
+    return union_all([c.where(third(0)), c.where(third(1)).select("price", "date", "listing_id", "available"), c.where(third(2)).drop("available")])
+
+
+@query("silver_listings_write")
+def silver_listings_write_q(spark, sf):
+    """SNK-2: all rows with flags and the valid subset, both written, then counted from the files."""
+    paths = silver.write_listings(quality.apply_flags(domain.listings(spark, sf), quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF)), shared_path(spark, "silver"))
+    full, clean = spark.read.parquet(paths["full"]), spark.read.parquet(paths["clean"])
+    one = lambda name, df: df.groupBy("room_type").agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum("id").cast("long").alias("id_sum")).withColumn("written", F.lit(name))
+    return one("full", full).unionByName(one("clean", clean)).select("written", "room_type", "rows", "id_sum")
+
+
+@query("resolved_source")
+def resolved_source_q(spark, sf):
+    """SRC-4: a folder with several candidate files; the preferred name is read, or else the first that fits."""
+    folder = shared_path(spark, "resolve")
+    c = domain.calendar(spark, sf).select("listing_id", F.col("date").cast("string").alias("date"))
+    for name, rows in (("a_calendar", c.where("listing_id % 5 = 0")), ("b_calendar", c.where("listing_id % 5 = 1")), ("zz_detailed", c.where("listing_id % 5 = 2"))):
+        rows.coalesce(1).write.option("header", True).csv(f"{folder}/tmp_{name}")
+        landing.rename_only_part(spark, f"{folder}/tmp_{name}", f"{folder}/flat/{name}.csv")
+    out = []
+    for label, preferred in (("preferred", ["none.csv", "zz_detailed.csv"]), ("first", ["none.csv"])):
+        path = csv_source.resolve_dataset(spark, f"{folder}/flat", preferred, "calendar", ".csv")
+        found = silver.clean_calendar(csv_source.read_landed_csv(spark, path))
+        out.append(found.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum("listing_id").cast("long").alias("id_sum")).withColumn("rule", F.lit(label)))
+    return union_all(out).select("rule", "rows", "id_sum")
+
+
+@query("latest_event")
+def latest_event_q(spark, sf):
+    """WIN-7: every user's latest event (ties by event id)."""
+    e = read_table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    latest = windows.latest_per_key(e.withColumn("at", F.struct("ts", "event_id")), ["user_id"], "at")
+    return latest.select("user_id", "event_id", "event_type", "value")
+
+
 @query("neighbourhoods_clean")
 def neighbourhoods_clean_q(spark, sf):
     """SRC-3 + PRJ-2 + JOB-5: plain CSV, standardized column names."""
@@ -741,9 +872,11 @@ def baseline_model_q(spark, sf):
     d = dim_listings(spark, sf).where(F.col("price") < 1500).select("listing_id", *cols).na.drop(how="any")
     d = d.withColumns({c: F.col(c).cast("int") for c in ["has_wifi", "has_ac"]})
     tr, te = ml.train_test_split(d, "listing_id")
+    # the source library's own defaults: 100 trees of depth 3, rate 0.1, no subsampling, leaves of 1
     pipe = ml.Pipeline(stages=[
         ml.VectorAssembler(inputCols=cols[1:], outputCol="features"),
-        ml.GBTRegressor(featuresCol="features", labelCol="price", seed=42),
+        ml.GBTRegressor(featuresCol="features", labelCol="price", seed=42, maxIter=100, maxDepth=3, stepSize=0.1, subsamplingRate=1.0,
+                        featureSubsetStrategy="all", minInstancesPerNode=1),
     ])
     return ml.regression_metrics(pipe.fit(tr).transform(te)).select("n_test", "r2")
 
@@ -766,5 +899,5 @@ def silver_calendar_stream_q(spark, sf):
     schema = csv_source.header_schema(spark, folder)
     target, ckpt = shared_path(spark, "silver_calendar_stream"), shared_path(spark, "stream_ckpt")
     incremental.ingest_available(spark, folder, schema, silver.clean_calendar, target, ckpt)
-    c = spark.read.parquet(target)
+    c = spark.read.parquet(target)  # one folder a batch; batch_id is a partition column
     return c.select("listing_id", "date", "available", "price", "is_weekend", "month", "year", "is_valid")

@@ -33,6 +33,8 @@ NUMERIC_COLS = [
 ]
 ID_COLS = ["id", "host_id"]
 BOOL_COLS = ["host_is_superhost", "host_identity_verified", "has_availability", "instant_bookable"]
+#: Datasets a city may come without; a missing file of any other one is a failure.
+OPTIONAL = {"neighbourhoods"}
 FILL_ONE = {"bedrooms": 1.0, "beds": 1.0, "bathrooms": 1.0}
 
 
@@ -61,7 +63,7 @@ def type_listings(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     if "amenities" in df.columns:
         parsed["amenities_list"] = parse.parse_amenities("amenities")
     parsed.update({c: parse.safe_double(c) for c in _present(df, NUMERIC_COLS)})
-    parsed.update({c: parse.safe_double(c).cast("long") for c in _present(df, ID_COLS)})
+    parsed.update({c: parse.safe_long(c) for c in _present(df, ID_COLS)})
     parsed.update({c: parse.decode_bool(c) for c in _present(df, BOOL_COLS)})
     df = df.withColumns(parsed)
     if "amenities_list" in df.columns:
@@ -98,7 +100,7 @@ def clean_calendar(raw: DataFrame) -> DataFrame:
     cast.update({c: parse.parse_price(c) for c in _present(df, ["price", "adjusted_price"])})
     cast.update({c: parse.safe_double(c) for c in _present(df, ["minimum_nights", "maximum_nights"])})
     if "listing_id" in df.columns:
-        cast["listing_id"] = parse.safe_double("listing_id").cast("long")
+        cast["listing_id"] = parse.safe_long("listing_id")
     df = df.withColumns(cast)
     if "date" in df.columns:
         df = df.withColumns(derive.calendar_parts("date"))
@@ -115,7 +117,7 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
         cast["comments"] = text.clean_comment("comments")
     for c in _present(df, ["listing_id", "reviewer_id", "id"]):
         if dict(df.dtypes)[c] == "string":
-            cast[c] = parse.safe_double(c).cast("long")
+            cast[c] = parse.safe_long(c)
     df = df.withColumns(cast)
     if "comments" in df.columns:
         df = df.withColumn("comment_length", text.text_length("comments"))
@@ -164,10 +166,10 @@ def run_silver(
     }
 
     def run_one(name, step):
-        if name not in raw or raw[name] is None:
-            if name == "listings":
-                summary[name] = {"status": "failed", "error": "no listings file"}
-                events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message="no listings file"))
+        if raw.get(name) is None:
+            if name not in OPTIONAL:
+                summary[name] = {"status": "failed", "error": f"no {name} file"}
+                events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message=f"no {name} file"))
             return
         t0 = time.time()
         try:
@@ -178,8 +180,8 @@ def run_silver(
             events.append(metadata.event(city.name, "silver", f"{name}.parquet", "success", file_path=path,
                                          row_count=rows, duration_sec=dur))
         except Exception as e:  # isolate datasets from each other
-            summary[name] = {"status": "failed", "error": str(e)[:500]}
-            events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message=str(e)[:500]))
+            summary[name] = {"status": "failed", "error": str(e)}
+            events.append(metadata.event(city.name, "silver", f"{name}.parquet", "failed", error_message=str(e)))
 
     # the datasets are independent jobs: submitted concurrently, each isolated
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:

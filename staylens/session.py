@@ -2,7 +2,8 @@
 
 Jobs never hard-code machine-local folders: shared locations (checkpoints,
 written intermediate tables) come from the session's ``spark.checkpoint.dir``.
-Only tests and local runs fall back to a scratch folder when it is unset.
+Only local-mode runs fall back to a scratch folder when it is unset; on a
+cluster that is an error.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="staylens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

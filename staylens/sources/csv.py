@@ -3,17 +3,19 @@
 Text is read with an explicit all-string schema (types are set by the silver
 step), quoted multi-line fields and doubled quotes, then the pandas NA tokens
 are nulled in one projection (T1). Gzip and multi-line files cannot be split,
-so one file is one task; ``repartition`` right after the read spreads the
-parsing and everything downstream over the cluster.
+so one file is one task; with few large files a ``repartition`` right after the
+read (``partitions``) spreads everything downstream over the cluster.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from staylens.functions.text import null_na_tokens
+from staylens.sources.tables import union_all
 
 
 def header_schema(spark: SparkSession, path: str, encoding: str = "UTF-8") -> StructType:
@@ -22,20 +24,46 @@ def header_schema(spark: SparkSession, path: str, encoding: str = "UTF-8") -> St
     return StructType([StructField(c, StringType(), True) for c in cols])
 
 
+def header_groups(spark: SparkSession, path: str, encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """Files by header line (one pass; a file's first line is its smallest row id).
+
+    Only distinct headers and, if they differ, the files of each come to the driver.
+    """
+    lines = spark.read.option("encoding", encoding).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.rtrim("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"))
+    heads = lines.where(F.col("block") == 0).groupBy("file").agg(F.min_by("line", "at").alias("line"))
+    distinct = heads.select("line").distinct().collect()
+    if len(distinct) < 2:
+        return {r["line"]: [path] for r in distinct}
+    out: dict[str, list[str]] = {}
+    for r in heads.collect():
+        out.setdefault(r["line"], []).append(r["file"])
+    return out
+
+
+def _read(spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool, encoding: str) -> DataFrame:
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", multiline)
+    return reader.option("quote", '"').option("escape", '"').option("encoding", encoding).option("mode", "PERMISSIVE").csv(path)
+
+
 def read_landed_csv(spark: SparkSession, path: str, schema: StructType | None = None, partitions: int | None = None,
                     multiline: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """SRC-1 / SRC-2 / SRC-3: headered CSV (gzip by extension) -> all-string frame, NA tokens nulled."""
-    schema = schema or header_schema(spark, path, encoding)
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """SRC-1 / SRC-2 / SRC-3: headered CSV (gzip by extension) -> all-string frame, NA tokens nulled.
+
+    Columns go by name: part files with other column orders are read by their own
+    headers and joined by name (a column that a file lacks is null there). With an
+    explicit ``schema`` every file must have these columns in this order; a
+    different header is an error, never a silent shift.
+    """
+    if schema is not None:
+        df = _read(spark, path, schema, multiline, encoding)
+    else:
+        frames = []
+        for files in header_groups(spark, path, encoding).values():
+            own = header_schema(spark, files[0], encoding)
+            frames.append(_read(spark, files if len(files) > 1 else files[0], own, multiline, encoding))
+        df = union_all(frames) if frames else _read(spark, path, header_schema(spark, path, encoding), multiline, encoding)
     df = null_na_tokens(df)
     if partitions:
         df = df.repartition(partitions)
@@ -53,7 +81,9 @@ def resolve_dataset(spark: SparkSession, folder: str, preferred: list[str], cont
         # file names only (no content); files of subfolders are not candidates
         files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder).select("path")
         files = files.where(~F.col("path").rlike(r"/_[^/]*$"))  # skip marker files such as _SUCCESS
-    except Exception:  # missing folder
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     rank = F.lit(len(preferred))

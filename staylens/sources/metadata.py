@@ -12,6 +12,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
@@ -62,11 +63,19 @@ def append_frame(events: DataFrame, log_path: str) -> None:
     events.select(*[F.col(f.name).cast(f.dataType) for f in INGESTION_LOG.fields]).write.mode("append").parquet(log_path)
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``; empty if nothing was written yet. Any other error is raised:
+    an unreadable log must not look like an empty one (everything would be ingested again)."""
     try:
-        return spark.read.schema(INGESTION_LOG).parquet(log_path)
-    except Exception:
-        return spark.createDataFrame([], INGESTION_LOG)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return _read_or_empty(spark, log_path, INGESTION_LOG)
 
 
 def new_run_id() -> str:
@@ -81,10 +90,7 @@ def run_event(spark: SparkSession, runs_path: str, run_id: str, city: str, phase
 
 
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(PIPELINE_RUNS).parquet(runs_path)
-    except Exception:
-        return spark.createDataFrame([], PIPELINE_RUNS)
+    return _read_or_empty(spark, runs_path, PIPELINE_RUNS)
 
 
 def run_state(runs: DataFrame) -> DataFrame:

@@ -71,12 +71,3 @@ def spread(df: DataFrame) -> DataFrame:
     partition count would make adaptive execution run those stages.)"""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a size check: at most ``max_rows`` rows (counted
-    with ``limit(max_rows + 1)``, so the check itself is bounded work on a table of
-    any size). Larger inputs get no hint and the planner / AQE chooses the join."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

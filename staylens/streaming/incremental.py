@@ -6,7 +6,7 @@ checkpoint: each landed file is processed once, reruns pick up only new
 files, and a lost executor replays from the checkpoint. ``availableNow``
 runs it as a bounded batch job (process everything new, then stop), which
 is how the pipeline is scheduled. Each micro-batch is cleaned by the same
-silver chain and appended to the silver table.
+silver chain and written to its own ``batch_id`` folder of the silver table.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ def landed_stream(spark: SparkSession, folder: str, schema: StructType, max_file
     return (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # another column order is an error, not a silent shift
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -31,15 +32,15 @@ def landed_stream(spark: SparkSession, folder: str, schema: StructType, max_file
 
 def ingest_available(spark: SparkSession, folder: str, schema: StructType, clean, target: str, checkpoint: str,
                      partition_by: list[str] | None = None) -> int:
-    """Clean every not-yet-seen landed file and append it to ``target``; returns batches run."""
+    """Clean every not-yet-seen landed file into ``target`` (partitioned by ``batch_id``); returns batches run."""
     batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = clean(null_na_tokens(batch))
-        w = out.write.mode("append")
+        w = out.write.mode("overwrite")  # a replayed batch replaces its own folder: nothing is written twice
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(target)
+        w.parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
         batches.append(batch_id)
 
     q = (

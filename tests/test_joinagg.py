@@ -41,15 +41,15 @@ def test_pair_counts(frames):
 
 def test_moments_ols_and_welch(frames):
     f, d = frames
-    m = joinagg.pair_moments(f, d, "k", F.col("price"), F.col("x"))
+    m = joinagg.pair_moments(f, d, "k", {"price": F.col("price")}, F.col("x"))
     got = stats.ols_from_moments(m).first()
     want = stats.ols(f.join(d, "k"), "price", "x").first()
     for c in ["n", "slope", "intercept", "r2", "r", "stderr"]:
         assert getattr(got, c) == pytest.approx(getattr(want, c), rel=1e-9)
     d2 = d.where(F.col("area").isNotNull())
-    mw = joinagg.pair_moments(f, d2, "k", F.col("price"), F.lit(1.0), ["area"])
+    mw = joinagg.pair_moments(f, d2, "k", {"price": F.col("price")}, F.lit(1.0), ["area"])
     gw = stats.welch_from_moments(mw, "area", "A").first()
-    ww = stats.welch_ttest(f.join(d2, "k"), "price", "area", "A").first()
+    ww = stats.welch_from_moments(stats.group_moments(f.join(d2, "k"), "price", "area"), "area", "A").first()
     for c in ["n1", "n2", "mean1", "mean2", "var1", "var2", "t_stat", "dof"]:
         assert getattr(gw, c) == pytest.approx(getattr(ww, c), rel=1e-9)
 
@@ -59,3 +59,22 @@ def test_no_pairs_materialized(frames):
     j = joinagg.weighted_pairs(f, d, "k", ["room"], ["area"], {"p": F.col("price")})
     # at most one row per (key, room, area): the hot key is not expanded
     assert j.where(F.col("k") == 0).count() <= 2 * 3
+
+
+def test_moments_do_not_cancel(spark):
+    """Values near 1e9 (and groups far apart) with a spread of 6: variances stay exact."""
+    rows = [(i % 50, 1e9 + i % 7) for i in range(700)] + [(50 + i % 50, float(i % 7)) for i in range(700)]
+    f = spark.createDataFrame(rows, "k long, price double")
+    d = spark.createDataFrame([(k, k < 50, 1e9 + k % 5) for k in range(100)], "k long, s boolean, x double")
+    w = stats.welch_from_moments(joinagg.pair_moments(f, d, "k", {"price": F.col("price")}, F.lit(1.0), ["s"]), "s", True).first()
+    assert w.var1 == pytest.approx(4.0 * 700 / 699, rel=1e-6) and w.var2 == pytest.approx(4.0 * 700 / 699, rel=1e-6)
+    assert w.mean1 == pytest.approx(1e9 + 3, abs=1e-6)
+    m = stats.ols_from_moments(joinagg.pair_moments(f, d, "k", {"a": F.col("price"), "b": F.col("price") * 2}, F.col("x"))).collect()
+    assert {r.target for r in m} == {"a", "b"} and all(r.n == 1400 for r in m)
+    near = f.where("k < 50")
+    fit = stats.ols_from_moments(joinagg.pair_moments(near, d, "k", {"a": F.col("price")}, F.col("x"))).first()
+    pairs = [(1e9 + k % 5, p) for k, p in rows[:700]]
+    mx, my = sum(x - 1e9 for x, _ in pairs) / 700, sum(y - 1e9 for _, y in pairs) / 700
+    sxy = sum((x - 1e9 - mx) * (y - 1e9 - my) for x, y in pairs)
+    sxx = sum((x - 1e9 - mx) ** 2 for x, _ in pairs)
+    assert fit.slope == pytest.approx(sxy / sxx, rel=1e-6, abs=1e-9)

@@ -40,10 +40,25 @@ def test_estimate_band(spark, trained):
         assert r.price_high == pytest.approx(r.predicted_price + trained.mae)
 
 
-def test_unseen_label_raises(spark, trained):
-    req = domain.requests(spark, SF).limit(1).withColumn("borough", F.lit("NOWHERE"))
-    with pytest.raises(Exception):
-        ml.estimate(trained, req).collect()
+def test_unseen_label_comes_back_unscored(spark, trained):
+    req = domain.requests(spark, SF).limit(3)
+    odd = req.limit(1).withColumn("borough", F.lit("NOWHERE")).withColumn("request_id", F.lit(-1).cast("long"))
+    out = {r.request_id: r.predicted_price for r in ml.estimate(trained, req.unionByName(odd)).collect()}
+    assert out.pop(-1) is None and len(out) == 3 and all(p is not None for p in out.values())
+    ids = {r.request_id for r in ml.attribution(trained, req.unionByName(odd), ml.train_test_split(Q.feature_table(spark, SF), "listing_id")[0], n_perm=2).collect()}
+    assert ids == set(out)
+
+
+def test_open_request_fields_are_defaulted(spark, trained):
+    req = domain.requests(spark, SF).limit(1)
+    empty = req.withColumn("bedrooms", F.lit(None).cast("double")).withColumn("accommodates", F.lit(None).cast("double"))
+    full = req.withColumn("bedrooms", F.lit(1.0)).withColumn("accommodates", F.lit(2.0))
+    assert ml.estimate(trained, empty).first().predicted_price == ml.estimate(trained, full).first().predicted_price
+
+
+def test_more_areas_than_bins(spark):
+    f = Q.feature_table(spark, SF).withColumn("neighbourhood", F.concat(F.lit("area "), (F.col("listing_id") % 150).cast("string")))
+    assert len(ml.train_price_model(f, ml.GBTParams(max_iter=1)).boroughs) > 128
 
 
 def test_borough_comparison(spark, trained):

@@ -26,7 +26,7 @@ def test_full_pipeline(spark, tmp_dir):
     from staylens.operators import quality
     want_valid = quality.valid_subset(quality.apply_flags(want, quality.listing_rules(domain.CITY_BOUNDS, domain.AS_OF)))
     assert clean.count() == want_valid.count()
-    assert clean.select("id").subtract(want_valid.select("id")).count() == 0
+    assert clean.select("id").subtract(want_valid.select(F.col("id") + landed.ID_BASE)).count() == 0
 
     # gold marts exist; the calendar fact is partitioned by year/month
     dl = spark.read.parquet(f"{lay.gold_dir}/dim_listings")
@@ -128,3 +128,92 @@ def test_flat_landing_layout(spark, tmp_dir):
     assert [(r.id, r.comments) for r in rev] == [(4, "dup")]
     nb = spark.read.parquet(f"{lay.silver_dir}/neighbourhoods.parquet")
     assert nb.columns == ["neighbourhood_group", "neighbourhood"]
+
+
+def _bronze(spark, tmp_dir, land_dir):
+    from staylens.plans import bronze
+
+    log, runs = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "runs")
+    out = bronze.ingest_bronze(spark, land_dir, log, runs, "london", source_url="https://example.org/data")
+    return out, {r.file_name: r for r in metadata.read_log(spark, log).orderBy("ingested_at").collect()}
+
+
+def test_bronze_sets_bad_files_apart(spark, tmp_dir):
+    import gzip
+
+    land_dir = os.path.join(tmp_dir, "landing")
+    os.makedirs(land_dir)
+    for name, text in (("good.csv", "a,b\n1,2\n3,4\n"), ("header.csv", "a,b\n"), ("empty.csv", "")):
+        with open(os.path.join(land_dir, name), "w") as f:
+            f.write(text)
+    with gzip.open(os.path.join(land_dir, "fine file.csv.gz"), "wt") as f:
+        f.write("a\n1\n")
+    with open(os.path.join(land_dir, "broken.csv.gz"), "wb") as f:
+        f.write(b"\x1f\x8b\x08\x00 not gzip at all")
+    out, log = _bronze(spark, tmp_dir, land_dir)
+    assert out["status"] == "partial"
+    assert {n: (r.status, r.row_count) for n, r in log.items()} == {
+        "good.csv": ("success", 2), "header.csv": ("success", 0), "empty.csv": ("failed", None), "fine file.csv.gz": ("success", 1), "broken.csv.gz": ("failed", None)}
+    assert log["empty.csv"].error_message == "empty file" and log["broken.csv.gz"].error_message
+    assert log["good.csv"].source_url == "https://example.org/data/good.csv" and log["good.csv"].duration_sec is not None
+
+    # mended files: the next run ends well, whatever the earlier one met
+    with open(os.path.join(land_dir, "empty.csv"), "w") as f:
+        f.write("a\n1\n")
+    with gzip.open(os.path.join(land_dir, "broken.csv.gz"), "wt") as f:
+        f.write("a\n1\n2\n")
+    out, log = _bronze(spark, tmp_dir, land_dir)
+    assert out["status"] == "success" and log["broken.csv.gz"].row_count == 2
+
+
+def test_missing_datasets_and_phase_alias(spark, tmp_dir):
+    land_dir = os.path.join(tmp_dir, "landing")
+    os.makedirs(land_dir)
+    with open(os.path.join(land_dir, "empty.csv"), "w"):
+        pass
+    import gzip
+
+    with gzip.open(os.path.join(land_dir, "listings_detailed_listings.csv.gz"), "wt") as f:
+        f.write('id,price,room_type,latitude,longitude,minimum_nights,availability_365\n1,"$1,200.00",entire home/apt,51.5,0.0,2,10\n')
+    lay = pipeline.Layout(land_dir, os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "g"), os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "runs"))
+    res = pipeline.run(spark, silver.CityConfig(), ["all"], lay)
+    assert list(res) == ["bronze", "silver", "gold"]
+    assert res["bronze"]["status"] == "partial"  # the empty file
+    detail = res["silver"]["detail"]
+    assert {k: v["status"] for k, v in detail.items()} == {"listings": "success", "calendar": "failed", "reviews": "failed"}
+    assert res["silver"]["status"] == "partial" and res["gold"]["status"] == "failed"
+    states = {r.phases: r.status for r in metadata.run_state(metadata.read_runs(spark, lay.runs_path)).collect()}
+    assert states["bronze,silver,gold"] == "partial"
+
+
+def test_columns_by_name(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "parts")
+    os.makedirs(src)
+    for name, text in (("a.csv", "id,price\n1,$5\n"), ("b.csv", "price,id,more\n$7,2,x\n")):
+        with open(os.path.join(src, name), "w") as f:
+            f.write(text)
+    got = {(r["id"], r["price"], r["more"]) for r in csv.read_landed_csv(spark, src).collect()}
+    assert got == {("1", "$5", None), ("2", "$7", "x")}
+
+
+def test_replayed_batch_is_not_written_twice(spark, tmp_dir):
+    src, target = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("listing_id,date\n1,2024-06-01\n")
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    st = StructType([StructField(c, StringType()) for c in ["listing_id", "date"]])
+    for ckpt in ("one", "two"):  # a lost checkpoint replays batch 0
+        incremental.ingest_available(spark, src, st, silver.clean_calendar, target, os.path.join(tmp_dir, ckpt))
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_long_ids_and_infinities(spark):
+    from staylens.functions import parse
+
+    rows = [("549880123456789013",), ("549880123456789012",), ("12.0",), (" 7 ",), ("1.5",), ("1e400",), ("99999999999999999999",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    assert [r[0] for r in df.select(parse.safe_long("t")).collect()] == [549880123456789013, 549880123456789012, 12, 7, None, None, None, None, None]
+    assert df.select(parse.safe_double("t").alias("x")).where("t = '1e400'").first().x is None
+    assert spark.createDataFrame([("$1e400",)], "t string").select(parse.parse_price("t").alias("x")).first().x is None
