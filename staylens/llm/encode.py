@@ -10,7 +10,7 @@ memory is bounded; that only costs time, never ids.
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 
@@ -98,7 +98,8 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted hashes, and the table row of each
+        self.row = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint16)
         self.begin = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
@@ -109,21 +110,26 @@ class WordEncoder:
 
     def encode(self, texts: words.Texts, found: words.Words | None = None, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (uint16), and the borders of each text's ids."""
-        if len(self.place) > self.most:
+        if len(self.known) > self.most:
             self.clear()
         found = found or words.scan(texts, self.table)
         h = words.hashes(texts.data, found.starts, found.ends) if h is None else h
         order = np.argsort(h)
         s = h[order]
         first = np.concatenate([[True], s[1:] != s[:-1]])[: len(s)]
-        distinct = s[first].tolist()
-        rows = np.array(list(map(self.place.get, distinct, repeat(-1))), np.int64)
+        distinct = s[first]
+        spot = np.searchsorted(self.known, distinct)
+        rows = np.full(len(distinct), -1)
+        inside = np.flatnonzero(spot < len(self.known))
+        hit = inside[self.known[spot[inside]] == distinct[inside]]
+        rows[hit] = self.row[spot[hit]]
         if len(new := np.flatnonzero(rows < 0)):
             at, raw = order[np.flatnonzero(first)[new]], texts.data.tobytes()
             ids, lens = self.new_ids([raw[a:b].decode() for a, b in zip(found.starts[at].tolist(), found.ends[at].tolist())])
             n = len(self.begin)
             rows[new] = np.arange(n, n + len(new))
-            self.place.update(zip([distinct[i] for i in new.tolist()], range(n, n + len(new))))
+            self.known = np.insert(self.known, spot[new], distinct[new])
+            self.row = np.insert(self.row, spot[new], rows[new])
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lens) - lens])
             self.count = np.concatenate([self.count, lens])
             self.flat = np.concatenate([self.flat, ids])

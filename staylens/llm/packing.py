@@ -36,7 +36,7 @@ from staylens.session import shared_path
 WINDOW = 2048
 UNIT = 16
 END_ID = 1
-SLICE = 4 << 20
+SLICE = 2 << 20
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, task int, slot long"
 
 
