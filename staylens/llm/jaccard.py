@@ -7,16 +7,22 @@ of their first ``n - ceil(t n) + 1`` shingles in an order that all sets use
 decides which order, any order gives the same links). A shingle's bucket holds
 the nodes that have it among these.
 
-1. In every bucket the smallest node is compared with all others. Groups of
-   near copies, whatever their size, become connected by as many comparisons as
-   they have members, and buckets with a single component are done.
+1. In every bucket one node, the one whose shingles are shared most, is compared
+   with all others. Groups of near copies, whatever their size, become connected
+   by as many comparisons as they have members, and buckets with a single
+   component are done.
 2. In the other buckets, signature trees find the remaining pairs: a leaf holds
-   a set's token bitmap (as wide as the set is large) and size, an inner node
-   the OR of its children's bitmaps and their size range. A pair of nodes is
-   followed only if the largest overlap that these allow reaches the
-   similarity, and only between different components. Buckets above ``CHUNK``
-   nodes are split into pairs of chunks, each a task's work of its own.
-3. Pairs that pass are decided exactly on their whole shingle sets.
+   a set's token bitmap and size, an inner node the OR of its children's bitmaps
+   and their size range. A pair of nodes is followed only if the largest overlap
+   that these allow reaches the similarity, and only between different
+   components. Pairs of leaves are held against a second bitmap, in which each
+   token flips its bit: two sets differ in at least as many tokens as these
+   bitmaps in bits. Buckets of up to ``LEAF`` nodes are a single leaf; buckets
+   above ``CHUNK`` nodes are split into pairs of chunks, each a piece of work of
+   its own.
+3. Pairs that pass are decided exactly on their whole shingle sets. Pairs are
+   dealt to the cells of a grid, so that a set travels to a row and a column of
+   cells at most, not once for each of its pairs.
 
 Links become components by smallest neighbour with pointer jumping. Documents
 without words have an empty set and no links. Rows are answered one by one:
@@ -42,6 +48,8 @@ SAMPLE_DOCS = 4_000
 MOST_FREQUENT = 200_000
 LEAF = 8
 CHUNK = 2_048
+MANY_ROWS = 40_000
+CELL = 4_096
 MOST_SENT = 500_000
 _SETS = "doc_id long, sid long, n int, token long, bits binary"
 
@@ -66,22 +74,31 @@ def shingles(texts: words.Texts, n: int) -> list[np.ndarray]:
 
 
 def width_of(n: int) -> int:
-    """Bits of a set's bitmap: a power of two from the set's size on, 64 at least."""
-    return max(64, 1 << (n - 1).bit_length())
+    """Bits of a set's bitmaps: a power of two from the set's size on, 128 at least."""
+    return max(128, 1 << (n - 1).bit_length())
 
 
-def bitmap(s: np.ndarray, width: int) -> np.ndarray:
-    """The set's bits as 64-bit words."""
-    out = np.zeros(width, bool)
-    out[(s & U(width - 1)).astype(np.int64)] = True
-    return np.packbits(out, bitorder="little").view("<u8")
+def bitmaps(s: np.ndarray) -> bytes:
+    """Two bitmaps of a set: half as many bits as ``width_of``, set where a token falls,
+    and ``width_of`` bits, flipped by each token that falls there."""
+    w = width_of(len(s))
+    counts = np.bincount((s & U(w - 1)).astype(np.int64), minlength=w)
+    half = (counts[: w // 2] + counts[w // 2 :]) > 0
+    return np.packbits(np.concatenate([half, counts % 2 > 0]), bitorder="little").tobytes()
 
 
-def fold(bits: np.ndarray, width: int) -> np.ndarray:
-    """Bitmaps (rows) folded to fewer bits."""
-    while bits.shape[1] * 64 > width:
+def split_bitmaps(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The two bitmaps of rows of one width, as 64-bit words."""
+    whole = np.frombuffer(b"".join(rows), "<u8").reshape(len(rows), -1)
+    cut = whole.shape[1] // 3
+    return whole[:, :cut], whole[:, cut:]
+
+
+def fold(bits: np.ndarray, words_: int, op=np.bitwise_or) -> np.ndarray:
+    """Bitmaps (rows) folded to fewer 64-bit words."""
+    while bits.shape[1] > words_:
         half = bits.shape[1] // 2
-        bits = bits[:, :half] | bits[:, half:]
+        bits = op(bits[:, :half], bits[:, half:])
     return bits
 
 
@@ -95,6 +112,11 @@ def allowed(overlap, a, b, percent: int):
     return (100 + percent) * overlap >= percent * (a + b)
 
 
+def few_differences(differ, a, b, percent: int):
+    """The same condition on the number of tokens that only one of the sets has."""
+    return (100 + percent) * differ <= (100 - percent) * (a + b)
+
+
 def _emit(n: int, percent: int, frequent) -> object:
     def run(batches):
         late = frequent.value
@@ -107,7 +129,7 @@ def _emit(n: int, percent: int, frequent) -> object:
                 for i, s in enumerate(shingles(texts, n)):
                     sid = signed(xxhash.xxh3_64_intdigest(s.tobytes()))
                     fresh = len(s) and sid not in seen
-                    for column, x in zip(out, (ids[texts.rows.start + i], sid, len(s), None, bitmap(s, width_of(len(s))).tobytes() if fresh else None)):
+                    for column, x in zip(out, (ids[texts.rows.start + i], sid, len(s), None, bitmaps(s) if fresh else None)):
                         column.append(x)
                     if not fresh:
                         continue
@@ -154,13 +176,8 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
 # ---- candidates
 
 
-def _overlaps(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """The largest overlap that bitmaps of one width allow: a token whose bit the other lacks is not shared."""
-    return np.minimum(na - np.bitwise_count(a & ~b).sum(axis=1), nb - np.bitwise_count(b & ~a).sum(axis=1))
-
-
 def close_enough(bits_a: list[bytes], bits_b: list[bytes], na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs may reach the similarity by their bitmaps and sizes."""
+    """Which pairs may reach the similarity by their sizes and flipped bits."""
     out = allowed(np.minimum(na, nb), na, nb, percent)
     la, lb = np.fromiter(map(len, bits_a), np.int64, len(bits_a)), np.fromiter(map(len, bits_b), np.int64, len(bits_b))
     for x, y in {(x, y) for x, y in zip(la[out].tolist(), lb[out].tolist())}:
@@ -168,21 +185,21 @@ def close_enough(bits_a: list[bytes], bits_b: list[bytes], na: np.ndarray, nb: n
         step = max(1, (4 << 20) // (x + y))
         for i in range(0, len(every), step):
             rows = every[i : i + step]
-            a = np.frombuffer(b"".join([bits_a[j] for j in rows]), "<u8").reshape(len(rows), -1)
-            b = np.frombuffer(b"".join([bits_b[j] for j in rows]), "<u8").reshape(len(rows), -1)
-            w = 8 * min(x, y)
-            out[rows] = allowed(_overlaps(fold(a, w), fold(b, w), na[rows], nb[rows]), na[rows], nb[rows], percent)
+            a, b = split_bitmaps([bits_a[j] for j in rows])[1], split_bitmaps([bits_b[j] for j in rows])[1]
+            w = min(a.shape[1], b.shape[1])
+            differ = np.bitwise_count(fold(a, w, np.bitwise_xor) ^ fold(b, w, np.bitwise_xor)).sum(axis=1, dtype=np.int64)
+            out[rows] = few_differences(differ, na[rows], nb[rows], percent)
     return out
 
 
 class Tree:
     """Levels of nodes over sets of one bitmap width, leaves sorted by size."""
 
-    def __init__(self, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, at: np.ndarray) -> None:
+    def __init__(self, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, flips: np.ndarray, at: np.ndarray) -> None:
         order = np.argsort(n, kind="stable")
         n, comp, bits = n[order], comp[order], bits[order]
-        self.at = at[order]
-        spare = n - np.bitwise_count(bits).sum(axis=1)  # tokens beyond a set's distinct bits
+        self.at, self.flips = at[order], flips[order]
+        spare = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)  # tokens beyond a set's distinct bits
         level = {"bits": bits, "least": n, "most": n, "spare": spare, "low": comp, "high": comp}
         self.levels = [level]
         while len(level["least"]) > 1:
@@ -190,15 +207,17 @@ class Tree:
             level = {k: op.reduceat(level[k], cut, axis=0) for k, op in (("bits", np.bitwise_or), ("least", np.minimum), ("most", np.maximum), ("spare", np.maximum), ("low", np.minimum), ("high", np.maximum))}
             self.levels.append(level)
 
-    def folded(self, width: int) -> list[np.ndarray]:
-        return [fold(x["bits"], width) for x in self.levels]
+    def folded(self, words_: int) -> list[np.ndarray]:
+        return [fold(x["bits"], words_) for x in self.levels]
 
 
 def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Leaf pairs that sizes, bitmaps and components allow (each once, if both are one tree)."""
     same = x is y
-    width = 64 * min(x.levels[0]["bits"].shape[1], y.levels[0]["bits"].shape[1])
+    width = min(x.levels[0]["bits"].shape[1], y.levels[0]["bits"].shape[1])
     bx, by = x.folded(width), y.folded(width)
+    width = min(x.flips.shape[1], y.flips.shape[1])
+    fx, fy = fold(x.flips, width, np.bitwise_xor), fold(y.flips, width, np.bitwise_xor)
     i, j = len(x.levels) - 1, len(y.levels) - 1
     a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
     found = [[], []]
@@ -219,11 +238,12 @@ def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(a):
             continue
         if i == 0 and j == 0:
-            keep = allowed(_overlaps(bx[0][a], by[0][b], lx["least"][a], ly["least"][b]), lx["least"][a], ly["least"][b], percent)
+            differ = np.bitwise_count(fx[a] ^ fy[b]).sum(axis=1, dtype=np.int64)
+            keep = few_differences(differ, lx["least"][a], ly["least"][b], percent)
             found[0].append(x.at[a[keep]])
             found[1].append(y.at[b[keep]])
             continue
-        common = np.bitwise_count(bx[i][a] & by[j][b]).sum(axis=1)
+        common = np.bitwise_count(bx[i][a] & by[j][b]).sum(axis=1, dtype=np.int64)
         most = np.minimum(np.minimum(common + lx["spare"][a], lx["most"][a]), np.minimum(common + ly["spare"][b], ly["most"][b]))
         keep = allowed(most, lx["least"][a], ly["least"][b], percent)
         a, b = a[keep], b[keep]
@@ -248,7 +268,7 @@ def forest_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], side: np.nd
     for s in np.unique(side):
         for w in np.unique(lens[side == s]):
             at = np.flatnonzero((side == s) & (lens == w))
-            trees[int(s), int(w)] = Tree(n[at].astype(np.int64), comp[at], np.frombuffer(b"".join([bits[i] for i in at]), "<u8").reshape(len(at), -1), at)
+            trees[int(s), int(w)] = Tree(n[at].astype(np.int64), comp[at], *split_bitmaps([bits[i] for i in at]), at)
     two = len(np.unique(side)) > 1
     out = [[], []]
     keys = sorted(trees)
@@ -265,42 +285,89 @@ def forest_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], side: np.nd
 _PAIR = "a long, b long"
 
 
+def _small_pairs(group: np.ndarray, last: np.ndarray, own: np.ndarray, mixed: np.ndarray, comp: np.ndarray, n: np.ndarray, percent: int):
+    """Pairs within buckets that are one leaf, all such buckets at once (rows lie bucket by bucket)."""
+    out = [[], []]
+    at = np.arange(len(group))
+    for step in range(1, LEAF):
+        a = at[at + step <= last]
+        if not len(a):
+            break
+        b = a + step
+        ok = (comp[a] != comp[b]) & allowed(np.minimum(n[a], n[b]), n[a], n[b], percent) & (~mixed[a] | (own[a] != own[b]))
+        out[0].append(a[ok])
+        out[1].append(b[ok])
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+
+
 def _tree_task(percent: int):
-    names = ["token", "i", "j", "sid", "comp", "n", "bits"]
-
-    def work(rows):
-        columns = [np.array(c) if k < 6 else list(c) for k, c in enumerate(zip(*rows))]
-        sid, comp, n, bits = columns[3], columns[4], columns[5], columns[6]
-        side = np.array([r[7] for r in rows]) if rows[0][1] != rows[0][2] else np.zeros(len(rows), int)
-        if len(np.unique(comp)) < 2:
-            return None
-        a, b = forest_pairs(n, comp, bits, side, percent)
-        a, b = sid[a], sid[b]
-        return np.stack([np.minimum(a, b), np.maximum(a, b)]) if len(a) else None
+    """Whole buckets (rows sorted by token, i, j), many at a time."""
+
+    def work(batches: list[pa.RecordBatch]) -> np.ndarray:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        token, i, j, sid, comp, n, own = (table.column(k).to_numpy().astype(np.int64) for k in (0, 1, 2, 3, 4, 5, 7))
+        bits = table.column(6).to_pylist()
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(token)))
+        group = np.cumsum(new) - 1
+        small = size[group] <= LEAF
+        last = np.where(small, (begin + size - 1)[group], -1)
+        a, b = _small_pairs(group, last, own, i != j, comp, n, percent)
+        # a pair of similar sets meets in many buckets: look at it once
+        pairs = _unique(np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b]), np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a))
+        a, b = pairs
+        ok = close_enough([bits[x] for x in a], [bits[x] for x in b], n[a], n[b], percent)
+        out = [np.stack([sid[a[ok]], sid[b[ok]]])]
+        for g in np.flatnonzero(size > LEAF).tolist():
+            rows = np.arange(begin[g], begin[g] + size[g])
+            if (comp[rows] == comp[rows[0]]).all():
+                continue
+            side = own[rows] if i[rows[0]] != j[rows[0]] else np.zeros(len(rows), np.int64)
+            x, y = forest_pairs(n[rows], comp[rows], [bits[r] for r in rows], side, percent)
+            x, y = sid[rows[x]], sid[rows[y]]
+            if len(x):
+                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+        return np.concatenate(out, axis=1)
 
     def run(batches):
-        held, key, out = [], None, []
+        held, rows, key = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(len(names) + 1))):
-                if row[:3] != key:
-                    if len(held) > 1 and (got := work(held)) is not None:
-                        out.append(got)
-                    held, key = [], row[:3]
-                    if sum(x.shape[1] for x in out) > 100_000:
-                        yield _pairs(out)
-                        out = []
-                held.append(row)
-        if len(held) > 1 and (got := work(held)) is not None:
-            out.append(got)
-        if out:
-            yield _pairs(out)
+            if not len(batch):
+                continue
+            if rows >= MANY_ROWS:  # cut where a bucket ends
+                k = [batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2)]
+                differs = np.flatnonzero((k[0] != key[0]) | (k[1] != key[1]) | (k[2] != key[2]))
+                cut = int(differs[0]) if len(differs) else len(batch)
+                held.append(batch.slice(0, cut))
+                rows += cut
+                batch = batch.slice(cut)
+                if not len(batch):
+                    continue
+                yield from _pairs([work(held)])
+                held, rows = [], 0
+            held.append(batch)
+            rows += len(batch)
+            key = tuple(batch.column(c)[len(batch) - 1].as_py() for c in (0, 1, 2))
+        if held:
+            yield from _pairs([work(held)])
 
     return run
 
 
-def _pairs(parts: list[np.ndarray]) -> pa.RecordBatch:
-    whole = np.unique(np.concatenate(parts, axis=1), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(whole[0]), pa.array(whole[1])], ["a", "b"])
+def _unique(a: np.ndarray, b: np.ndarray, *what: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``what`` of the first of each distinct (a, b)."""
+    order = np.lexsort((b, a))
+    first = np.ones(len(a), bool)
+    first[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    return tuple(x[order[first]] for x in what)
+
+
+def _pairs(parts: list[np.ndarray]):
+    whole = np.concatenate(parts, axis=1)
+    a, b = _unique(whole[0], whole[1], whole[0], whole[1])
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _near(percent: int):
@@ -318,19 +385,19 @@ def _near(percent: int):
 
 
 def _decide(percent: int):
-    """Keep the pairs whose sets reach the similarity; columns a, b, set_a, set_b."""
-
-    def run(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                ok.append(bool(allowed(int((t[at] == s).sum()), len(s), len(t), percent)))
-            if ok:
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], ["a", "b"])
+    """Keep the pairs whose sets reach the similarity, in one cell of the grid."""
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        place = {sid: k for k, sid in enumerate(sets.column("sid").to_pylist())}
+        items = [np.frombuffer(x.as_buffer(), U) for x in sets.column("items")]
+        ok = []
+        for x, y in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            s, t = items[place[x]], items[place[y]]
+            if len(s) > len(t):
+                s, t = t, s
+            at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+            ok.append(bool(allowed(int((t[at] == s).sum()), len(s), len(t), percent)))
+        return pairs.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -384,18 +451,17 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, perce
     where = shared_path(spark, "sets")
     found.dropDuplicates(["sid"]).write.parquet(where)
     found = spark.read.schema("sid long, items binary").parquet(where)
-    both = pairs.join(found.select(F.col("sid").alias("a"), F.col("items").alias("set_a")), "a").join(found.select(F.col("sid").alias("b"), F.col("items").alias("set_b")), "b")
+    # a grid of cells, each with at most about CELL nodes a side
+    side = max(1, -(-found.count() // CELL))
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(side)).cast("int")
+    dealt = pairs.select("a", "b", cell("a").alias("i"), cell("b").alias("j"))
+    ends = F.explode(F.array("a", "b")).alias("sid")
+    wanted = pairs.select(cell("a").alias("row"), cell("b").alias("column"), ends).distinct().join(found, "sid")
     links = shared_path(spark, "linked")
-    both.select("a", "b", "set_a", "set_b").mapInArrow(_decide(percent), _PAIR).write.parquet(links)
+    dealt.groupBy("i", "j").cogroup(wanted.groupBy("row", "column")).applyInArrow(_decide(percent), _PAIR).write.parquet(links)
     return spark.read.schema(_PAIR).parquet(links)
 
 
-def _with_bits(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    left = bits.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    right = bits.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
-
-
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 
@@ -414,21 +480,30 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     bits = every.where(F.col("bits").isNotNull()).select("sid", "n", "bits").groupBy("sid").agg(F.max("n").alias("n"), F.first("bits").alias("bits"))
     keys = every.where(F.col("token").isNotNull()).select("token", "sid", "n")
 
-    # 1. the smallest node of every bucket against the others
-    buckets = keys.groupBy("token").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).where(F.col("lead") != F.col("last")).select("token", "lead")
+    # buckets of two nodes or more; of two, only if their sizes can be similar
+    size = (F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("c"))
+    buckets = keys.groupBy("token").agg(*size).where((F.col("lo") != F.col("hi")) & ((F.col("c") > 2) | (100 * F.col("least") >= percent * F.col("most"))))
     held = shared_path(spark, "held")
-    keys.join(buckets, "token").select("token", "sid", "n", "lead").write.parquet(held)
-    members = spark.read.schema("token long, sid long, n int, lead long").parquet(held)
-    stars = members.where(F.col("sid") != F.col("lead")).groupBy(F.col("lead").alias("a"), F.col("sid").alias("b")).agg(F.max("n").alias("nb"))
-    size = bits.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    stars = stars.join(size, "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    stars = stars.join(bits.select(F.col("sid").alias("b"), F.col("bits").alias("bits_b")), "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
+    keys.join(buckets.select("token", "c"), "token").select("token", "sid", "n", "c").write.parquet(held)
+    members = spark.read.schema("token long, sid long, n int, c long").parquet(held)
+
+    # 1. the node of every bucket whose shingles are shared most against the others
+    central = members.groupBy("sid").agg((F.sum(F.least("c", F.lit(1 << 40))) / F.max("n")).alias("shared"))
+    ranked = members.select("token", "sid", "n").join(central, "sid")
+    leads = ranked.groupBy("token").agg(F.max(F.struct("shared", "sid")).alias("best")).select("token", F.col("best.sid").alias("lead"))
+    stars = members.select("token", "sid", "n").join(leads, "token").where(F.col("sid") != F.col("lead"))
+    stars = stars.groupBy(F.least("lead", "sid").alias("a"), F.greatest("lead", "sid").alias("b")).agg(F.count("*").alias("buckets")).select("a", "b")
+    stars = stars.join(bits.select(F.col("sid").alias("a"), F.col("n").alias("na")), "a").join(bits.select(F.col("sid").alias("b"), F.col("n").alias("nb")), "b")
+    stars = stars.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    stars = stars.join(bits.select(F.col("sid").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("sid").alias("b"), F.col("bits").alias("bits_b")), "b")
+    stars = stars.select("a", "b", "na", "nb", "bits_a", "bits_b")
     links = _verified(rows, nodes, stars.mapInArrow(_near(percent), _PAIR), shingle, percent)
     label = components(links)
 
     # 2. signature trees in the buckets that still hold several components
     known = members.select("token", "sid").distinct().join(label, "sid", "left").select("token", "sid", F.coalesce("comp", "sid").alias("comp"))
-    open_ = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where(F.col("lo") != F.col("hi"))
+    open_ = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
+    open_ = open_.where(F.col("lo") != F.col("hi"))
     open_ = open_.select("token", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts"))
     chunk = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
     rest = known.join(open_, "token").join(bits, "sid").withColumn("own", chunk)
