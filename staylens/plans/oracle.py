@@ -10,8 +10,8 @@ counts are BIGINT; date parts INTEGER.
 
 from __future__ import annotations
 
-from staylens.functions.values import AMENITY_FLAGS, PROPERTY_TYPE_GROUPS, ROOM_TYPE_LABELS
 from staylens.plans import domain
+from staylens.plans.oracle_values import AMENITY_FLAGS, PROPERTY_TYPE_GROUPS, ROOM_TYPE_LABELS
 
 AS_OF = domain.AS_OF
 B = domain.CITY_BOUNDS

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from staylens.functions.values import AMENITY_FLAGS, CALENDAR_RULE_TEXT, NA_TOKENS
 from staylens.plans import domain
 from staylens.plans.oracle import C, L, LC, LCR, R, _select, property_std_sql, r2, r4, room_type_sql
+from staylens.plans.oracle_values import AMENITY_FLAGS, CALENDAR_RULE_TEXT, LISTING_RULE_TEXT, NA_TOKENS
 
 SQL: dict[str, str] = {}
 
@@ -206,10 +206,7 @@ def _report_sql(source: str, rules: list[tuple[str, str, str]], with_valid: bool
 
 
 def _listing_report() -> str:
-    from staylens.operators.quality import listing_rules
-    from staylens.plans import domain
-
-    desc = {r.name: r.description for r in listing_rules(domain.CITY_BOUNDS, domain.AS_OF)}
+    desc = LISTING_RULE_TEXT
     failed = {
         "valid_price": "COUNT(*) FILTER (WHERE NOT flag_valid_price)",
         "valid_latitude": "COUNT(*) FILTER (WHERE NOT flag_valid_lat)",

@@ -1,0 +1,103 @@
+"""Fixed values of the oracle, written out apart from those of the library.
+
+The oracle must not read the tables it checks: a wrong entry on one side then
+shows as a difference. Stated plainly, in the order the source lists them.
+"""
+
+from __future__ import annotations
+
+# --- Fixed values: tokens that a pandas CSV reader turns into missing values ---
+NA_TOKENS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
+
+# --- Fixed values: room type labels (lower-cased, trimmed key -> label) ---
+ROOM_TYPE_LABELS = {
+    "entire home/apt": "Entire home/apt",
+    "entire home": "Entire home/apt",
+    "private room": "Private room",
+    "shared room": "Shared room",
+    "hotel room": "Hotel room",
+}
+
+# --- Fixed values: property type groups (lower-cased, trimmed key -> group) ---
+PROPERTY_TYPE_GROUPS = {
+    "entire apartment": "Apartment",
+    "private room in apartment": "Apartment",
+    "shared room in apartment": "Apartment",
+    "entire condominium": "Apartment",
+    "entire residential home": "House",
+    "entire house": "House",
+    "private room in house": "House",
+    "shared room in house": "House",
+    "entire townhouse": "Townhouse",
+    "entire loft": "Loft",
+    "private room in loft": "Loft",
+    "entire serviced apartment": "Serviced Apartment",
+    "entire guest suite": "Guest Suite",
+    "private room in guest suite": "Guest Suite",
+    "room in boutique hotel": "Hotel",
+    "entire hotel": "Hotel",
+    "private room in hostel": "Hostel",
+    "shared room in hostel": "Hostel",
+    "entire villa": "Villa",
+    "entire cottage": "Cottage",
+    "entire bungalow": "Bungalow",
+    "boat": "Unique",
+    "treehouse": "Unique",
+    "camper/rv": "Unique",
+    "tent": "Unique",
+}
+
+# --- Fixed values: amenity flags and the amenity names that set each flag ---
+AMENITY_FLAGS = {
+    "has_wifi": ["Wifi", "Wireless Internet"],
+    "has_kitchen": ["Kitchen"],
+    "has_parking": ["Free parking on premises", "Paid parking on premises", "Parking"],
+    "has_ac": ["Air conditioning"],
+    "has_washer": ["Washer"],
+    "has_tv": ["TV", "Cable TV"],
+    "has_elevator": ["Elevator"],
+    "has_pool": ["Pool"],
+    "has_gym": ["Gym"],
+    "has_hot_tub": ["Hot tub"],
+    "has_breakfast": ["Breakfast"],
+    "is_pet_friendly": ["Pets allowed"],
+    "has_long_term_stays": ["Long term stays allowed"],
+    "has_self_checkin": ["Self check-in", "Keypad", "Lockbox", "Smart lock"],
+}
+
+# --- Fixed values: report descriptions of the quality rules, with the city's bounds ---
+LISTING_RULE_TEXT = {
+    "valid_price": "price > 0",
+    "valid_latitude": "lat ∈ [51.2, 51.8]",
+    "valid_longitude": "lon ∈ [-0.6, 0.4]",
+    "valid_minimum_nights": "minimum_nights ∈ [1, 1125]",
+    "valid_availability": "availability_365 ∈ [0, 365]",
+    "valid_review_rating": "review_scores_rating ∈ [0, 5] (when not null)",
+    "valid_listing_id": "listing id is not null",
+    "unique_listing_id": "listing id is unique",
+    "valid_host_since": "host_since <= today",
+}
+CALENDAR_RULE_TEXT = {
+    "valid_price": "price > 0 (when not null)",
+    "valid_available": "available is boolean",
+}
