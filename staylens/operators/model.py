@@ -62,10 +62,11 @@ def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
     ]
 
 
-def fit_price_pipeline(train: DataFrame, params: GBTParams, feature_cols: list[str] = FEATURE_COLS) -> PipelineModel:
-    """Encoders and assembler first; the trees' bins then cover the largest fitted vocabulary."""
+def fit_price_pipeline(train: DataFrame, params: GBTParams, feature_cols: list[str] = FEATURE_COLS, labels_of: DataFrame | None = None) -> PipelineModel:
+    """Encoders and assembler first (labels of ``labels_of``, by default the training rows); the
+    trees' bins then cover the largest fitted vocabulary."""
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    prep = Pipeline(stages=[*encoders(), assembler]).fit(train)
+    prep = Pipeline(stages=[*encoders(), assembler]).fit(train if labels_of is None else labels_of)
     labels = max(len(s.labelsArray[0]) for s in prep.stages[:2])
     gbt = GBTRegressor(
         featuresCol="features", labelCol="price", predictionCol="prediction", maxIter=params.max_iter,
@@ -106,7 +107,7 @@ def train_price_model(features: DataFrame, params: GBTParams | None = None, test
     """ML-3 + ML-4 + ML-6: hash split, fit, evaluate on the hold-out."""
     params = params or GBTParams()
     train, test = train_test_split(features, "listing_id", test_pct)
-    model = fit_price_pipeline(train, params)
+    model = fit_price_pipeline(train, params, labels_of=features)  # encoders know the labels of all rows, as in the source
     metrics = regression_metrics(model.transform(test)).first().asDict()
     room_types = list(model.stages[0].labelsArray[0])
     boroughs = list(model.stages[1].labelsArray[0])
