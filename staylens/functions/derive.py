@@ -68,11 +68,6 @@ def calendar_parts(d: Column | str) -> dict[str, Column]:
     }
 
 
-def bool_to_int(c: Column | str) -> Column:
-    """SCL-16."""
-    return col(c).cast("int")
-
-
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """SCL-15: division that yields null on a zero or null divisor (ANSI-safe)."""
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))

@@ -629,3 +629,25 @@ SELECT request_id, feature, impact, rank, CASE WHEN impact >= 0 THEN 'up' ELSE '
   SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY abs(impact) DESC, feature) AS INTEGER) AS rank FROM ({_IMPACTS}) i
 ) t WHERE rank <= 12
 """
+
+SQL["manifest_check"] = f"""
+SELECT 'listings' AS dataset, COUNT(*) > 0 AS is_ok, COUNT(*) > 0 AS has_bytes FROM {_BASE}
+UNION ALL SELECT 'calendar', COUNT(*) > 0, COUNT(*) > 0 FROM lineitem
+UNION ALL SELECT 'reviews', COUNT(*) > 0, COUNT(*) > 0 FROM events
+UNION ALL SELECT 'neighbourhoods', COUNT(*) > 0, COUNT(*) > 0 FROM {_BASE}
+UNION ALL SELECT 'prices', false, false
+"""
+
+_LANDED_ROWS = f"""SELECT 'listings' AS dataset, CAST(COUNT(*) AS BIGINT) AS rows FROM {_BASE}
+UNION ALL SELECT 'calendar', CAST(COUNT(*) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'reviews', CAST(COUNT(*) AS BIGINT) FROM events
+UNION ALL SELECT 'neighbourhoods', CAST(COUNT(DISTINCT n_name) AS BIGINT) FROM {_BASE}"""
+SQL["ingest_history"] = f"""
+SELECT 'bronze' AS layer, dataset, 'success' AS status, rows, true AS sized FROM ({_LANDED_ROWS}) a
+UNION ALL SELECT 'bronze', dataset, 'skipped', CAST(NULL AS BIGINT), CAST(NULL AS BOOLEAN) FROM ({_LANDED_ROWS}) b
+"""
+
+SQL["mix_display"] = L("""
+SELECT room_type, printf('%.1f%%', round(c * 100.0 / SUM(c) OVER (), 9)) AS share, format('{:,}', c) AS listings
+FROM (SELECT room_type, CAST(COUNT(*) AS BIGINT) AS c FROM dim_listings GROUP BY room_type) m
+""")

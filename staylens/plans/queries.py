@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions import amenities as amen
 from staylens.functions import derive, labels, parse, text
+from staylens.functions import format as fmt
 from staylens.functions.derive import round_to
 from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE
 from staylens.operators import aggregates as agg
@@ -28,7 +29,7 @@ from staylens.plans import bronze, domain, gold, landed, silver
 from staylens.session import shared_path
 from staylens.sources import csv as csv_source
 from staylens.sources import landing, metadata
-from staylens.sources.tables import memo_plan, read_table, session_key, union_all
+from staylens.sources.tables import memo_plan, read_table, register_views, session_key, union_all
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -738,6 +739,24 @@ def ingest_summary_q(spark, sf):
         "city", "layer", "status", "rows", "datasets", (F.col("events") == F.col("files")).alias("one_event_per_file"))
 
 
+@query("manifest_check")
+def manifest_check_q(spark, sf):
+    """SRC-7: the landed part files and one that was never landed, held against the listing."""
+    folder = landing_area(spark, sf)["folder"]
+    files = landing.landed_files(spark, folder, "*.csv*")
+    expected = files.select("file_name").unionByName(spark.createDataFrame([("prices/part-00000.csv",)], "file_name string"))
+    j = landing.check_files(expected, files).withColumn("dataset", _dataset())
+    return j.groupBy("dataset").agg(F.min("is_ok").alias("is_ok"), (F.sum(F.coalesce("size_bytes", F.lit(0))) > 0).alias("has_bytes"))
+
+
+@query("ingest_history")
+def ingest_history_q(spark, sf):
+    """AGG-15 listing: records of every dataset's ingested files, from the event history."""
+    log, _ = _bronze_twice(spark, sf)
+    h = metadata.ingestion_history(metadata.read_log(spark, log), "london").withColumn("dataset", _dataset())
+    return h.groupBy("layer", "dataset", "status").agg(F.sum("row_count").cast("long").alias("rows"), F.min(F.col("file_size_mb") >= 0).alias("sized"))
+
+
 @query("run_state")
 def run_state_q(spark, sf):
     """SNK-5 + WIN-7: current state of each run from its start/finish events."""
@@ -859,6 +878,15 @@ def display_table_q(spark, sf):
     return joins.display_comparables(comparables_q(spark, sf))
 
 
+@query("mix_display")
+def mix_display_q(spark, sf):
+    """PRJ-8: room-type shares as displayed (one-decimal percent text), from a view of the mart (SRC-5)."""
+    register_views(spark, gold_tables(spark, sf)["dim_listings"].rsplit("/", 1)[0], {"listings_view": "dim_listings"})
+    g = agg.count_by(spark.table("listings_view"), "room_type", "count")
+    shares = windows.share_of_total(g, "count", "pct")
+    return shares.select("room_type", fmt.percent1(round_to(F.col("pct"), 9) / 100).alias("share"), fmt.money0(F.col("count").cast("double"), "").alias("listings"))
+
+
 @query("table_preview")
 def table_preview_q(spark, sf):
     """SRC-9: bounded preview of the calendar fact (the limit is the feature), ordered for determinism."""

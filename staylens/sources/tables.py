@@ -42,13 +42,12 @@ def memo_plan(spark: SparkSession, key: tuple, build) -> DataFrame:
     return df
 
 
-def register_views(spark: SparkSession, base: str, names: list[str]) -> dict[str, DataFrame]:
-    """SRC-5 / SNK-3: expose tables as temp views (the staging layer)."""
+def register_views(spark: SparkSession, base: str, names: dict[str, str]) -> dict[str, DataFrame]:
+    """SRC-5 / SNK-3: expose tables of a folder as temp views (view name: table folder)."""
     out = {}
-    for n in names:
-        df = read_table(spark, base, n)
-        df.createOrReplaceTempView(n)
-        out[n] = df
+    for view, table in names.items():
+        out[view] = spark.read.parquet(f"{base.rstrip('/')}/{table}")
+        out[view].createOrReplaceTempView(view)
     return out
 
 
