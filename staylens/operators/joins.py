@@ -10,8 +10,9 @@ enumerating all (request, listing) pairs:
    request can use. ``row_number() <= k`` gets a partial WindowGroupLimit
    before the shuffle, so even a group holding a third of all listings sends
    at most ``k`` rows per map task.
-2. Requests join the candidates on the equi keys (area, room type) with the
-   bedroom distance as a residual predicate (hash / sort-merge join, never a
+2. Requests join the candidates on the equi keys (area, room type, whole number
+   of bedrooms): a request looks into its own number and both neighbours, and
+   the exact distance is a residual predicate (hash / sort-merge join, never a
    nested loop). Each request meets at most ``k`` x (distinct bedroom values)
    candidates, a bound independent of the table size.
 3. ``row_number() <= k`` per request by (distance, reviews desc, listing_id).
@@ -52,9 +53,12 @@ def comparables(requests: DataFrame, listings: DataFrame, geography: DataFrame,
         F.col(request_id).alias("request_id"), F.col("borough").alias("req_borough"),
         F.col("room_type").alias("req_room_type"), F.col("bedrooms").alias("req_bedrooms"),
     )
+    whole = F.floor("req_bedrooms")
+    req = req.withColumn("req_whole", F.explode(F.array(whole - 1, whole, whole + 1)))
     dist = F.abs(F.col("bedrooms") - F.col("req_bedrooms"))
     cond = (
-        (F.col("borough") == F.col("req_borough"))
+        (F.floor("bedrooms") == F.col("req_whole"))
+        & (F.col("borough") == F.col("req_borough"))
         & (F.col("room_type") == F.col("req_room_type"))
         & (dist <= 1)
     )
