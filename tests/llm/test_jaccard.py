@@ -73,7 +73,7 @@ def test_trees_lose_no_pair():
         a, n = int(r.integers(0, 3000)), int(r.choice([3, 40, 64, 65, 200, 600]))
         items.append(np.unique(np.concatenate([base[a - a % 50 : a - a % 50 + n], r.integers(0, 1 << 63, n // 12).astype(np.uint64)])))
     n = np.array([len(s) for s in items])
-    bits = [jaccard.bitmaps(s) for s in items]
+    bits = [jaccard.bitmaps(s, 80) for s in items]
     a, b = jaccard.forest_pairs(n, np.arange(len(items)), bits, np.zeros(len(items), int), 80)
     got = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
     assert len(got) == len(a)
