@@ -38,7 +38,7 @@ def documents(seed: int = 1, n: int = 60) -> list[tuple]:
               "line one is here\nline two is here\nline one is here\n\n" * 4, "#$%& <tag> | * " * 10, "a\x0bb\x0cc\rd\te", "\x1cfs\x85nel\xa0nbsp em"]
     langs = ["en", "de", "fr", "es", None]
     rows = [(i, t, langs[i % 5], f"s{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
-    return rows + [rows[0], rows[5]]  # repeated rows
+    return rows + [(None, "a text without an id, " + prose(9, 30), "en", "s1", None), rows[0], rows[5]]  # no id; repeated rows
 
 
 def frame(spark: SparkSession, rows: list[tuple], clash: bool = False, parts: int = 3):
