@@ -29,7 +29,7 @@ from staylens.plans import bronze, domain, gold, landed, silver
 from staylens.session import shared_path
 from staylens.sources import csv as csv_source
 from staylens.sources import landing, metadata
-from staylens.sources.tables import memo_plan, read_table, register_views, session_key, union_all
+from staylens.sources.tables import memo_plan, read_table, register_views, session_key, table_path, union_all, version
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -55,20 +55,28 @@ _GOLD_LOCK = threading.RLock()
 
 
 def gold_tables(spark: SparkSession, sf: str) -> dict[str, str]:
-    """Silver and gold for ``sf``, written once per session into the shared folder.
+    """Silver and gold for ``sf``, written once per session and version of the input into the shared folder.
 
     Like the source system's marts, the star schema is materialized: queries
     scan narrow Parquet marts instead of re-deriving them from the driver
     tables (an orders x customer shuffle join, twice for a self-join), and the
     written tables cut lineage, so a lost executor never recomputes the chain.
     """
-    key = (*session_key(spark), sf)
+    key = (*session_key(spark), sf, gold_version(spark, sf))
     with _GOLD_LOCK:
         if key not in _GOLD:
             _GOLD[key] = build_gold(spark, sf)
         return _GOLD[key]
 
 
+GOLD_INPUTS = ["orders", "customer", "nation", "lineitem", "events"]
+
+
+def gold_version(spark: SparkSession, sf: str) -> tuple:
+    """Version of the tables that silver and gold are built from: a build serves its own input only."""
+    return tuple(version(spark, table_path(sf, t)) for t in GOLD_INPUTS)
+
+
 def build_gold(spark: SparkSession, sf: str) -> dict[str, str]:
     """JOB-2..4 + JOB-7 over the domain views: write silver, then the marts.
 
@@ -106,7 +114,7 @@ def _run_concurrently(jobs) -> None:
 
 def _read(spark, sf, name):
     path = gold_tables(spark, sf)[name]
-    return memo_plan(spark, (sf, "gold", name), lambda: spark.read.parquet(path))
+    return memo_plan(spark, (path,), lambda: spark.read.parquet(path))
 
 
 def flagged_listings(spark: SparkSession, sf: str) -> DataFrame:
@@ -534,7 +542,7 @@ def feature_table(spark, sf):
 
 
 def trained_model(spark, sf, max_iter: int = 500) -> ml.TrainedModel:
-    key = (*session_key(spark), sf, max_iter)
+    key = (*session_key(spark), sf, gold_version(spark, sf), max_iter)
     if key not in _MODELS:
         _MODELS[key] = ml.train_price_model(feature_table(spark, sf), ml.GBTParams(max_iter=max_iter))
     return _MODELS[key]
@@ -691,7 +699,7 @@ _LANDED: dict[tuple, dict] = {}
 
 def landing_area(spark, sf) -> dict:
     """Landed raw files for ``sf`` in the shared store (written once per session)."""
-    key = (*session_key(spark), sf)
+    key = (*session_key(spark), sf, gold_version(spark, sf))
     with _GOLD_LOCK:
         if key not in _LANDED:
             folder = shared_path(spark, "landing")

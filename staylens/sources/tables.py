@@ -18,13 +18,23 @@ def session_key(spark: SparkSession) -> tuple:
     return (id(spark), spark.sparkContext.applicationId)
 
 
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and size of a file or folder: changes when its content is replaced."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(conf).getFileStatus(p)
+    return status.getModificationTime(), status.getLen()
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Vectorized Parquet scan; callers select columns so the scan is pruned.
 
-    The lazy scan plan is memoized per session and path so the file listing and
-    footer schema are resolved once, not on every query (no data is cached).
+    The lazy scan plan is memoized per session, path and version of the table, so
+    the file listing and footer schema are resolved once, not on every query (no
+    data is cached), and a replaced table is read anew.
     """
-    key = (*session_key(spark), table_path(base, name))
+    path = table_path(base, name)
+    key = (*session_key(spark), path, version(spark, path))
     df = _PLANS.get(key)
     if df is None:
         df = spark.read.parquet(table_path(base, name))

@@ -217,3 +217,14 @@ def test_long_ids_and_infinities(spark):
     assert [r[0] for r in df.select(parse.safe_long("t")).collect()] == [549880123456789013, 549880123456789012, 12, 7, None, None, None, None, None]
     assert df.select(parse.safe_double("t").alias("x")).where("t = '1e400'").first().x is None
     assert spark.createDataFrame([("$1e400",)], "t string").select(parse.parse_price("t").alias("x")).first().x is None
+
+
+def test_replaced_input_is_noticed(spark, tmp_dir):
+    from staylens.plans import queries as Q
+
+    base = os.path.join(tmp_dir, "tables")
+    for t in Q.GOLD_INPUTS:
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{base}/{t}.parquet")
+    before = Q.dim_listings(spark, base).count()
+    spark.read.parquet(f"{SF}/orders.parquet").limit(20).write.mode("overwrite").parquet(f"{base}/orders.parquet")
+    assert Q.dim_listings(spark, base).count() < before
