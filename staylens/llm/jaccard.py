@@ -4,7 +4,7 @@ Documents are sets of distinct word shingles (64-bit hashes). Equal sets are one
 node from the start. Two nodes can only reach the similarity if they share one
 of their first ``n - ceil(t n) + 1`` shingles in an order that all sets use
 (by hash, with shingles that are frequent in a sample last: the sample only
-decides which order, any order gives the same links). A shingle's bucket holds
+decides the order, and any order gives the same links). A shingle's bucket holds
 the nodes that have it among these.
 
 1. In every bucket one node, the one whose shingles are shared most, is compared
@@ -44,8 +44,8 @@ from staylens.llm import words
 from staylens.llm.words import U
 from staylens.session import shared_path
 
-SAMPLE_DOCS = 4_000
-MOST_FREQUENT = 200_000
+SAMPLE = 12  # one in so many documents
+MOST_FREQUENT = 1_000_000
 LEAF = 8
 CHUNK = 2_048
 MANY_ROWS = 40_000
@@ -73,15 +73,16 @@ def shingles(texts: words.Texts, n: int) -> list[np.ndarray]:
     return out
 
 
-def width_of(n: int) -> int:
-    """Bits of a set's bitmaps: a power of two from the set's size on, 128 at least."""
-    return max(128, 1 << (n - 1).bit_length())
+def width_of(n: int, percent: int) -> int:
+    """Bits of a set's bitmaps: a power of two from four times the differences that the
+    similarity allows, 128 at least (fewer bits hide differences, more tell little)."""
+    return max(128, 1 << (4 * (2 * n * (100 - percent) // (100 + percent)) - 1).bit_length())
 
 
-def bitmaps(s: np.ndarray) -> bytes:
+def bitmaps(s: np.ndarray, percent: int) -> bytes:
     """Two bitmaps of a set: half as many bits as ``width_of``, set where a token falls,
     and ``width_of`` bits, flipped by each token that falls there."""
-    w = width_of(len(s))
+    w = width_of(len(s), percent)
     counts = np.bincount((s & U(w - 1)).astype(np.int64), minlength=w)
     half = (counts[: w // 2] + counts[w // 2 :]) > 0
     return np.packbits(np.concatenate([half, counts % 2 > 0]), bitorder="little").tobytes()
@@ -129,7 +130,7 @@ def _emit(n: int, percent: int, frequent) -> object:
                 for i, s in enumerate(shingles(texts, n)):
                     sid = signed(xxhash.xxh3_64_intdigest(s.tobytes()))
                     fresh = len(s) and sid not in seen
-                    for column, x in zip(out, (ids[texts.rows.start + i], sid, len(s), None, bitmaps(s) if fresh else None)):
+                    for column, x in zip(out, (ids[texts.rows.start + i], sid, len(s), None, bitmaps(s, percent) if fresh else None)):
                         column.append(x)
                     if not fresh:
                         continue
@@ -159,9 +160,12 @@ def _emit(n: int, percent: int, frequent) -> object:
 
 
 def _frequent(rows: DataFrame, n: int) -> np.ndarray:
-    """Shingles that several documents of a bounded sample share, sorted (they come last in the order)."""
-    total = rows.count()
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_DOCS / max(1, total)) * (1 << 30)))
+    """The most frequent shingles among those that documents of a sample share, sorted.
+
+    They come last in the order of shingles. MOST_FREQUENT bounds what is sent to
+    the tasks; which shingles are in it changes how much is compared, never the links.
+    """
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
 
     def each(batches):
         for batch in batches:
@@ -169,7 +173,16 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles(texts, n) or [np.zeros(0, U)]).view(np.int64))], ["token"])
 
     counts = sample.mapInArrow(each, "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    top = counts.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()
+    where = shared_path(rows.sparkSession, "frequent")
+    counts.write.parquet(where)
+    counts = rows.sparkSession.read.schema("token long, n long").parquet(where)
+    least, left = 2, MOST_FREQUENT
+    for r in counts.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).collect():
+        left -= r["tokens"]
+        if left < 0:
+            least = r["n"] + 1
+            break
+    top = counts.where(F.col("n") >= least).select("token").toPandas()
     return np.sort(top["token"].to_numpy(np.int64).view(U))
 
 
