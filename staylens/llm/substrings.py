@@ -33,12 +33,13 @@ from staylens.llm import words
 from staylens.llm.words import U
 
 WINDOW = 20
-MINIMISER = 3
+MINIMISER = 2
 MOST_RUN = 256  # windows of one super-k-mer; longer runs are split
 FLUSH_BYTES = 32 << 20
 MOST_MARKS = 400_000
 MANY_WINDOWS = 600_000
 NULL_ID = -(1 << 63)
+LEVEL = 6  # of the blobs' compression
 
 _SENT = "bucket int, n int, blob binary"
 _MARK = "doc_id long, row long, start long, end long"
@@ -129,7 +130,7 @@ class _Sender:
                 held[text + b" " * (1 + len(held))] = new
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=LEVEL)
         order = sorted(self.held.items(), key=lambda x: x[1][3])
         out = [[], [], []]
         i = 0
@@ -262,7 +263,7 @@ def _marks(columns: list[np.ndarray]) -> pa.RecordBatch:
 def repeated(docs: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """(doc_id, row, spans): word ranges to remove; ``row`` is the hash of the text, a null id is ``NULL_ID``."""
     spark = docs.sparkSession
-    buckets = buckets or max(1024, 32 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or max(256, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.col("text").cast("string")
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     sent = rows.mapInArrow(_send(window, buckets), _SENT)
