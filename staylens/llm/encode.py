@@ -9,7 +9,6 @@ memory is bounded; that only costs time, never ids.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -108,23 +107,22 @@ class WordEncoder:
         """Ids of new words end to end, and how many each has."""
         raise NotImplementedError
 
-    def encode(self, texts: words.Texts, found: words.Words | None = None, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (uint16), and the borders of each text's ids."""
+    def encode(self, texts: words.Texts, found: words.Words | None = None, groups: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (uint16), and the borders of each text's ids.
+
+        ``found`` and ``groups`` are the texts' words and their distinct hashes, if known.
+        """
         if len(self.known) > self.most:
             self.clear()
         found = found or words.scan(texts, self.table)
-        h = words.hashes(texts.data, found.starts, found.ends) if h is None else h
-        order = np.argsort(h)
-        s = h[order]
-        first = np.concatenate([[True], s[1:] != s[:-1]])[: len(s)]
-        distinct = s[first]
+        distinct, one, which = groups or words.distinct(words.hashes(texts.data, found.starts, found.ends))
         spot = np.searchsorted(self.known, distinct)
         rows = np.full(len(distinct), -1)
         inside = np.flatnonzero(spot < len(self.known))
         hit = inside[self.known[spot[inside]] == distinct[inside]]
         rows[hit] = self.row[spot[hit]]
         if len(new := np.flatnonzero(rows < 0)):
-            at, raw = order[np.flatnonzero(first)[new]], texts.data.tobytes()
+            at, raw = one[new], texts.data.tobytes()
             ids, lens = self.new_ids([raw[a:b].decode() for a, b in zip(found.starts[at].tolist(), found.ends[at].tolist())])
             n = len(self.begin)
             rows[new] = np.arange(n, n + len(new))
@@ -133,8 +131,7 @@ class WordEncoder:
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lens) - lens])
             self.count = np.concatenate([self.count, lens])
             self.flat = np.concatenate([self.flat, ids])
-        place = np.empty(len(h), np.int64)
-        place[order] = rows[np.cumsum(first) - 1] if len(h) else rows
+        place = rows[which]
         lens = self.count[place]
         ends = np.concatenate([[0], np.cumsum(lens)])
         ids = self.flat[np.repeat(self.begin[place] - ends[:-1], lens) + np.arange(ends[-1])]
@@ -168,7 +165,7 @@ class WordBpe(WordEncoder):
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
 
-    def encode(self, texts: words.Texts, found: words.Words | None = None, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: words.Texts, found: words.Words | None = None, groups: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
         if b"<|" not in texts.data.tobytes():  # else lowering could make a special token of a text's own
             texts = words.Texts(words.LOWER[texts.data], texts.offsets, texts.rows)
         return super().encode(texts)
@@ -224,15 +221,20 @@ class Pieces(WordEncoder):
         return _flat(self.model.encode(new, num_threads=1))
 
 
-@lru_cache(maxsize=2)
-def word_bpe(path: str) -> WordBpe:
-    """The worker's encoder for a file (kept between tasks)."""
-    return WordBpe(path)
+_kept: dict = {}
+
+
+def kept(kind: type, path: str):
+    """The worker's encoder of this kind and file, kept between tasks; one at a time."""
+    if (kind, path) not in _kept:
+        _kept.clear()
+        _kept[kind, path] = kind(path)
+    return _kept[kind, path]
 
 
-@lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def forget() -> None:
+    """Let the kept encoder go."""
+    _kept.clear()
 
 
 def tokenizer_path(name: str) -> str:

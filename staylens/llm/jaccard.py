@@ -19,7 +19,9 @@ the nodes that have it among these.
    token flips its bit: two sets differ in at least as many tokens as these
    bitmaps in bits. Buckets of up to ``LEAF`` nodes are a single leaf; buckets
    above ``CHUNK`` nodes are split into pairs of chunks, each a piece of work of
-   its own.
+   its own. One link joins two components, so of the pairs between the same two
+   components a piece of work gives the ``BEST`` closest first; the others follow
+   only where these did not join them.
 3. Pairs that pass are decided exactly on their whole shingle sets. Pairs are
    dealt to the cells of a grid, so that a set travels to a row and a column of
    cells at most, not once for each of its pairs.
@@ -50,6 +52,7 @@ LEAF = 8
 CHUNK = 2_048
 MANY_ROWS = 40_000
 CELL = 4_096
+BEST = 4
 MOST_SENT = 500_000
 _SETS = "doc_id long, sid long, n int, token long, bits binary"
 
@@ -124,7 +127,7 @@ def _emit(n: int, percent: int, frequent) -> object:
         seen: set[int] = set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for texts in words.slices(batch.column(1), lower=True):
+            for texts in words.slices(batch.column(1), lower=True, most=1 << 20):
                 out = [[], [], [], [], []]
                 tokens, owners, sizes = [], [], []
                 for i, s in enumerate(shingles(texts, n)):
@@ -169,10 +172,10 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
 
     def each(batches):
         for batch in batches:
-            for texts in words.slices(batch.column(1), lower=True):
+            for texts in words.slices(batch.column(1), lower=True, most=1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles(texts, n) or [np.zeros(0, U)]).view(np.int64))], ["token"])
 
-    counts = sample.mapInArrow(each, "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    counts = sample.mapInArrow(words.tidy(each), "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     where = shared_path(rows.sparkSession, "frequent")
     counts.write.parquet(where)
     counts = rows.sparkSession.read.schema("token long, n long").parquet(where)
@@ -224,8 +227,9 @@ class Tree:
         return [fold(x["bits"], words_) for x in self.levels]
 
 
-def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Leaf pairs that sizes, bitmaps and components allow (each once, if both are one tree)."""
+def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, ...]:
+    """Leaf pairs that sizes, bitmaps and components allow (each once, if both are one tree), and
+    how many bits tell them apart."""
     same = x is y
     width = min(x.levels[0]["bits"].shape[1], y.levels[0]["bits"].shape[1])
     bx, by = x.folded(width), y.folded(width)
@@ -233,7 +237,7 @@ def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
     fx, fy = fold(x.flips, width, np.bitwise_xor), fold(y.flips, width, np.bitwise_xor)
     i, j = len(x.levels) - 1, len(y.levels) - 1
     a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    found = [[], []]
+    found = [[], [], []]
     stack = [(i, j, a, b)]
     while stack:
         i, j, a, b = stack.pop()
@@ -255,6 +259,7 @@ def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             keep = few_differences(differ, lx["least"][a], ly["least"][b], percent)
             found[0].append(x.at[a[keep]])
             found[1].append(y.at[b[keep]])
+            found[2].append(differ[keep])
             continue
         common = np.bitwise_count(bx[i][a] & by[j][b]).sum(axis=1, dtype=np.int64)
         most = np.minimum(np.minimum(common + lx["spare"][a], lx["most"][a]), np.minimum(common + ly["spare"][b], ly["most"][b]))
@@ -271,10 +276,10 @@ def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             a, b = a[inside], b[inside]
         if len(a):
             stack.append((i - down_x, j - down_y, a, b))
-    return (np.concatenate(found[0]), np.concatenate(found[1])) if found[0] else (np.zeros(0, np.int64),) * 2
+    return tuple(np.concatenate(f) for f in found) if found[0] else (np.zeros(0, np.int64),) * 3
 
 
-def forest_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def forest_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], side: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
     """Pairs of one bucket's rows; where ``side`` has two values, only pairs between these."""
     lens = np.fromiter(map(len, bits), np.int64, len(bits))
     trees = {}
@@ -283,19 +288,35 @@ def forest_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], side: np.nd
             at = np.flatnonzero((side == s) & (lens == w))
             trees[int(s), int(w)] = Tree(n[at].astype(np.int64), comp[at], *split_bitmaps([bits[i] for i in at]), at)
     two = len(np.unique(side)) > 1
-    out = [[], []]
+    out = [[], [], []]
     keys = sorted(trees)
     for i, p in enumerate(keys):
         for q in keys[i:]:
             if two and p[0] == q[0]:
                 continue
-            a, b = tree_pairs(trees[p], trees[q], percent)
-            out[0].append(a)
-            out[1].append(b)
-    return (np.concatenate(out[0]), np.concatenate(out[1])) if out[0] else (np.zeros(0, np.int64),) * 2
+            for column, part in zip(out, tree_pairs(trees[p], trees[q], percent)):
+                column.append(part)
+    return tuple(np.concatenate(c) for c in out) if out[0] else (np.zeros(0, np.int64),) * 3
+
+
+def closest(cx: np.ndarray, cy: np.ndarray, differ: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are among the ``best`` closest between their two components, and of which
+    components there were more."""
+    low, high = np.minimum(cx, cy), np.maximum(cx, cy)
+    order = np.lexsort((differ, high, low))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+    begin = np.flatnonzero(new)
+    size = np.diff(np.append(begin, len(order)))
+    rank = np.arange(len(order)) - np.repeat(begin, size)
+    keep, more = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    keep[order] = rank < best
+    more[order] = np.repeat(size > best, size)
+    return keep, more
 
 
 _PAIR = "a long, b long"
+_FOUND = "a long, b long, more boolean"
 
 
 def _small_pairs(group: np.ndarray, last: np.ndarray, own: np.ndarray, mixed: np.ndarray, comp: np.ndarray, n: np.ndarray, percent: int):
@@ -313,8 +334,8 @@ def _small_pairs(group: np.ndarray, last: np.ndarray, own: np.ndarray, mixed: np
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
 
 
-def _tree_task(percent: int):
-    """Whole buckets (rows sorted by token, i, j), many at a time."""
+def _tree_task(percent: int, best: int | None):
+    """Whole buckets (rows sorted by token, i, j), many at a time; all pairs without ``best``."""
 
     def work(batches: list[pa.RecordBatch]) -> np.ndarray:
         table = pa.Table.from_batches(batches).combine_chunks()
@@ -332,16 +353,20 @@ def _tree_task(percent: int):
         pairs = _unique(np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b]), np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a))
         a, b = pairs
         ok = close_enough([bits[x] for x in a], [bits[x] for x in b], n[a], n[b], percent)
-        out = [np.stack([sid[a[ok]], sid[b[ok]]])]
+        out = [np.stack([sid[a[ok]], sid[b[ok]], np.zeros(int(ok.sum()), np.int64)])]
         for g in np.flatnonzero(size > LEAF).tolist():
             rows = np.arange(begin[g], begin[g] + size[g])
             if (comp[rows] == comp[rows[0]]).all():
                 continue
             side = own[rows] if i[rows[0]] != j[rows[0]] else np.zeros(len(rows), np.int64)
-            x, y = forest_pairs(n[rows], comp[rows], [bits[r] for r in rows], side, percent)
+            x, y, differ = forest_pairs(n[rows], comp[rows], [bits[r] for r in rows], side, percent)
+            more = np.zeros(len(x), bool)
+            if best and len(x):
+                keep, more = closest(comp[rows[x]], comp[rows[y]], differ, best)
+                x, y, more = x[keep], y[keep], more[keep]
             x, y = sid[rows[x]], sid[rows[y]]
             if len(x):
-                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+                out.append(np.stack([np.minimum(x, y), np.maximum(x, y), more.astype(np.int64)]))
         return np.concatenate(out, axis=1)
 
     def run(batches):
@@ -379,8 +404,9 @@ def _unique(a: np.ndarray, b: np.ndarray, *what: np.ndarray) -> tuple[np.ndarray
 
 def _pairs(parts: list[np.ndarray]):
     whole = np.concatenate(parts, axis=1)
-    a, b = _unique(whole[0], whole[1], whole[0], whole[1])
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    whole = whole[:, np.argsort(-whole[2], kind="stable")]
+    a, b, more = _unique(whole[0], whole[1], *whole)
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more > 0)], ["a", "b", "more"])
 
 
 def _near(percent: int):
@@ -456,11 +482,11 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, perce
     def sets(batches):
         for batch in batches:
             sids = batch.column(2).to_pylist()
-            for texts in words.slices(batch.column(1), lower=True):
+            for texts in words.slices(batch.column(1), lower=True, most=1 << 20):
                 rows = [(sids[texts.rows.start + i], s.tobytes()) for i, s in enumerate(shingles(texts, n)) if signed(xxhash.xxh3_64_intdigest(s.tobytes())) == sids[texts.rows.start + i]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["sid", "items"])
 
-    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select(docs["doc_id"], docs["text"], wanted["sid"]).mapInArrow(sets, "sid long, items binary")
+    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select(docs["doc_id"], docs["text"], wanted["sid"]).mapInArrow(words.tidy(sets), "sid long, items binary")
     where = shared_path(spark, "sets")
     found.dropDuplicates(["sid"]).write.parquet(where)
     found = spark.read.schema("sid long, items binary").parquet(where)
@@ -475,6 +501,27 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, perce
     return spark.read.schema(_PAIR).parquet(links)
 
 
+def _between(rows: DataFrame, nodes: DataFrame, members: DataFrame, bits: DataFrame, links: DataFrame, label: DataFrame, shingle: int, percent: int,
+             best: int | None, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``links`` and those that signature trees find in buckets with several components; and the
+    pairs beside which there were more between the same components."""
+    spark = rows.sparkSession
+    known = members.select("token", "sid").distinct().join(label, "sid", "left").select("token", "sid", F.coalesce("comp", "sid").alias("comp"))
+    if only is not None:
+        known = known.join(only, "comp", "left_semi")
+    several = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
+    several = several.where(F.col("lo") != F.col("hi")).select("token", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts"))
+    rest = known.join(several, "token").join(bits, "sid").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rest = rest.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sid", "comp", "n", "bits", "own")
+    dealt = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    path = shared_path(spark, "found")
+    dealt.mapInArrow(words.tidy(_tree_task(percent, best)), _FOUND).write.parquet(path)
+    found = spark.read.schema(_FOUND).parquet(path)
+    new = _verified(rows, nodes, found.select("a", "b").distinct(), shingle, percent)
+    return links.union(new), found.where("more").select("a", "b").distinct()
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 
@@ -486,7 +533,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     late = spark.sparkContext.broadcast(_frequent(rows, shingle))
     where = shared_path(spark, "shingles")
-    rows.mapInArrow(_emit(shingle, percent, late), _SETS).write.parquet(where)
+    rows.mapInArrow(words.tidy(_emit(shingle, percent, late)), _SETS).write.parquet(where)
     every = spark.read.schema(_SETS).parquet(where)
     texts = every.where(F.col("token").isNull()).select("doc_id", "sid", "n")
     nodes = texts.where(F.col("n") > 0).groupBy("sid").agg(F.min("doc_id").alias("rep"))
@@ -510,22 +557,20 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     stars = stars.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     stars = stars.join(bits.select(F.col("sid").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("sid").alias("b"), F.col("bits").alias("bits_b")), "b")
     stars = stars.select("a", "b", "na", "nb", "bits_a", "bits_b")
-    links = _verified(rows, nodes, stars.mapInArrow(_near(percent), _PAIR), shingle, percent)
+    links = _verified(rows, nodes, stars.mapInArrow(words.tidy(_near(percent)), _PAIR), shingle, percent)
     label = components(links)
 
     # 2. signature trees in the buckets that still hold several components
-    known = members.select("token", "sid").distinct().join(label, "sid", "left").select("token", "sid", F.coalesce("comp", "sid").alias("comp"))
-    open_ = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
-    open_ = open_.where(F.col("lo") != F.col("hi"))
-    open_ = open_.select("token", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts"))
-    chunk = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
-    rest = known.join(open_, "token").join(bits, "sid").withColumn("own", chunk)
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rest = rest.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sid", "comp", "n", "bits", "own")
-    dealt = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    more = dealt.mapInArrow(_tree_task(percent), _PAIR).distinct()
-    more = _verified(rows, nodes, more, shingle, percent)
-    label = components(links.union(more))
+    links, more = _between(rows, nodes, members, bits, links, label, shingle, percent, BEST)
+    label = components(links)
+    # components that more pairs than those could join, and that were not joined
+    ends = [label.select(F.col("sid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in ("a", "b")]
+    left = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    left = left.select(F.coalesce("comp_a", "a").alias("x"), F.coalesce("comp_b", "b").alias("y")).where(F.col("x") != F.col("y"))
+    left = left.select(F.explode(F.array("x", "y")).alias("comp")).distinct()
+    if not left.isEmpty():
+        links, _ = _between(rows, nodes, members, bits, links, label, shingle, percent, None, left)
+        label = components(links)
 
     # the smallest document of each component
     comp = nodes.join(label, "sid", "left").select("sid", "rep", F.coalesce("comp", "sid").alias("comp"))

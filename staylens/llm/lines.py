@@ -92,8 +92,8 @@ def repeated(docs: DataFrame, span: int = SPAN, average: int = AVERAGE) -> DataF
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    full = rows.mapInArrow(_chunk_rows(True, span, average), f"{_CHUNK}, chunk binary").withColumn("order", _order())
-    light = rows.mapInArrow(_chunk_rows(False, span, average), _CHUNK).withColumn("order", _order())
+    full = rows.mapInArrow(words.tidy(_chunk_rows(True, span, average)), f"{_CHUNK}, chunk binary").withColumn("order", _order())
+    light = rows.mapInArrow(words.tidy(_chunk_rows(False, span, average)), _CHUNK).withColumn("order", _order())
     # grouping by the bytes is the comparison; equal chunks of one task are merged before they travel
     texts = full.groupBy("hash", "chunk").agg(F.min("order").alias("first"), F.max("order").alias("last"))
     by_hash = texts.groupBy("hash").agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.max("last").alias("last"))

@@ -42,7 +42,7 @@ _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, ta
 
 def _cut(path: str, window: int, end_id: int):
     def run(batches):
-        model, task = encode.word_bpe(path), TaskContext.get().partitionId()
+        model, task = encode.kept(encode.WordBpe, path), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()

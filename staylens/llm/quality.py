@@ -115,7 +115,7 @@ def entropy(ids: np.ndarray) -> float:
 
 def _measure(path: str, languages: dict[str, Band], scripts: dict[str, Band]):
     def run(batches):
-        model = encode.pieces(path)
+        model = encode.kept(encode.Pieces, path)
         for batch in batches:
             for texts in words.slices(batch.column(1)):
                 found = words.scan(texts)
@@ -125,7 +125,7 @@ def _measure(path: str, languages: dict[str, Band], scripts: dict[str, Band]):
                 h = words.hashes(texts.data, found.starts, found.ends)
                 grams = words.windows(h, WINDOW)
                 plain = [texts.bytes_of(i).decode() for i in range(len(texts))]
-                ids, borders = model.encode(texts, found, h)
+                ids, borders = model.encode(texts, found, words.distinct(h))
                 n_tokens = np.diff(borders)
                 n_bytes = words.count_at(np.flatnonzero(model.is_byte[ids]), borders)
                 out = {k: [] for k in ("dup", "rep", "failed", "kept", "cpt", "share", "bits", "band")}

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm import words
@@ -139,8 +139,9 @@ class _Sender:
             while j < len(order) and order[j][1][3] == bucket:
                 j += 1
             strings = [x[0] for x in order[i:j]]
-            facts = np.array([[*x[1][:3], len(x[0])] for x in order[i:j]], np.int64)
-            for column, x in zip(out, (bucket, j - i, pack.compress(facts.T.tobytes() + b"".join(strings)))):
+            doc, row, start = np.array([x[1][:3] for x in order[i:j]], np.int64).T
+            facts = _packed(doc, row, start, np.fromiter(map(len, strings), np.int64, j - i))
+            for column, x in zip(out, (bucket, j - i, pack.compress(facts + b"".join(strings)))):
                 column.append(x)
             i = j
         for a in range(0, len(out[0]), 512):
@@ -151,6 +152,22 @@ class _Sender:
                 yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([len(part)], pa.int32()), pa.array([pack.compress(part.tobytes())], pa.binary())], ["bucket", "n", "blob"])
 
 
+#: Bytes of a string's facts in a blob: document (as difference to the one before), row, start, length.
+FACTS = 8 + 4 + 8 + 8
+
+
+def _packed(doc: np.ndarray, row: np.ndarray, start: np.ndarray, lens: np.ndarray) -> bytes:
+    with np.errstate(over="ignore"):
+        step = np.diff(doc, prepend=np.int64(0))
+    return step.tobytes() + row.astype("<u4").tobytes() + start.tobytes() + lens.tobytes()
+
+
+def _unpacked(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        doc = np.cumsum(np.frombuffer(raw, np.int64, n), dtype=np.int64)
+    return doc, np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64), np.frombuffer(raw, np.int64, n, 12 * n), np.frombuffer(raw, np.int64, n, 20 * n)
+
+
 def _send(window: int, buckets: int):
     def run(batches):
         sender = _Sender(window, buckets)
@@ -227,12 +244,12 @@ def _count(window: int):
             if bucket < 0:
                 marks.append(np.frombuffer(raw, np.int64).reshape(n, 4))
                 continue
-            own = np.frombuffer(raw, np.int64, 4 * n).reshape(4, n)
-            at = 32 * n
-            for length in own[3].tolist():
+            doc, row, start, lens = _unpacked(raw, n)
+            at = FACTS * n
+            for length in lens.tolist():
                 strings.append(raw[at : at + length])
                 at += length
-            facts.append(own[:3])
+            facts.append(np.stack([doc, row, start]))
         if strings:
             doc, row, start = np.concatenate(facts, axis=1)
             string, place = later_windows(strings, doc, start, window)
@@ -260,17 +277,22 @@ def _marks(columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "row", "start", "end"])
 
 
+def _row(text) -> Column:
+    """32 bits that tell rows of one doc_id apart by their text."""
+    return F.pmod(F.xxhash64(text), F.lit(1 << 32))
+
+
 def repeated(docs: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """(doc_id, row, spans): word ranges to remove; ``row`` is the hash of the text, a null id is ``NULL_ID``."""
     spark = docs.sparkSession
     buckets = buckets or max(256, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.col("text").cast("string")
-    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    sent = rows.mapInArrow(_send(window, buckets), _SENT)
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), _row(text).alias("row"), text.alias("text"))
+    sent = rows.mapInArrow(words.tidy(_send(window, buckets)), _SENT)
     # marks of bucket -1 are spread: they need no company
     key = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(buckets))).otherwise(F.col("bucket"))
     met = sent.withColumn("key", key).repartition("key").sortWithinPartitions("bucket").select("bucket", "n", "blob")
-    marks = met.mapInArrow(_count(window), _MARK)
+    marks = met.mapInArrow(words.tidy(_count(window)), _MARK)
     return marks.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
@@ -314,10 +336,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, buckets: int | None
     """
     gone = repeated(docs, window, buckets).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_d"), F.xxhash64(text).alias("_r"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_d"), _row(text).alias("_r"))
     both = rows.join(gone, (F.col("_d") == F.col("_id")) & (F.col("_r") == F.col("_row")), "left").select("doc", "_spans")
     doc_type = both.schema["doc"].dataType.simpleString()
-    return both.mapInArrow(_cut, f"doc {doc_type}, {_KEPT}")
+    return both.mapInArrow(words.tidy(_cut), f"doc {doc_type}, {_KEPT}")
 
 
 def drop_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -17,8 +17,6 @@ Null text: null ids. Empty text: no ids. Repeated rows are each answered.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -113,15 +111,9 @@ class Viterbi(encode.ChunkEncoder):
         return data[keep], np.concatenate([[0], np.cumsum(np.diff(edges) - (np.diff(edges) > 0))])
 
 
-@lru_cache(maxsize=2)
-def _model(path: str) -> Viterbi:
-    """The worker's model of a file (kept between tasks, with its table of words)."""
-    return Viterbi(path)
-
-
 def _encode(path: str):
     def run(batches):
-        model = _model(path)
+        model = encode.kept(Viterbi, path)
         for batch in batches:
             for texts in words.slices(batch.column(1), most=SLICE):
                 plain = [texts.bytes_of(i).decode() for i in range(len(texts))]
@@ -153,7 +145,7 @@ def decode_texts(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or encode.tokenizer_path("piece_bpe_32k.model")
 
     def run(batches):
-        model = _model(path)
+        model = encode.kept(Viterbi, path)
         for batch in batches:
             listed = batch.column(1).to_pylist()
             ids = np.frombuffer(b"".join(x or b"" for x in listed), "<u4").astype(np.int64)

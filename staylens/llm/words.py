@@ -8,6 +8,7 @@ bounded number of bytes (one document more at most).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,33 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
+def tidy(run):
+    """``run`` (batches to batches) in a worker that holds little before and after it.
+
+    Python workers outlive a task: an encoder that an earlier operator kept is
+    let go first, and freed memory goes back to the system at the end.
+    """
+
+    def tidied(batches):
+        from staylens.llm import encode
+
+        encode.forget()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (in place on a fresh array)."""
     x = x ^ (x >> U(32))
@@ -93,9 +121,9 @@ def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> It
         at = end
 
 
-def of(texts: list[str]) -> Texts:
-    """These texts as one slice."""
-    raw = [t.encode() for t in texts]
+def of(texts: list[str] | list[bytes]) -> Texts:
+    """These texts (or their bytes) as one slice."""
+    raw = [t.encode() if isinstance(t, str) else t for t in texts]
     return Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), slice(0, len(raw)))
 
 
@@ -131,6 +159,17 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return h
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order, a place of each, and for every hash its place among them."""
+    order = np.argsort(h)
+    s = h[order]
+    first = np.ones(len(s), bool)
+    first[1:] = s[1:] != s[:-1]
+    which = np.empty(len(h), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return s[first], order[first], which
+
+
 def windows(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` items from each place on (places too near the end left out).
 

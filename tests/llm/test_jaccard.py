@@ -60,6 +60,8 @@ def rows():
 @pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (1, 50), (3, 100)])
 def test_matches_brute_force(spark, n, percent, monkeypatch):
     monkeypatch.setattr(jaccard, "CHUNK", 16)  # buckets in several chunks
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(jaccard, "BEST", 1)  # a second round is needed
     monkeypatch.setattr(jaccard, "CELL", 10)  # and pairs in several cells
     got = answers(jaccard.similar_groups(frame(spark, rows(), clash=True), n, percent), "doc_id", "n_shingles", "component_id")
     assert got == by_key(brute(rows(), n, percent))
@@ -74,9 +76,10 @@ def test_trees_lose_no_pair():
         items.append(np.unique(np.concatenate([base[a - a % 50 : a - a % 50 + n], r.integers(0, 1 << 63, n // 12).astype(np.uint64)])))
     n = np.array([len(s) for s in items])
     bits = [jaccard.bitmaps(s, 80) for s in items]
-    a, b = jaccard.forest_pairs(n, np.arange(len(items)), bits, np.zeros(len(items), int), 80)
+    a, b, differ = jaccard.forest_pairs(n, np.arange(len(items)), bits, np.zeros(len(items), int), 80)
     got = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
     assert len(got) == len(a)
+    assert all(d <= len(np.setxor1d(items[x], items[y])) for x, y, d in zip(a, b, differ))
     want = {(i, j) for j in range(len(items)) for i in range(j) if jaccard.allowed(len(np.intersect1d(items[i], items[j])), len(items[i]), len(items[j]), 80)}
     assert want and want <= got and len(got) < 0.2 * len(items) ** 2 / 2
     ok = jaccard.close_enough([bits[i] for i, _ in want], [bits[j] for _, j in want], np.array([n[i] for i, _ in want]), np.array([n[j] for _, j in want]), 80)
