@@ -212,23 +212,27 @@ class Tree:
         order = np.argsort(n, kind="stable")
         n, comp, bits = n[order], comp[order], bits[order]
         self.at, self.flips = at[order], flips[order]
-        spare = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)  # tokens beyond a set's distinct bits
-        level = {"bits": bits, "least": n, "most": n, "spare": spare, "low": comp, "high": comp}
+        level = {"bits": bits, "least": n, "most": n, "low": comp, "high": comp}
         self.levels = [level]
         while len(level["least"]) > 1:
             cut = np.arange(0, len(level["least"]), LEAF)
-            level = {k: op.reduceat(level[k], cut, axis=0) for k, op in (("bits", np.bitwise_or), ("least", np.minimum), ("most", np.maximum), ("spare", np.maximum), ("low", np.minimum), ("high", np.maximum))}
+            level = {k: op.reduceat(level[k], cut, axis=0) for k, op in (("bits", np.bitwise_or), ("least", np.minimum), ("most", np.maximum), ("low", np.minimum), ("high", np.maximum))}
             self.levels.append(level)
 
-    def folded(self, words_: int) -> list[np.ndarray]:
-        return [fold(x["bits"], words_) for x in self.levels]
+    def folded(self, words_: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Bitmaps of every level at this width, and the most tokens of a set beyond its distinct bits there."""
+        bits = [fold(x["bits"], words_) for x in self.levels]
+        spare = [self.levels[0]["most"] - np.bitwise_count(bits[0]).sum(axis=1, dtype=np.int64)]
+        while len(spare) < len(bits):
+            spare.append(np.maximum.reduceat(spare[-1], np.arange(0, len(spare[-1]), LEAF)))
+        return bits, spare
 
 
 def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Leaf pairs that sizes, bitmaps and components allow (each once, if both are one tree)."""
     same = x is y
     width = min(x.levels[0]["bits"].shape[1], y.levels[0]["bits"].shape[1])
-    bx, by = x.folded(width), y.folded(width)
+    (bx, sx), (by, sy) = x.folded(width), y.folded(width)
     width = min(x.flips.shape[1], y.flips.shape[1])
     fx, fy = fold(x.flips, width, np.bitwise_xor), fold(y.flips, width, np.bitwise_xor)
     i, j = len(x.levels) - 1, len(y.levels) - 1
@@ -257,7 +261,7 @@ def tree_pairs(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             found[1].append(y.at[b[keep]])
             continue
         common = np.bitwise_count(bx[i][a] & by[j][b]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(np.minimum(common + lx["spare"][a], lx["most"][a]), np.minimum(common + ly["spare"][b], ly["most"][b]))
+        most = np.minimum(np.minimum(common + sx[i][a], lx["most"][a]), np.minimum(common + sy[j][b], ly["most"][b]))
         keep = allowed(most, lx["least"][a], ly["least"][b], percent)
         a, b = a[keep], b[keep]
         down_x, down_y = i > 0 and i >= j, j > 0 and j >= i

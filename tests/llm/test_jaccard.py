@@ -83,6 +83,23 @@ def test_trees_lose_no_pair():
     assert ok.all()
 
 
+@pytest.mark.parametrize("percent, sizes", [(80, (148, 149)), (80, (292, 293)), (80, (580, 581)), (90, (313, 314)), (90, (617, 618)), (90, (1225, 1226))])
+def test_trees_of_two_widths_lose_no_pair(percent, sizes):
+    assert jaccard.width_of(sizes[0], percent) < jaccard.width_of(sizes[1], percent)
+    r = np.random.default_rng(sizes[0])
+    base = r.integers(0, 1 << 63, sizes[1]).astype(np.uint64)
+    items = [np.unique(base[: sizes[k % 2]]) for k in range(2)]
+    for k in range(40):  # similar sets on both sides of the size where bitmaps get wider
+        s = base[: sizes[k % 2]].copy()
+        s[r.choice(len(s), 1 + k % 4, replace=False)] = r.integers(0, 1 << 63, 1 + k % 4).astype(np.uint64)
+        items.append(np.unique(s))
+    n = np.array([len(s) for s in items])
+    a, b = jaccard.forest_pairs(n, np.arange(len(items)), [jaccard.bitmaps(s, percent) for s in items], np.zeros(len(items), int), percent)
+    got = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
+    want = {(i, j) for j in range(len(items)) for i in range(j) if jaccard.allowed(len(np.intersect1d(items[i], items[j])), len(items[i]), len(items[j]), percent)}
+    assert {n[i] != n[j] for i, j in want} == {True, False} and want <= got
+
+
 def test_components_of_long_chains(spark):
     r = random.Random(0)
     ids = list(range(500))
