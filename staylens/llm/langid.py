@@ -4,9 +4,9 @@ Known words are scored by their log frequency in each language. A word that was
 not seen falls back to its character n-grams, the longest that the model knows
 at all, down to single characters. A text's language has the highest sum.
 
-The model is fitted on labelled rows: at most about ``most_rows`` of them,
-picked by a hash of their id (all, if there are no more), which bounds it
-whatever the size of the corpus. It keeps the ``most_words`` most frequent
+The model is fitted on labelled rows: at most about ``most_rows`` of each
+language, picked by a hash of id and text (all, if it has no more), which bounds
+it whatever the size of the corpus and leaves no rare language out. It keeps the ``most_words`` most frequent
 words of each language and the n-grams of these, and goes to the tasks in the
 function. Prediction is one pass over all documents, no shuffle; only the text
 is read.
@@ -152,11 +152,13 @@ def _count_words(batches):
 
 def learn(labelled: DataFrame, most_rows: int = MOST_ROWS, most_words: int = MOST_WORDS) -> Model:
     """A model from rows with doc_id, text and lang (others are left out)."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = rows.count()
-    if n > most_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(most_rows / n * (1 << 30)))
-    counts = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "lang string, word string, n long")
+    lang, text = F.col("lang").cast("string"), F.col("text").cast("string")
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", lang.alias("lang"), text.alias("text"))
+    many = {r["lang"]: most_rows / r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > most_rows).collect()}
+    if many:
+        rate = F.create_map(*(F.lit(x) for lang, share in many.items() for x in (lang, int(share * (1 << 30)))))
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.coalesce(rate[F.col("lang")], F.lit(1 << 30)))
+    counts = rows.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
     counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     top = counts.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("at") <= most_words)
     out: dict[str, dict[str, int]] = {}

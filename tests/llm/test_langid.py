@@ -51,3 +51,11 @@ def test_slices_do_not_change_answers(spark):
         p, n = whole.places([t])
         q, k = each.places([t])
         assert (abs(whole.score[p].sum(axis=0) - each.score[q].sum(axis=0)) < 1e-2).all()
+
+
+def test_rare_languages_are_learned_whole(spark):
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i if i % 3 else None, f"hot{letters(i)}", "en", "s", 1) for i in range(3000)] + [(5000 + i, f"zeldzaam{letters(i)}", "nl", "s", 1) for i in range(5)]
+    m = langid.learn(frame(spark, rows), most_rows=300)
+    assert m.langs == ["en", "nl"] and sum(w.startswith("zeldzaam") for w in m.words) == 5
+    assert 200 < sum(w.startswith("hot") for w in m.words) < 400  # rows without an id are sampled as well
