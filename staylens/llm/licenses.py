@@ -1,8 +1,9 @@
 """License scans by ordered signature rules.
 
 Each rule is a regular expression with a label, a priority, a confidence and a
-literal gate that any of its matches contains. One Aho-Corasick pass over the
-lower-cased text finds which gates occur; only their rules run. Detections are
+literal gate that any of its matches contains. Both are held against the
+lower-cased text with runs of blanks, line ends and comment marks folded to one
+space: one Aho-Corasick pass finds which gates occur; only their rules run. Detections are
 then taken by priority (longer, then earlier first), and one whose interval
 lies inside an accepted detection's is suppressed, so "GNU Lesser General
 Public License" is not also reported as the shorter name inside it.
@@ -17,6 +18,7 @@ no labels, score 0. Repeated rows are each answered.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
@@ -177,14 +179,41 @@ def _machine():
     return finder, by_gate
 
 
+#: Line ends with the comment marks of the next line, marks that close a line, other blanks than one space.
+_FOLDED = re.compile(r"[\r\n][\s*#/;%>|!-]*|(?<=[ \t])[*#|]+(?=[^\S\r\n]{0,4}[\r\n])|[^\S\r\n]{2,}|[^\S\r\n ]")
+
+
+def fold(text: str) -> tuple[str, list[int], list[int]]:
+    """The text with one space for each run of blanks, line ends and comment marks at line
+    borders; where its unchanged parts begin, in it and in the text."""
+    parts, at, origin, size, last = [], [0], [0], 0, 0
+    for m in _FOLDED.finditer(text):
+        a, b = m.span()
+        if a > last:
+            parts.append(text[last:a])
+            size += a - last
+        if parts and not parts[-1].endswith(" "):
+            parts.append(" ")
+            at.append(size)
+            origin.append(a)
+            size += 1
+        at.append(size)
+        origin.append(b)
+        last = b
+    return "".join(parts) + text[last:], at, origin
+
+
 def detect(lowered: str, every_rule: bool = False) -> list[tuple[int, int, int]]:
     """Accepted detections (start, end, rule) of a lower-cased text, in order of start.
 
+    The rules run on the folded text, so that wrapped and commented lines match.
     ``every_rule`` runs all rules without the gates (for tests).
     """
     finder, by_gate = _machine()
+    lowered, at, origin = fold(lowered)
     gates = by_gate if every_rule else {g for _, g in finder.iter(lowered)}
-    found = [(m.start(), m.end(), i) for g in gates for i, p in by_gate[g] for m in p.finditer(lowered)]
+    place = lambda x: origin[k := bisect_right(at, x) - 1] + x - at[k]
+    found = [(place(m.start()), place(m.end() - 1) + 1, i) for g in gates for i, p in by_gate[g] for m in p.finditer(lowered)]
     if not found:
         return []
     order, kept = rules(), []

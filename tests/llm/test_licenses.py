@@ -66,3 +66,33 @@ def test_containment():
 
 def test_empty_table(spark):
     assert licenses.license_scan(frame(spark, [])).count() == 0
+
+
+WRAPPED = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as", "gpl"),
+    ("the GNU Lesser General Public\n\tLicense", "lgpl"), ("the GNU General Public  \r\n  License, version 3", "gpl-3.0"), ("the Common\nDevelopment and Distribution License", "cddl-1.0"),
+]
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", ";; ", "-- ", "box"])
+@pytest.mark.parametrize("text, label", WRAPPED)
+def test_wrapped_and_commented_lines(text, label, mark):
+    text = "\n".join(f" *  {x}   *" for x in text.split("\n")) if mark == "box" else mark + re.sub(r"(\r?\n)", rf"\1{mark}", text)
+    lowered = text.lower()
+    kept = licenses.detect(lowered)
+    assert label in {licenses.rules()[r].label for _, _, r in kept}
+    for a, b, r in kept:  # spans are places of the text itself
+        span = lowered[a:b]
+        assert span == span.strip(" *#/\n") and re.fullmatch(licenses.rules()[r].pattern, licenses.fold(span)[0])
+
+
+def test_folding_keeps_places():
+    for r in rows():
+        text = r[1] or ""
+        folded, at, origin = licenses.fold(text)
+        ends = [*at[1:], len(folded)]
+        assert "\n" not in folded and "  " not in folded
+        for a, b, o in zip(at, ends, origin):
+            assert folded[a:b] == text[o : o + b - a] or folded[a:b] == " "
