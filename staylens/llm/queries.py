@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import jaccard, langid, licenses, lines, lm, packing, quality, substrings, topk, viterbi
+from staylens.llm import bytebpe, jaccard, langid, licenses, lines, lm, packing, quality, substrings, topk, viterbi
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op13_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bytebpe.encode_texts(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_lines": op2_lines,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op13_bytebpe": op13_bytebpe,
 }
 
 SQL: dict[str, str] = {
