@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bytebpe, jaccard, langid, licenses, lines, lm, packing, quality, substrings, topk, variants, viterbi
+from staylens.llm import alignment, bytebpe, jaccard, langid, licenses, lines, lm, packing, quality, substrings, topk, variants, viterbi
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents")).drop("groups")
+
+
 def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(_table(spark, sf_dir, "documents"), least=3, modulus=97, times=2)
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
     "op12_variants": op12_variants,
     "op13_bytebpe": op13_bytebpe,
 }
