@@ -8,6 +8,8 @@ task before the shuffle. Report-sized outputs only; nothing is collected.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +134,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, quantiles: bool = T
     the distinct counts is one scan with map-side aggregates; quantiles come from
     mergeable sketches (``percentile_approx``, relative rank error 1 / 100,000, about
     a megabyte a column).
-    Exact distinct counts of all columns come from one stacked (column, value)
-    count, so no row is copied once per column by a multi-distinct plan.
+    Exact distinct counts come from ``value_counts``, so no row is copied once per column.
     """
     cols = columns or df.columns
     types = dict(df.dtypes)
@@ -164,41 +165,84 @@ def profile(df: DataFrame, columns: list[str] | None = None, quantiles: bool = T
     values += [(c, f"p{q:02d}", F.get(f"__q{i}", F.lit(j)).cast("double")) for i, c in enumerate(sketches) for j, q in enumerate(QUANTILES)]
     entries = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), v.alias("value")) for c, m, v in values]
     rows = one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    names = spark_names(df, cols)
-    distinct = _stacked(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("column_name").agg(
-        F.count(F.lit(1)).cast("double").alias("value"))
-    distinct = names.join(distinct, "column_name", "left").select("column_name", F.lit("distinct").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value"))
-    return rows.unionByName(distinct)
+    # a column's row without a value stands for the column itself, so one that is all null counts 0
+    distinct = value_counts(df, cols).groupBy("column_name").agg(F.count("value").cast("double").alias("value"))
+    return rows.unionByName(distinct.select("column_name", F.lit("distinct").alias("metric"), "value"))
 
 
 #: Per cent.
 QUANTILES = (5, 25, 50, 75, 95)
 
 
-def spark_names(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column name (a plan literal of schema size)."""
-    return df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-
-
-def _stacked(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value) pairs of all non-null values, as text."""
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
-    ]))
-    return df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+class _Dictionary:
+    """Counts of a column's distinct values over the batches of a task."""
+
+    def __init__(self, name: str) -> None:
+        self.name, self.parts, self.held, self.base = name, [], 0, 0
+
+    def add(self, column: pa.Array) -> None:
+        counts = pc.value_counts(column.drop_null())
+        self.parts.append(pa.table({"value": counts.field("values"), "count": counts.field("counts")}))
+        self.held += len(counts)
+
+    def combine(self) -> None:
+        if len(self.parts) > 1:
+            one = pa.concat_tables(self.parts).group_by("value").aggregate([("count", "sum")])
+            self.parts = [pa.table({"value": one.column("value"), "count": one.column("count_sum")})]
+            self.held = one.num_rows
+        self.base = self.held
+
+    def rows(self) -> pa.Table | None:
+        """What is held, as (column_name, value, count), and nothing held after."""
+        self.combine()
+        if not self.parts:
+            return None
+        one, self.parts, self.held, self.base = self.parts[0], [], 0, 0
+        return pa.table({"column_name": pa.array([self.name] * one.num_rows, pa.string()), "value": one.column("value"), "count": one.column("count")})
+
+
+def _dictionaries(names: list[str], most: int):
+    """Batches of text columns to (column_name, value, count): each value once a task, as long as its dictionary
+    fits; a column with more than ``most`` values in a task (an id, a free text) is handed on in parts."""
+
+    def run(batches):
+        columns = [_Dictionary(n) for n in names]
+        yield pa.RecordBatch.from_pydict({"column_name": names, "value": pa.array([None] * len(names), pa.string()), "count": pa.array([0] * len(names), pa.int64())})
+        for batch in batches:
+            for d, column in zip(columns, batch.columns):
+                d.add(column)
+                if d.held > 2 * d.base + most // 4:
+                    d.combine()
+                if d.held > most:
+                    yield from d.rows().to_batches(max_chunksize=10_000)
+        for d in columns:
+            if (rest := d.rows()) is not None:
+                yield from rest.to_batches(max_chunksize=10_000)
+
+    return run
+
+
+def value_counts(df: DataFrame, columns: list[str], most: int = 50_000) -> DataFrame:
+    """(column_name, value, count) of every column's distinct values as text, and (column_name, null, 0) for every column.
+
+    One scan: each task counts all columns in dictionaries over its column batches
+    (Arrow, no row is made), so a value held by a third of all rows leaves a task
+    once; the partial counts are then added up by column and value.
+    """
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    partial = texts.mapInArrow(_dictionaries(columns, most), "column_name string, value string, count long")
+    return partial.groupBy("column_name", "value").agg(F.sum("count").cast("long").alias("count"))
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     """AGG-14 top values: the ``k`` most frequent non-null values of each column
     (ties by value), as (column_name, value, count, rank).
 
-    Columns are stacked into (column, value) pairs and counted with map-side
-    partial aggregation, so a value held by a third of all rows is one partial
-    row per task; the top ``k`` per column then uses a partial WindowGroupLimit.
+    From ``value_counts``, so the rows are read once; the top ``k`` per column then
+    use a partial WindowGroupLimit.
     """
     from pyspark.sql import Window
 
-    stacked = _stacked(df, columns)
-    counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    counts = value_counts(df, columns).where(F.col("value").isNotNull())
     w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc())
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.values import AMENITY_FLAGS
+from staylens.sources.snapshots import Folders
 
 REVIEW_SCORES = [
     "review_scores_rating",
@@ -105,17 +106,17 @@ def build_marts(listings_valid: DataFrame, calendar: DataFrame, reviews: DataFra
     }
 
 
-def write_marts(marts: dict[str, DataFrame], base: str, mode: str = "overwrite") -> dict[str, str]:
-    """SNK-3: materialize marts as Parquet tables; the calendar fact is date-partitioned."""
+def write_marts(marts: dict[str, DataFrame], base: str, store=Folders) -> dict[str, str]:
+    """SNK-3: materialize marts as Parquet tables; the calendar fact is date-partitioned.
+
+    With ``store=Snapshots`` each mart is committed as a version of its table."""
     paths = {}
     for name, df in marts.items():
         path = f"{base.rstrip('/')}/{name}"
         if name == "fact_calendar":
             # AQE rebalances rows by (year, month): few files per folder, and a hot
             # month is split over several tasks instead of landing in one.
-            w = df.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month")
+            paths[name] = store.save(df.hint("rebalance", "year", "month"), path, ["year", "month"])
         else:
-            w = df.write.mode(mode)
-        w.parquet(path)
-        paths[name] = path
+            paths[name] = store.save(df, path)
     return paths

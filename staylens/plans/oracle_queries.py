@@ -651,3 +651,27 @@ SQL["mix_display"] = L("""
 SELECT room_type, printf('%.1f%%', round(c * 100.0 / SUM(c) OVER (), 9)) AS share, format('{:,}', c) AS listings
 FROM (SELECT room_type, CAST(COUNT(*) AS BIGINT) AS c FROM dim_listings GROUP BY room_type) m
 """)
+
+SQL["snapshot_rewrite"] = R("""
+SELECT t.reader, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(review_id) AS BIGINT) AS id_sum
+FROM fact_reviews, (SELECT unnest(['held', 'newest', 'first']) AS reader) t
+WHERE t.reader <> 'newest' OR comment_length > 0 GROUP BY t.reader
+""")
+
+SQL["silver_run"] = LCR("""
+SELECT 'listings_full.parquet' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS logged FROM v_flagged
+UNION ALL SELECT 'listings.parquet', CAST(COUNT(*) AS BIGINT), 'success', CAST(COUNT(*) AS BIGINT) FROM v_valid
+UNION ALL SELECT 'calendar.parquet', CAST(COUNT(*) AS BIGINT), 'success', CAST(COUNT(*) AS BIGINT) FROM v_calendar
+UNION ALL SELECT 'reviews.parquet', CAST(COUNT(*) AS BIGINT), 'success', CAST(COUNT(*) AS BIGINT) FROM v_reviews
+UNION ALL SELECT 'neighbourhoods.parquet', CAST(COUNT(*) AS BIGINT), 'success', CAST(COUNT(*) AS BIGINT)
+  FROM (SELECT DISTINCT n_regionkey, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) n
+""")
+
+SQL["pipeline_run"] = LCR("""
+SELECT m.mart, CAST(m.n AS BIGINT) AS rows, 'bronze,silver,gold' AS phases, 'success' AS status FROM (
+  SELECT 'dim_listings' AS mart, COUNT(*) AS n FROM dim_listings
+  UNION ALL SELECT 'dim_hosts', COUNT(*) FROM dim_hosts
+  UNION ALL SELECT 'dim_geography', COUNT(*) FROM dim_geography
+  UNION ALL SELECT 'fact_calendar', COUNT(*) FROM fact_calendar
+  UNION ALL SELECT 'fact_reviews', COUNT(*) FROM fact_reviews) m
+""")

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from staylens.functions.values import LANDED_FILES
 from staylens.plans import bronze, gold, silver
 from staylens.sources import csv, metadata
+from staylens.sources.snapshots import Folders
 
 
 ALL_PHASES = ["bronze", "silver", "gold"]
@@ -27,6 +28,7 @@ class Layout:
     gold_dir: str
     log_path: str
     runs_path: str
+    store: type = Folders  # Snapshots: silver and gold tables change by one atomic commit each
 
 
 def _raw_inputs(spark: SparkSession, landing_dir: str, partitions: int | None) -> dict:
@@ -62,15 +64,11 @@ def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout:
                 status = detail["status"]
             elif phase == "silver":
                 raw = _raw_inputs(spark, layout.landing_dir, partitions)
-                detail = silver.run_silver(spark, raw, layout.silver_dir, city, as_of, log=layout.log_path)
+                detail = silver.run_silver(spark, raw, layout.silver_dir, city, as_of, log=layout.log_path, store=layout.store)
                 status = "success" if all(v.get("status") == "success" for v in detail.values()) else "partial"
             elif phase == "gold":
-                s = layout.silver_dir
-                marts = gold.build_marts(
-                    spark.read.parquet(f"{s}/listings.parquet"), spark.read.parquet(f"{s}/calendar.parquet"),
-                    spark.read.parquet(f"{s}/reviews.parquet"),
-                )
-                detail = gold.write_marts(marts, layout.gold_dir)
+                silver_tables = [layout.store.load(spark, f"{layout.silver_dir}/{n}.parquet") for n in ("listings", "calendar", "reviews")]
+                detail = gold.write_marts(gold.build_marts(*silver_tables), layout.gold_dir, layout.store)
                 status = "success"
             else:
                 raise ValueError(f"unknown phase {phase}")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import threading
 from typing import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +26,10 @@ from staylens.operators import aggregates as agg
 from staylens.operators import features, joinagg, joins, quality, sampling, stats, windows
 from staylens.operators import model as ml
 from staylens.operators.sampling import split_bucket
-from staylens.plans import bronze, domain, gold, landed, silver
+from staylens.plans import bronze, domain, gold, landed, pipeline, silver
 from staylens.session import shared_path
 from staylens.sources import csv as csv_source
-from staylens.sources import landing, metadata
+from staylens.sources import landing, metadata, snapshots
 from staylens.sources.tables import memo_plan, read_table, register_views, session_key, table_path, union_all, version
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -848,6 +849,52 @@ def silver_listings_write_q(spark, sf):
     return one("full", full).unionByName(one("clean", clean)).select("written", "room_type", "rows", "id_sum")
 
 
+@query("snapshot_rewrite")
+def snapshot_rewrite_q(spark, sf):
+    """SNK-1 + SNK-3: a table during and after a rewrite, after a write that failed, and its first version again."""
+    table = shared_path(spark, "snapshots")
+    rows = fact_reviews(spark, sf).select("listing_id", "review_id", "comment_length")
+    first = snapshots.write(rows, table)
+    held = snapshots.read(spark, table)  # resolved before the rewrite
+    snapshots.write(rows.where(F.col("comment_length") > 0), table, meta={"reason": "without empty comments"})
+    try:
+        snapshots.write(rows.withColumn("comment_length", F.raise_error(F.lit("a write that fails")).cast("int")), table)
+    except PySparkException as e:
+        if "a write that fails" not in str(e):
+            raise
+    seen = {"held": held, "newest": snapshots.read(spark, table), "first": snapshots.read(spark, table, first)}
+    counted = [df.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum("review_id").cast("long").alias("id_sum")).select(F.lit(k).alias("reader"), "rows", "id_sum")
+               for k, df in seen.items()]
+    return union_all(counted)
+
+
+def _layout(spark, sf) -> pipeline.Layout:
+    base = shared_path(spark, "pipeline")
+    return pipeline.Layout(landing_area(spark, sf)["folder"], f"{base}/silver", f"{base}/gold", f"{base}/log", f"{base}/runs", store=snapshots.Snapshots)
+
+
+@query("silver_run")
+def silver_run_q(spark, sf):
+    """JOB-6: the silver job over the landed files; its log, and the rows of each committed table."""
+    lay = _layout(spark, sf)
+    pipeline.run(spark, silver.CityConfig(bounds=domain.CITY_BOUNDS), ["silver"], lay, as_of=domain.AS_OF)
+    log = metadata.read_log(spark, lay.log_path).where("layer = 'silver'").select("file_name", "status", "row_count")
+    names = ["listings_full", "listings", "calendar", "reviews", "neighbourhoods"]
+    rows = union_all([snapshots.read(spark, f"{lay.silver_dir}/{n}.parquet").agg(F.count(F.lit(1)).cast("long").alias("rows")).select(F.lit(f"{n}.parquet").alias("file_name"), "rows") for n in names])
+    return rows.join(log, "file_name", "left").select(F.col("file_name").alias("table_name"), "rows", "status", F.col("row_count").alias("logged"))
+
+
+@query("pipeline_run")
+def pipeline_run_q(spark, sf):
+    """JOB-8: all phases over the landed files, the state of the run, and the rows of the marts it committed."""
+    lay = _layout(spark, sf)
+    pipeline.run(spark, silver.CityConfig(bounds=domain.CITY_BOUNDS), ["all"], lay, as_of=domain.AS_OF)
+    run = metadata.run_state(metadata.read_runs(spark, lay.runs_path)).where("phases = 'bronze,silver,gold'").select("phases", "status")
+    marts = ["dim_listings", "dim_hosts", "dim_geography", "fact_calendar", "fact_reviews"]
+    rows = union_all([snapshots.read(spark, f"{lay.gold_dir}/{n}").agg(F.count(F.lit(1)).cast("long").alias("rows")).select(F.lit(n).alias("mart"), "rows") for n in marts])
+    return rows.withColumn("run", run.agg(F.max(F.struct("phases", "status"))).scalar()).select("mart", "rows", "run.phases", "run.status")
+
+
 @query("resolved_source")
 def resolved_source_q(spark, sf):
     """SRC-4: a folder with several candidate files; the preferred name is read, or else the first that fits."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from staylens.functions import amenities, derive, labels, parse, text
 from staylens.operators import quality
 from staylens.operators.windows import keep_first
+from staylens.sources.snapshots import Folders
 
 PRICE_COLS = ["price", "weekly_price", "monthly_price", "security_deposit", "cleaning_fee"]
 DATE_COLS = ["host_since", "last_review", "calendar_last_scraped", "first_review"]
@@ -130,19 +131,15 @@ def clean_neighbourhoods(raw: DataFrame) -> DataFrame:
     return text.standardize_columns(raw)
 
 
-def write_listings(flagged: DataFrame, silver_dir: str) -> dict:
+def write_listings(flagged: DataFrame, silver_dir: str, store=Folders) -> dict:
     """SNK-2: write all rows with flags, then the valid subset read back from that write.
 
     Reading the written table (instead of caching) keeps the two sinks
     consistent, is lineage-free for the second write, and survives executor loss.
     """
-    spark = flagged.sparkSession
-    full = f"{silver_dir.rstrip('/')}/listings_full.parquet"
-    clean = f"{silver_dir.rstrip('/')}/listings.parquet"
-    flagged.write.mode("overwrite").parquet(full)
-    written = spark.read.parquet(full)
-    quality.valid_subset(written).write.mode("overwrite").parquet(clean)
-    return {"full": full, "clean": clean}
+    full = store.save(flagged, f"{silver_dir.rstrip('/')}/listings_full.parquet")
+    written = flagged.sparkSession.read.schema(flagged.schema).parquet(full)
+    return {"full": full, "clean": store.save(quality.valid_subset(written), f"{silver_dir.rstrip('/')}/listings.parquet")}
 
 
 def run_silver(
@@ -152,17 +149,22 @@ def run_silver(
     city: CityConfig,
     as_of: str | None = None,
     log=None,
+    store=Folders,
 ) -> dict[str, dict]:
-    """JOB-6: clean each dataset independently; a failure is recorded, the rest continue."""
+    """JOB-6: clean each dataset independently; a failure is recorded, the rest continue.
+
+    With ``store=Snapshots`` every dataset is committed as a version of its table: a
+    failed one leaves its table as it was, and readers never see half of a write.
+    """
     from staylens.sources import metadata
 
     summary: dict[str, dict] = {}
     events = []
     steps = {
-        "listings": lambda r: write_listings(clean_listings(r, city, as_of), silver_dir)["clean"],
-        "calendar": lambda r: _write(clean_calendar(r), silver_dir, "calendar"),
-        "reviews": lambda r: _write(clean_reviews(r), silver_dir, "reviews"),
-        "neighbourhoods": lambda r: _write(clean_neighbourhoods(r), silver_dir, "neighbourhoods"),
+        "listings": lambda r: write_listings(clean_listings(r, city, as_of), silver_dir, store)["clean"],
+        "calendar": lambda r: _write(clean_calendar(r), silver_dir, "calendar", store),
+        "reviews": lambda r: _write(clean_reviews(r), silver_dir, "reviews", store),
+        "neighbourhoods": lambda r: _write(clean_neighbourhoods(r), silver_dir, "neighbourhoods", store),
     }
 
     def run_one(name, step):
@@ -192,7 +194,5 @@ def run_silver(
     return summary
 
 
-def _write(df: DataFrame, silver_dir: str, name: str) -> str:
-    path = f"{silver_dir.rstrip('/')}/{name}.parquet"
-    df.write.mode("overwrite").parquet(path)
-    return path
+def _write(df: DataFrame, silver_dir: str, name: str, store=Folders) -> str:
+    return store.save(df, f"{silver_dir.rstrip('/')}/{name}.parquet")
