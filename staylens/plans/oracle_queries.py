@@ -107,6 +107,9 @@ FROM fact_calendar fc JOIN dim_geography g ON fc.listing_id = g.listing_id
 GROUP BY g.neighbourhood
 """)
 
+SQL["occupancy_recomputed"] = SQL["occupancy"]
+SQL["occupancy_landings"] = SQL["occupancy"]
+
 SQL["area_room_prices"] = L(f"""
 SELECT g.neighbourhood AS borough, l.room_type, {r4('AVG(l.price)')} AS avg_price, CAST(COUNT(*) AS BIGINT) AS listing_count
 FROM dim_listings l JOIN dim_geography g ON l.listing_id = g.listing_id

@@ -92,8 +92,22 @@ def test_only_aggregated_rows_are_shuffled(no_broadcast, key):
     assert _raw_shuffles(plan) == []
 
 
-def test_occupancy_shuffles_calendar_only_aggregated(no_broadcast):
-    plan = plan_text(E.queries()["occupancy"](no_broadcast, SF))
-    raw = _raw_shuffles(plan)
-    # only the geography side (one row per listing) is shuffled as rows; the calendar never is
-    assert len(raw) == 1 and "available" not in raw[0]
+@pytest.mark.parametrize("key", ["occupancy", "occupancy_recomputed"])
+def test_occupancy_shuffles_calendar_only_aggregated(no_broadcast, key):
+    """The geography is bucketed by listing, the calendar is summed up per listing before it moves."""
+    assert _raw_shuffles(plan_text(E.queries()[key](no_broadcast, SF))) == []
+
+
+def _exchanges_below_join(plan: str) -> int:
+    """Exchanges under the last join (the mart join; what stands above it only moves groups)."""
+    lines = plan.split("\n")
+    at = max(i for i, ln in enumerate(lines) if "Join " in ln)
+    return sum("Exchange " in ln for ln in lines[at + 1:])
+
+
+@pytest.mark.parametrize("key,exchanges", [("area_prices", 0), ("area_room_prices", 0), ("occupancy", 0), ("price_histogram", 0),
+                                           ("superhost_share", 1), ("tenure_cohorts", 1)])
+def test_mart_joins_are_co_partitioned(no_broadcast, key, exchanges):
+    """Marts by listing share their buckets, so their joins exchange nothing. Of the joins by host only the listings'
+    partial sums move: a host may have a third of all listings, so listings are not bucketed by host."""
+    assert _exchanges_below_join(plan_text(E.queries()[key](no_broadcast, SF))) == exchanges
