@@ -73,6 +73,21 @@ def raw_listing_text(spark: SparkSession, sf: str) -> DataFrame:
     return typed.select(*out)
 
 
+def raw_review_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews as exported: 18-digit ids, some comments of two lines with quotes."""
+    return domain.raw_reviews(spark, sf).select(
+        _long_id("listing_id"), _long_id("id"), F.col("date").cast("string").alias("date"), "reviewer_id", "reviewer_name",
+        F.when(F.col("id") % 29 == 0, F.concat(F.col("comments"), F.lit("\nsecond line, with \"quotes\"")))
+        .otherwise(F.col("comments")).alias("comments"),
+    )
+
+
+def land_plain_reviews(spark: SparkSession, sf: str, folder: str) -> str:
+    """Reviews as plain CSV files with quoted line ends."""
+    raw_review_text(spark, sf).write.option("header", True).option("quote", '"').option("escape", '"').csv(folder)
+    return folder
+
+
 def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = None) -> dict[str, str]:
     """Write listings / calendar / reviews (gzip CSV) and neighbourhoods (CSV).
 
@@ -87,11 +102,7 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = Non
         F.col("minimum_nights").cast("string").alias("minimum_nights"),
         F.col("maximum_nights").cast("string").alias("maximum_nights"),
     )
-    rev = domain.raw_reviews(spark, sf).select(
-        _long_id("listing_id"), _long_id("id"), F.col("date").cast("string").alias("date"), "reviewer_id", "reviewer_name",
-        F.when(F.col("id") % 29 == 0, F.concat(F.col("comments"), F.lit("\nsecond line, with \"quotes\"")))
-        .otherwise(F.col("comments")).alias("comments"),
-    )
+    rev = raw_review_text(spark, sf)
     nb = domain.listing_base(spark, sf).select(
         F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("Neighbourhood Group"),
         F.col("n_name").alias("Neighbourhood"),

@@ -531,6 +531,8 @@ SELECT listing_id, id, date, reviewer_id, comments, CAST(COALESCE(length(comment
 ) t WHERE rn = 1
 """)
 
+SQL["split_csv"] = SQL["silver_reviews_csv"]
+
 SQL["reordered_csv"] = C("SELECT listing_id, date, price FROM v_calendar")
 
 SQL["union_by_name"] = C("SELECT listing_id, date, price, CASE WHEN listing_id % 3 = 2 THEN NULL ELSE available END AS available FROM v_calendar")

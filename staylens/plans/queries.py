@@ -873,6 +873,14 @@ def reordered_csv_q(spark, sf):
     return silver.clean_calendar(csv_source.read_landed_csv(spark, f"{folder}/*")).select("listing_id", "date", "price")
 
 
+@query("split_csv")
+def split_csv_q(spark, sf):
+    """SRC-1 read by many tasks a file: plain review text with quoted line ends, in byte ranges, cleaned and deduplicated."""
+    folder = landed.land_plain_reviews(spark, sf, shared_path(spark, "plain"))
+    r = silver.clean_reviews(csv_source.read_landed_csv(spark, folder, split=True))
+    return r.select("listing_id", "id", "date", "reviewer_id", "comments", F.col("comment_length").cast("int").alias("comment_length"))
+
+
 @query("union_by_name")
 def union_by_name_q(spark, sf):
     """SET-1: the calendar in three chunks of different columns, put together by name."""
