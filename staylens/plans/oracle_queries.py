@@ -242,6 +242,8 @@ SQL["valid_subset"] = L("SELECT id, price, latitude, longitude, is_valid FROM v_
 
 SQL["dedup_reviews"] = R("SELECT * FROM v_reviews")
 
+SQL["dedup_landings"] = SQL["dedup_reviews"]
+
 SQL["dedup_removed"] = R("SELECT CAST((SELECT COUNT(*) FROM v_reviews_raw) - (SELECT COUNT(*) FROM v_reviews) AS BIGINT) AS removed")
 
 # ---------------------------------------------------------------- scalar functions

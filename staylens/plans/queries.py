@@ -23,7 +23,7 @@ from staylens.functions import format as fmt
 from staylens.functions.derive import round_to
 from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE
 from staylens.operators import aggregates as agg
-from staylens.operators import features, joinagg, joins, occupancy_state, quality, sampling, stats, windows
+from staylens.operators import features, joinagg, joins, keepfirst_state, occupancy_state, quality, sampling, stats, windows
 from staylens.operators import model as ml
 from staylens.operators.sampling import split_bucket
 from staylens.plans import bronze, domain, gold, landed, pipeline, silver
@@ -397,6 +397,17 @@ def dedup_reviews(spark, sf):
     return silver_reviews(spark, sf)
 
 
+@query("dedup_landings")
+def dedup_landings(spark, sf):
+    """WIN-3 + JOB-4 incremental: reviews come in three landings that share keys, the second one twice."""
+    table = shared_path(spark, "kept_reviews")
+    raw = domain.raw_reviews(spark, sf)
+    third = F.pmod(F.xxhash64("id"), F.lit(3))
+    for i in (2, 0, 2, 1):
+        keepfirst_state.land(silver.type_reviews(raw.where(third == i)), table, ["listing_id", "reviewer_id", "date"], buckets=16)
+    return keepfirst_state.kept_rows(spark, table)
+
+
 @query("dedup_removed")
 def dedup_removed(spark, sf):
     raw = domain.raw_reviews(spark, sf)

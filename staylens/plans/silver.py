@@ -108,8 +108,8 @@ def clean_calendar(raw: DataFrame) -> DataFrame:
     return quality.apply_flags(df, quality.calendar_rules())
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
-    """JOB-4: typed reviews, cleaned comments, deduplicated on (listing, reviewer, date)."""
+def type_reviews(raw: DataFrame) -> DataFrame:
+    """Typed reviews with cleaned comments, before deduplication."""
     df = raw
     cast = {}
     if "date" in df.columns:
@@ -122,6 +122,12 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
     df = df.withColumns(cast)
     if "comments" in df.columns:
         df = df.withColumn("comment_length", text.text_length("comments"))
+    return df
+
+
+def clean_reviews(raw: DataFrame) -> DataFrame:
+    """JOB-4: typed reviews, deduplicated on (listing, reviewer, date)."""
+    df = type_reviews(raw)
     keys = _present(df, ["listing_id", "reviewer_id", "date"])
     return keep_first(df, keys, order_col="id") if keys else df
 

@@ -34,3 +34,33 @@ def test_landings_equal_one_pass(spark, tmp_dir):
     kept = [m for m in versions[0].parts if versions[1].parts[m] == versions[0].parts[m]]
     assert sorted(kept) == ["2024-03", "2024-04", "2024-05", "2024-06"]
     assert occupancy_state.land(calendar(spark, []), table).version == versions[-1].version
+
+
+def test_keep_first_over_landings(spark, tmp_dir):
+    from staylens.operators import keepfirst_state as state
+    from staylens.operators.windows import keep_first
+
+    r = random.Random(4)
+    cols = "a long, b string, id long, text string"
+    parts = [[(r.choice([1, 2, 3, None]), r.choice(["x", "y", None]), r.choice([None, *range(40)]), r.choice("pqr")) for _ in range(60)] for _ in range(4)]
+    parts.append([(9, "hot", i, "t") for i in range(300)])
+    frames = [spark.createDataFrame(p, cols) for p in parts]
+    every = spark.createDataFrame(sum(parts, []), cols)
+    want = sorted(map(str, keep_first(every, ["a", "b"]).collect()))
+    for n, order in enumerate(([0, 1, 2, 3, 4], [4, 2, 2, 0, 3, 1], [3, 1, 0, 4, 2, 0])):
+        table = f"{tmp_dir}/kept{n}"
+        for i in order:
+            state.land(frames[i], table, ["a", "b"], buckets=7)
+        assert sorted(map(str, state.kept_rows(spark, table).collect())) == want
+
+
+def test_keep_first_replaces_only_changed_buckets(spark, tmp_dir):
+    from staylens.operators import keepfirst_state as state
+
+    table = f"{tmp_dir}/kept"
+    assert state.land(spark.createDataFrame([], "k long, id long"), table, ["k"]) is None
+    first = state.land(spark.range(100).selectExpr("id AS k", "id + 10 AS id"), table, ["k"], buckets=16)
+    assert state.land(spark.range(100).selectExpr("id AS k", "id + 11 AS id"), table, ["k"]).version == first.version  # nothing comes before
+    second = state.land(spark.createDataFrame([(5, 1), (6, 99)], "k long, id long"), table, ["k"])
+    assert len(first.parts) > 10 and sum(first.parts[b] != second.parts[b] for b in first.parts) == 1
+    assert {tuple(x) for x in state.kept_rows(spark, table).where("k in (5, 6)").collect()} == {(5, 1), (6, 16)}
