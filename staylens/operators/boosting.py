@@ -11,7 +11,8 @@ trees so far, so a lost executor repeats one stage, not the fit.
 
 Rows are dealt to as few tasks as hold them (a small table trains in one task
 without any exchange), never more than the cluster runs at a time, as a barrier
-stage must run at once.
+stage must run at once. An exchange takes about a second whatever it carries
+(Spark polls it), so six seconds a tree is the floor with more than one task.
 
 Scoring walks all trees for whole column batches. ``leaf_paths`` turns trees into
 rows of (feature, interval) conditions and a value, from which attributions are
@@ -122,8 +123,8 @@ class _Grower:
             out[1] += np.bincount(at, minlength=out.shape[1])
         return self.gather(out).reshape(2, nodes, self.bins)
 
-    def _splits(self, hist: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best cut (a bin) of every node and whether it gains anything."""
+    def _splits(self, hist: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best cut (a bin) of every node, whether it gains anything, and the children's sums of gradients and hessians."""
         p, (g, h) = self.p, hist
         first = slice(self.begin[columns[0]], self.begin[columns[0]] + int((self.of_bin == columns[0]).sum()))
         all_g, all_h = g[:, first].sum(axis=1, keepdims=True), h[:, first].sum(axis=1, keepdims=True)
@@ -138,7 +139,11 @@ class _Grower:
         gain[:, ~ok] = -np.inf
         gain[~((left_h >= p.min_child_weight) & (right_h >= p.min_child_weight) & (left_h > 0) & (right_h > 0)) | np.isnan(gain)] = -np.inf
         best = np.argmax(gain, axis=1)
-        return best, gain[np.arange(len(best)), best] > 1e-6
+        at = np.arange(len(best))
+        gains = gain[at, best] > 1e-6
+        # sums of the children: without a split all rows go left
+        kept = np.stack([np.where(gains, left_g[at, best], all_g[:, 0]), np.where(gains, left_h[at, best], all_h[:, 0])])
+        return best, gains, np.stack([kept, np.concatenate([all_g, all_h], axis=1).T - kept], axis=2).reshape(2, -1)
 
     def grow(self, number: int, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One tree on the gradients at ``margin``, which it is then added to."""
@@ -154,14 +159,12 @@ class _Grower:
         node = np.zeros(len(self.y), np.int64)
         for level in range(p.max_depth):
             nodes = 1 << level
-            best, gains = self._splits(self._histograms(node, rows, g, columns, nodes), columns)
+            best, gains, sums = self._splits(self._histograms(node, rows, g, columns, nodes), columns)
             at = slice(nodes - 1, 2 * nodes - 1)
             feature[at] = np.where(gains, self.of_bin[best], 0)
             threshold[at] = np.where(gains, self.cut[best], np.inf)
             limit = np.where(gains, best, self.bins)  # a code above its node's limit goes right
             node = 2 * node + (self.code[np.arange(len(node)), feature[at][node]] > limit[node])
-        leaves = inner + 1
-        sums = self.gather(np.stack([np.bincount(node[rows], weights=g[rows], minlength=leaves), np.bincount(node[rows], minlength=leaves).astype(float)]))
         value = np.where(sums[1] > 0, -p.step_size * sums[0] / np.maximum(sums[1] + p.l2, 1e-300), 0.0)
         margin += value[node]
         return feature, threshold, value

@@ -1,56 +1,44 @@
-"""Price model (ML-2 .. ML-12) on Spark ML.
+"""Price model (ML-2 .. ML-12) on second-order boosted trees (``boosting``).
 
-* ML-2 label encoding: ``StringIndexer(stringOrderType="alphabetAsc")`` -- codes
-  are alphabetical like the source's encoder. A request with a label the model
-  has not seen is returned unscored, it does not fail the other requests.
+* ML-2 label encoding: codes are alphabetical like the source's encoder
+  (``StringIndexer(stringOrderType="alphabetAsc")``). A request with a label the
+  model has not seen is returned unscored, it does not fail the other requests.
 * ML-3 split: hash of the listing id (partition independent, stable on retry).
-* ML-4 boosted trees: ``GBTRegressor`` with the source's depth, rate, row and
-  feature subsampling, minimum child size and number of trees (500); bins are
-  derived from the fitted vocabularies, so any number of areas can be learned.
-* ML-9 attribution: sampled Shapley values, computed as ONE batch
-  ``transform`` over (request x permutation x prefix) rows; each permutation
-  is paired with one background row drawn by hash from the training set, so
-  impacts add up exactly to prediction minus the mean background prediction.
-
-Everything scores whole request tables with ``transform``; nothing loops
-over rows on the driver. The only driver-side values are model-sized:
-encoder vocabularies, metrics, and a fixed number of background rows.
+* ML-4 boosted trees: depth, rate, L2 term, minimum child weight, row sample and
+  columns a tree as in the source, 500 trees; cut values are the features'
+  quantiles, so any number of areas can be learned.
+* ML-7 artifacts: trees, labels and metrics as a snapshot table (``registry``).
+* ML-9 attribution: exact Shapley values against background rows drawn by hash from
+  the training set, from the trees' leaf paths; impacts add up to prediction minus
+  the mean background prediction.
+
+Everything scores whole request tables a column batch at a time; nothing loops
+over rows on the driver. The only driver-side values are model-sized: trees,
+label lists, metrics, and a fixed number of background rows.
 """
 
 from __future__ import annotations
 
-import random
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor  # noqa: F401  (re-exported for queries)
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.functions.values import NIGHTS_PER_MONTH, PRICE_FLOOR
+from staylens.operators import boosting
 from staylens.operators.features import BOOL_FEATURES, FEATURE_COLS
 from staylens.operators.joins import lookup_with_default, per_label_rows
 from staylens.operators.sampling import hash_key, train_test_split
+from staylens.sources import snapshots
 from staylens.operators.windows import rank_within, top_n
 
 #: PRJ-6: what a request that leaves a feature open is priced with.
 REQUEST_DEFAULTS = {"accommodates": 2.0, "bedrooms": 1.0, "bathrooms": 1.0, "beds": 1.0, "amenity_count": 0.0}
 
 
-@dataclass
-class GBTParams:
-    max_iter: int = 500
-    max_depth: int = 6
-    step_size: float = 0.05
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    min_instances_per_node: int = 5
-    max_bins: int = 128  # at least; a categorical feature with more labels raises it
-    seed: int = 42
-    checkpoint_interval: int = 10  # cuts lineage in spark.checkpoint.dir during boosting
-    cache_node_ids: bool = True  # node ids cached per row instead of re-walking trees each iteration
+GBTParams = boosting.BoostParams
 
 
 def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
@@ -62,20 +50,34 @@ def encoders(handle_invalid: str = "error") -> list[StringIndexer]:
     ]
 
 
-def fit_price_pipeline(train: DataFrame, params: GBTParams, feature_cols: list[str] = FEATURE_COLS, labels_of: DataFrame | None = None) -> PipelineModel:
-    """Encoders and assembler first (labels of ``labels_of``, by default the training rows); the
-    trees' bins then cover the largest fitted vocabulary."""
-    assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    prep = Pipeline(stages=[*encoders(), assembler]).fit(train if labels_of is None else labels_of)
-    labels = max(len(s.labelsArray[0]) for s in prep.stages[:2])
-    gbt = GBTRegressor(
-        featuresCol="features", labelCol="price", predictionCol="prediction", maxIter=params.max_iter,
-        maxDepth=params.max_depth, stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
-        featureSubsetStrategy=params.feature_subset, minInstancesPerNode=params.min_instances_per_node,
-        maxBins=max(params.max_bins, labels), seed=params.seed, checkpointInterval=params.checkpoint_interval,
-        cacheNodeIds=params.cache_node_ids,
-    )
-    return PipelineModel(stages=[*prep.stages, gbt.fit(prep.transform(train))])
+@dataclass
+class PriceModel:
+    """Label lists and trees: what turns feature rows into prices."""
+
+    room_types: list[str]
+    boroughs: list[str]
+    trees: boosting.BoostedTrees
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """Codes of room type and neighbourhood (null for labels that were not learned)."""
+        out = df
+        for column, labels in (("room_type", self.room_types), ("neighbourhood", self.boroughs)):
+            codes = F.create_map(*[F.lit(x) for i, label in enumerate(labels) for x in (label, float(i))]) if labels else None
+            out = out.withColumn(f"{column}_enc", F.try_element_at(codes, F.col(column)) if labels else F.lit(None).cast("double"))
+        return out
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with its codes and ``prediction``."""
+        return boosting.transform(self.trees, self.encode(df), FEATURE_COLS)
+
+
+def fit_price_model(train: DataFrame, params: GBTParams, labels_of: DataFrame | None = None) -> PriceModel:
+    """Labels of ``labels_of`` (by default of the training rows), then trees on the training rows."""
+    prep = Pipeline(stages=encoders()).fit(train if labels_of is None else labels_of)
+    room_types, boroughs = (list(s.labelsArray[0]) for s in prep.stages)
+    model = PriceModel(room_types, boroughs, boosting.BoostedTrees.of_rows([(-1, [0], [0.0], [0.0])]))
+    model.trees = boosting.fit(model.encode(train), FEATURE_COLS, "price", "listing_id", params)
+    return model
 
 
 def regression_metrics(pred: DataFrame, label: str = "price", prediction: str = "prediction") -> DataFrame:
@@ -93,10 +95,16 @@ def regression_metrics(pred: DataFrame, label: str = "price", prediction: str =
 
 @dataclass
 class TrainedModel:
-    model: PipelineModel
+    model: PriceModel
     metrics: dict
-    room_types: list[str]
-    boroughs: list[str]
+
+    @property
+    def room_types(self) -> list[str]:
+        return self.model.room_types
+
+    @property
+    def boroughs(self) -> list[str]:
+        return self.model.boroughs
 
     @property
     def mae(self) -> float:
@@ -107,31 +115,24 @@ def train_price_model(features: DataFrame, params: GBTParams | None = None, test
     """ML-3 + ML-4 + ML-6: hash split, fit, evaluate on the hold-out."""
     params = params or GBTParams()
     train, test = train_test_split(features, "listing_id", test_pct)
-    model = fit_price_pipeline(train, params, labels_of=features)  # encoders know the labels of all rows, as in the source
-    metrics = regression_metrics(model.transform(test)).first().asDict()
-    room_types = list(model.stages[0].labelsArray[0])
-    boroughs = list(model.stages[1].labelsArray[0])
-    return TrainedModel(model, metrics, room_types, boroughs)
+    model = fit_price_model(train, params, labels_of=features)  # encoders know the labels of all rows, as in the source
+    return TrainedModel(model, regression_metrics(model.transform(test)).first().asDict())
 
 
-def save_model(tm: TrainedModel, path: str) -> None:
-    """ML-7: the fitted pipeline (encoders inside) plus a one-row metrics table."""
-    spark = _spark()
-    tm.model.write().overwrite().save(f"{path}/pipeline")
-    spark.createDataFrame([tm.metrics]).write.mode("overwrite").parquet(f"{path}/metrics")
+def save_model(tm: TrainedModel, path: str, meta: dict | None = None) -> snapshots.Snapshot:
+    """ML-7: the trees as a committed table, labels and metrics in its manifest."""
+    trees = SparkSession.getActiveSession().createDataFrame(tm.model.trees.rows(), boosting.TREES).coalesce(1)
+    return snapshots.write(trees, path, meta={**(meta or {}), "metrics": tm.metrics, "room_types": tm.room_types, "boroughs": tm.boroughs})
 
 
 def load_model(path: str) -> TrainedModel:
-    spark = _spark()
-    model = PipelineModel.load(f"{path}/pipeline")
-    metrics = spark.read.parquet(f"{path}/metrics").first().asDict()
-    return TrainedModel(model, metrics, list(model.stages[0].labelsArray[0]), list(model.stages[1].labelsArray[0]))
-
-
-def _spark():
-    from pyspark.sql import SparkSession
-
-    return SparkSession.getActiveSession()
+    """The newest committed model at ``path``."""
+    spark = SparkSession.getActiveSession()
+    found = snapshots.current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no model at {path}")
+    trees = boosting.BoostedTrees.of_rows(snapshots.read(spark, path, found).collect())
+    return TrainedModel(PriceModel(found.meta["room_types"], found.meta["boroughs"], trees), found.meta["metrics"])
 
 
 def request_features(requests: DataFrame, borough_col: str = "borough") -> DataFrame:
@@ -157,10 +158,17 @@ def price_band(pred: DataFrame, mae: Column | float) -> DataFrame:
     )
 
 
+def _dealt(requests: DataFrame) -> DataFrame:
+    """Requests dealt over all cores: scoring one costs far more than moving it."""
+    spark = requests.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return requests.repartition(n, "request_id")
+
+
 def estimate(tm: TrainedModel, requests: DataFrame) -> DataFrame:
     """ML-8: prediction with its band; requests with an unseen label come back unscored (nulls)."""
     known = known_labels(tm, requests)
-    scored = price_band(tm.model.transform(request_features(requests.where(known))), tm.mae)
+    scored = price_band(tm.model.transform(request_features(_dealt(requests.where(known)))), tm.mae)
     null = F.lit(None).cast("double")
     rest = requests.where(~known).select("request_id", "borough", "room_type", null.alias("predicted_price"), null.alias("price_low"), null.alias("price_high"))
     return scored.unionByName(rest)
@@ -170,7 +178,7 @@ def borough_comparison(tm: TrainedModel, requests: DataFrame, occupancy: DataFra
     """ML-12 (JOIN-6 -> ML-8 -> JOIN-7 -> WIN-4): the configuration scored in every
     borough the model knows, x that borough's occupancy x 30, ranked per request.
     Requests with a room type the model has not seen can't be scored and are left out."""
-    expanded = per_label_rows(requests.where(known_labels(tm, requests, borough=False)).withColumnRenamed("borough", "selected_borough"), tm.boroughs, "borough")
+    expanded = per_label_rows(_dealt(requests.where(known_labels(tm, requests, borough=False))).withColumnRenamed("borough", "selected_borough"), tm.boroughs, "borough")
     return rank_boroughs(tm.model.transform(request_features(expanded)), occupancy, default_occ)
 
 
@@ -190,65 +198,26 @@ def rank_boroughs(scored: DataFrame, occupancy: DataFrame, default_occ: float =
     return rank_within(out, ["request_id"], [F.col("monthly_revenue").desc(), F.col("borough")])
 
 
-def background_rows(features_vec: DataFrame, n: int, seed: int = 7) -> list[list[float]]:
-    """``n`` training rows chosen by hash (a bounded, model-sized reference sample)."""
-    rows = (
-        features_vec.orderBy(hash_key("listing_id", seed), "listing_id").limit(n)
-        .select(vector_to_array("features").alias("a")).collect()
-    )
-    return [list(map(float, r.a)) for r in rows]
-
-
-def permutations(n_features: int, n: int, seed: int = 11) -> list[list[int]]:
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n):
-        p = list(range(n_features))
-        rng.shuffle(p)
-        out.append(p)
-    return out
+def background_rows(encoded: DataFrame, n: int, seed: int = 7) -> list[list[float]]:
+    """``n`` training rows chosen by hash (a bounded, model-sized reference sample); fewer rows repeat."""
+    array = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLS])
+    rows = encoded.orderBy(hash_key("listing_id", seed), "listing_id").limit(n).select(array.alias("a")).collect()
+    if not rows:
+        raise ValueError("no background rows")
+    return [list(rows[i % len(rows)].a) for i in range(n)]
 
 
 def attribution(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 32,
                 top_k: int = 12, seed: int = 11) -> DataFrame:
-    """ML-9 + WIN-6: per-request feature impacts (sampled Shapley), top ``k`` by |impact|.
+    """ML-9 + WIN-6: per-request feature impacts against ``n_perm`` background rows, top ``k`` by |impact|.
 
-    ``std_error`` is the estimate's standard error over the ``n_perm`` sampled
-    permutations. Requests are dealt by id once, before they are expanded; the
-    windows and sums that follow all keep that partitioning.
+    For each background row the impacts are the exact Shapley values, summed leaf by
+    leaf over the trees' paths; ``std_error`` is that of their mean over the
+    background rows. A request is one row throughout, in the task that reads it.
     """
-    prep = PipelineModel(stages=tm.model.stages[:-1])
-    gbt = tm.model.stages[-1]
-    names = FEATURE_COLS
-    nf = len(names)
-    bg = background_rows(prep.transform(train_features), n_perm, seed)
-    if not bg:
-        raise ValueError("no background rows")
-    bg = [bg[i % len(bg)] for i in range(n_perm)]
-    perms = permutations(nf, n_perm, seed)
-
-    requests = requests.where(known_labels(tm, requests)).repartition("request_id")
-    x = prep.transform(request_features(requests)).select("request_id", vector_to_array("features").alias("x"))
-    perm_lit = F.array(*[F.array(*[F.lit(i) for i in p]) for p in perms])
-    bg_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in bg])
-    rows = x.select("request_id", "x", F.posexplode(perm_lit).alias("p", "perm"))
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(nf))))
-    z = F.element_at(bg_lit, F.col("p") + 1)
-    # feature i takes the request's value when it is among the first k of the permutation
-    mixed = F.transform(
-        F.sequence(F.lit(0), F.lit(nf - 1)),
-        lambda i: F.when(F.array_position(F.col("perm"), i) <= F.col("k"), F.element_at(F.col("x"), i + 1))
-        .otherwise(F.element_at(z, i + 1)),
-    )
-    rows = rows.withColumn("features", array_to_vector(mixed))
-    pred = gbt.transform(rows).select("request_id", "p", "perm", "k", "prediction")
-    w = Window.partitionBy("request_id", "p").orderBy("k")
-    steps = pred.withColumn("delta", F.col("prediction") - F.lag("prediction").over(w)).where(F.col("k") > 0)
-    names_lit = F.array(*[F.lit(n) for n in names])
-    steps = steps.withColumn("feature", F.element_at(names_lit, F.element_at(F.col("perm"), F.col("k")) + 1))
-    impacts = steps.groupBy("request_id", "feature").agg(
-        (F.sum("delta") / n_perm).alias("impact"), (F.stddev_samp("delta") / n_perm**0.5).alias("std_error"))
-    return top_impacts(impacts, top_k)
+    background = background_rows(tm.model.encode(train_features), n_perm, seed)
+    known = tm.model.encode(request_features(_dealt(requests.where(known_labels(tm, requests)))))
+    return top_impacts(boosting.attribute(tm.model.trees, known, "request_id", FEATURE_COLS, background), top_k)
 
 
 def top_impacts(impacts: DataFrame, k: int = 12) -> DataFrame:
@@ -260,15 +229,10 @@ def top_impacts(impacts: DataFrame, k: int = 12) -> DataFrame:
 def attribution_totals(tm: TrainedModel, requests: DataFrame, train_features: DataFrame, n_perm: int = 32,
                        seed: int = 11) -> DataFrame:
     """Additivity check: sum of all impacts vs prediction - mean background prediction."""
+    import numpy as np
+
     full = attribution(tm, requests, train_features, n_perm, top_k=len(FEATURE_COLS), seed=seed)
     s = full.groupBy("request_id").agg(F.sum("impact").alias("impact_sum"))
     pred = tm.model.transform(request_features(requests)).select("request_id", "prediction")
-    prep = PipelineModel(stages=tm.model.stages[:-1])
-    bg = background_rows(prep.transform(train_features), n_perm, seed)
-    bg = [bg[i % len(bg)] for i in range(n_perm)]
-    spark = requests.sparkSession
-    from pyspark.ml.linalg import Vectors
-
-    base = tm.model.stages[-1].transform(spark.createDataFrame([(Vectors.dense(r),) for r in bg], ["features"]))
-    mean_bg = base.agg(F.avg("prediction")).first()[0]
-    return s.join(pred, "request_id").withColumn("expected", F.col("prediction") - F.lit(mean_bg))
+    mean = float(tm.model.trees.predict(np.array(background_rows(tm.model.encode(train_features), n_perm, seed))).mean())
+    return s.join(pred, "request_id").withColumn("expected", F.col("prediction") - F.lit(mean))

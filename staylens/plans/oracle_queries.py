@@ -682,3 +682,11 @@ SELECT m.mart, CAST(m.n AS BIGINT) AS rows, 'bronze,silver,gold' AS phases, 'suc
   UNION ALL SELECT 'fact_calendar', COUNT(*) FROM fact_calendar
   UNION ALL SELECT 'fact_reviews', COUNT(*) FROM fact_reviews) m
 """)
+
+SQL["model_registry"] = L(f"""
+SELECT 500 AS trees, 6 AS depth, 20 AS features, CAST(COUNT(DISTINCT f.room_type) AS INTEGER) AS room_types,
+  CAST(COUNT(DISTINCT f.neighbourhood) AS INTEGER) AS boroughs,
+  CAST(COUNT(*) FILTER (WHERE CAST(('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20) AS BIGINT) AS test_rows,
+  true AS rmse_at_least_mae
+FROM {_FEAT} f
+""")

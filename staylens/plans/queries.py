@@ -23,7 +23,7 @@ from staylens.functions import format as fmt
 from staylens.functions.derive import round_to
 from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE
 from staylens.operators import aggregates as agg
-from staylens.operators import features, joinagg, joins, keepfirst_state, occupancy_state, quality, sampling, stats, windows
+from staylens.operators import boosting, features, joinagg, joins, keepfirst_state, occupancy_state, quality, registry, sampling, stats, windows
 from staylens.operators import model as ml
 from staylens.operators.sampling import split_bucket
 from staylens.plans import bronze, domain, gold, landed, pipeline, silver
@@ -587,18 +587,23 @@ def welch_pvalue_q(spark, sf):
 
 # ---------------------------------------------------------------- model (ML-1..12)
 
-_MODELS: dict[tuple, ml.TrainedModel] = {}
-
-
 def feature_table(spark, sf):
     return features.feature_table(dim_listings(spark, sf), dim_geography(spark, sf))
 
 
 def trained_model(spark, sf, max_iter: int = 500) -> ml.TrainedModel:
-    key = (*session_key(spark), sf, gold_version(spark, sf), max_iter)
-    if key not in _MODELS:
-        _MODELS[key] = ml.train_price_model(feature_table(spark, sf), ml.GBTParams(max_iter=max_iter))
-    return _MODELS[key]
+    """The model of this version of the input, from the registry; fitted and registered if it has none."""
+    params = ml.GBTParams(max_iter=max_iter)
+    data_version = repr(gold_version(spark, sf))
+    return registry.model(registry.root(spark), sf, data_version, params, lambda: ml.train_price_model(feature_table(spark, sf), params))
+
+
+@query("model_registry")
+def model_registry_q(spark, sf):
+    """ML-7: the registered model of this input and version, as the model queries load it."""
+    tm = trained_model(spark, sf)
+    rows = registry.entries(spark, registry.root(spark)).where((F.col("input") == sf) & (F.col("input_version") == repr(gold_version(spark, sf))) & (F.col("trees") == len(tm.model.trees.value)))
+    return rows.select("trees", "depth", "features", "room_types", "boroughs", F.col("n_test").alias("test_rows"), (F.col("rmse") >= F.col("mae")).alias("rmse_at_least_mae"))
 
 
 @query("feature_table")
@@ -1015,13 +1020,10 @@ def baseline_model_q(spark, sf):
     d = dim_listings(spark, sf).where(F.col("price") < 1500).select("listing_id", *cols).na.drop(how="any")
     d = d.withColumns({c: F.col(c).cast("int") for c in ["has_wifi", "has_ac"]})
     tr, te = ml.train_test_split(d, "listing_id")
-    # the source library's own defaults: 100 trees of depth 3, rate 0.1, no subsampling, leaves of 1
-    pipe = ml.Pipeline(stages=[
-        ml.VectorAssembler(inputCols=cols[1:], outputCol="features"),
-        ml.GBTRegressor(featuresCol="features", labelCol="price", seed=42, maxIter=100, maxDepth=3, stepSize=0.1, subsamplingRate=1.0,
-                        featureSubsetStrategy="all", minInstancesPerNode=1),
-    ])
-    return ml.regression_metrics(pipe.fit(tr).transform(te)).select("n_test", "r2")
+    # the source library's own defaults: 100 trees of depth 3, rate 0.1, no subsampling, leaves of 1, no L2 term
+    params = ml.GBTParams(max_iter=100, max_depth=3, step_size=0.1, subsampling_rate=1.0, columns=1.0, min_child_weight=1.0, l2=0.0)
+    trees = boosting.fit(tr, cols[1:], "price", "listing_id", params)
+    return ml.regression_metrics(boosting.transform(trees, te, cols[1:])).select("n_test", "r2")
 
 
 @query("comparable_check")

@@ -36,8 +36,8 @@ def test_one_tree_is_the_best_by_brute_force(spark, rows):
 
 def test_barrier_stages_give_the_same_trees(spark, rows):
     df, x, y = rows
-    one = B.fit(df, NAMES, "y", "id", B.BoostParams(max_iter=12, trees_per_stage=12))
-    many = B.fit(df, NAMES, "y", "id", B.BoostParams(max_iter=12, trees_per_stage=5, rows_per_task=800))
+    one = B.fit(df, NAMES, "y", "id", B.BoostParams(max_iter=3, max_depth=3))
+    many = B.fit(df, NAMES, "y", "id", B.BoostParams(max_iter=3, max_depth=3, trees_per_stage=2, rows_per_task=800))
     assert (one.feature == many.feature).all() and (one.threshold == many.threshold).all()
     assert many.value == pytest.approx(one.value) and many.base == pytest.approx(one.base)
 
