@@ -690,3 +690,20 @@ SELECT 500 AS trees, 6 AS depth, 20 AS features, CAST(COUNT(DISTINCT f.room_type
   true AS rmse_at_least_mae
 FROM {_FEAT} f
 """)
+
+_STEP_REVIEWS = "SELECT CAST(COUNT(*) AS BIGINT) FROM (SELECT DISTINCT listing_id, reviewer_id, date FROM v_reviews_typed WHERE {}) k"
+
+SQL["resumed_runs"] = R(f"""
+SELECT run, phase, status, CASE WHEN run LIKE '1%' THEN NULL WHEN run LIKE '4%' THEN ({_STEP_REVIEWS.format('true')})
+  ELSE ({_STEP_REVIEWS.format('id % 2 = 0')}) END AS review_rows
+FROM (VALUES ('1 without calendar', 'silver', 'partial'), ('1 without calendar', 'gold', 'failed'),
+  ('2 complete', 'silver', 'success'), ('2 complete', 'gold', 'success'), ('3 nothing new', 'silver', 'skipped'), ('3 nothing new', 'gold', 'skipped'),
+  ('4 more reviews', 'silver', 'success'), ('4 more reviews', 'gold', 'success')) t(run, phase, status)
+""")
+
+SQL["unique_landings"] = L("""
+SELECT i AS landing, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT id) AS BIGINT) AS distinct_ids, CAST(COUNT(*) - COUNT(DISTINCT id) AS BIGINT) AS failed
+FROM (SELECT unnest(range(0, 3)) AS i) n JOIN (
+  SELECT id, id % 3 AS landed FROM v_listings UNION ALL SELECT id, id % 10 FROM v_listings WHERE id % 10 < 3
+) s ON s.landed <= n.i GROUP BY i
+""")

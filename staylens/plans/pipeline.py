@@ -7,15 +7,18 @@ of ``success``, and the gold phase really builds the marts (JOB-7).
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 
 from staylens.functions.values import LANDED_FILES
 from staylens.plans import bronze, gold, silver
-from staylens.sources import csv, metadata
+from staylens.sources import csv, landing, metadata, snapshots
 from staylens.sources.snapshots import Folders
+from staylens.sources.tables import version
 
 
 ALL_PHASES = ["bronze", "silver", "gold"]
@@ -30,6 +33,10 @@ class Layout:
     runs_path: str
     store: type = Folders  # Snapshots: silver and gold tables change by one atomic commit each
 
+    @property
+    def phases_path(self) -> str:
+        return f"{self.runs_path.rstrip('/')}-phases"
+
 
 def _raw_inputs(spark: SparkSession, landing_dir: str, partitions: int | None) -> dict:
     """SRC-4 per dataset: a flat landing folder resolved by preferred file names,
@@ -50,15 +57,42 @@ def _raw_inputs(spark: SparkSession, landing_dir: str, partitions: int | None) -
     return out
 
 
+#: Raise it when a phase makes other tables of the same input.
+CODE_VERSION = 1
+
+
+def fingerprint(spark: SparkSession, phase: str, city: silver.CityConfig, layout: Layout, as_of: str | None) -> str:
+    """A hash of all that a phase's result depends on: its input's versions, its settings and the code's version."""
+    if phase == "gold":
+        inputs = []
+        for name in ("listings", "calendar", "reviews"):
+            path = f"{layout.silver_dir}/{name}.parquet"
+            found = snapshots.current(spark, path) if layout.store is snapshots.Snapshots else None
+            inputs.append(sorted(found.parts.values()) if found else version(spark, path))
+    else:
+        inputs = [(name, size, str(modified)) for name, _, size, modified in landing.list_files(spark, layout.landing_dir)]
+    settings = asdict(city) if phase != "bronze" else {"name": city.name}
+    return hashlib.sha256(json.dumps([phase, CODE_VERSION, inputs, settings, as_of if phase == "silver" else None], default=str).encode()).hexdigest()
+
+
 def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout: Layout, force: bool = False,
-        as_of: str | None = None, partitions: int | None = None) -> dict[str, dict]:
+        as_of: str | None = None, partitions: int | None = None, resume: bool = False) -> dict[str, dict]:
+    """Run phases in order. With ``resume`` a phase whose last run succeeded on the same fingerprint is skipped:
+    a rerun after a failure, or after new files, does only what is left or has changed. (With ``as_of`` unset the
+    silver phase depends on the day, which the fingerprint does not hold: give a date.)"""
     phases = [p for phase in phases for p in (ALL_PHASES if phase == "all" else [phase])]
     run_id = metadata.new_run_id()
     metadata.run_event(spark, layout.runs_path, run_id, city.name, phases, "running")
     results: dict[str, dict] = {}
     for phase in phases:
-        t0 = time.time()
+        t0, made_from = time.time(), None
         try:
+            if phase in ALL_PHASES:
+                made_from = fingerprint(spark, phase, city, layout, as_of)
+                if resume and not force and metadata.finished_as(spark, layout.phases_path, city.name, phase) == made_from:
+                    results[phase] = {"status": "skipped", "duration_sec": round(time.time() - t0, 1), "detail": {}}
+                    metadata.phase_event(spark, layout.phases_path, run_id, city.name, phase, made_from, "skipped")
+                    continue
             if phase == "bronze":
                 detail = bronze.ingest_bronze(spark, layout.landing_dir, layout.log_path, layout.runs_path, city.name, force)
                 status = detail["status"]
@@ -75,7 +109,8 @@ def run(spark: SparkSession, city: silver.CityConfig, phases: list[str], layout:
             results[phase] = {"status": status, "duration_sec": round(time.time() - t0, 1), "detail": detail}
         except Exception as e:  # recorded; the next phase still runs
             results[phase] = {"status": "failed", "error": str(e)}
-    states = {r["status"] for r in results.values()}
+        metadata.phase_event(spark, layout.phases_path, run_id, city.name, phase, made_from or "", results[phase]["status"])
+    states = {"success" if r["status"] == "skipped" else r["status"] for r in results.values()}
     final = "success" if states <= {"success"} else "failed" if states == {"failed"} else "partial"
     metadata.run_event(spark, layout.runs_path, run_id, city.name, phases, final)
     return results

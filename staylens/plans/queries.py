@@ -23,7 +23,7 @@ from staylens.functions import format as fmt
 from staylens.functions.derive import round_to
 from staylens.functions.values import DEFAULT_OCCUPANCY, OCCUPANCY_PCT_RANGE
 from staylens.operators import aggregates as agg
-from staylens.operators import boosting, features, joinagg, joins, keepfirst_state, occupancy_state, quality, registry, sampling, stats, windows
+from staylens.operators import boosting, features, joinagg, joins, keepfirst_state, occupancy_state, quality, registry, sampling, stats, uniqueness_state, windows
 from staylens.operators import model as ml
 from staylens.operators.sampling import split_bucket
 from staylens.plans import bronze, domain, gold, landed, pipeline, silver
@@ -832,6 +832,47 @@ def run_state_q(spark, sf):
                      (F.col("finished_at") >= F.col("started_at")).alias("ordered"))
 
 
+@query("resumed_runs")
+def resumed_runs_q(spark, sf):
+    """SNK-5 + SRC-6 + JOB-8: a run without the calendar's files fails in part, one with them completes, one more has
+    nothing to do, and after more reviews have landed only what they change is done again."""
+    lay = _layout(spark, sf)
+    lay.landing_dir = shared_path(spark, "landing-steps")
+    text, city = {"header": True, "quote": '"', "escape": '"'}, silver.CityConfig(bounds=domain.CITY_BOUNDS)
+    paths = landing_area(spark, sf)["paths"]
+    reviews = landed.raw_review_text(spark, sf)
+    odd = F.pmod("id", F.lit(2)) == 1
+    def land(name, df):
+        df.write.mode("append").option("compression", "gzip").options(**text).csv(f"{lay.landing_dir}/{name}")
+
+    listings, calendar = (csv_source.read_landed_csv(spark, paths[n]) for n in ("listings", "calendar"))
+    seen = []
+
+    def go(label):
+        done = pipeline.run(spark, city, ["silver", "gold"], lay, as_of=domain.AS_OF, resume=True)
+        rows = snapshots.read(spark, f"{lay.gold_dir}/fact_reviews").agg(F.count(F.lit(1)).cast("long")).first()[0] if snapshots.current(spark, f"{lay.gold_dir}/fact_reviews") else None
+        seen.extend((label, phase, r["status"], rows) for phase, r in done.items())
+
+    land("listings", listings)
+    land("reviews", reviews.where(~odd))
+    go("1 without calendar")
+    land("calendar", calendar)
+    go("2 complete")
+    go("3 nothing new")
+    land("reviews", reviews.where(odd))
+    go("4 more reviews")
+    return spark.createDataFrame(seen, "run string, phase string, status string, review_rows long")
+
+
+@query("unique_landings")
+def unique_landings_q(spark, sf):
+    """DQ-8 incremental: listing ids in three landings, some again in another one; rows that repeat an id so far."""
+    table = shared_path(spark, "unique_ids")
+    ids = domain.listings(spark, sf).select("id")
+    rows = [uniqueness_state.land(ids.where(F.col("id") % 3 == i).unionByName(ids.where(F.col("id") % 10 == i)), table, "id", buckets=16) for i in range(3)]
+    return spark.createDataFrame([(r["landing"], r["rows"], r["distinct"], r["failed"]) for r in rows], "landing long, rows long, distinct_ids long, failed long")
+
+
 @query("ingest_manifest")
 def ingest_manifest_q(spark, sf):
     """SRC-6: datasets still to ingest after a first run, when one dataset is landed again."""

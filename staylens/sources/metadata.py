@@ -42,6 +42,16 @@ PIPELINE_RUNS = StructType([
 ])
 
 
+PHASE_RUNS = StructType([
+    StructField("run_id", StringType(), False),
+    StructField("city", StringType(), False),
+    StructField("phase", StringType(), False),
+    StructField("fingerprint", StringType(), False),
+    StructField("status", StringType(), False),
+    StructField("event_at", TimestampType(), False),
+])
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -93,6 +103,22 @@ def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
     return _read_or_empty(spark, runs_path, PIPELINE_RUNS)
 
 
+def phase_event(spark: SparkSession, path: str, run_id: str, city: str, phase: str, fingerprint: str, status: str) -> None:
+    """What a phase of a run was built from, and how it ended (append-only)."""
+    spark.createDataFrame([(run_id, city, phase, fingerprint, status, _now())], PHASE_RUNS).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_phases(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_empty(spark, path, PHASE_RUNS)
+
+
+def finished_as(spark: SparkSession, path: str, city: str, phase: str) -> str | None:
+    """The fingerprint of the phase's latest run that was not skipped, if it succeeded."""
+    last = read_phases(spark, path).where((F.col("city") == city) & (F.col("phase") == phase) & (F.col("status") != "skipped")).agg(
+        F.max_by(F.struct("status", "fingerprint"), F.struct("event_at", "run_id")).alias("last")).first()["last"]
+    return last["fingerprint"] if last and last["status"] == "success" else None
+
+
 def run_state(runs: DataFrame) -> DataFrame:
     """WIN-7: current state per run = its latest event; start time = its first."""
     last = runs.groupBy("run_id").agg(

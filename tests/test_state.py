@@ -64,3 +64,30 @@ def test_keep_first_replaces_only_changed_buckets(spark, tmp_dir):
     second = state.land(spark.createDataFrame([(5, 1), (6, 99)], "k long, id long"), table, ["k"])
     assert len(first.parts) > 10 and sum(first.parts[b] != second.parts[b] for b in first.parts) == 1
     assert {tuple(x) for x in state.kept_rows(spark, table).where("k in (5, 6)").collect()} == {(5, 1), (6, 16)}
+
+
+def test_uniqueness_over_landings(spark, tmp_dir):
+    from staylens.operators import uniqueness_state as state
+
+    r = random.Random(6)
+    parts = [[r.choice([None, *range(500)]) for _ in range(n)] for n in (300, 5, 400, 0, 300)] + [[7] * 200]
+    seen: list = []
+    for p in parts:
+        got = state.land(spark.createDataFrame([(x, "other") for x in p], "id long, key string"), f"{tmp_dir}/ids", "id", buckets=4)
+        seen += p
+        assert (got["rows"], got["distinct"], got["failed"]) == (len(seen), len(set(seen)), len(seen) - len(set(seen)))
+    # the look-up reads only parts whose filter may hold a key
+    filters = snapshots.read(spark, f"{tmp_dir}/ids/filters")
+    assert filters.count() <= 4 * len(parts) and filters.where("bucket is null").count() == 0
+
+
+def test_filters_hold_all_their_keys_and_few_others():
+    import numpy as np
+    import pyarrow as pa
+
+    from staylens.operators import uniqueness_state as state
+
+    h = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 20_000)
+    one = state._build(pa.table({"part": ["a"] * 10_000, "bucket": pa.array([0] * 10_000, pa.int32()), "hash": h[:10_000]}))
+    hit = set(state._maybe(pa.table({"hash": h}), one).column("hash").to_pylist())
+    assert hit >= set(h[:10_000].tolist()) and len(hit - set(h[:10_000].tolist())) < 300
