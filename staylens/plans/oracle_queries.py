@@ -546,9 +546,9 @@ SELECT 'clean', room_type, CAST(COUNT(*) AS BIGINT), CAST(SUM(id) AS BIGINT) FRO
 """)
 
 SQL["resolved_source"] = C("""
-SELECT 'preferred' AS rule, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(listing_id) AS BIGINT) AS id_sum FROM v_calendar WHERE listing_id % 5 = 2
+SELECT 'preferred' AS rule, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(listing_id + 3) AS BIGINT) AS id_sum FROM v_calendar
 UNION ALL
-SELECT 'first', CAST(COUNT(*) AS BIGINT), CAST(SUM(listing_id) AS BIGINT) FROM v_calendar WHERE listing_id % 5 = 0
+SELECT 'first', CAST(COUNT(*) AS BIGINT), CAST(SUM(listing_id + 1) AS BIGINT) FROM v_calendar
 """)
 
 SQL["latest_event"] = """
@@ -707,3 +707,28 @@ FROM (SELECT unnest(range(0, 3)) AS i) n JOIN (
   SELECT id, id % 3 AS landed FROM v_listings UNION ALL SELECT id, id % 10 FROM v_listings WHERE id % 10 < 3
 ) s ON s.landed <= n.i GROUP BY i
 """)
+
+SQL["cohort_trend"] = L(f"""
+WITH_COHORTS
+SELECT host_tenure_years, {r4('avg_price')} AS avg_price, {r4('i + k * host_tenure_years')} AS fitted
+FROM c, (SELECT regr_intercept(avg_price, host_tenure_years) AS i, regr_slope(avg_price, host_tenure_years) AS k FROM c) f
+""").replace("\nWITH_COHORTS", """, c AS (
+  SELECT h.host_tenure_years, AVG(l.price) AS avg_price, AVG(l.review_scores_rating) AS avg_rating
+  FROM dim_hosts h JOIN dim_listings l ON h.host_id = l.host_id
+  WHERE h.host_tenure_years IS NOT NULL AND l.price < 2000
+  GROUP BY h.host_tenure_years HAVING AVG(l.price) IS NOT NULL AND AVG(l.review_scores_rating) IS NOT NULL
+)""")
+
+SQL["landed_sizes"] = LCR("""
+SELECT 'calendar' AS dataset, true AS is_ok, CAST(SUM(length(CAST(listing_id AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM v_calendar
+UNION ALL SELECT 'reviews', true, CAST(SUM(length(CAST(id AS VARCHAR)) + 1) AS BIGINT) FROM v_reviews_raw
+UNION ALL SELECT 'prices', false, 0 UNION ALL SELECT 'hosts', false, 0
+""")
+
+SQL["table_listing"] = LC("""
+SELECT m.mart, 'EXTERNAL' AS table_type, false AS is_temporary, CAST(m.n AS BIGINT) AS rows FROM (
+  SELECT 'dim_listings' AS mart, COUNT(*) AS n FROM dim_listings
+  UNION ALL SELECT 'dim_hosts', COUNT(*) FROM dim_hosts
+  UNION ALL SELECT 'dim_geography', COUNT(*) FROM dim_geography
+  UNION ALL SELECT 'calendar_state', COUNT(*) FROM (SELECT DISTINCT listing_id, year, month FROM v_calendar WHERE listing_id IS NOT NULL) k) m
+""")

@@ -565,6 +565,14 @@ def ols_cohort_q(spark, sf):
     return f.select("n", r4("slope"), r4("intercept"), r4("r2"))
 
 
+@query("cohort_trend")
+def cohort_trend_q(spark, sf):
+    """ST-3: every tenure cohort's mean price beside its trend-line value."""
+    cohorts = _cohorts(spark, sf)
+    line = stats.fitted(cohorts, stats.ols(cohorts, "avg_price", "host_tenure_years"), "host_tenure_years")
+    return line.select("host_tenure_years", r4("avg_price"), r4("fitted"))
+
+
 def _welch(spark, sf):
     l = dim_listings(spark, sf).where(F.col("price") < 2000)
     h = dim_hosts(spark, sf).where(F.col("host_is_superhost").isNotNull())
@@ -815,6 +823,30 @@ def manifest_check_q(spark, sf):
     return j.groupBy("dataset").agg(F.min("is_ok").alias("is_ok"), (F.sum(F.coalesce("size_bytes", F.lit(0))) > 0).alias("has_bytes"))
 
 
+@query("landed_sizes")
+def landed_sizes_q(spark, sf):
+    """SRC-7: files held against a manifest, and their exact bytes; one expected file is empty, one was never landed."""
+    folder = shared_path(spark, "sizes")
+    texts = {"calendar": domain.calendar(spark, sf).select(F.col("listing_id").cast("string")), "reviews": domain.raw_reviews(spark, sf).select(F.col("id").cast("string"))}
+    for name, rows in texts.items():
+        rows.write.text(f"{folder}/{name}")
+    landing.touch(spark, f"{folder}/prices/part-00000.txt")
+    files = landing.landed_files(spark, folder, "*.txt")
+    expected = files.select("file_name").unionByName(spark.createDataFrame([("hosts/part-00000.txt",)], "file_name string"))
+    j = landing.check_files(expected, files).withColumn("dataset", _dataset())
+    return j.groupBy("dataset").agg(F.max("is_ok").alias("is_ok"), F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("bytes"))
+
+
+@query("table_listing")
+def table_listing_q(spark, sf):
+    """SRC-9: the marts of this input among the catalog's tables, with their rows."""
+    tables = gold_tables(spark, sf)
+    names = {tables[f"{mart}_table"]: mart for mart in BUCKETED}
+    listed = landing.list_tables(spark).where(F.col("name").isin(list(names)))
+    counts = union_all([spark.table(n).agg(F.count(F.lit(1)).cast("long").alias("rows")).select(F.lit(n).alias("name"), F.lit(m).alias("mart"), "rows") for n, m in names.items()])
+    return listed.join(counts, "name").select("mart", "table_type", "is_temporary", "rows")
+
+
 @query("ingest_history")
 def ingest_history_q(spark, sf):
     """AGG-15 listing: records of every dataset's ingested files, from the event history."""
@@ -1006,8 +1038,9 @@ def resolved_source_q(spark, sf):
     """SRC-4: a folder with several candidate files; the preferred name is read, or else the first that fits."""
     folder = shared_path(spark, "resolve")
     c = domain.calendar(spark, sf).select("listing_id", F.col("date").cast("string").alias("date"))
-    for name, rows in (("a_calendar", c.where("listing_id % 5 = 0")), ("b_calendar", c.where("listing_id % 5 = 1")), ("zz_detailed", c.where("listing_id % 5 = 2"))):
-        rows.coalesce(1).write.option("header", True).csv(f"{folder}/tmp_{name}")
+    # every file holds the whole calendar, its ids moved by a number of its own
+    for name, moved in (("a_calendar", 1), ("b_calendar", 2), ("zz_detailed", 3)):
+        c.withColumn("listing_id", F.col("listing_id") + moved).coalesce(1).write.option("header", True).csv(f"{folder}/tmp_{name}")
         landing.rename_only_part(spark, f"{folder}/tmp_{name}", f"{folder}/flat/{name}.csv")
     out = []
     for label, preferred in (("preferred", ["none.csv", "zz_detailed.csv"]), ("first", ["none.csv"])):

@@ -37,6 +37,13 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[tuple]
     return sorted(out)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).create(p, False).close()
+
+
 def check_files(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     """SRC-7: every expected file exists and is non-empty (left join, no content read)."""
     j = manifest.join(landed.select("file_name", "path", "size_bytes"), "file_name", "left")
