@@ -81,17 +81,20 @@ def width_of(n: int, percent: int) -> int:
 
 def bitmaps(s: np.ndarray, percent: int) -> bytes:
     """Two bitmaps of a set: half as many bits as ``width_of``, set where a token falls,
-    and ``width_of`` bits, flipped by each token that falls there."""
+    and twice as many as ``width_of``, flipped by each token that falls there.
+
+    The flipped ones decide whether a pair is made: with eight bits or more for each
+    allowed difference few pairs just below the similarity look like links."""
     w = width_of(len(s), percent)
-    counts = np.bincount((s & U(w - 1)).astype(np.int64), minlength=w)
-    half = (counts[: w // 2] + counts[w // 2 :]) > 0
+    counts = np.bincount((s & U(2 * w - 1)).astype(np.int64), minlength=2 * w)
+    half = counts.reshape(4, w // 2).sum(axis=0) > 0
     return np.packbits(np.concatenate([half, counts % 2 > 0]), bitorder="little").tobytes()
 
 
 def split_bitmaps(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The two bitmaps of rows of one width, as 64-bit words."""
     whole = np.frombuffer(b"".join(rows), "<u8").reshape(len(rows), -1)
-    cut = whole.shape[1] // 3
+    cut = whole.shape[1] // 5
     return whole[:, :cut], whole[:, cut:]
 
 
