@@ -203,6 +203,28 @@ def fold(text: str) -> tuple[str, list[int], list[int]]:
     return "".join(parts) + text[last:], at, origin
 
 
+class _Reach:
+    """Largest end of the accepted intervals that begin at or before a place: an interval lies in
+    one of them if that end is not before its own. A tree of maxima over the sorted starts."""
+
+    def __init__(self, starts: list[int]) -> None:
+        self.starts = sorted(set(starts))
+        self.ends = [-1] * (len(self.starts) + 1)
+
+    def add(self, start: int, end: int) -> None:
+        i = bisect_right(self.starts, start)
+        while i < len(self.ends):
+            self.ends[i] = max(self.ends[i], end)
+            i += i & -i
+
+    def upto(self, start: int) -> int:
+        i, most = bisect_right(self.starts, start), -1
+        while i:
+            most = max(most, self.ends[i])
+            i -= i & -i
+        return most
+
+
 def detect(lowered: str, every_rule: bool = False) -> list[tuple[int, int, int]]:
     """Accepted detections (start, end, rule) of a lower-cased text, in order of start.
 
@@ -218,11 +240,11 @@ def detect(lowered: str, every_rule: bool = False) -> list[tuple[int, int, int]]
         return []
     order, kept = rules(), []
     found.sort(key=lambda d: (-order[d[2]].priority, -(d[1] - d[0]), d[0], d[2]))
-    reach: list[tuple[int, int]] = []
+    reach = _Reach([d[0] for d in found])
     for d in found:
-        if not any(a <= d[0] and d[1] <= b for a, b in reach):
+        if reach.upto(d[0]) < d[1]:
             kept.append(d)
-            reach.append(d[:2])
+            reach.add(d[0], d[1])
     return sorted(kept)
 
 

@@ -109,14 +109,25 @@ def repeated(docs: DataFrame, span: int = SPAN, average: int = AVERAGE) -> DataF
     return gone.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
 
 
+def _without(lines: Column, spans: Column) -> Column:
+    """``lines`` without these spans (sorted, apart from each other): the slices between them."""
+
+    def gaps(r: Column) -> Column:
+        begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(r["spans"], lambda s: s["start"] + s["n"]))
+        ends = F.concat(F.transform(r["spans"], lambda s: s["start"]), F.array(F.size(r["lines"]).cast("long")))
+        return F.flatten(F.zip_with(begins, ends, lambda a, b: F.slice(r["lines"], (a + 1).cast("int"), (b - a).cast("int"))))
+
+    # the one-element array splits the text once, not once a span
+    return F.transform(F.array(F.struct(lines.alias("lines"), spans.alias("spans"))), gaps)[0]
+
+
 def dedup_lines(docs: DataFrame, span: int = SPAN, average: int = AVERAGE) -> DataFrame:
     """(doc, kept, n_lines, n_removed): each row whole as a struct, and its text without repeated chunks."""
     gone = repeated(docs, span, average).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "spans")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.col("text").cast("string")).alias("_r"))
     both = rows.join(gone, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_r") == F.col("_row")), "left")
     text = F.col("doc.text").cast("string")
-    lines = F.split(text, "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.exists("spans", lambda s: (i >= s["start"]) & (i < s["start"] + s["n"])))
+    kept = _without(F.split(text, "\n", -1), F.array_sort("spans"))
     return both.select(
         "doc", F.when(F.col("spans").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("kept"),
         F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),

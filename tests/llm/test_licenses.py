@@ -96,3 +96,27 @@ def test_folding_keeps_places():
         assert "\n" not in folded and "  " not in folded
         for a, b, o in zip(at, ends, origin):
             assert folded[a:b] == text[o : o + b - a] or folded[a:b] == " "
+
+
+def contained(lowered):
+    """The accepted detections, each held against every one accepted before."""
+    order, kept = licenses.rules(), []
+    folded, at, origin = licenses.fold(lowered)
+    place = lambda x: origin[k := licenses.bisect_right(at, x) - 1] + x - at[k]
+    found = [(place(m.start()), place(m.end() - 1) + 1, i) for i, r in enumerate(order) for m in re.finditer(r.pattern, folded)]
+    for d in sorted(found, key=lambda d: (-order[d[2]].priority, d[0] - d[1], d[0], d[2])):
+        if not any(a <= d[0] and d[1] <= b for a, b, _ in kept):
+            kept.append(d)
+    return sorted(kept)
+
+
+def test_containment_matches_brute_force():
+    texts = [r[1] or "" for r in rows()[:-1]] + [" ".join(EXTRA * 4), "mit license, licensed under the mit license, " * 40]
+    for t in texts:
+        assert licenses.detect(t.lower()) == contained(t.lower())
+
+
+def test_many_detections_in_one_long_text():
+    n = 200_000
+    found = licenses.detect("mit license,\n" * n)  # 2.6 MB
+    assert len(found) == n and len({d[2] for d in found}) == 1

@@ -80,3 +80,13 @@ def test_columns_stay(spark):
     assert out.columns == df.columns and out.count() == df.count()
     assert lines.drop_repeated(frame(spark, [])).count() == 0
     assert answers(out.where("text is null"), "doc_id") == answers(df.where("text is null"), "doc_id")
+
+
+def test_long_text_with_many_removed_spans(spark):
+    block = "\n".join(f"line {i} of a long list" for i in range(60_000))
+    mixed = "\n".join(x if i % 9 else f"own {i}" for i, x in enumerate(block.split("\n")))
+    own = [(1, block, "en", "s", 1), (2, block, "en", "s", 1), (3, mixed, "en", "s", 1)]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(frame(spark, own)).select("doc.doc_id", "kept", "n_removed").collect()}
+    for i, kept, _, n in brute(own):
+        assert (got[i]["kept"], got[i]["n_removed"]) == (kept, n)
+    assert got[1]["n_removed"] == 0 and got[2]["n_removed"] > 59_000 and got[3]["n_removed"] > 10_000
