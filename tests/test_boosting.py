@@ -87,3 +87,54 @@ def test_empty_and_constant(spark):
     same = spark.range(50).selectExpr("id", "1.0D AS a", "5.0D AS y")
     m = B.fit(same, ["a"], "y", "id", B.BoostParams(max_iter=2))
     assert m.predict(np.ones((1, 1))).tolist() == [5.0] and np.isinf(m.threshold).all()
+
+
+def test_a_round_exchanges_once_a_level(rows):
+    _, x, y = rows
+    p, calls = B.BoostParams(max_depth=3), []
+    cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
+    grower = B._Grower(cuts, p, lambda a: calls.append(a.shape) or a)
+    code, joint = grower.codes(x)
+    grower.load(code, joint, y, np.arange(len(y), dtype=np.uint64))
+    margin = np.full(len(y), y.mean())
+    trees = grower.grow(list(range(p.round_trees)), margin.copy(), margin)
+    assert p.round_trees == len(trees) == 10 and len(calls) == 3
+    assert B.BoostParams(subsampling_rate=1.0, columns=1.0).round_trees == 1
+    m = B.BoostedTrees(y.mean(), *[np.array([t[i] for t in trees]) for i in range(3)])
+    assert m.predict(x) == pytest.approx(margin)
+
+
+def test_histograms_of_bundles_and_siblings(rows):
+    _, x, y = rows
+    cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
+    grower = B._Grower(cuts, B.BoostParams(), lambda a: a)
+    assert len(grower.bundles) < 6
+    code, joint = grower.codes(x)
+    grower.load(code, joint, y, np.arange(len(y), dtype=np.uint64))
+    node, drawn = np.arange(len(y)) % 4, np.arange(len(y)) % 5 > 0
+    small = np.array([1, 0])
+    got = grower._histograms(node, drawn, y, small)
+    for parent in range(2):
+        here = drawn & (node == 2 * parent + small[parent])
+        for f in range(6):
+            at = slice(grower.begin[f], grower.begin[f] + grower.sizes[f])
+            assert got[0, parent, at] == pytest.approx(np.bincount(code[f][here], weights=y[here], minlength=grower.sizes[f]))
+            assert got[1, parent, at].tolist() == np.bincount(code[f][here], minlength=grower.sizes[f]).tolist()
+
+
+def test_rounds_learn_as_well_as_trees_one_after_another(rows):
+    _, x, y = rows
+    cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
+    held_out, errors = np.arange(3000) % 5 == 0, []
+    for at_once in (True, False):
+        p = B.BoostParams(max_depth=4)
+        grower = B._Grower(cuts, p, lambda a: a)
+        grower.load(*grower.codes(x[~held_out]), y[~held_out], np.arange((~held_out).sum(), dtype=np.uint64))
+        margin, trees = np.full((~held_out).sum(), y[~held_out].mean()), []
+        if not at_once:
+            p.__class__ = type("OneByOne", (B.BoostParams,), {"round_trees": 1, "rate": p.step_size})
+        for begin in range(0, 200, p.round_trees):
+            trees += grower.grow(list(range(begin, begin + p.round_trees)), margin.copy(), margin)
+        m = B.BoostedTrees(y[~held_out].mean(), *[np.array([t[i] for t in trees]) for i in range(3)])
+        errors.append(((y - m.predict(x))[held_out] ** 2).mean())
+    assert errors[0] < 1.1 * errors[1]
