@@ -138,3 +138,14 @@ def test_rounds_learn_as_well_as_trees_one_after_another(rows):
         m = B.BoostedTrees(y[~held_out].mean(), *[np.array([t[i] for t in trees]) for i in range(3)])
         errors.append(((y - m.predict(x))[held_out] ** 2).mean())
     assert errors[0] < 1.1 * errors[1]
+
+
+def test_attribution_of_a_batch_is_that_of_its_rows(spark, rows):
+    df, x, _ = rows
+    m = B.fit(df, NAMES, "y", "id", B.BoostParams(max_iter=3, max_depth=5))
+    worker = B.Attributor(B.leaf_paths(m), x[:3], 6)
+    assert max(len(t) for t in worker.twigs) == 4 and sum(len(t) for t in worker.twigs) == len(worker.paths.value)
+    got = worker.batch(x[:700])  # more than one block
+    assert got.sum(axis=0) == pytest.approx(m.predict(x[:700])[:, None] - m.predict(x[:3])[None])
+    for i in (0, 511, 512, 699):
+        assert got[:, i] == pytest.approx(worker.impacts(x[i]).T)
