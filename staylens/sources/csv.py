@@ -14,9 +14,7 @@ import csv
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from staylens.functions.text import null_na_tokens
@@ -118,23 +116,16 @@ def resolve_dataset(spark: SparkSession, folder: str, preferred: list[str], cont
     """SRC-4: exact preferred names first (in order), else any file whose name
     contains ``contains`` and ends with ``suffix`` (first by name); None if absent.
 
-    The folder listing is distributed (``binaryFile`` without content); only
-    the single chosen file name comes back to the driver.
+    A folder of such a name, whose part files are the dataset, is a candidate like a
+    file, so a large dataset need not be one file. The listing is the file system's
+    own; no content is read.
     """
-    try:
-        # file names only (no content); files of subfolders are not candidates
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder).select("path")
-        files = files.where(~F.col("path").rlike(r"/_[^/]*$"))  # skip marker files such as _SUCCESS
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
         return None
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    rank = F.lit(len(preferred))
-    for i, p in reversed(list(enumerate(preferred))):
-        rank = F.when(name == p, F.lit(i)).otherwise(rank)
-    cand = files.select("path", name.alias("name"), rank.alias("rank")).where(
-        (F.col("rank") < len(preferred)) | (F.col("name").contains(contains) & F.col("name").endswith(suffix))
-    )
-    first = cand.orderBy("rank", "name").select("path").limit(1).collect()
-    return first[0].path if first else None
+    found = {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(p)
+             if not s.getPath().getName().startswith(("_", ".")) and (s.isFile() or csv_files(spark, s.getPath().toString()))}
+    fitting = [*preferred, *sorted(n for n in found if contains in n and n.endswith(suffix))]
+    return next((found[n] for n in fitting if n in found), None)

@@ -70,6 +70,19 @@ def test_resolve_dataset_order(spark, tmp_dir):
     assert csv.resolve_dataset(spark, os.path.join(tmp_dir, "missing"), [], "x", ".csv") is None
 
 
+def test_resolve_dataset_of_part_files(spark, tmp_dir):
+    spark.range(100).repartition(4).write.option("header", True).csv(os.path.join(tmp_dir, "b_calendar.csv"))
+    os.makedirs(os.path.join(tmp_dir, "a_calendar.csv"))  # holds no file
+    pick = csv.resolve_dataset(spark, tmp_dir, ["none.csv"], "calendar", ".csv")
+    assert pick.endswith("/b_calendar.csv")
+    read = csv.read_landed_csv(spark, pick)
+    assert read.count() == 100 and read.rdd.getNumPartitions() > 1
+
+
+def test_landed_datasets_are_written_when_asked_for(spark, tmp_dir):
+    assert list(landed.land(spark, SF, tmp_dir, names=["calendar"])) == ["calendar"] == os.listdir(tmp_dir)
+
+
 def test_csv_reader_na_tokens_and_multiline(spark, tmp_dir):
     p = os.path.join(tmp_dir, "t.csv")
     with open(p, "w") as f:
