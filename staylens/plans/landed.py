@@ -8,6 +8,7 @@ booleans, JSON amenity lists, ISO dates, quoted multi-line comments).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,10 +89,15 @@ def land_plain_reviews(spark: SparkSession, sf: str, folder: str) -> str:
     return folder
 
 
-def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = None) -> dict[str, str]:
+DATASETS = ("listings", "calendar", "reviews", "neighbourhoods")
+#: Writer options of the landed text: the fast level, as compressing takes most of the time.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
+def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = None, names: Iterable[str] = DATASETS) -> dict[str, str]:
     """Write listings / calendar / reviews (gzip CSV) and neighbourhoods (CSV).
 
-    Each dataset keeps its natural partitioning (one file per task); pass
+    Only the datasets ``names`` are written. Each one keeps its natural partitioning (one file per task); pass
     ``partitions`` only to shape small test fixtures.
     """
     opts = {"header": True, "quote": '"', "escape": '"'}
@@ -112,16 +118,12 @@ def land(spark: SparkSession, sf: str, folder: str, partitions: int | None = Non
         out = df.coalesce(partitions) if partitions else df
         w = out.write.mode("overwrite").options(**opts)
         if comp:
-            w = w.option("compression", comp)
+            w = w.options(**GZIP)
         w.csv(path)
         paths[name] = path
 
-    datasets = (
-        ("listings", raw_listing_text(spark, sf), "gzip"),
-        ("calendar", cal, "gzip"),
-        ("reviews", rev, "gzip"),
-        ("neighbourhoods", nb, None),
-    )
+    frames = {"listings": raw_listing_text(spark, sf), "calendar": cal, "reviews": rev, "neighbourhoods": nb}
+    datasets = [(n, frames[n], n != "neighbourhoods") for n in names]
     # independent jobs: submitted concurrently from driver threads
     with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
         for f in [pool.submit(write, *d) for d in datasets]:

@@ -111,3 +111,21 @@ def test_mart_joins_are_co_partitioned(no_broadcast, key, exchanges):
     """Marts by listing share their buckets, so their joins exchange nothing. Of the joins by host only the listings'
     partial sums move: a host may have a third of all listings, so listings are not bucketed by host."""
     assert _exchanges_below_join(plan_text(E.queries()[key](no_broadcast, SF))) == exchanges
+
+
+def test_marts_are_built_when_asked_for(spark, tmp_dir):
+    from staylens.plans import queries as Q
+
+    base = os.path.join(tmp_dir, "gold")
+    built = Q.build_gold(spark, SF, ("listings_full",), base, {})
+    assert list(built) == ["listings_full"] and os.listdir(base) == ["silver"]
+    Q.build_gold(spark, SF, ("dim_geography",), base, built)
+    assert set(built) == {"listings_full", "dim_geography", "dim_geography_table"}
+    assert set(Q.build_gold(spark, SF, (), base, built)) >= {"calendar", "reviews", *Q.MART_INPUTS}
+
+
+def test_requests_are_spread(spark):
+    from staylens.plans import domain
+
+    plan = domain.requests(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan
