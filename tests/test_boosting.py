@@ -91,19 +91,28 @@ def test_empty_and_constant(spark):
 
 def test_a_round_exchanges_once_a_level(rows):
     _, x, y = rows
-    p, calls = B.BoostParams(max_depth=3), []
+    p, calls = B.BoostParams(max_depth=3).of_rows(250_001), []
     cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
     grower = B._Grower(cuts, p, lambda a: calls.append(a.shape) or a)
     code, joint = grower.codes(x)
     grower.load(code, joint, y, np.arange(len(y), dtype=np.uint64))
     margin = np.full(len(y), y.mean())
-    trees = grower.grow(list(range(p.round_trees)), margin.copy(), margin)
-    assert p.round_trees == len(trees) == 10 and len(calls) == 3
-    assert B.BoostParams(subsampling_rate=1.0, columns=1.0).round_trees == 1
+    trees = grower.grow(list(range(p.at_once)), margin.copy(), margin)
+    assert p.at_once == len(trees) == 10 and len(calls) == 3
+    assert B.BoostParams(subsampling_rate=1.0, columns=1.0).of_rows(10**7).at_once == B.BoostParams().of_rows(250_000).at_once == 1
     m = B.BoostedTrees(y.mean(), *[np.array([t[i] for t in trees]) for i in range(3)])
     assert m.predict(x) == pytest.approx(margin)
 
 
+def test_rounds_over_tasks_and_stages_give_the_same_trees(spark, rows):
+    df, x, y = rows
+    settings = {"max_iter": 12, "max_depth": 3, "round_rows": 1000}
+    one = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings))
+    many = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings, trees_per_stage=7, rows_per_task=1600))
+    assert (one.feature == many.feature).all() and (one.threshold == many.threshold).all()
+    assert many.value == pytest.approx(one.value)
+
+
 def test_histograms_of_bundles_and_siblings(rows):
     _, x, y = rows
     cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
@@ -127,14 +136,12 @@ def test_rounds_learn_as_well_as_trees_one_after_another(rows):
     cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
     held_out, errors = np.arange(3000) % 5 == 0, []
     for at_once in (True, False):
-        p = B.BoostParams(max_depth=4)
+        p = B.BoostParams(max_depth=4, at_once=10 if at_once else 1)
         grower = B._Grower(cuts, p, lambda a: a)
         grower.load(*grower.codes(x[~held_out]), y[~held_out], np.arange((~held_out).sum(), dtype=np.uint64))
         margin, trees = np.full((~held_out).sum(), y[~held_out].mean()), []
-        if not at_once:
-            p.__class__ = type("OneByOne", (B.BoostParams,), {"round_trees": 1, "rate": p.step_size})
-        for begin in range(0, 200, p.round_trees):
-            trees += grower.grow(list(range(begin, begin + p.round_trees)), margin.copy(), margin)
+        for begin in range(0, 200, p.at_once):
+            trees += grower.grow(list(range(begin, begin + p.at_once)), margin.copy(), margin)
         m = B.BoostedTrees(y[~held_out].mean(), *[np.array([t[i] for t in trees]) for i in range(3)])
         errors.append(((y - m.predict(x))[held_out] ** 2).mean())
     assert errors[0] < 1.1 * errors[1]
