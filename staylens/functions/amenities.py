@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ def lowered_items(arr: Column | str) -> Column:
 
 def amenity_flag(lowered: Column, names: list[str]) -> Column:
     """Case-insensitive exact match of any of ``names``; false when nothing matches."""
-    wanted = F.array(*[F.lit(n.lower()) for n in names])
-    return F.coalesce(F.arrays_overlap(lowered, wanted), F.lit(False))
+    found = [F.array_contains(lowered, n.lower()) for n in names]
+    return F.coalesce(functools.reduce(lambda a, b: a | b, found), F.lit(False))
 
 
 def with_amenity_flags(df: DataFrame, list_col: str = "amenities_list", flags: dict | None = None) -> DataFrame:
