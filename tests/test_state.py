@@ -91,3 +91,15 @@ def test_filters_hold_all_their_keys_and_few_others():
     one = state._build(pa.table({"part": ["a"] * 10_000, "bucket": pa.array([0] * 10_000, pa.int32()), "hash": h[:10_000]}))
     hit = set(state._maybe(pa.table({"hash": h}), one).column("hash").to_pylist())
     assert hit >= set(h[:10_000].tolist()) and len(hit - set(h[:10_000].tolist())) < 300
+
+
+def test_a_landing_moves_each_state_row_once(spark):
+    rows = [(n, 2024, 1 + n % 3, 1, n % 2) for n in range(300)] + [(7, 2024, 2, 5, 1), (None, None, None, 1, 0)]
+    state = spark.createDataFrame(rows, "listing_id long, year int, month int, days long, booked long")
+    dealt = occupancy_state._dealt(state)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = sorted(map(str, dealt.drop("period").collect()))
+    assert got == sorted(map(str, occupancy_state.merged(state).collect()))
+    # a month's rows are dealt over its slices
+    held = dealt.where("period = '2024-02'").select(F.pmod(F.xxhash64("listing_id"), F.lit(occupancy_state.SLICES)).alias("s")).distinct().count()
+    assert held == occupancy_state.SLICES
