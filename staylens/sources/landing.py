@@ -58,8 +58,9 @@ def file_record_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
     df = (spark.read.schema("c0 string").option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(paths))
     # the metadata column is URL-encoded ("%20"), the listing is not
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return df.groupBy(path.alias("path")).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+    path = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+    counts = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+    return counts.select(path.alias("path"), "row_count")  # decoded once a file, not once a record
 
 
 def count_each(spark: SparkSession, paths: list[str]) -> tuple[dict[str, int], dict[str, str]]:
