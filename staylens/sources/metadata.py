@@ -119,6 +119,20 @@ def finished_as(spark: SparkSession, path: str, city: str, phase: str) -> str |
     return last["fingerprint"] if last and last["status"] == "success" else None
 
 
+def part_events(spark: SparkSession, path: str, run_id: str, city: str, phase: str, parts: list[tuple[str, str, str]]) -> None:
+    """Phase events of the tables a phase makes, as phase ``phase:table``: (table, fingerprint, status) each."""
+    rows = [(run_id, city, f"{phase}:{name}", made_from, status, _now()) for name, made_from, status in parts]
+    if rows:
+        spark.createDataFrame(rows, PHASE_RUNS).coalesce(1).write.mode("append").parquet(path)
+
+
+def finished_parts(spark: SparkSession, path: str, city: str, phase: str) -> dict[str, str]:
+    """By table of the phase: the fingerprint of its latest build that was not skipped, if it succeeded."""
+    own = read_phases(spark, path).where((F.col("city") == city) & F.col("phase").startswith(f"{phase}:") & (F.col("status") != "skipped"))
+    last = own.groupBy("phase").agg(F.max_by(F.struct("status", "fingerprint"), F.struct("event_at", "run_id")).alias("last")).collect()
+    return {r["phase"].split(":", 1)[1]: r["last"]["fingerprint"] for r in last if r["last"]["status"] == "success"}
+
+
 def run_state(runs: DataFrame) -> DataFrame:
     """WIN-7: current state per run = its latest event; start time = its first."""
     last = runs.groupBy("run_id").agg(

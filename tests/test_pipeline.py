@@ -241,3 +241,48 @@ def test_replaced_input_is_noticed(spark, tmp_dir):
     before = Q.dim_listings(spark, base).count()
     spark.read.parquet(f"{SF}/orders.parquet").limit(20).write.mode("overwrite").parquet(f"{base}/orders.parquet")
     assert Q.dim_listings(spark, base).count() < before
+
+
+def test_file_names_are_decoded_once_a_file(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "a b+c.csv")
+    with open(path, "w") as f:
+        f.write("id\n" + "1\n" * 50)
+    counts = landing.file_record_counts(spark, [path])
+    assert [(r["path"].split(":", 1)[1].lstrip("/"), r["row_count"]) for r in counts.collect()] == [(path.lstrip("/"), 50)]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode" not in plan[plan.index("Project"):]  # below the aggregate
+
+
+def test_resumed_phase_does_only_what_changed(spark, tmp_dir):
+    from staylens.sources import snapshots
+
+    land_dir = os.path.join(tmp_dir, "landing")
+    landed.land(spark, SF, land_dir, partitions=1)
+    lay = pipeline.Layout(land_dir, *(os.path.join(tmp_dir, n) for n in ("silver", "gold", "log", "runs")), store=snapshots.Snapshots)
+    city = silver.CityConfig(bounds=domain.CITY_BOUNDS)
+
+    def go(**more):
+        done = pipeline.run(spark, city, ["silver", "gold"], lay, as_of=domain.AS_OF, **{"resume": True, **more})
+        versions = {n: snapshots.current(spark, f"{lay.silver_dir}/{n}.parquet").version for n in ("listings", "calendar", "reviews")}
+        versions |= {n: snapshots.current(spark, f"{lay.gold_dir}/{n}").version for n in ("dim_listings", "fact_calendar", "fact_reviews")}
+        return [r["status"] for r in done.values()], versions
+
+    assert go() == (["success"] * 2, dict.fromkeys(["listings", "calendar", "reviews", "dim_listings", "fact_calendar", "fact_reviews"], 1))
+    landed.raw_review_text(spark, SF).withColumn("listing_id", F.col("listing_id") + 1).coalesce(1).write.mode("append").options(
+        header=True, quote='"', escape='"', **landed.GZIP).csv(f"{land_dir}/reviews")
+    before = snapshots.read(spark, f"{lay.gold_dir}/fact_reviews").count()
+    statuses, versions = go()
+    assert statuses == ["success"] * 2
+    assert versions == {"listings": 1, "calendar": 1, "reviews": 2, "dim_listings": 1, "fact_calendar": 1, "fact_reviews": 2}
+    assert snapshots.read(spark, f"{lay.gold_dir}/fact_reviews").count() > before
+    # a build that failed, or never ended, is done again though its files are the same
+    from staylens.sources import metadata
+
+    for n, status in enumerate(("failed", "running")):
+        made = metadata.finished_parts(spark, lay.phases_path, city.name, "silver")["calendar"]
+        metadata.part_events(spark, lay.phases_path, "x", city.name, "silver", [("calendar", made, status)])
+        metadata.phase_event(spark, lay.phases_path, "x", city.name, "silver", "", "failed")
+        statuses, versions = go()
+        assert statuses == ["success"] * 2 and versions["calendar"] == 2 + n and versions["listings"] == 1
+    statuses, versions = go(resume=False)
+    assert statuses == ["success"] * 2 and versions["listings"] == 2 and versions["dim_listings"] == 2
