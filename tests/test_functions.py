@@ -153,8 +153,8 @@ def test_common_shapes_skip_the_slow_path(spark):
     assert got["12"] == got[" 12\n"] == got["12.0"] == (12, 12.0, 12.0, None)
     assert got["+7"][0] == got["007"][0] == 7 and got["-0"][0] == 0 and got["1."] == (1, 1.0, 1.0, None) and got[".5"] == (None, 0.5, 0.5, None)
     assert got["$1,234.50"][2] == 1234.5 and got["-$5"][2] == -5.0 and got["$ 5"][2] == 5.0
-    assert got["2024-02-29"][3] == "2024-02-29" and got["\t2024-01-01 "][3] == "2024-01-01"
-    for t in ("1e400", "NaN", "1.5d", "0x1p3", "\x0112", "2023-02-29", "0000-01-01", "2024-01-1 ", "12024-1-01", "", None):
+    assert got["2024-02-29"][3] == "2024-02-29" and got["\t2024-01-01 "][3] == "2024-01-01" and got["0000-01-01"][3] == "0000-01-01"
+    for t in ("1e400", "NaN", "1.5d", "0x1p3", "\x0112", "2023-02-29", "2024-01-1 ", "12024-1-01", "", None):
         assert got[t] == (None, None, None, None), t
     assert got["9223372036854775808"][0] is None and got["12\u0085"] == (12, None, None, None)
     plan = df.select(*derive.calendar_parts(parse.parse_date("t")).values(), text.strip_ws("t"))._jdf.queryExecution().optimizedPlan().toString()
