@@ -37,12 +37,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm import words
 from staylens.llm.words import U
-from staylens.session import shared_path
+from staylens.session import freed_shuffles, shared_path
 
 SAMPLE = 12  # one in so many documents
 MOST_FREQUENT = 1_000_000
@@ -488,6 +488,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     Rows are linked when 100 * intersection >= percent * union of their shingle
     sets; a component's id is the smallest doc_id that links reach.
     """
+    with freed_shuffles(docs.sparkSession):
+        return _groups(docs, shingle, percent)
+
+
+def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
@@ -501,10 +506,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     keys = every.where(F.col("token").isNotNull()).select("token", "sid", "n")
 
     # buckets of two nodes or more; of two, only if their sizes can be similar
-    size = (F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("c"))
-    buckets = keys.groupBy("token").agg(*size).where((F.col("lo") != F.col("hi")) & ((F.col("c") > 2) | (100 * F.col("least") >= percent * F.col("most"))))
+    # (most tokens are alone: sums by token would move as much as the rows do, and the rows once more for the join)
+    bucket = Window.partitionBy("token")
+    size = (F.min("sid").over(bucket).alias("lo"), F.max("sid").over(bucket).alias("hi"), F.min("n").over(bucket).alias("least"), F.max("n").over(bucket).alias("most"), F.count("*").over(bucket).alias("c"))
+    buckets = keys.select("token", "sid", "n", *size).where((F.col("lo") != F.col("hi")) & ((F.col("c") > 2) | (100 * F.col("least") >= percent * F.col("most"))))
     held = shared_path(spark, "held")
-    keys.join(buckets.select("token", "c"), "token").select("token", "sid", "n", "c").write.parquet(held)
+    buckets.select("token", "sid", "n", "c").write.parquet(held)
     members = spark.read.schema("token long, sid long, n int, c long").parquet(held)
 
     # 1. the node of every bucket whose shingles are shared most against the others

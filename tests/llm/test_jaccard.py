@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -118,3 +119,18 @@ def test_one_of_each(spark):
     want = {i for i, _, c in brute(rows(), 5, 80) if i == c}
     assert {r["doc_id"] for r in out.select("doc_id").collect()} == want
     assert jaccard.one_of_each(frame(spark, [])).count() == 0
+
+
+def shuffle_files(spark):
+    """Shuffle files of this local session (its block folders lie in spark.local.dir)."""
+    top = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in top for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    docs = frame(spark, rows()[:60])
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old, before = spark.conf.get(key, None), shuffle_files(spark)
+    jaccard.similar_groups(docs, 5, 80)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(key, None) == old
