@@ -113,6 +113,26 @@ def test_rounds_over_tasks_and_stages_give_the_same_trees(spark, rows):
     assert many.value == pytest.approx(one.value)
 
 
+def test_trees_do_not_depend_on_a_number_of_rows(spark, rows):
+    """The trees of a fit are those that grow one after another, above ``round_rows`` rows too, in one task or in several."""
+    df, x, y = rows
+    settings = {"max_iter": 12, "max_depth": 3}
+    few = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings))
+    for more in ({"round_rows": 1000}, {"round_rows": 1000, "rows_per_task": 1600, "trees_per_stage": 7}):
+        many = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings, **more))
+        assert (few.feature == many.feature).all() and (few.threshold == many.threshold).all()
+        assert many.value == pytest.approx(few.value)
+
+
+def test_rounds_that_a_caller_asks_for_over_tasks_and_stages(spark, rows):
+    df, x, y = rows
+    settings = {"max_iter": 12, "max_depth": 3, "at_once": 10}
+    one = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings))
+    many = B.fit(df, NAMES, "y", "id", B.BoostParams(**settings, trees_per_stage=7, rows_per_task=1600))
+    assert (one.feature == many.feature).all() and (one.threshold == many.threshold).all()
+    assert many.value == pytest.approx(one.value)
+
+
 def test_histograms_of_bundles_and_siblings(rows):
     _, x, y = rows
     cuts = [np.unique(x[:, i])[:-1].tolist() for i in range(6)]
